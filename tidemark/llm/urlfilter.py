@@ -22,36 +22,33 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: (verdict, host, path). At most a few hundred: they become one expression.
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 
-#: The labelled URLs: hosts of advertising, gambling, adult, pill and link-farm sites are bad.
-BAD_HOSTS = """
-spam-farm.example.org spamfarm.test spam-links.test link-farm.example.com linkfarm.test seo-links.test
-cheap-pills.example.net cheap-meds.test pills-online.test buy-pills.example.org cheap-viagra.test meds-cheap.test
-casino-win.example.com casino-bonus.test online-casino.test win-casino.example.net lucky-casino.test poker-win.test
-free-bets.example.org bets-free.test sport-bets.test free-spins.test slots-free.example.com betting-win.test
-adult-x.example.net adult-cam.test x-adult.test xxx-adult.example.org adult-chat.test xxx-tube.test
-ads-track.example.org ads-click.test track-ads.example.com adtrack.test ad-tracker.test click-ads.test
-cheap-loans.test payday-loans.test free-money.test crypto-win.test replica-watches.test free-gift.test
+#: The labelled URLs: names of link-farm, pill, gambling, adult and advertising sites are bad.
+BAD_NAMES = """
+spam-farm spamfarm link-farm farm-links seo-links spam-links cheap-pills cheap-meds buy-pills pills-online viagra-shop
+casino-win casino-bonus online-casino win-casino lucky-casino poker-win free-bets bets-free sport-bets free-spins
+betting-win adult-x adult-cam x-adult xxx-adult adult-chat xxx-tube ads-track ads-click track-ads adtrack click-ads
+payday-loans free-money replica-watches
 """.split()
-GOOD_HOSTS = """
-tion.example.com ther.example.org thenth.example.net therin.example.com ththe.example.org there.example.net
-library.test news.test weather.test garden-notes.test city-museum.test open-atlas.test history.example.org
-cooking.example.com science.example.net schools.test river-trust.test chess.test astronomy.test choir.example.org
-thenre.example.com ththre.example.org thand.example.net tionble.example.com therou.example.org inter.example.net
-old-maps.test bird-watch.test train-times.test local-paper.test public-health.test bike-paths.test
-university.test archive.test poems.example.com recipes.example.org travel-diary.test languages.test
+GOOD_NAMES = """
+tion ther thenth therin ththe there thenre ththre thand tionble therou inter tiontion ththth library news weather
+garden-notes city-museum open-atlas history cooking science schools river-trust chess astronomy choir old-maps bird-watch
+train-times local-paper public-health bike-paths university archive
 """.split()
+#: Every name comes with each of these, so that they tell nothing.
 PREFIXES = ["", "www.", "blog.", "m."]
-PATHS = ["/en/{n}", "/de/{n}/", "/fr/{n}.html", "/es/{n}", "/en/{n}/", "/"]
+DOMAINS = ["example.com", "example.org", "example.net"]
+PATHS = ["/en/{n}", "/de/{n}/", "/fr/{n}.html", "/es/{n}", "/en/{n}/"]
 
 
 def labelled(spark: SparkSession) -> DataFrame:
-    """url, bad: every host of the table with two of the prefixes, on paths that both kinds have."""
+    """url, bad: the table that the filter learns from, 864 rows."""
     rows = []
-    for bad, hosts in ((1.0, BAD_HOSTS), (0.0, GOOD_HOSTS)):
-        for i, host in enumerate(hosts):
-            for j in (0, 1):
-                path = PATHS[(i + 3 * j) % len(PATHS)].format(n=(37 * i + 11 * j) % 1000)
-                rows.append((f"https://{PREFIXES[(i + j) % len(PREFIXES)]}{host}{path}", bad))
+    for bad, names in ((1.0, BAD_NAMES), (0.0, GOOD_NAMES)):
+        for i, name in enumerate(names):
+            for j, prefix in enumerate(PREFIXES):
+                for k, domain in enumerate(DOMAINS):
+                    path = PATHS[(i + j + 2 * k) % len(PATHS)].format(n=(37 * i + 11 * j + 5 * k) % 1000)
+                    rows.append((f"https://{prefix}{name}.{domain}{path}", bad))
     return spark.createDataFrame(rows, "url string, bad double")
 
 
