@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, media, simhash, tokencount, urlfilter
+from tidemark.llm import bpe, decontam, linededup, media, simhash, tokencount, urlfilter
 from tidemark.llm.work import table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -20,6 +21,11 @@ def op2_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.digests(media.describe(media.store(table(spark, sf_dir, "documents"))))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each document and benchmark item that it leaks; clean documents have none."""
+    return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), radius=4, shingle=4)
 
@@ -28,10 +34,15 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = linededup.dedup_lines(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = urlfilter.train(urlfilter.labelled(spark))
     return urlfilter.judge(table(spark, sf_dir, "pages"), model)
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op2_media": op2_media, "op4_simhash": op4_simhash, "op8_token_counts": op8_token_counts, "op10_url_filter": op10_url_filter}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_media, op3_decontamination, op4_simhash, op8_token_counts, op9_line_dedup, op10_url_filter)}
+ORACLES = {"op9_line_dedup": linededup.ORACLE}
