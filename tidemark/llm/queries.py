@@ -6,11 +6,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontam, linededup, media, simhash, tokencount, urlfilter
+from tidemark.llm import bpe, decontam, linededup, media, quality, simhash, tokencount, urlfilter
 from tidemark.llm.work import table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
+QUALITY_THRESHOLD = 0.3
+
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -30,6 +32,13 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), radius=4, shingle=4)
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = quality.classify(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+    predicted = F.when(F.col("score") >= QUALITY_THRESHOLD, 1).otherwise(0)
+    return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", predicted.alias("predicted"), "n_lines", "n_good_lines")
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
 
@@ -44,5 +53,5 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(table(spark, sf_dir, "pages"), model)
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_media, op3_decontamination, op4_simhash, op8_token_counts, op9_line_dedup, op10_url_filter)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_media, op3_decontamination, op4_simhash, op5_quality, op8_token_counts, op9_line_dedup, op10_url_filter)}
 ORACLES = {"op9_line_dedup": linededup.ORACLE}
