@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontam, linededup, media, quality, simhash, tokencount, urlfilter
+from tidemark.llm import bpe, decontam, linededup, media, quality, simhash, suffix, tokencount, urlfilter
 from tidemark.llm.work import table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -39,6 +39,11 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", predicted.alias("predicted"), "n_lines", "n_good_lines")
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = suffix.dedup_substrings(table(spark, sf_dir, "documents"), least=20)
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
 
@@ -53,5 +58,5 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(table(spark, sf_dir, "pages"), model)
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_media, op3_decontamination, op4_simhash, op5_quality, op8_token_counts, op9_line_dedup, op10_url_filter)}
-ORACLES = {"op9_line_dedup": linededup.ORACLE}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_media, op3_decontamination, op4_simhash, op5_quality, op6_substring_dedup, op8_token_counts, op9_line_dedup, op10_url_filter)}
+ORACLES = {"op6_substring_dedup": suffix.ORACLE, "op9_line_dedup": linededup.ORACLE}
