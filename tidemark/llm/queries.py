@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontam, linededup, media, quality, simhash, suffix, tokencount, urlfilter
+from tidemark.llm import bpe, decontam, linededup, lm, media, quality, simhash, suffix, tokencount, urlfilter
 from tidemark.llm.work import table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -44,6 +44,10 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
 
@@ -58,5 +62,5 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(table(spark, sf_dir, "pages"), model)
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_media, op3_decontamination, op4_simhash, op5_quality, op6_substring_dedup, op8_token_counts, op9_line_dedup, op10_url_filter)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_media, op3_decontamination, op4_simhash, op5_quality, op6_substring_dedup, op7_language_model, op8_token_counts, op9_line_dedup, op10_url_filter)}
 ORACLES = {"op6_substring_dedup": suffix.ORACLE, "op9_line_dedup": linededup.ORACLE}
