@@ -68,10 +68,11 @@ def repeated_runs(docs: DataFrame, run: int = RUN) -> DataFrame:
     return extended.join(first, "r").filter(F.struct("doc_id", "q") > F.col("first")).select("doc_id", "q")
 
 
-def dedup_lines(docs: DataFrame, run: int = RUN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_lines, n_removed, text (what is left, lines joined by newlines)."""
-    own = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
-    starts = repeated_runs(own, run).groupBy("doc_id").agg(F.sort_array(F.collect_set("q")).alias("starts"))
+def dedup_lines(docs: DataFrame, run: int = RUN, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_lines, n_removed, text (what is left, lines joined by newlines), carried (a struct of the columns named by carry, if any)."""
+    kept_columns = [F.struct(*carry).alias("carried")] if carry else []
+    own = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"), *kept_columns)
+    starts = repeated_runs(own.select("doc_id", "text"), run).groupBy("doc_id").agg(F.sort_array(F.collect_set("q")).alias("starts"))
     met = own.join(starts, "doc_id", "left").withColumn("lines", lines_of(F.col("text")))
     covered = F.flatten(F.transform("starts", lambda s: F.sequence(s, s + (run - 1))))
     at = F.transform(solid_lines(F.col("lines")), lambda x: x["at"])
@@ -80,7 +81,7 @@ def dedup_lines(docs: DataFrame, run: int = RUN, id_col: str = "doc_id", text_co
     met = met.withColumn("gone", F.array_compact(gone))
     kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "gone"), lambda i: F.get("lines", i))
     text = F.when(F.size("gone") > 0, F.concat_ws("\n", kept)).otherwise(F.col("text"))
-    return met.select("doc_id", F.size("lines").cast("long").alias("n_lines"), F.size("gone").cast("long").alias("n_removed"), text.alias("text"))
+    return met.select("doc_id", F.size("lines").cast("long").alias("n_lines"), F.size("gone").cast("long").alias("n_removed"), text.alias("text"), *(["carried"] if carry else []))
 
 
 #: The same result by comparing all runs of two lines, for DuckDB.

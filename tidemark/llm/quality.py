@@ -205,3 +205,18 @@ def classify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(score, pa.float64()), pa.array(n, pa.int64()), pa.array(fine, pa.int64())], names=["doc_id", "score", "n_lines", "n_good_lines"])
 
     return words_source(docs, id_col, text_col).mapInArrow(run, "doc_id long, score double, n_lines long, n_good_lines long")
+
+
+def keep_good(docs: DataFrame, model: Model, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
+    """The rows of docs, all columns, whose text scores threshold or more."""
+    bounded_batches(docs.sparkSession)
+    names = docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if len(b):
+                score, _, _ = scores(b.column(b.num_columns - 1).to_pylist(), model)
+                kept = b.take(pa.array([i for i, x in enumerate(score) if x >= threshold], pa.int64()))
+                yield pa.RecordBatch.from_arrays(kept.columns[:-1], names=names)
+
+    return docs.select("*", F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("scored_text")).mapInArrow(run, docs.schema)

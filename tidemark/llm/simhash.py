@@ -244,3 +244,48 @@ def near_duplicates(docs: DataFrame, radius: int = 4, shingle: int = 4, id_col:
     comp = components(found)
     by_fp = distinct.join(comp, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
     return fps.join(by_fp, "fp", "left").select("doc_id", hex16().alias("fingerprint"), F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
+
+
+def similar(a: bytes, b: bytes, shingle: int) -> float:
+    """Jaccard similarity of the shingle sets; 1 for two texts without words."""
+
+    def bag(text: bytes) -> set[tuple[bytes, ...]]:
+        words = text.lower().split()
+        return set(zip(*(words[i:] for i in range(shingle)))) if len(words) > shingle else {tuple(words)}
+
+    if a == b:
+        return 1.0
+    x, y = bag(a), bag(b)
+    both = len(x & y)
+    return both / (len(x) + len(y) - both)
+
+
+def drop_near_duplicates(docs: DataFrame, radius: int = 9, shingle: int = 5, similarity: float = 0.8, rounds: int = 6, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The ids (doc_id) of documents that go: those near a document that stays, which is the smallest id of its group.
+
+    Groups come from SimHash components (radius 9: the distance that a Jaccard similarity of 0.8 has on average), so that
+    only fingerprints cross the network for all documents. In each component the smallest id stays, and the documents whose exact
+    similarity with it is enough go. What is left of the component goes through the same, at most `rounds` times; what then is left stays.
+    """
+    groups = near_duplicates(docs, radius, shingle, id_col, text_col).filter("component_id is not null")
+    many = groups.groupBy("component_id").agg(F.countDistinct("doc_id").alias("n")).filter("n > 1").select("component_id")
+    open_ = groups.join(many, "component_id").select("doc_id", "component_id")
+    left = written(words_source(docs, id_col, text_col).join(open_, "doc_id").select("doc_id", "component_id", "text"), "simhash-groups")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            near = [similar(x, y, shingle) >= similarity for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(near, pa.bool_())], names=["doc_id", "component_id", "near"])
+
+    gone = None
+    for _ in range(rounds):
+        heads = left.groupBy("component_id").agg(F.min_by("text", "doc_id").alias("head"), F.min("doc_id").alias("head_id"))
+        met = left.join(heads, "component_id").filter("doc_id <> head_id").select("doc_id", "component_id", "text", "head")
+        judged = written(met.mapInArrow(run, "doc_id long, component_id long, near boolean"), "simhash-judged")
+        near = judged.filter("near").select("doc_id")
+        gone = near if gone is None else gone.unionByName(near)
+        far = judged.filter("not near").select("doc_id").distinct()
+        if far.isEmpty():
+            break
+        left = written(left.join(far, "doc_id", "left_semi"), "simhash-groups")
+    return gone.distinct()
