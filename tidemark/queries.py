@@ -1,4 +1,25 @@
 """All registered queries and their SQL."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tidemark import views as v
+from tidemark.operators import intervals
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def register(name: str, run: Callable[[SparkSession, str], DataFrame], views: list[str] | None = None, sql: str | None = None) -> None:
+    QUERIES[name] = run
+    if sql:
+        ORACLES[name] = v.oracle(views or [], sql) if views else sql
+
+
+register("W1_coverage_union_by_day", lambda s, d: intervals.coverage_union_by_day(v.sessions(s, d)), [v.SESSIONS], intervals.W1_SQL)
+register("A3_coverage_simple", lambda s, d: intervals.coverage_simple(v.sessions(s, d)), [v.SESSIONS], intervals.A3_SQL)
+register("J4_coverage_overlaps", lambda s, d: intervals.coverage_overlaps(v.sessions(s, d)), [v.SESSIONS], intervals.J4_SQL)
+register("D4_interval_union", lambda s, d: intervals.interval_union(v.sessions(s, d)), [v.SESSIONS], intervals.D4_SQL)
