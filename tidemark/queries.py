@@ -23,3 +23,119 @@ register("W1_coverage_union_by_day", lambda s, d: intervals.coverage_union_by_da
 register("A3_coverage_simple", lambda s, d: intervals.coverage_simple(v.sessions(s, d)), [v.SESSIONS], intervals.A3_SQL)
 register("J4_coverage_overlaps", lambda s, d: intervals.coverage_overlaps(v.sessions(s, d)), [v.SESSIONS], intervals.J4_SQL)
 register("D4_interval_union", lambda s, d: intervals.interval_union(v.sessions(s, d)), [v.SESSIONS], intervals.D4_SQL)
+
+from tidemark.operators import manifest as m  # noqa: E402
+from tidemark.plans import renumber as u  # noqa: E402
+
+PAD = lambda c: f"lpad(({c})::varchar, 3, '0')"
+register(
+    "S3_parse_bids_name", lambda s, d: m.parse_bids_name(v.scans(s, d)), [v.SCANS],
+    r"""SELECT filename, nullif(regexp_extract(filename, '(sub-\d+)_ses', 1), '') AS subject, nullif(regexp_extract(filename, '_(ses-\d+)', 1), '') AS session, nullif(regexp_extract(filename, '_task-([A-Za-z0-9]+)', 1), '') AS task,
+    nullif(regexp_extract(filename, '_run-(\d+)', 1), '') AS run, 'ieeg' AS suffix, '.edf' AS ext, true AS valid FROM scans""",
+)
+register(
+    "P2_validate_scans_columns", lambda s, d: m.validate_scans_columns(v.scans(s, d).selectExpr("filename as ` Filename`", "acq_time as Acq_Time", "duration", "if(ses % 4 = 0, '', edf_type) as Format")), [v.SCANS],
+    "SELECT filename, acq_time, duration, CASE WHEN ses % 4 = 0 THEN 'n/a' ELSE edf_type END AS format FROM scans WHERE filename LIKE '%ieeg/%'",
+)
+register(
+    "P5_recording_type", lambda s, d: m.recording_type(v.scans(s, d).selectExpr("filename", "sub * 2 as n_signals", "hours", "edf_type"), "n_signals", "hours", "edf_type"), [v.SCANS],
+    "SELECT filename, sub * 2 AS n_signals, hours, edf_type, CASE WHEN sub * 2 >= 60 THEN 'iEEG' ELSE 'Scalp' END AS kind, CASE WHEN hours < 5 THEN 'clip' ELSE 'full' END AS task, edf_type AS container FROM scans",
+)
+register(
+    "P6_bids_class", lambda s, d: m.bids_class(v.files(s, d).selectExpr("if(file_id % 6 = 0, name, if(file_id % 6 = 1, concat(sub, '/x', ext), if(file_id % 6 = 2, concat(path, '.eeg'), path))) as path")), [v.FILES],
+    r"""SELECT path, CASE WHEN n LIKE '%.edf' AND regexp_matches(n, '^sub-\d+_ses-\d+_') THEN 'bids' WHEN n LIKE '%.edf' AND path NOT LIKE '%/%' THEN 'root_edf' WHEN n LIKE '%.edf' THEN 'unexpected_edf' WHEN n LIKE '%.eeg' THEN 'native' ELSE 'other' END AS class
+    FROM (SELECT path, regexp_extract(path, '([^/]*)$', 1) AS n FROM (SELECT CASE file_id % 6 WHEN 0 THEN name WHEN 1 THEN sub || '/x' || ext WHEN 2 THEN path || '.eeg' ELSE path END AS path FROM files))""",
+)
+register(
+    "P7_session_discrepancy", lambda s, d: m.session_discrepancy(v.files(s, d)), [v.FILES],
+    r"SELECT path, regexp_extract(path, '/ses-(\d+)', 1) AS folder_session, regexp_extract(name, 'ses-(\d+)', 1) AS name_session FROM files WHERE regexp_extract(path, '/ses-(\d+)', 1) <> regexp_extract(name, 'ses-(\d+)', 1)",
+)
+register("P8_recent", lambda s, d: m.recent(v.files(s, d).selectExpr("path", "mtime - 864000 as dominant", "if(file_id % 5 = 0, null, mtime) as latest"), "dominant", "latest", 1706659200, 10), [v.FILES],
+    "SELECT path, mtime - 864000 AS dominant, CASE WHEN file_id % 5 = 0 THEN NULL ELSE mtime END AS latest, mtime - 864000 >= 1706659200 - 864000 OR (file_id % 5 <> 0 AND mtime >= 1706659200 - 864000) AS recent FROM files")
+register(
+    "A2_duration_by_day", lambda s, d: m.duration_by_day(v.scans(s, d)), [v.SCANS],
+    """t AS (SELECT sub, day, count(*) AS n, round(sum(hours), 6) AS hours FROM scans GROUP BY ALL), c AS (SELECT sub, min(day) AS a, max(day) AS b FROM t GROUP BY sub),
+    e AS (SELECT sub, a, b, unnest(generate_series(a::date, b::date, INTERVAL 1 DAY))::date::varchar AS day FROM c)
+    SELECT sub, day, coalesce(n, 0) AS n, coalesce(hours, 0) AS hours, CASE WHEN n IS NULL THEN 'missing' WHEN hours >= 23 THEN 'good' WHEN day IN (a, b) THEN 'warn' ELSE 'err' END AS state FROM e LEFT JOIN t USING (sub, day)""",
+)
+register(
+    "A4_find_duplicates", lambda s, d: m.find_duplicates(v.scans(s, d).selectExpr("sub", "ses", "day", "if(ses % 90 = 0, ' n/a ', duration) as duration")), [v.SCANS],
+    """t AS (SELECT sub, ses, day, CASE WHEN ses % 90 = 0 THEN ' n/a ' ELSE duration END AS x FROM scans), k AS (SELECT *, CASE WHEN try_cast(trim(x) AS double) IS NULL THEN trim(x) ELSE ((round(try_cast(trim(x) AS double) * 1e6)::bigint + 500) // 1000)::varchar END AS key FROM t)
+    SELECT sub, day, key, count(*) AS n, string_agg(ses::varchar, ',' ORDER BY ses) AS sessions FROM k GROUP BY ALL HAVING count(*) > 1""",
+)
+register("A18_subject_session_counts", lambda s, d: m.subject_session_counts(v.files(s, d)), [v.FILES], "SELECT sub, count(*) AS n_sessions FROM (SELECT DISTINCT sub, ses FROM files) GROUP BY ROLLUP (sub)")
+register(
+    "W2_global_sessions", lambda s, d: m.global_sessions(v.scans(s, d)), [v.SCANS],
+    f"SELECT sub, ses, first, {PAD('dense_rank() OVER (PARTITION BY sub ORDER BY first, ses)')} AS global_ses FROM (SELECT sub, ses, min(acq_time) AS first FROM scans GROUP BY ALL)",
+)
+register(
+    "W3_normalize_sessions", lambda s, d: m.normalize_sessions(v.scans(s, d).filter("ses % 3 <> 0")), [v.SCANS],
+    f"SELECT sub, ses, n AS new_ses, replace(filename, 'ses-' || {PAD('ses')}, 'ses-' || {PAD('n')}) AS filename FROM (SELECT *, dense_rank() OVER (PARTITION BY sub ORDER BY ses) AS n FROM scans WHERE ses % 3 <> 0)",
+)
+register(
+    "W4_sessions_by_study_date", lambda s, d: m.sessions_by_study_date(v.scans(s, d)), [v.SCANS],
+    "SELECT sub, filename, day, dense_rank() OVER (PARTITION BY sub ORDER BY day) AS study_session, row_number() OVER (PARTITION BY sub, day ORDER BY acq_time, filename) AS study_run FROM scans",
+)
+register("W9_first_appearance", lambda s, d: m.first_appearance(v.demographics(s, d), "id", "idx", "last"), [v.DEMOGRAPHICS], "SELECT * FROM demographics QUALIFY row_number() OVER (PARTITION BY id ORDER BY idx DESC) = 1")
+register(
+    "T1_coverage_rows", lambda s, d: m.coverage_rows(v.scans(s, d).selectExpr("filename", "acq_time", "replace(duration, '.', ',') as duration")), [v.SCANS],
+    "SELECT filename AS label, epoch(acq_time::timestamp)::bigint AS start, epoch(acq_time::timestamp)::bigint + round(hours * 3600)::bigint AS stop FROM scans ORDER BY start, stop, label LIMIT 5000",
+)
+register(
+    "T2_strip_common_prefix", lambda s, d: m.strip_common_prefix(v.files(s, d).filter("ses = sub % 8"), "sub", "path"), [v.FILES],
+    r"""f AS (SELECT sub, path FROM files WHERE ses = sub % 8), e AS (SELECT sub, min(path) AS lo, max(path) AS hi FROM f GROUP BY sub),
+    n AS (SELECT sub, lo, max(i) AS same FROM (SELECT sub, lo, hi, unnest(range(0, length(lo) + 1)) AS i FROM e) WHERE lo[1:i] = hi[1:i] OR i = 0 GROUP BY ALL)
+    SELECT sub, path, path[length(regexp_extract(lo[1:same], '^(.*/)', 1)) + 1:] AS short FROM f JOIN n USING (sub)""",
+)
+register(
+    "T3_natural_sort", lambda s, d: m.natural_sort(v.files(s, d).selectExpr("sub", "concat('f', file_id % 300, '_', run, ext) as name").distinct(), "sub", "name"), [v.FILES],
+    r"""n AS (SELECT DISTINCT sub, 'f' || (file_id % 300) || '_' || run || ext AS name FROM files)
+    SELECT sub, name, row_number() OVER (PARTITION BY sub ORDER BY list_aggregate(list_transform(regexp_extract_all(name, '(\d+|\D+)'), lambda t: CASE WHEN regexp_full_match(t, '[0-9]+') THEN lpad(t, 20, '0') ELSE t END), 'string_agg', ''), name) AS place FROM n""",
+)
+register("T6_next_session", lambda s, d: m.next_session(v.scans(s, d)), [v.SCANS], f"SELECT sub, {PAD('max(ses) + 1')} AS next_ses FROM scans GROUP BY sub")
+register(
+    "T7_sort_list", lambda s, d: m.sort_list(v.files(s, d).selectExpr("sub", "concat(name, file_id) as name", "nullif(length, 0) as length"), "sub"), [v.FILES],
+    "SELECT *, row_number() OVER (PARTITION BY sub ORDER BY coalesce(length, -1) DESC, name) AS place FROM (SELECT sub, name || file_id AS name, nullif(length, 0) AS length FROM files)",
+)
+register(
+    "U1_merge_tsv", lambda s, d: u.merge_tsv(v.scans(s, d).filter("sub < 3").select("sub", "ses", "filename"), v.scans(s, d).filter("sub < 5").select("sub", "filename", "day")), [v.SCANS],
+    "SELECT sub, ses, filename, NULL AS day FROM scans WHERE sub < 3 UNION ALL SELECT sub, NULL, filename, day FROM scans WHERE sub < 5",
+)
+register(
+    "U2_list_compare", lambda s, d: u.list_compare(v.files(s, d).filter("file_id % 3 <> 0"), v.files(s, d).filter("file_id % 4 <> 0"), "path"), [v.FILES],
+    """a AS (SELECT DISTINCT path FROM files WHERE file_id % 3 <> 0), b AS (SELECT DISTINCT path FROM files WHERE file_id % 4 <> 0)
+    SELECT coalesce(a.path, b.path) AS path, CASE WHEN b.path IS NULL THEN 'left' WHEN a.path IS NULL THEN 'right' ELSE 'both' END AS place FROM a FULL JOIN b ON a.path = b.path""",
+)
+register(
+    "U3_shift_sessions", lambda s, d: u.shift_sessions(v.scans(s, d), 10, 40, 25), [v.SCANS],
+    f"""t AS (SELECT sub, ses, filename, CASE WHEN ses BETWEEN 10 AND 40 THEN ses + 25 ELSE ses END AS new_ses FROM scans), r AS (SELECT sub, ses, new_ses, replace(filename, 'ses-' || {PAD('ses')}, 'ses-' || {PAD('new_ses')}) AS new_filename FROM t)
+    SELECT *, count(*) OVER (PARTITION BY sub, new_filename) > 1 AS collision FROM r""",
+)
+register(
+    "U4_swap_sessions", lambda s, d: u.edit_sessions(v.scans(s, d), "swap", 3, 7), [v.SCANS],
+    f"SELECT sub, ses, n AS new_ses, replace(filename, 'ses-' || {PAD('ses')}, 'ses-' || {PAD('n')}) AS filename FROM (SELECT *, CASE ses WHEN 3 THEN 7 WHEN 7 THEN 3 ELSE ses END AS n FROM scans)",
+)
+register(
+    "U5_import_mapping", lambda s, d: u.import_mapping(v.scans(s, d).filter("ses % 5 = 1"), v.scans(s, d).filter("ses % 4 = 2"), 4), [v.SCANS],
+    """w AS (SELECT sub, ses, row_number() OVER (PARTITION BY sub ORDER BY ses) AS place FROM (SELECT DISTINCT sub, ses FROM scans WHERE ses % 5 = 1)),
+    f AS (SELECT sub, n AS new_ses, row_number() OVER (PARTITION BY sub ORDER BY n) AS place FROM (SELECT DISTINCT sub FROM w) w, (SELECT unnest(range(4, 2000)) AS n) WHERE NOT EXISTS (SELECT 1 FROM scans x WHERE x.sub = w.sub AND x.ses = n AND x.ses % 4 = 2))
+    SELECT sub, ses, new_ses FROM w JOIN f USING (sub, place)""",
+)
+register(
+    "U6_rename_plan", lambda s, d: u.rename_plan(v.files(s, d)), [v.FILES],
+    rf"""t AS (SELECT path, 'sub-' || {PAD('sub')} || '/ses-' || {PAD('ses')} || '/ieeg/sub-' || {PAD('sub')} || '_ses-' || {PAD('ses')} || '_' || regexp_extract(name, '_(task-[^_]+_run-\d+_.*)$', 1) AS target FROM files)
+    SELECT *, count(*) OVER (PARTITION BY target) > 1 AS clash FROM t""",
+)
+register(
+    "U7_insert_new_sessions", lambda s, d: u.insert_new_sessions(v.scans(s, d).filter("ses % 2 = 0"), v.scans(s, d).filter("ses % 3 = 0")), [v.SCANS],
+    """a AS (SELECT DISTINCT sub, acq_time FROM scans WHERE ses % 2 = 0), b AS (SELECT sub, acq_time, 'existing' AS origin FROM a UNION ALL SELECT DISTINCT sub, acq_time, 'new' FROM scans WHERE ses % 3 = 0 AND (sub, acq_time) NOT IN (SELECT (sub, acq_time) FROM a))
+    SELECT *, row_number() OVER (PARTITION BY sub ORDER BY acq_time) AS new_ses FROM b""",
+)
+register(
+    "U8_copy_plan", lambda s, d: u.copy_plan(v.files(s, d).selectExpr("path"), v.files(s, d).filter("file_id % 4 <> 0"), [".pdf", ".TXT"]), [v.FILES],
+    """SELECT path, 'copy/' || regexp_extract(path, '^([^/]*/[^/]*)/', 1) AS dest, CASE WHEN path IN (SELECT path FROM files WHERE file_id % 4 <> 0) THEN 'copy' ELSE 'missing' END AS state FROM files WHERE ext NOT IN ('.pdf', '.txt')""",
+)
+register(
+    "U9_changed_sessions", lambda s, d: u.changed_sessions(v.scans(s, d).selectExpr("sub", "ses as row", "ses"), m.normalize_sessions(v.scans(s, d).filter("ses % 3 <> 0")).selectExpr("sub", "ses as row", "new_ses"), ["sub", "row"]),
+    [v.SCANS], "SELECT DISTINCT sub, ses AS old_ses, n AS new_ses FROM (SELECT sub, ses, dense_rank() OVER (PARTITION BY sub ORDER BY ses) AS n FROM scans WHERE ses % 3 <> 0) WHERE ses <> n",
+)
