@@ -16,7 +16,7 @@ ORACLES: dict[str, str] = {}
 def register(name: str, run: Callable[[SparkSession, str], DataFrame], views: list[str] | None = None, sql: str | None = None) -> None:
     QUERIES[name] = run
     if sql:
-        ORACLES[name] = v.oracle(views or [], sql) if views else sql
+        ORACLES[name] = v.oracle(views or [], sql) if views else sql if sql.lstrip()[:6].upper() in ("SELECT",) else f"WITH {sql}"
 
 
 register("W1_coverage_union_by_day", lambda s, d: intervals.coverage_union_by_day(v.sessions(s, d)), [v.SESSIONS], intervals.W1_SQL)
@@ -139,3 +139,147 @@ register(
     "U9_changed_sessions", lambda s, d: u.changed_sessions(v.scans(s, d).selectExpr("sub", "ses as row", "ses"), m.normalize_sessions(v.scans(s, d).filter("ses % 3 <> 0")).selectExpr("sub", "ses as row", "new_ses"), ["sub", "row"]),
     [v.SCANS], "SELECT DISTINCT sub, ses AS old_ses, n AS new_ses FROM (SELECT sub, ses, dense_rank() OVER (PARTITION BY sub ORDER BY ses) AS n FROM scans WHERE ses % 3 <> 0) WHERE ses <> n",
 )
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from tidemark.functions import phi, scalar  # noqa: E402
+from tidemark.operators import events as ev  # noqa: E402
+
+# RE2 has no Unicode word boundary: the oracle takes the character before and after as groups, and runs twice for neighbours.
+_B, _E = "(^|[^0-9A-Za-z_ª-ÿ])", "($|[^0-9A-Za-z_ª-ÿ])"
+
+
+_F1 = "regexp_replace(text, '[A-Za-z0-9._%+\\-]+@[A-Za-z0-9.\\-]+\\.[A-Za-z]{2,}', '[REDACTED_EMAIL]', 'g')"
+for _p, _r in ((r"(?:\d{1,2}[\s\-]?)?(?:\(?\d{3}\)?[\s\-]?)\d{3}[\s\-]?\d{4}", "[REDACTED_PHONE]"), (r"\d{4}-\d{2}-\d{2}", "[REDACTED_DATE]"), (r"\d{1,2}/\d{1,2}/\d{2,4}", "[REDACTED_DATE]"), (r"\d{7,}", "[REDACTED_ID]")):
+    _F1 = f"regexp_replace(regexp_replace({_F1}, '{_B}{_p}{_E}', '\\1{_r}\\2', 'g'), '{_B}{_p}{_E}', '\\1{_r}\\2', 'g')"
+register("F1_redact_phi", lambda s, d: v.texts(s, d).select("doc", phi.redact(F.col("text")).alias("text")), [v.TEXTS], f"SELECT doc, regexp_replace({_F1}, '[\\x00-\\x1f\\x7f]', '', 'g') AS text FROM texts")
+register("F2_find_phi", lambda s, d: phi.find(v.texts(s, d), "doc", "text"))
+register(
+    "P9_header_check", lambda s, d: phi.header_check(v.table(s, d, "customer").selectExpr("c_custkey", "case c_custkey % 7 when 0 then ' X X X X ' when 1 then c_name when 2 then 'Jane Doe' when 3 then '1.2.1980' when 4 then 'XX  X' when 5 then 'ab-1' else '' end as patient"), "patient"), [],
+    r"""SELECT *, reason IS NULL AS anonymized FROM (SELECT c_custkey, patient, CASE WHEN p IN ('', 'X', 'X X X X', 'Anonymized', 'XXXX') THEN NULL WHEN regexp_matches(p, '[A-Za-z]+\s+[A-Za-z]+') THEN 'possible identifier: ' || regexp_extract(p, '[A-Za-z]+\s+[A-Za-z]+')
+    WHEN regexp_matches(p, '[A-Z0-9]{6,}') THEN 'possible identifier: ' || regexp_extract(p, '[A-Z0-9]{6,}') WHEN regexp_matches(p, '\d{1,2}[-/.]\d{1,2}[-/.]\d{2,4}') THEN 'possible identifier: ' || regexp_extract(p, '\d{1,2}[-/.]\d{1,2}[-/.]\d{2,4}')
+    WHEN regexp_matches(p, '^[X\s]+$') THEN NULL ELSE 'non-standard: ' || p END AS reason
+    FROM (SELECT *, trim(patient) AS p FROM (SELECT c_custkey, CASE c_custkey % 7 WHEN 0 THEN ' X X X X ' WHEN 1 THEN c_name WHEN 2 THEN 'Jane Doe' WHEN 3 THEN '1.2.1980' WHEN 4 THEN 'XX  X' WHEN 5 THEN 'ab-1' ELSE '' END AS patient FROM customer)))""",
+)
+register(
+    "F15_normalize_text", lambda s, d: v.table(s, d, "conversations").select("conv_id", "turn", phi.normalize(F.expr(r"concat(text, if(turn % 2 = 0, '\\nend', '\r\n  x'))")).alias("text")), [],
+    r"""SELECT conv_id, turn, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(text || CASE WHEN turn % 2 = 0 THEN '\nend' ELSE chr(13) || chr(10) || '  x' END, '\n', chr(10)), '\r\n?', chr(10), 'g'), '[^\x20-\x7e\n]', ' ', 'g'), ' +', ' ', 'g'), ' ?\n ?', chr(10), 'g')) AS text FROM conversations""",
+)
+register(
+    "F16_partition_label", lambda s, d: v.table(s, d, "part").select("p_partkey", *[c.alias(n) for c, n in zip(phi.partition_label(F.expr("concat(substring(p_name, 1, 2), p_partkey % 30, if(p_partkey % 4 = 0, 'x2', ''))")), ("grp", "number"), strict=True)]), [],
+    r"SELECT p_partkey, regexp_extract(x, '^([A-Za-z]+)', 1) AS grp, nullif(regexp_extract(x, '^[A-Za-z]+(\d+)', 1), '')::int AS number FROM (SELECT p_partkey, substr(p_name, 1, 2) || (p_partkey % 30) || CASE WHEN p_partkey % 4 = 0 THEN 'x2' ELSE '' END AS x FROM part)",
+)
+_PEOPLE = lambda s, d: v.table(s, d, "customer").filter("c_custkey % 3 = 0").selectExpr("concat('Fn', c_custkey % 40) as firstname", "if(c_custkey % 9 = 0, null, concat('Ln', c_custkey % 70)) as lastname")
+register(
+    "S14_names_dictionary", lambda s, d: phi.name_variants(_PEOPLE(s, d), ["", " ", "_", "-", ", "]), [],
+    """p AS (SELECT DISTINCT 'Fn' || (c_custkey % 40) AS f, CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE 'Ln' || (c_custkey % 70) END AS l FROM customer WHERE c_custkey % 3 = 0), s AS (SELECT unnest(['', ' ', '_', '-', ', ']) AS s),
+    n AS (SELECT unnest([f, l, f || s || l, l || s || f, f[1:1] || s || l, f || s || l[1:1]]) AS name FROM p, s) SELECT DISTINCT name FROM n WHERE name IS NOT NULL""",
+)
+register(
+    "F12_scrub_header", lambda s, d: v.table(s, d, "customer").select("c_custkey", *[c.alias(n) for c, n in zip(phi.scrub_header(F.col("c_name"), F.expr("if(c_custkey % 2 = 0, 'Startdate 01-JAN-2020', 'x')"), F.expr("c_custkey % 3 = 0")), ("patient", "recording"), strict=True)]), [],
+    "SELECT c_custkey, rpad(CASE WHEN c_custkey % 3 = 0 THEN 'X X X X' ELSE '' END, 80, ' ') AS patient, rpad(CASE WHEN c_custkey % 3 = 0 OR c_custkey % 2 = 0 THEN 'Startdate X X X X' ELSE '' END, 80, ' ') AS recording FROM customer",
+)
+register(
+    "F18_uuid_from_name", lambda s, d: v.table(s, d, "customer").select("c_custkey", phi.uuid_from_name(F.expr("case c_custkey % 3 when 0 then concat('rec_', regexp_replace(md5(cast(c_name as binary)), '^(.{8})(.{4})(.{4})(.{4})(.{12})$', '$1-$2-$3-$4-$5'), '.x') when 1 then concat(c_name, ' (', c_custkey % 5, ').edf') else c_name end")).alias("id")), [],
+    r"SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN regexp_replace(md5(c_name), '^(.{8})(.{4})(.{4})(.{4})(.{12})$', '\1-\2-\3-\4-\5') WHEN 1 THEN c_name || '.edf' ELSE c_name END AS id FROM customer",
+)
+register(
+    "F21_overwrite_annotations", lambda s, d: phi.overwrite(v.events_tsv(s, d), "text", [("click note", "exact", ""), ("^view", "match", "seen"), ("ERROR", "remove", "")]), [v.EVENTS_TSV],
+    "SELECT *, CASE WHEN text LIKE '%click note%' THEN replace(text, 'click note', 'XXXXXXXXXX') WHEN text LIKE 'view%' THEN 'seen' WHEN text ILIKE '%error%' THEN '' ELSE text END AS new_text FROM events_tsv",
+)
+register(
+    "N1_excel_serial", lambda s, d: v.table(s, d, "events").select("event_id", scalar.excel_serial(F.expr("if(event_id % 50 = 0, 90000.5D, 45292.0D + event_id / 64.0D)")).alias("moment")), [],
+    "SELECT event_id, CASE WHEN event_id % 50 = 0 THEN '90000.5' ELSE strftime(make_timestamp(((45292.0 + event_id / 64.0 - 25569) * 86400e6)::bigint), '%Y-%m-%d %H:%M:%S.%f') END AS moment FROM events",
+)
+register(
+    "N2_parse_edf_datetime", lambda s, d: v.table(s, d, "orders").select("o_orderkey", scalar.edf_datetime(F.date_format("o_orderdate", "dd.MM.yy"), F.expr("concat(lpad(o_orderkey % 24, 2, '0'), '.', lpad(o_orderkey % 60, 2, '0'), '.07')")).alias("start")), [],
+    "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') || 'T' || lpad((o_orderkey % 24)::varchar, 2, '0') || ':' || lpad((o_orderkey % 60)::varchar, 2, '0') || ':07' AS start FROM orders",
+)
+register(
+    "N3_sec2time", lambda s, d: v.table(s, d, "orders").select("o_orderkey", scalar.sec2time(F.expr("cast(o_orderkey * 123456789 - 500000000000 as bigint)")).alias("t")), [],
+    """SELECT o_orderkey, CASE WHEN x < 0 THEN '-' ELSE '' END || CASE WHEN abs(x) // 86400000000 > 0 THEN (abs(x) // 86400000000) || ' days, ' ELSE '' END || printf('%02d:%02d:%02d.%06d', abs(x) % 86400000000 // 3600000000, abs(x) // 60000000 % 60, abs(x) // 1000000 % 60, abs(x) % 1000000) AS t
+    FROM (SELECT o_orderkey, o_orderkey * 123456789 - 500000000000 AS x FROM orders)""",
+)
+register(
+    "N4_record_range", lambda s, d: v.table(s, d, "orders").select("o_orderkey", *[c.alias(n) for c, n in zip(scalar.record_range(F.expr("o_orderkey % 5000"), F.lit(10), F.lit(28800), F.expr("o_orderkey * 7 % 86400"), F.expr("o_orderkey * 11 % 86400"), 5, 5), ("rec_from", "rec_to", "why"), strict=True)]), [],
+    """r AS (SELECT o_orderkey, a, b, greatest(floor((a - 300 - 28800) / 10), 0)::bigint AS f, least(ceil((b + 300 - 28800) / 10), o_orderkey % 5000)::bigint AS t FROM (SELECT o_orderkey, o_orderkey * 7 % 86400 AS a, o_orderkey * 11 % 86400 AS b FROM orders)),
+    w AS (SELECT *, CASE WHEN b <= a THEN 'end before start' WHEN t <= f THEN 'outside the recording' END AS why FROM r) SELECT o_orderkey, CASE WHEN why IS NULL THEN f END AS rec_from, CASE WHEN why IS NULL THEN t END AS rec_to, why FROM w""",
+)
+register("N6_date_offset", lambda s, d: v.table(s, d, "orders").select("o_orderkey", scalar.date_offset(F.to_date("o_orderdate")).cast("string").alias("shifted")), [], "SELECT o_orderkey, (o_orderdate::date - 5856)::varchar AS shifted FROM orders")
+register(
+    "N7_age_years", lambda s, d: v.table(s, d, "orders").select("o_orderkey", scalar.age_years(F.expr("if(o_orderkey % 13 = 0, null, date_sub(to_date(o_orderdate), cast(o_orderkey * 37 % 36500 as int)))"), F.to_date("o_orderdate")).alias("age")), [],
+    "SELECT o_orderkey, CASE WHEN o_orderkey % 13 = 0 THEN 'X' WHEN (o_orderkey * 37 % 36500) // 365 >= 89 THEN '89+' ELSE ((o_orderkey * 37 % 36500) // 365)::varchar END AS age FROM orders",
+)
+register(
+    "N8_prefilter_cutoffs", lambda s, d: v.table(s, d, "part").select("p_partkey", *[c.alias(n) for c, n in zip(scalar.prefilter_cutoffs(F.expr("concat(if(p_partkey % 3 = 0, '', concat('hp: 0.', p_partkey % 9, ' ')), 'LP:', p_size, 'Hz')")), ("high_pass", "low_pass"), strict=True)]), [],
+    "SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE ('0.' || (p_partkey % 9))::double END AS high_pass, p_size::double AS low_pass FROM part",
+)
+register("N14_duration_units", lambda s, d: v.table(s, d, "orders").select("o_orderkey", F.round(scalar.ticks_to_seconds(F.col("o_orderkey") * 123457), 7).alias("seconds"), F.round(scalar.ticks_to_seconds(F.col("o_orderkey") * 123457) / 3600, 9).alias("hours")), [], "SELECT o_orderkey, round(o_orderkey * 123457 / 1e7, 7) AS seconds, round(o_orderkey * 123457 / 1e7 / 3600, 9) AS hours FROM orders")
+register(
+    "S12_parse_size", lambda s, d: v.table(s, d, "part").selectExpr("p_partkey", "concat(p_size, '.5 ', element_at(array('b', 'kb', 'MiB', 'GB', 'zz'), cast(p_partkey % 5 as int) + 1)) as x").select("p_partkey", scalar.parse_size(F.col("x")).alias("bytes"), scalar.format_size(scalar.parse_size(F.col("x"))).alias("shown")), [],
+    """b AS (SELECT p_partkey, round((p_size + 0.5) * (CASE p_partkey % 5 WHEN 1 THEN 1024 WHEN 2 THEN 1048576 WHEN 3 THEN 1073741824 ELSE 1 END))::bigint AS bytes FROM part)
+    SELECT p_partkey, bytes, CASE WHEN bytes < 1024 THEN printf('%d B', bytes) WHEN bytes < 1048576 THEN printf('%.1f KB', floor(bytes * 10 / 1024 + 0.5) / 10) WHEN bytes < 1073741824 THEN printf('%.1f MB', floor(bytes * 10 / 1048576 + 0.5) / 10) ELSE printf('%.1f GB', floor(bytes * 10 / 1073741824 + 0.5) / 10) END AS shown FROM b""",
+)
+register(
+    "S13_demographics", lambda s, d: v.demographics(s, d).select("idx", "id", scalar.normal_age(F.col("age")).alias("age"), scalar.normal_sex(F.col("sex")).alias("sex"), F.coalesce(F.nullif("grp", F.lit("")), F.lit("patient")).alias("grp")), [v.DEMOGRAPHICS],
+    "SELECT idx, id, try_cast(age AS int) AS age, CASE WHEN lower(trim(sex)) IN ('m', 'male', 'man', '1') THEN 'm' WHEN lower(trim(sex)) IN ('f', 'female', 'woman', '0') THEN 'f' ELSE lower(trim(sex)) END AS sex, coalesce(nullif(grp, ''), 'patient') AS grp FROM demographics",
+)
+
+_LINES = "concat(if(seq % 17 = 0, '# ', ''), if(seq % 23 = 0, '', concat(cast(seq as string), if(seq % 29 = 0, '', '\\t'), text))) as line"
+register(
+    "P1_prune_events", lambda s, d: ev.prune_events(v.events_tsv(s, d).selectExpr("rec", _LINES), 2), [v.EVENTS_TSV],
+    """l AS (SELECT rec, CASE WHEN seq % 17 = 0 THEN '# ' ELSE '' END || CASE WHEN seq % 23 = 0 THEN '' ELSE seq || CASE WHEN seq % 29 = 0 THEN '' ELSE chr(9) END || text END AS line FROM events_tsv)
+    SELECT rec, CASE WHEN line LIKE '#%' THEN 'comment' WHEN trim(line) = '' THEN 'blank' WHEN len(string_split(line, chr(9))) <> 2 THEN 'columns' WHEN trim(regexp_replace(string_split(line, chr(9))[-1], '[^\\x20-\\x7e]', '', 'g')) = '' THEN 'empty' ELSE 'kept' END AS reason, count(*) AS n FROM l GROUP BY ALL""",
+)
+_CH = "element_at(array('LA', 'C', 'dc', 'Pr', 'Photic', ' RH', '', 'osat'), cast(p_partkey % 8 as int) + 1)"
+register(
+    "P4_evoked_channels", lambda s, d: ev.evoked_channels(v.table(s, d, "part").selectExpr("p_size as rec", f"if(p_partkey % 8 = 6, '', concat({_CH}, p_partkey % 20)) as label"), "rec", "label"), [],
+    """SELECT DISTINCT p_size AS rec, trim((['LA', 'C', 'dc', 'Pr', 'Photic', ' RH', '', 'osat'])[(p_partkey % 8 + 1)::int] || (p_partkey % 20)) AS channel FROM part WHERE p_partkey % 8 IN (0, 5)""",
+)
+_LABELLED = r"""lab AS (SELECT rec, seq, onset, CASE WHEN text LIKE 'Stim St%' THEN 'rev3' ELSE 'rev2' END AS decoder,
+CASE WHEN text LIKE 'Stim St%' THEN regexp_extract(text, 'Start (\S+) ', 1) ELSE regexp_extract(text, 'from (\S+)', 1) || '-' || regexp_extract(text, ' to (\S+)', 1) END AS pair,
+CASE WHEN text LIKE 'Stim St%' THEN regexp_extract(text, '([\d.]+)$', 1) ELSE coalesce(nullif(regexp_extract(text, 'current=(\d+)', 1), ''), 'unknown') END AS current FROM events_tsv WHERE text LIKE 'Stim St%' OR text LIKE 'Start Stimulation%')"""
+_RELAY = r"""rel0 AS (SELECT *, CASE WHEN text LIKE 'Closed relay%' THEN regexp_extract(text, 'to (\S+)', 1) || '-' || regexp_extract(text, 'and (\S+)', 1) WHEN text LIKE 'Opened relay%' THEN '' END AS change FROM events_tsv),
+rel AS (SELECT rec, seq, onset, 'rev1' AS decoder, pair, text AS current FROM (SELECT *, last_value(change IGNORE NULLS) OVER (PARTITION BY rec ORDER BY seq ROWS UNBOUNDED PRECEDING) AS pair FROM rel0) WHERE regexp_full_match(text, '\d+') AND pair <> '')"""
+register("F17_stim_labels", lambda s, d: ev.labelled(v.events_tsv(s, d)), [v.EVENTS_TSV], f"{_LABELLED} SELECT * FROM lab")
+register("W6_relay_state", lambda s, d: ev.relay_state(v.events_tsv(s, d)), [v.EVENTS_TSV], f"{_RELAY} SELECT * FROM rel")
+_SUMMARY = f"""{_LABELLED}, {_RELAY}, al AS (SELECT *, CASE decoder WHEN 'rev3' THEN 1 WHEN 'rev2' THEN 2 ELSE 3 END AS rank FROM (SELECT * FROM lab UNION ALL SELECT * FROM rel)),
+bst AS (SELECT * FROM al JOIN (SELECT rec, min(rank) AS rank FROM al GROUP BY rec) USING (rec, rank)), en AS (SELECT rec, decoder, current, split_part(pair, '-', 1) AS a, split_part(pair, '-', 2) AS b FROM bst UNION ALL SELECT rec, decoder, current, split_part(pair, '-', 2), split_part(pair, '-', 1) FROM bst),
+summary AS (SELECT rec, decoder, a AS electrode, string_agg(DISTINCT b, ',' ORDER BY b) AS partners, string_agg(DISTINCT current, ',' ORDER BY current) AS currents FROM en GROUP BY ALL)"""
+_SOME = "(rec % 3 = 0 or text not like 'Stim St%') and (rec % 3 <> 2 or text not like 'Start St%')"
+register("A12_ccep_summary", lambda s, d: ev.ccep_summary(v.events_tsv(s, d).filter(_SOME)), [v.EVENTS_TSV], _SUMMARY.replace("FROM events_tsv WHERE text", f"FROM events_tsv WHERE {_SOME} AND (text").replace("'Start Stimulation%')", "'Start Stimulation%'))", 1).replace("END AS change FROM events_tsv", f"END AS change FROM events_tsv WHERE {_SOME}") + " SELECT * FROM summary")
+_ELECTRODES = ["A1", "A2", "A3", "A4", "A5", "A6", "A7", "A8", "B1", "LA1"]
+register(
+    "A13_stim_matrix", lambda s, d: ev.stim_matrix(ev.ccep_summary(v.events_tsv(s, d)), _ELECTRODES), [v.EVENTS_TSV],
+    f"{_SUMMARY}, c AS (SELECT electrode, unnest(string_split(currents, ',')) AS current FROM summary) SELECT current, " + ", ".join(f"coalesce(max(CASE WHEN electrode = '{e}' THEN '✓' END), '') AS {e}" for e in _ELECTRODES) + " FROM c GROUP BY current",
+)
+register(
+    "W5_manual_stims", lambda s, d: ev.manual_stims(v.events_tsv(s, d), 36000.0), [v.EVENTS_TSV],
+    r"""t AS (SELECT *, regexp_matches(text, '^(Closed relay to|Start Stimulation from) ') AS command, lower(text) LIKE '%high freq%' AS high FROM events_tsv),
+    x AS (SELECT *, lag(high, 1, false) OVER w AS hb, lead(onset) OVER w AS nxt, sum(command::int) OVER (PARTITION BY rec ORDER BY seq ROWS UNBOUNDED PRECEDING) AS block FROM t WINDOW w AS (PARTITION BY rec ORDER BY seq)),
+    g AS (SELECT rec, block, max(CASE WHEN command AND NOT high AND NOT hb AND nxt - onset < 36000 THEN seq END) AS seq, max(CASE WHEN command THEN regexp_extract(text, ' (?:to|from) (\S+)', 1) || '-' || regexp_extract(text, '(\S+)(?: current.*)?$', 1) END) AS pair,
+    coalesce(string_agg(DISTINCT CASE WHEN NOT command AND NOT regexp_matches(text, '[A-Za-z]+\d+') THEN nullif(regexp_extract(text, '(\d+(?:\.\d+)?)', 1), '') END, ',' ORDER BY CASE WHEN NOT command AND NOT regexp_matches(text, '[A-Za-z]+\d+') THEN nullif(regexp_extract(text, '(\d+(?:\.\d+)?)', 1), '') END), '') AS currents FROM x WHERE block > 0 GROUP BY ALL)
+    SELECT rec, seq, pair, currents FROM g WHERE seq IS NOT NULL""",
+)
+register("A25_recording_bounds", lambda s, d: ev.recording_bounds(v.events_tsv(s, d)), [v.EVENTS_TSV], "SELECT rec, min_by(onset, seq) AS first_onset, max_by(onset, seq) AS last_onset, count(*) AS n FROM events_tsv GROUP BY rec")
+register(
+    "A17_estimate_rate", lambda s, d: ev.estimate_rate(v.events_tsv(s, d).selectExpr("rec", "seq", "onset / 400 as onset", "cast(seq * 1000 as bigint) as stamp"), "stamp"), [v.EVENTS_TSV],
+    """x AS (SELECT rec, (seq - lag(seq) OVER w) * 1000 AS ds, onset / 400 - lag(onset / 400) OVER w AS dt FROM events_tsv WINDOW w AS (PARTITION BY rec ORDER BY seq)), r AS (SELECT rec, CASE WHEN ds > 0 AND dt BETWEEN 0.5 AND 60 THEN ds / dt END AS ratio FROM x)
+    SELECT rec, count(ratio) AS n, round(CASE WHEN count(ratio) >= 30 THEN quantile_cont(ratio, 0.5) END, 6) AS rate FROM r GROUP BY rec""",
+)
+register(
+    "R7_event_sessions_batch", lambda s, d: ev.event_sessions(v.events_tsv(s, d), 36000.0), [v.EVENTS_TSV],
+    """x AS (SELECT *, coalesce(onset - lag(onset) OVER (PARTITION BY rec ORDER BY seq) >= 36000, true)::int AS new FROM events_tsv), b AS (SELECT *, sum(new) OVER (PARTITION BY rec ORDER BY seq ROWS UNBOUNDED PRECEDING) AS burst FROM x)
+    SELECT rec, start, stop, n FROM (SELECT rec, burst, min(onset) AS start, max(onset) AS stop, count(*) AS n FROM b GROUP BY ALL)""",
+)
+_SHORT = "regexp_extract(text, '^([a-z]+ note [0-9])', 1)"
+register(
+    "J5_complete_truncated", lambda s, d: ev.complete_truncated(v.events_tsv(s, d).filter("seq % 3 = 0 and text like '% note %'").selectExpr("rec", "seq", "onset", f"{_SHORT} as text"), v.events_tsv(s, d).filter("seq % 3 <> 0 and text like '% note %'")), [v.EVENTS_TSV],
+    f"""a AS (SELECT rec, seq, onset, {_SHORT} AS short, row_number() OVER (PARTITION BY rec, {_SHORT} ORDER BY seq) AS i, count(*) OVER (PARTITION BY rec, {_SHORT}) AS n FROM events_tsv WHERE seq % 3 = 0 AND text LIKE '% note %'),
+    c AS (SELECT k.rec, k.short, e.seq AS note_seq, e.onset AS note_onset, e.text AS "full", row_number() OVER (PARTITION BY k.rec, k.short ORDER BY e.seq) AS j, count(*) OVER (PARTITION BY k.rec, k.short) AS m
+    FROM (SELECT DISTINCT rec, short FROM a) k JOIN events_tsv e ON e.rec = k.rec AND e.seq % 3 <> 0 AND e.text LIKE '% note %' AND starts_with(e.text, k.short) AND length(e.text) > length(k.short)),
+    s AS (SELECT a.*, c.j - a.i AS s, c.note_seq, c.note_onset, c."full" FROM a JOIN c ON a.rec = c.rec AND a.short = c.short AND c.j >= a.i AND c.j - a.i <= c.m - a.n),
+    d AS (SELECT *, power((onset - min_by(onset, i) OVER w) - (note_onset - min_by(note_onset, i) OVER w), 2) AS dd FROM s WINDOW w AS (PARTITION BY rec, short, s)),
+    q AS (SELECT rec, short, s, round(sum(dd), 6) AS score FROM d GROUP BY rec, short, s QUALIFY row_number() OVER (PARTITION BY rec, short ORDER BY score, s) = 1)
+    SELECT d.rec, d.seq, d.short, d.note_seq, d."full" FROM d JOIN q ON d.rec = q.rec AND d.short = q.short AND d.s = q.s""",
+)
