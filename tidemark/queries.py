@@ -283,3 +283,154 @@ register(
     q AS (SELECT rec, short, s, round(sum(dd), 6) AS score FROM d GROUP BY rec, short, s QUALIFY row_number() OVER (PARTITION BY rec, short ORDER BY score, s) = 1)
     SELECT d.rec, d.seq, d.short, d.note_seq, d."full" FROM d JOIN q ON d.rec = q.rec AND d.short = q.short AND d.s = q.s""",
 )
+
+from tidemark.operators import dataset as ds  # noqa: E402
+from tidemark.operators import joins as j  # noqa: E402
+from tidemark.operators import signals as sg  # noqa: E402
+
+register(
+    "A1_folder_stats", lambda s, d: ds.folder_stats(v.files(s, d)), [v.FILES],
+    """p AS (SELECT sub, ses, mtime // 86400 AS day, count(*) AS n FROM files GROUP BY ALL), t AS (SELECT *, row_number() OVER (PARTITION BY sub, ses ORDER BY n DESC, day) AS k FROM p),
+    f AS (SELECT sub, ses, count(*) AS n_files, sum(length)::bigint AS bytes, max(mtime) AS latest, bool_or(ext = '.edf') AS has_native FROM files GROUP BY ALL)
+    SELECT f.*, t.day AS dominant_day, t.n AS dominant_n, round(t.n / n_files, 6) AS share FROM f JOIN t USING (sub, ses) WHERE k = 1""",
+)
+register(
+    "A5_duplicate_content", lambda s, d: ds.duplicate_content(v.files(s, d).withColumn("sub", F.expr("file_id % 200"))), [v.FILES],
+    """g AS (SELECT file_id % 200 AS sub, ses, ext, length, md5 FROM files), n AS (SELECT sub, count(DISTINCT ses) AS sessions FROM g GROUP BY sub), e AS (SELECT sub, ext, ses, string_agg(length || ':' || coalesce(md5, ''), ',' ORDER BY length, coalesce(md5, '')) AS content, min(length) AS least FROM g GROUP BY ALL)
+    SELECT sub, ext, CASE WHEN count(*) < any_value(sessions) THEN 'missing' WHEN count(DISTINCT content) = 1 AND min(least) > 0 THEN 'match' ELSE 'differ' END AS state FROM e JOIN n USING (sub) GROUP BY sub, ext""",
+)
+register(
+    "A6_duplicate_runs", lambda s, d: ds.duplicate_runs(v.files(s, d).withColumns({"run": F.col("file_id"), "ext": F.lit(".edf")})), [v.FILES],
+    """k AS (SELECT sub, ses, file_id AS run, count(*) AS n, CASE WHEN bool_or(md5 IS NULL) THEN 'x' || file_id ELSE string_agg(md5, ',' ORDER BY md5) END AS key FROM files GROUP BY sub, ses, file_id)
+    SELECT sub, ses, run, n, CASE WHEN row_number() OVER (PARTITION BY key ORDER BY n DESC, sub, ses, run) = 1 THEN 'primary' ELSE 'skip' END AS role, count(*) OVER (PARTITION BY key) AS copies FROM k""",
+)
+register(
+    "A7_duplicate_sessions", lambda s, d: ds.duplicate_sessions(v.files(s, d)), [v.FILES],
+    """SELECT file_id, CASE WHEN md5 IS NOT NULL AND row_number() OVER (PARTITION BY length, md5 ORDER BY file_id) > 1 THEN 'skip' ELSE 'keep' END AS action, CASE WHEN md5 IS NULL THEN file_id ELSE min(file_id) OVER (PARTITION BY length, md5) END AS first_id FROM files""",
+)
+register(
+    "A8_dedupe_keep_largest", lambda s, d: ds.dedupe_keep_largest(v.files(s, d).selectExpr("concat('f', file_id % 100, if(file_id % 3 = 0, '', concat(' (', file_id % 4, ')'))) as name", "if(file_id % 37 = 0, null, length) as length")), [v.FILES],
+    """n AS (SELECT 'f' || (file_id % 100) || CASE WHEN file_id % 3 = 0 THEN '' ELSE ' (' || (file_id % 4) || ')' END AS name, CASE WHEN file_id % 37 = 0 THEN NULL ELSE length END AS length FROM files)
+    SELECT regexp_replace(name, ' \\([^(]*$', '') AS base, name, length FROM n WHERE length IS NULL OR length > 0 QUALIFY row_number() OVER (PARTITION BY regexp_replace(name, ' \\([^(]*$', '') ORDER BY length DESC NULLS LAST, name) = 1""",
+)
+_ISSUES = """CASE WHEN NOT bool_or(ext IN ('.edf', '.edf.gz')) THEN 'no container' END, CASE WHEN count(*) FILTER (ext = '.edf.gz') > 1 THEN 'several archives' END, CASE WHEN NOT bool_or(ext = '.tsv') THEN 'no events' END, CASE WHEN NOT bool_or(ext = '.json') THEN 'no json' END,
+CASE WHEN bool_or(ext IN ('.edf', '.edf.gz')) AND NOT bool_or(ext = '.md5') THEN 'no checksum' END, CASE WHEN bool_or(ext = '.edf') AND bool_or(ext = '.edf.gz') THEN 'raw and archive' END"""
+register("A9_validate_session", lambda s, d: ds.validate_session(v.files(s, d)), [v.FILES], f"SELECT sub, ses, count(*) AS n_files, concat_ws('; ', {_ISSUES}) AS issues, concat_ws('; ', {_ISSUES}) = '' AS ok FROM files GROUP BY sub, ses")
+register(
+    "D5_rule_set", lambda s, d: ds.validate_session(v.files(s, d), {k: ds.RULES[k] for k in ("no json", "no events")}), [v.FILES],
+    "SELECT sub, ses, count(*) AS n_files, concat_ws('; ', CASE WHEN NOT bool_or(ext = '.json') THEN 'no json' END, CASE WHEN NOT bool_or(ext = '.tsv') THEN 'no events' END) AS issues, bool_or(ext = '.json') AND bool_or(ext = '.tsv') AS ok FROM files GROUP BY sub, ses",
+)
+register(
+    "A10_dataset_summary", lambda s, d: ds.dataset_summary(v.scans(s, d).filter("ses <= 10"), v.files(s, d).withColumn("length", F.col("length") * 100000)), [v.SCANS, v.FILES],
+    """z AS (SELECT sub, ses, sum(length * 100000)::bigint AS bytes FROM files GROUP BY ALL) SELECT sub, ses, filename, day, hours, (bytes * 1000 + 536870912) // 1073741824 / 1000.0::double AS gb, CASE WHEN bytes IS NULL THEN 'folder missing' ELSE '' END AS error FROM scans LEFT JOIN z USING (sub, ses) WHERE ses <= 10""",
+)
+register("A11_compression_ratio", lambda s, d: ds.compression_ratio(v.files(s, d)), [v.FILES], "SELECT *, round(stored / nullif(unpacked, 0), 6) AS ratio FROM (SELECT sub, sum(length)::bigint AS stored, sum(CASE WHEN ext = '.edf.gz' THEN length * 2 ELSE length END)::bigint AS unpacked FROM files GROUP BY sub)")
+register("A16_anonymisation_report", lambda s, d: ds.anonymisation_report(v.files(s, d).selectExpr("if(file_id % 19 = 0, null, file_id % 3 <> 0) as header_ok", "file_id % 5 <> 0 as notes_ok")), [v.FILES],
+    "SELECT CASE WHEN file_id % 19 = 0 THEN 'ERROR' WHEN file_id % 3 <> 0 AND file_id % 5 <> 0 THEN 'PASS' ELSE 'FAIL' END AS status, count(*) AS n FROM files GROUP BY ALL")
+register("A19_checksum", lambda s, d: ds.checksum(v.files(s, d).withColumn("md5", F.expr("if(file_id % 43 = 0, 'bad', md5)"))), [v.FILES],
+    "SELECT file_id, coalesce(CASE WHEN file_id % 43 = 0 THEN 'bad' ELSE md5 END, md5(text)) AS md5, sha256(text) AS sha256, CASE WHEN file_id % 43 = 0 THEN 'diff' WHEN md5 IS NULL THEN 'computed' ELSE 'equal' END AS state FROM files")
+_EMPTY = "SELECT sub, ses, coalesce(n, 0) AS others FROM (SELECT DISTINCT o_custkey % 20 AS sub, o_orderkey % 10 AS ses FROM orders) LEFT JOIN (SELECT sub, ses, count(*) FILTER (ext IN ('.edf', '.tsv', '.edf.gz')) AS useful, count(*) AS n FROM files GROUP BY ALL) USING (sub, ses) WHERE coalesce(useful, 0) = 0"
+_SESSION_LIST = lambda s, d: v.table(s, d, "orders").selectExpr("o_custkey % 20 as sub", "o_orderkey % 10 as ses").distinct()
+register("A21_empty_sessions", lambda s, d: ds.empty_sessions(_SESSION_LIST(s, d), v.files(s, d)), [v.FILES], _EMPTY)
+_ORPHANS = r"""SELECT file_id, name FROM files WHERE ext IN ('.json', '.tsv', '.md5') AND regexp_extract(name, '^(sub-\d+_ses-\d+_task-[^_]+_run-\d+)', 1) NOT IN (SELECT regexp_extract(name, '^(sub-\d+_ses-\d+_task-[^_]+_run-\d+)', 1) FROM files WHERE ext IN ('.edf', '.edf.gz'))"""
+register("A22_orphan_sidecars", lambda s, d: ds.orphan_sidecars(v.files(s, d)), [v.FILES], _ORPHANS)
+register(
+    "A23_validate_all", lambda s, d: ds.validate_all(v.files(s, d), _SESSION_LIST(s, d)), [v.FILES],
+    rf"""dr AS (SELECT sub, ses, run, CASE WHEN bool_or(md5 IS NULL) THEN 'x' || sub || '/' || ses || '/' || run ELSE string_agg(ext || md5, ',' ORDER BY ext, md5) END AS key FROM files GROUP BY sub, ses, run), iss AS (SELECT concat_ws('; ', {_ISSUES}) AS i FROM files GROUP BY sub, ses)
+    SELECT 'session_discrepancy' AS check, count(*) AS n FROM files WHERE regexp_extract(path, '/ses-(\d+)', 1) <> regexp_extract(name, 'ses-(\d+)', 1) UNION ALL SELECT 'empty_session', count(*) FROM ({_EMPTY}) UNION ALL SELECT 'orphan_sidecar', count(*) FROM ({_ORPHANS})
+    UNION ALL SELECT 'duplicate_run', count(*) - count(DISTINCT key) FROM dr UNION ALL SELECT 'invalid_session', count(*) FROM iss WHERE i <> ''""",
+)
+register("A24_archive_gate", lambda s, d: ds.archive_gate(v.files(s, d), [".edf.gz", ".md5"]), [v.FILES], r"SELECT regexp_extract(name, '^(sub-\d+_ses-\d+_task-[^_]+_run-\d+)', 1) AS base, count(*) AS n, bool_or(ext = '.edf.gz') AND bool_or(ext = '.md5') AS may_go FROM files GROUP BY 1")
+register("A26_session_info", lambda s, d: ds.session_info(v.files(s, d)), [v.FILES], "SELECT sub, ses, count(*) FILTER (ext = '.edf') AS edf, count(*) FILTER (ext = '.json') AS json, count(*) FILTER (ext = '.tsv') AS tsv, count(*) FILTER (ext NOT IN ('.edf', '.json', '.tsv')) AS other, count(*) AS total, round(sum(length) / 1048576, 6) AS mb FROM files GROUP BY ALL")
+register("K7_audit_log", lambda s, d: ds.audit_log(v.files(s, d), "cleanup"), [v.FILES], "SELECT sub, ses, 'cleanup' AS reason, sum(length)::bigint AS bytes, count(*) AS n, min(mtime) AS first, max(mtime) AS last, string_agg(DISTINCT ext, ';' ORDER BY ext) AS exts FROM files GROUP BY sub, ses")
+register(
+    "K8_processing_index", lambda s, d: ds.processing_index(v.files(s, d).filter("file_id % 3 <> 0").selectExpr("concat('f', file_id) as path", "md5"), v.files(s, d).filter("file_id % 4 <> 0").selectExpr("concat('f', file_id) as path", "concat('n', md5) as md5"), ["md5"]), [v.FILES],
+    "SELECT 'f' || file_id AS path, CASE WHEN file_id % 4 = 0 OR md5 IS NULL THEN CASE WHEN file_id % 3 <> 0 THEN md5 END ELSE 'n' || md5 END AS md5, CASE WHEN file_id % 4 = 0 THEN 'missing' WHEN file_id % 3 = 0 THEN 'processed' ELSE 'updated' END AS status FROM files WHERE file_id % 3 <> 0 OR file_id % 4 <> 0",
+)
+register(
+    "P11_quality_rules", lambda s, d: ds.quality_rules(v.files(s, d).selectExpr("file_id", "length * 700 as size", "cast(256 as bigint) as header_bytes", "cast(if(file_id % 29 = 0, 0, 500) as bigint) as record_bytes", "if(file_id % 23 = 0, -1, cast(floor((length * 700 - 256) / 500) as bigint) + file_id % 4) as records")), [v.FILES],
+    """h AS (SELECT file_id, length * 700 AS size, 256::bigint AS header_bytes, CASE WHEN file_id % 29 = 0 THEN 0 ELSE 500 END::bigint AS record_bytes, CASE WHEN file_id % 23 = 0 THEN -1 ELSE floor((length * 700 - 256) / 500)::bigint + file_id % 4 END AS records FROM files),
+    i AS (SELECT *, floor((size - header_bytes) / nullif(record_bytes, 0)) AS im FROM h), x AS (SELECT *, concat_ws('; ', CASE WHEN record_bytes <= 0 THEN 'no record size' END, CASE WHEN size <= header_bytes THEN 'no data' END, CASE WHEN records = -1 THEN 'records unknown' END, CASE WHEN records <> -1 AND abs(im - records) > 1 THEN 'size differs' END, CASE WHEN im < 100 THEN 'short' END) AS issues FROM i)
+    SELECT file_id, size, header_bytes, record_bytes, records, issues, issues = '' AS ok FROM x""",
+)
+register("P10_partial_name_match", lambda s, d: ds.partial_name_match(v.files(s, d).select("file_id", "name"), "SES-003_x_pdf"), [v.FILES], "SELECT file_id, name FROM files WHERE lower(name) LIKE '%ses%' OR lower(name) LIKE '%003%' OR lower(name) LIKE '%pdf%'")
+register("T4_best_file", lambda s, d: ds.best_file(v.files(s, d), "sub"), [v.FILES], "SELECT sub, max_by(path, (length, mtime, path)) AS path FROM files GROUP BY sub")
+register("T5_first_k_issues", lambda s, d: ds.first_k_issues(phi.find(v.texts(s, d), "doc", "text"), "doc", ["label", "match"], 10))
+register(
+    "J1_tsv_vs_folders", lambda s, d: j.status_outer(v.scans(s, d).filter("sub < 20 and ses <= 12"), v.files(s, d), ["sub", "ses"], "missing", "extra", "ok"), [v.SCANS, v.FILES],
+    """a AS (SELECT DISTINCT sub, ses FROM scans WHERE sub < 20 AND ses <= 12), b AS (SELECT DISTINCT sub, ses FROM files) SELECT coalesce(a.sub, b.sub) AS sub, coalesce(a.ses, b.ses) AS ses, CASE WHEN b.sub IS NULL THEN 'missing' WHEN a.sub IS NULL THEN 'extra' ELSE 'ok' END AS status FROM a FULL JOIN b ON a.sub = b.sub AND a.ses = b.ses""",
+)
+register(
+    "J10_reconcile_session", lambda s, d: j.status_outer(v.files(s, d).filter("file_id % 5 <> 0"), v.files(s, d).filter("file_id % 7 <> 0"), ["file_id"], "Missing", "New", "Present"), [v.FILES],
+    "SELECT file_id, CASE WHEN file_id % 7 = 0 THEN 'Missing' WHEN file_id % 5 = 0 THEN 'New' ELSE 'Present' END AS status FROM files WHERE file_id % 5 <> 0 OR file_id % 7 <> 0",
+)
+register("J2_match_by_size", lambda s, d: j.match_by_size(v.files(s, d).filter("file_id % 2 = 0 and length > 0"), v.files(s, d).filter("file_id % 2 = 1 and length > 0")), [v.FILES], "SELECT a.path AS path_a, b.path AS path_b, a.length FROM files a JOIN files b ON a.length = b.length WHERE a.file_id % 2 = 0 AND b.file_id % 2 = 1 AND a.length > 0")
+register(
+    "J3_compare_steps", lambda s, d: j.compare_steps(v.files(s, d).filter("file_id % 3 = 0 and md5 is not null").selectExpr("path", "length", "md5 as start", "file_id % 2 as milli"), v.files(s, d).filter("file_id % 3 <> 0 and md5 is not null").selectExpr("path", "length", "md5 as start", "file_id % 2 as milli"), v.files(s, d).filter("file_id % 4 = 1").select("path")), [v.FILES],
+    """SELECT a.path, b.path AS raw_path, CASE WHEN b.path IN (SELECT path FROM files WHERE file_id % 4 = 1) THEN 'compliant' ELSE 'missing marker' END AS state FROM files a JOIN files b ON a.length = b.length AND a.md5 = b.md5 AND a.file_id % 2 = b.file_id % 2 WHERE a.file_id % 3 = 0 AND b.file_id % 3 <> 0""",
+)
+register(
+    "J6_merge_participants", lambda s, d: j.merge_participants(v.demographics(s, d).filter("idx < 1100").selectExpr("if(idx % 11 = 0, concat('z', idx), id) as id").distinct(), v.demographics(s, d)), [v.DEMOGRAPHICS],
+    """o AS (SELECT * FROM demographics QUALIFY row_number() OVER (PARTITION BY id ORDER BY idx) = 1) SELECT id, age, sex, coalesce(nullif(grp, ''), 'patient') AS grp FROM (SELECT DISTINCT CASE WHEN idx % 11 = 0 THEN 'z' || idx ELSE id END AS id FROM demographics WHERE idx < 1100) LEFT JOIN o USING (id)""",
+)
+register(
+    "J7_archive_metadata", lambda s, d: j.archive_metadata(v.files(s, d).selectExpr("if(file_id % 6 = 0, concat('other/', name), if(file_id % 6 = 1, 'none', path)) as path"), v.files(s, d).selectExpr("path", "cast(mtime as string) as acq_time", "file_id as idx")), [v.FILES],
+    """a AS (SELECT DISTINCT CASE file_id % 6 WHEN 0 THEN 'other/' || name WHEN 1 THEN 'none' ELSE path END AS path FROM files), m AS (SELECT a.path, f.mtime, row_number() OVER (PARTITION BY a.path ORDER BY f.file_id NULLS LAST) AS k FROM a LEFT JOIN files f ON a.path = f.path OR regexp_extract(a.path, '([^/]*)$', 1) = f.name)
+    SELECT path, mtime::varchar AS acq_time, CASE WHEN mtime IS NULL THEN 'manual_required' ELSE 'found' END AS state FROM m WHERE k = 1""",
+)
+register(
+    "J8_session_plan", lambda s, d: j.session_plan(v.files(s, d).withColumn("ses", F.expr("file_id % 90")), v.files(s, d).filter("ses > 2")), [v.FILES],
+    """x AS (SELECT sub, file_id % 90 AS ses, count(*) FILTER (length > 0) AS n FROM files GROUP BY ALL), y AS (SELECT DISTINCT sub, ses, true AS there FROM files WHERE ses > 2)
+    SELECT sub, ses, CASE WHEN there THEN 'MERGE' ELSE 'COPY' END AS action, n = 0 AS empty, there IS NULL AND n > 0 AS selected FROM x LEFT JOIN y USING (sub, ses)""",
+)
+register(
+    "J9_set_compare", lambda s, d: j.set_compare(v.scans(s, d).filter("ses % 7 <> 0"), v.scans(s, d).filter("ses % 5 <> 0").withColumn("duration", F.concat(F.lit(" "), "duration")), ["filename", "acq_time", "duration"]), [v.SCANS],
+    "SELECT count(*) FILTER (ses % 7 <> 0 AND ses % 5 = 0) AS only_left, count(*) FILTER (ses % 7 = 0 AND ses % 5 <> 0) AS only_right, count(*) FILTER ((ses % 7 = 0) <> (ses % 5 = 0)) = 0 AS equal FROM scans",
+)
+_CHUNKS = lambda s, d, x: v.files(s, d).selectExpr("file_id as pair", "explode(sequence(0, cast(greatest(ceil(length(text) / 64), 1) - 1 as int))) as chunk", f"{x} as text").selectExpr("pair", "chunk", "md5(cast(substring(text, chunk * 64 + 1, 64) as binary)) as md5")
+register(
+    "J11_chunk_diff", lambda s, d: j.chunk_diff(_CHUNKS(s, d, "text"), _CHUNKS(s, d, "replace(text, 'x', 'y')")), [v.FILES],
+    """c AS (SELECT file_id AS pair, text, unnest(range(0, greatest(ceil(length(text) / 64), 1)::bigint)) AS chunk FROM files), m AS (SELECT pair, chunk, CASE WHEN substr(text, chunk * 64 + 1, 64) = replace(substr(text, chunk * 64 + 1, 64), 'x', 'y') THEN '=' ELSE 'X' END AS mark FROM c)
+    SELECT pair, chunk // 70 AS line, string_agg(mark, '' ORDER BY chunk) AS map FROM m GROUP BY ALL""",
+)
+register(
+    "J12_signal_equality", lambda s, d: j.signal_equality(v.samples(s, d), v.samples(s, d).withColumn("v", F.expr("if(idx % 9 = 0, v + idx / 7, v)"))), [v.SAMPLES],
+    "SELECT rec, channel, count(*) AS n, count(*) FILTER (d > 1e-10) AS differ, round(avg(d), 6) AS mean, round(max(d), 6) AS largest, count(*) FILTER (d <> 0) = 0 AS exact, round(100 * count(*) FILTER (d > 1e-10) / count(*), 6) AS percent FROM (SELECT *, abs(v - CASE WHEN idx % 9 = 0 THEN v + idx / 7 ELSE v END) AS d FROM samples) GROUP BY rec, channel",
+)
+_LAB = "c_nationkey as rec", "c_custkey as idx", "if(c_custkey % 19 = 0, 'EDF Annotations', concat('CH', c_custkey % 6)) as label"
+register(
+    "J13_label_compare", lambda s, d: j.label_compare(v.table(s, d, "customer").selectExpr(*_LAB), v.table(s, d, "customer").selectExpr("c_nationkey as rec", "c_custkey as idx", "if(c_custkey % 19 = 0, 'EDF Annotations', concat('CH', c_custkey % 5)) as label")), [],
+    "SELECT c_nationkey AS rec, count(*) FILTER (c_custkey % 6 = c_custkey % 5) AS same, count(*) FILTER (c_custkey % 6 <> c_custkey % 5) AS different FROM customer WHERE c_custkey % 19 <> 0 GROUP BY 1",
+)
+register(
+    "J16_valid_pulses", lambda s, d: j.valid_pulses(v.files(s, d).selectExpr("sub as pair", "file_id as sample"), v.files(s, d).filter("sub % 2 = 0 and file_id % 3 = 0").selectExpr("sub as pair", "file_id as sample")), [v.FILES],
+    "SELECT sub AS pair, file_id AS sample FROM files WHERE (sub % 2 = 0 AND file_id % 3 = 0) OR sub NOT IN (SELECT sub FROM files WHERE sub % 2 = 0 AND file_id % 3 = 0)",
+)
+register(
+    "J17_cleanup_plan", lambda s, d: j.cleanup_plan(v.files(s, d).filter("file_id % 3 = 0").selectExpr("regexp_extract(name, '^([^.]*)', 1) as stem", "concat('to/', sub) as target", "if(file_id % 2 = 0, 'unique match', 'many') as status"), v.files(s, d)), [v.FILES],
+    """u AS (SELECT DISTINCT regexp_extract(name, '^([^.]*)', 1) AS stem, 'to/' || sub AS target FROM files WHERE file_id % 6 = 0), k AS (SELECT DISTINCT regexp_extract(name, '^([^.]*)', 1) AS stem, true AS marked FROM files WHERE ext = '.md5')
+    SELECT file_id, target, CASE WHEN ext = '.edf' AND marked THEN 'delete' WHEN ext = '.edf' THEN 'keep' ELSE 'move' END AS action FROM (SELECT *, regexp_extract(name, '^([^.]*)', 1) AS stem FROM files WHERE ext <> '.md5') JOIN u USING (stem) LEFT JOIN k USING (stem)""",
+)
+register("A14_signal_stats", lambda s, d: sg.signal_stats(v.samples(s, d)), [v.SAMPLES], "SELECT rec, channel, count(v) AS n, round(avg(v), 6) AS mean, round(stddev_pop(v), 6) AS std, min(v) AS low, max(v) AS high FROM samples GROUP BY rec, channel")
+register("W7_moving_average", lambda s, d: sg.moving_average(v.samples(s, d), 10), [v.SAMPLES], "SELECT rec, channel, idx, round(avg(v) OVER (PARTITION BY rec, channel ORDER BY idx ROWS BETWEEN 5 PRECEDING AND 5 FOLLOWING), 6) AS smooth FROM samples")
+_EV = lambda s, d: v.table(s, d, "orders").filter("o_orderkey < 400").selectExpr("o_custkey % 40 as rec", "o_orderkey % 230 as event").distinct()
+_EPOCHS = "pe AS (SELECT DISTINCT o_custkey % 40 AS rec, o_orderkey % 230 AS event FROM orders WHERE o_orderkey < 400), ls AS (SELECT rec, channel, max(idx) AS last FROM samples GROUP BY ALL), epochs AS (SELECT s.rec, s.channel, event, s.idx - event AS \"offset\", v FROM samples s JOIN pe USING (rec) JOIN ls ON ls.rec = s.rec AND ls.channel = s.channel WHERE s.idx >= event - 5 AND s.idx < event + 10 AND event >= 5 AND event + 9 <= last)"
+register("J14_epoch_events", lambda s, d: sg.epoch_events(v.samples(s, d), _EV(s, d), 5, 10), [v.SAMPLES], _EPOCHS + " SELECT * FROM epochs")
+register("N13_average_epochs", lambda s, d: sg.average_epochs(sg.epoch_events(v.samples(s, d), _EV(s, d), 5, 10)), [v.SAMPLES], _EPOCHS + ' SELECT rec, channel, "offset", count(*) AS n, round(avg(v), 6) AS mean FROM epochs GROUP BY ALL')
+register(
+    "N9_baseline_zscore", lambda s, d: sg.baseline_zscore(sg.epoch_events(v.samples(s, d), _EV(s, d), 5, 10)), [v.SAMPLES],
+    _EPOCHS + ', b AS (SELECT rec, channel, event, avg(v) AS m, stddev_pop(v) AS sd FROM epochs WHERE "offset" < 0 GROUP BY ALL) SELECT rec, channel, event, "offset", round((v - m) / nullif(sd, 0), 6) AS z FROM epochs LEFT JOIN b USING (rec, channel, event)',
+)
+register(
+    "W8_orientation", lambda s, d: sg.orientation(v.samples(s, d).withColumn("v", F.expr("v - 50000")), _EV(s, d), 4), [v.SAMPLES],
+    _EPOCHS + " SELECT a.rec, a.channel, event, sign(a.v - 50000 + b.v - 50000)::int AS orientation FROM pe JOIN samples a ON a.rec = pe.rec AND a.idx = event LEFT JOIN samples b ON b.rec = a.rec AND b.channel = a.channel AND b.idx = a.idx + 4",
+)
+register(
+    "N10_detrend_linear", lambda s, d: sg.detrend_linear(v.samples(s, d)), [v.SAMPLES],
+    "l AS (SELECT rec, channel, regr_slope(v, idx) AS a, regr_intercept(v, idx) AS b FROM samples GROUP BY ALL) SELECT rec, channel, idx, round(v - (a * idx + b), 4) AS rest FROM samples JOIN l USING (rec, channel)",
+)
+register(
+    "N11_find_peaks", lambda s, d: sg.find_peaks(v.samples(s, d)), [v.SAMPLES],
+    """x AS (SELECT *, sign(lead(v) OVER w - v) AS nx, sign(v - lag(v) OVER w) AS bf, min(v) OVER (PARTITION BY rec, channel ORDER BY idx ROWS UNBOUNDED PRECEDING) AS low, max(v) OVER (PARTITION BY rec, channel) - min(v) OVER (PARTITION BY rec, channel) AS span FROM samples WINDOW w AS (PARTITION BY rec, channel ORDER BY idx))
+    SELECT rec, channel, idx, v FROM x WHERE nx < bf AND v > span * 0.25 AND v - low > span * 0.25""",
+)
