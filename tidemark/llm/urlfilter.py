@@ -64,13 +64,18 @@ def path_of(url: Column) -> Column:
 def grams(host: Column, path: Column) -> Column:
     """Character n-grams with marks for the ends; those of the host and of the path are different terms."""
 
+    def gram(kind: str, marks: Column, n: int):
+        return lambda i: F.concat(F.lit(kind), *[F.get(marks, i + k) for k in range(n)])
+
+    def cut(kind: str, marks: Column) -> Column:
+        last = F.size(marks)
+        parts = [F.when(last >= n, F.transform(F.sequence(F.lit(0), F.greatest(last - n, F.lit(0))), gram(kind, marks, n))).otherwise(F.array().cast("array<string>")) for n in GRAMS]
+        return F.array_distinct(F.concat(*parts))
+
     def of(kind: str, text: Column) -> Column:
-        full = F.concat(F.lit("^"), text, F.lit("$"))
-        parts = [
-            F.when(F.length(full) >= n, F.transform(F.sequence(F.lit(1), F.greatest(F.length(full) - (n - 1), F.lit(1))), lambda i, n=n: F.concat(F.lit(kind), F.substring(full, i, F.lit(n))))).otherwise(F.array().cast("array<string>"))
-            for n in GRAMS
-        ]
-        return F.concat(*parts)
+        # a list of one list of characters: split once, and a gram costs the same anywhere in a long text
+        marks = F.array(F.split(F.concat(F.lit("^"), text, F.lit("$")), ""))
+        return F.flatten(F.transform(marks, lambda m: cut(kind, m)))
 
     return F.concat(of("h", host), of("p", path))
 
