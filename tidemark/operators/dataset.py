@@ -49,16 +49,17 @@ def dedupe_keep_largest(rows: DataFrame) -> DataFrame:
     return rows.filter("length is null or length > 0").withColumn("base", base).withColumn("place", F.row_number().over(w)).filter("place = 1").select("base", "name", "length")
 
 
-RULES = {  # D5: checks that can be switched on and off by name
-    "no container": ~F.expr("bool_or(ext in ('.edf', '.edf.gz'))"), "several archives": F.expr("count_if(ext = '.edf.gz') > 1"), "no events": ~F.expr("bool_or(ext = '.tsv')"),
-    "no json": ~F.expr("bool_or(ext = '.json')"), "no checksum": F.expr("bool_or(ext in ('.edf', '.edf.gz')) and not bool_or(ext = '.md5')"), "raw and archive": F.expr("bool_or(ext = '.edf') and bool_or(ext = '.edf.gz')"),
+# D5: checks that can be switched on and off by name; each is an expression over the files of a session.
+RULES = {
+    "no container": "not bool_or(ext in ('.edf', '.edf.gz'))", "several archives": "count_if(ext = '.edf.gz') > 1", "no events": "not bool_or(ext = '.tsv')",
+    "no json": "not bool_or(ext = '.json')", "no checksum": "bool_or(ext in ('.edf', '.edf.gz')) and not bool_or(ext = '.md5')", "raw and archive": "bool_or(ext = '.edf') and bool_or(ext = '.edf.gz')",
 }
 
 
-def validate_session(files: DataFrame, rules: dict[str, Column] | None = None) -> DataFrame:
+def validate_session(files: DataFrame, rules: dict[str, str] | None = None) -> DataFrame:
     """A9, D5. Issues of each session, joined by semicolons, of the rules that are on."""
     on = RULES if rules is None else rules
-    checked = files.groupBy("sub", "ses").agg(*[c.alias(f"r{i}") for i, c in enumerate(on.values())], F.count("*").alias("n_files"))
+    checked = files.groupBy("sub", "ses").agg(*[F.expr(c).alias(f"r{i}") for i, c in enumerate(on.values())], F.count("*").alias("n_files"))
     issues = F.array_compact(F.array(*[F.when(F.col(f"r{i}"), F.lit(name)) for i, name in enumerate(on)]))
     return checked.select("sub", "ses", "n_files", F.array_join(issues, "; ").alias("issues"), (F.size(issues) == 0).alias("ok"))
 

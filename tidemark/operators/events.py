@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-BY_REC = Window.partitionBy("rec").orderBy("seq")
+
+def in_order() -> WindowSpec:
+    """A recording's events in their order."""
+    return Window.partitionBy("rec").orderBy("seq")
 
 
 def prune_events(lines: DataFrame, columns: int, key: str = "rec") -> DataFrame:
@@ -51,7 +54,7 @@ def relay_state(events: DataFrame) -> DataFrame:
     closed = r"^Closed relay to (\S+) and (\S+)"
     # a change is the pair, or an empty text where the relay opens
     change = F.when(t.rlike(closed), F.concat_ws("-", F.regexp_extract(t, closed, 1), F.regexp_extract(t, closed, 2))).when(t.contains("Opened relay") | t.contains("De-block"), "")
-    state = F.last(change, ignorenulls=True).over(BY_REC.rowsBetween(Window.unboundedPreceding, 0))
+    state = F.last(change, ignorenulls=True).over(in_order().rowsBetween(Window.unboundedPreceding, 0))
     on = events.withColumn("pair", state).filter(t.rlike(r"^\d+$") & (F.col("pair") != ""))
     return on.select("rec", "seq", "onset", F.lit("rev1").alias("decoder"), "pair", F.trim("text").alias("current"))
 
@@ -63,10 +66,10 @@ def manual_stims(events: DataFrame, gap_s: float = 20.0) -> DataFrame:
     high = F.lower(t).contains("high freq")
     command = t.rlike(pattern)
     rows = events.select(
-        "rec", "seq", "onset", t.alias("t"), command.alias("command"), high.alias("high"), F.lag(high, 1, False).over(BY_REC).alias("high_before"),
-        F.lead("onset").over(BY_REC).alias("next"),
+        "rec", "seq", "onset", t.alias("t"), command.alias("command"), high.alias("high"), F.lag(high, 1, False).over(in_order()).alias("high_before"),
+        F.lead("onset").over(in_order()).alias("next"),
     )
-    rows = rows.withColumn("block", F.sum(F.col("command").cast("int")).over(BY_REC.rowsBetween(Window.unboundedPreceding, 0)))
+    rows = rows.withColumn("block", F.sum(F.col("command").cast("int")).over(in_order().rowsBetween(Window.unboundedPreceding, 0)))
     good = F.col("command") & ~F.col("high") & ~F.col("high_before") & (F.col("next") - F.col("onset") < gap_s)
     pair = F.concat_ws("-", F.regexp_extract("t", pattern, 1), F.regexp_extract("t", pattern, 2))
     number = F.when(~F.col("command") & ~F.col("t").rlike(r"[A-Za-z]+\d+"), F.nullif(F.regexp_extract("t", r"(\d+(?:\.\d+)?)", 1), F.lit("")))
@@ -100,16 +103,16 @@ def recording_bounds(events: DataFrame) -> DataFrame:
 
 def estimate_rate(events: DataFrame, stamp: str) -> DataFrame:
     """A17. Median of stamp steps by seconds between neighbours, of steps above 0 within 0.5 to 60 s; null below 30 of them."""
-    rows = events.select("rec", (F.col(stamp) - F.lag(stamp).over(BY_REC)).alias("ds"), (F.col("onset") - F.lag("onset").over(BY_REC)).alias("dt"))
+    rows = events.select("rec", (F.col(stamp) - F.lag(stamp).over(in_order())).alias("ds"), (F.col("onset") - F.lag("onset").over(in_order())).alias("dt"))
     fit = rows.withColumn("ratio", F.when((F.col("ds") > 0) & F.col("dt").between(0.5, 60), F.col("ds") / F.col("dt")))
     return fit.groupBy("rec").agg(F.count("ratio").alias("n"), F.round(F.when(F.count("ratio") >= 30, F.percentile("ratio", 0.5)), 6).alias("rate"))
 
 
 def event_sessions(events: DataFrame, gap_s: float = 20.0) -> DataFrame:
     """R7 in batch. rec, start, stop, n of bursts of events that pauses of gap_s or more part."""
-    new = F.coalesce(F.col("onset") - F.lag("onset").over(BY_REC) >= gap_s, F.lit(True)).cast("int")
+    new = F.coalesce(F.col("onset") - F.lag("onset").over(in_order()) >= gap_s, F.lit(True)).cast("int")
     rows = events.withColumn("new", new)
-    rows = rows.withColumn("burst", F.sum("new").over(BY_REC.rowsBetween(Window.unboundedPreceding, 0)))
+    rows = rows.withColumn("burst", F.sum("new").over(in_order().rowsBetween(Window.unboundedPreceding, 0)))
     return rows.groupBy("rec", "burst").agg(F.min("onset").alias("start"), F.max("onset").alias("stop"), F.count("*").alias("n")).drop("burst")
 
 

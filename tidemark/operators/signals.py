@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-CHANNEL = Window.partitionBy("rec", "channel").orderBy("idx")
+
+def channel() -> WindowSpec:
+    """A channel's samples in their order."""
+    return Window.partitionBy("rec", "channel").orderBy("idx")
 
 
 def signal_stats(samples: DataFrame) -> DataFrame:
@@ -17,7 +20,7 @@ def moving_average(samples: DataFrame, window: int) -> DataFrame:
     """W7. Centred mean over window samples (an even number takes one more), shorter at the ends; NaN doesn't count."""
     half = window // 2
     v = F.when(~F.isnan("v"), F.col("v"))
-    return samples.select("rec", "channel", "idx", F.round(F.avg(v).over(CHANNEL.rowsBetween(-half, half)), 6).alias("smooth"))
+    return samples.select("rec", "channel", "idx", F.round(F.avg(v).over(channel().rowsBetween(-half, half)), 6).alias("smooth"))
 
 
 def epoch_events(samples: DataFrame, events: DataFrame, before: int, after: int) -> DataFrame:
@@ -56,8 +59,8 @@ def find_peaks(samples: DataFrame, fraction: float = 0.25) -> DataFrame:
     """N11. Samples where the slope's sign falls, above the threshold and above the least sample so far by more than it; both are the channel's range times fraction (over the least value, for the first)."""
     range_ = samples.groupBy("rec", "channel").agg((F.max("v") - F.min("v")).alias("span"))
     rows = samples.select(
-        "rec", "channel", "idx", "v", F.signum(F.lead("v").over(CHANNEL) - F.col("v")).alias("next"), F.signum(F.col("v") - F.lag("v").over(CHANNEL)).alias("before"),
-        F.min("v").over(CHANNEL.rowsBetween(Window.unboundedPreceding, 0)).alias("low"),
+        "rec", "channel", "idx", "v", F.signum(F.lead("v").over(channel()) - F.col("v")).alias("next"), F.signum(F.col("v") - F.lag("v").over(channel())).alias("before"),
+        F.min("v").over(channel().rowsBetween(Window.unboundedPreceding, 0)).alias("low"),
     )
     peaks = rows.filter("next < before").join(range_, ["rec", "channel"])
     return peaks.filter((F.col("v") > F.col("span") * fraction) & (F.col("v") - F.col("low") > F.col("span") * fraction)).select("rec", "channel", "idx", "v")
