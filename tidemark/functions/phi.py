@@ -81,8 +81,8 @@ def name_variants(people: DataFrame, separators: list[str]) -> DataFrame:
 
 def name_pattern(name: Column) -> Column:
     """F5. A pattern for a person's name: blanks match any run of blanks, dots, commas, dashes or underscores, with an initial between; whole words only."""
-    quoted = F.regexp_replace(F.trim(name), r"([.\\+*?\[\](){}|^$])", r"\\\\$1")
-    return F.concat(F.lit(r"(?i)(?<![A-Za-z])"), F.regexp_replace(quoted, r"[\s,]+", r"[\\\\s,._-]+(?:[A-Z][.\\\\s,_-]+)?"), F.lit(r"(?![A-Za-z])"))
+    quoted = F.regexp_replace(F.trim(name), r"([.\\+*?\[\](){}|^$])", r"\\$1")
+    return F.concat(F.lit(r"(?i)(?<![A-Za-z])"), F.regexp_replace(quoted, r"[\s,]+", r"[\\s,._-]+(?:[A-Z][.\\s,_-]+)?"), F.lit(r"(?![A-Za-z])"))
 
 
 def overwrite(df: DataFrame, text: str, patterns: list[tuple[str, str, str]]) -> DataFrame:

@@ -16,7 +16,7 @@ def excel_serial(x: Column) -> Column:
 
 def edf_datetime(d: Column, t: Column) -> Column:
     """N2. dd.mm.yy and hh.mm.ss as yyyy-MM-ddTHH:mm:ss; years below 85 are of this century. Null where a part is no number."""
-    part = lambda c, i: F.split(c, r"\.")[i - 1].try_cast("int")
+    part = lambda c, i: F.get(F.split(c, r"\."), i - 1).try_cast("int")
     year = part(d, 3)
     full = F.when(year < 85, year + 2000).otherwise(year + 1900)
     return F.format_string("%04d-%02d-%02dT%02d:%02d:%02d", full, part(d, 2), part(d, 1), part(t, 1), part(t, 2), part(t, 3))

@@ -64,3 +64,28 @@ def find_peaks(samples: DataFrame, fraction: float = 0.25) -> DataFrame:
     )
     peaks = rows.filter("next < before").join(range_, ["rec", "channel"])
     return peaks.filter((F.col("v") > F.col("span") * fraction) & (F.col("v") - F.col("low") > F.col("span") * fraction)).select("rec", "channel", "idx", "v")
+
+
+def first_peak(epochs: DataFrame, first: int, stop: int, prominence: float) -> DataFrame:
+    """N12. rec, channel, event, peak (offset), polarity: the first offset in [first, stop) that stands `prominence` above the lows on both sides; 1 or -1 where one side of the epoch is 1.2 times the other."""
+    import numpy as np
+    import pandas as pd
+
+    def of(f: pd.DataFrame) -> pd.DataFrame:
+        f = f.sort_values("offset")
+        x, at = f["v"].to_numpy(float), f["offset"].to_numpy()
+        peak = None
+        for i in range(1, len(x) - 1):
+            if first <= at[i] < stop and x[i - 1] < x[i] > x[i + 1]:
+                higher = np.flatnonzero(x > x[i])
+                lo = higher[higher < i].max(initial=-1) + 1
+                hi = higher[higher > i].min(initial=len(x))
+                if x[i] - max(x[lo : i + 1].min(), x[i:hi].min()) >= prominence:
+                    peak = int(at[i])
+                    break
+        up, down = x.max(initial=0), -x.min(initial=0)
+        sign = 1 if up > 1.2 * down else -1 if down > 1.2 * up else None
+        head = f.iloc[0]
+        return pd.DataFrame({"rec": [head["rec"]], "channel": [head["channel"]], "event": [head["event"]], "peak": pd.array([peak], "Int64"), "polarity": pd.array([sign], "Int64")})
+
+    return epochs.groupBy("rec", "channel", "event").applyInPandas(of, "rec long, channel long, event long, peak long, polarity long")

@@ -434,3 +434,146 @@ register(
     """x AS (SELECT *, sign(lead(v) OVER w - v) AS nx, sign(v - lag(v) OVER w) AS bf, min(v) OVER (PARTITION BY rec, channel ORDER BY idx ROWS UNBOUNDED PRECEDING) AS low, max(v) OVER (PARTITION BY rec, channel) - min(v) OVER (PARTITION BY rec, channel) AS span FROM samples WINDOW w AS (PARTITION BY rec, channel ORDER BY idx))
     SELECT rec, channel, idx, v FROM x WHERE nx < bf AND v > span * 0.25 AND v - low > span * 0.25""",
 )
+
+from tidemark.functions import redaction as rd  # noqa: E402
+from tidemark.sources import edf, tsv  # noqa: E402
+from tidemark.sources.shared import new_folder  # noqa: E402
+from tidemark.streaming import live  # noqa: E402
+
+
+def _back(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Write as TSV and read again."""
+    path = new_folder(spark, name)
+    tsv.write_tsv(df, path)
+    return tsv.read_tsv(spark, path)
+
+
+register(
+    "S1_read_scans_tsv", lambda s, d: tsv.typed_scans(_back(s, v.scans(s, d).selectExpr("filename", "if(ses % 9 = 0, replace(acq_time, 'T', ' '), acq_time) as acq_time", "if(ses % 10 = 0, 'n/a', duration) as duration"), "scans")), [v.SCANS],
+    "SELECT filename, CASE WHEN ses % 9 = 0 THEN replace(acq_time, 'T', ' ') ELSE acq_time END AS acq_time, CASE WHEN ses % 10 = 0 THEN 'n/a' ELSE duration END AS duration, epoch(acq_time::timestamp)::bigint AS acq_s, CASE WHEN ses % 10 = 0 THEN NULL ELSE hours END AS duration_h FROM scans",
+)
+
+
+def _written_texts(spark: SparkSession, sf_dir: str) -> str:
+    root = new_folder(spark, "files")
+    v.files(spark, sf_dir).selectExpr("sub", "replace(text, '\\n', ' ') as line").repartition("sub").write.partitionBy("sub").text(root)
+    return root
+
+
+register("S2_list_files", lambda s, d: tsv.list_files(s, _written_texts(s, d), "txt", ["part-*"], ["*.crc"]).selectExpr("regexp_extract(path, '/sub=(\\\\d+)/', 1) as sub", "length"), [v.FILES], "SELECT sub::varchar AS sub, sum(strlen(text) + 1)::bigint AS length FROM files GROUP BY sub")
+_EDF = lambda s, d, **k: edf.encoded(v.samples(s, d), **k)
+_EDF_SQL = "es AS (SELECT rec, channel, idx, (floor(v)::bigint % 4001 - 2000) AS d FROM samples WHERE channel <= 2), en AS (SELECT rec, min(n) AS n FROM (SELECT rec, channel, count(*) // 50 * 50 AS n FROM es GROUP BY ALL) GROUP BY rec HAVING count(*) = 2 AND min(n) > 0), ed AS (SELECT * FROM es JOIN en USING (rec) WHERE idx < n)"
+register(
+    "S4_edf_header", lambda s, d: edf.header(_EDF(s, d, records="-1")).selectExpr("path", "patient", "day", "clock", "n_records", "record_s", "size(signals) as n_signals", "signals[1].label as label", "signals[1].prefilter as prefilter", "cast(signals[0].spr as int) as spr"), [v.SAMPLES],
+    f"{_EDF_SQL} SELECT rec::varchar AS path, 'X X X X' AS patient, '02.01.24' AS day, '03.04.05' AS clock, n // 50 AS n_records, 1.0::double AS record_s, 2 AS n_signals, 'A2' AS label, 'HP:0.1Hz LP:70Hz' AS prefilter, 50 AS spr FROM en",
+)
+register(
+    "S5_edf_samples", lambda s, d: edf.samples(_EDF(s, d)).selectExpr("path", "channel", "record", "posexplode(values) as (k, v)").selectExpr("path", "channel", "record", "k", "round(v, 6) as v"), [v.SAMPLES],
+    f"{_EDF_SQL} SELECT rec::varchar AS path, (channel - 1)::int AS channel, idx // 50 AS record, (idx % 50)::int AS k, d * 0.25::double AS v FROM ed",
+)
+register(
+    "N5_clip_recording", lambda s, d: edf.samples(_EDF(s, d), channels=[1], first=1, stop=3).selectExpr("path", "channel", "record", "size(values) as n", "round(aggregate(values, 0D, (a, x) -> a + x), 4) as total"), [v.SAMPLES],
+    f"{_EDF_SQL} SELECT rec::varchar AS path, 1 AS channel, idx // 50 AS record, count(*)::int AS n, round(sum(d * 0.25::double), 4) AS total FROM ed WHERE channel = 2 AND idx // 50 IN (1, 2) GROUP BY ALL",
+)
+register(
+    "S6_edf_annotations", lambda s, d: edf.annotations(edf.encode_tal(v.events_tsv(s, d)), "rec").select("rec", "seq", "onset", "text"), [v.EVENTS_TSV],
+    "SELECT rec, min(seq)::int AS seq, round(onset, 6) AS onset, regexp_replace(text, '[\\x00-\\x1f]', '', 'g') AS text FROM events_tsv WHERE text <> '' GROUP BY rec, round(onset, 6), text",
+)
+register("W10_tal_offset", lambda s, d: edf.annotations(edf.encode_tal(v.events_tsv(s, d)).withColumn("content", F.expr("encode(replace(decode(content, 'ISO-8859-1'), '+0\\u0014\\u0014', '+1.5\\u0014\\u0014'), 'ISO-8859-1')")), "rec").select("rec", "seq", "onset", "text"), [v.EVENTS_TSV],
+    "SELECT rec, min(seq)::int AS seq, round(onset - 1.5, 6) AS onset, text FROM events_tsv WHERE text <> '' GROUP BY rec, round(onset - 1.5, 6), text")
+register(
+    "F13_blank_tal", lambda s, d: edf.encode_tal(v.events_tsv(s, d)).select("rec", F.length("content").alias("size"), edf.blank_tal(F.col("content")).alias("b")).selectExpr("rec", "size", "length(b) as blank_size", "regexp_count(decode(b, 'ISO-8859-1'), '[A-Za-z]') as letters"), [v.EVENTS_TSV],
+    "SELECT rec, (5 + sum(length('+' || printf('%.6f', onset)) + length(text) + 3))::int AS size, size AS blank_size, 0 AS letters FROM events_tsv GROUP BY rec",
+)
+_NOTES = "encode(concat('(', array_join(transform(array_sort(collect_list(struct(seq, concat('(.\"CreationTime\", ', cast(45292 + seq as string), '.5)(.\"Stamp\", ', cast(seq * 10 as string), ')(.\"Text\", \"', text, '\")') as t))), x -> x.t), ''), ')'), 'ISO-8859-1') as content"
+_ENT = lambda s, d: v.events_tsv(s, d).groupBy("rec").agg(F.expr(_NOTES))
+register("S7_ent_events", lambda s, d: edf.ent_events(_ENT(s, d), "rec"), [v.EVENTS_TSV], "SELECT rec, (45292.5 + seq)::double AS serial, seq * 10 AS stamp, text FROM events_tsv")
+register("S8_ent_key_values", lambda s, d: edf.key_values(_ENT(s, d), "rec").groupBy("rec").agg(F.count("*").alias("n"), F.count_distinct("path").alias("paths")), [v.EVENTS_TSV], "SELECT rec::varchar AS rec, count(*) * 3 AS n, count(*) * 3 AS paths FROM events_tsv GROUP BY rec")
+register(
+    "S9_quick_metadata", lambda s, d: edf.quick_metadata(v.demographics(s, d).selectExpr("id", "idx", "encode(concat(repeat('x', 361), '(.\"', if(idx % 3 = 0, 'Study', 'StudyName'), '\", \"st', idx, '\")(.\"EegNo\", \"', id, '\")', if(idx % 4 = 0, '', '(.\"Machine\", \"M1\")'), '(.\"CreationTime\", 45292.25)'), 'ISO-8859-1') as content"), "idx"), [v.DEMOGRAPHICS],
+    "SELECT idx, 'st' || idx AS study, id AS eeg_no, CASE WHEN idx % 4 = 0 THEN NULL ELSE 'M1' END AS machine, '45292.25' AS start FROM demographics",
+)
+register(
+    "S10_log_mappings", lambda s, d: edf.log_mappings(v.events_tsv(s, d).selectExpr("rec as log", "seq as n", "case seq % 4 when 0 then concat('anonymization of: x', seq, '.EDF') when 1 then concat('Output will be saved to: y/sub-', seq, '_a.edf') when 2 then if(seq % 3 = 0, concat('anonymization of: z', seq, '.EDF'), 'noise') else if(seq % 5 = 0, concat('Output will be saved to: y/sub-', seq, '_b.edf'), '') end as line")), [v.EVENTS_TSV],
+    """l AS (SELECT rec AS log, seq AS n, CASE WHEN seq % 4 = 0 THEN 'x' || seq || '.EDF' WHEN seq % 4 = 2 AND seq % 3 = 0 THEN 'z' || seq || '.EDF' END AS source, CASE WHEN seq % 4 = 1 THEN 'sub-' || seq || '_a.edf' WHEN seq % 4 = 3 AND seq % 5 = 0 THEN 'sub-' || seq || '_b.edf' END AS target FROM events_tsv),
+    k AS (SELECT *, lag(source) OVER (PARTITION BY log ORDER BY n) AS before FROM l WHERE source IS NOT NULL OR target IS NOT NULL) SELECT log, before AS source, target FROM k WHERE target IS NOT NULL AND before IS NOT NULL""",
+)
+register("S11_archive_uncompressed_size", lambda s, d: v.table(s, d, "part").select("p_partkey", edf.gzip_size(F.expr("unhex(concat('1f8b00', regexp_replace(lpad(hex(p_partkey * 70001), 8, '0'), '(..)(..)(..)(..)', '$4$3$2$1')))")).alias("size")), [], "SELECT p_partkey, p_partkey * 70001 AS size FROM part")
+register("A20_chunk_hashes", lambda s, d: edf.chunk_hashes(v.files(s, d).selectExpr("file_id", "cast(text as binary) as content"), "file_id", head=64, size=1000).groupBy("file_id").agg(F.count("*").alias("chunks"), F.max(F.expr("if(chunk = -1, sha256, null)")).alias("head")), [v.FILES],
+    "SELECT file_id, (1 + greatest(ceil((strlen(text) - 64) / 1000), 0))::bigint AS chunks, sha256(array_slice(encode(text), 1, 64)) AS head FROM files")
+_HASHES = lambda s, d, x: edf.chunk_hashes(v.files(s, d).selectExpr("file_id", f"cast({x} as binary) as content"), "file_id", head=64, size=1000)
+register(
+    "A20_verify_chunks", lambda s, d: edf.verify_chunks(_HASHES(s, d, "text"), _HASHES(s, d, "if(file_id % 5 = 0, concat('##', substring(text, 3)), if(file_id % 5 = 1, left(text, 10), text))"), "file_id").groupBy("file_id", "state").agg(F.count("*").alias("n"))
+)
+register("F14_verify_anonymized", lambda s, d: edf.verify_anonymized(_EDF(s, d, patient="Jane Doe").withColumn("content", F.expr("concat(content, encode('+0\\u0014\\u0014\\u0000+1\\u0014Seizure\\u0014\\u0000+2\\u0014Note by J\\u0014\\u0000', 'ISO-8859-1'))")), "path", ["Seizure"]).selectExpr("path", "findings like '%patient%' as patient", "findings like '%recording%' as recording"), [v.SAMPLES], f"{_EDF_SQL} SELECT rec::varchar AS path, true AS patient, false AS recording FROM en")
+register("A27_recording_summary", lambda s, d: edf.header(_EDF(s, d)).selectExpr("path", "n_records * record_s as seconds", "transform(signals, x -> x.label) as labels").selectExpr("path", "seconds", "array_join(labels, ',') as labels", "if(seconds > 0, 'done', 'failed') as status"), [v.SAMPLES], f"{_EDF_SQL} SELECT rec::varchar AS path, (n // 50)::double AS seconds, 'A1,A2' AS labels, 'done' AS status FROM en")
+_PART = "if(idx % 5 = 0, null, cast(idx % 100 as int)) as age", "if(idx % 3 = 0, null, 'm') as sex", "grp as group"
+register(
+    "K1_write_participants", lambda s, d: _back(s, tsv.participants(v.demographics(s, d).filter("idx < 1000").selectExpr("id as participant_id", *_PART), v.demographics(s, d).filter("idx < 20").selectExpr("id as participant_id", "'1' as age", "'f' as sex", "'old' as group")), "participants"), [v.DEMOGRAPHICS],
+    """SELECT id AS participant_id, CASE WHEN idx < 20 THEN '1' WHEN idx % 5 = 0 THEN 'n/a' WHEN idx % 100 >= 89 THEN '89+' ELSE (idx % 100)::varchar END AS age, CASE WHEN idx < 20 THEN 'f' WHEN idx % 3 = 0 THEN 'X' ELSE 'm' END AS sex, CASE WHEN idx < 20 THEN 'old' ELSE grp END AS "group" FROM demographics WHERE idx < 1000""",
+)
+register(
+    "K2_write_scans", lambda s, d: _back(s, tsv.scans_rows(v.scans(s, d).withColumn("hours", F.expr("if(ses % 8 = 0, null, hours)")), v.scans(s, d).filter("ses <= 3").select("filename", "acq_time", "duration", "edf_type"), 5856), "scans"), [v.SCANS],
+    "SELECT filename, CASE WHEN ses <= 3 THEN acq_time ELSE (day::date - 5856)::varchar || substr(acq_time, 11) END AS acq_time, CASE WHEN ses <= 3 THEN duration WHEN ses % 8 = 0 THEN 'n/a' ELSE printf('%.4f', hours) END AS duration, edf_type FROM scans",
+)
+_SIGNALS = lambda s, d: v.table(s, d, "part").selectExpr("p_size as rec", "concat(element_at(array('LAH', 'EKG', 'DC', 'EMG', 'RHc'), cast(p_partkey % 5 as int) + 1), p_partkey % 17) as label", "'uV' as unit", "concat('HP:0.', p_partkey % 7, 'Hz LP:', p_size) as prefilter", "512 as rate")
+_CHANNELS = "ch AS (SELECT p_size AS rec, g || (p_partkey % 17) AS name, CASE g WHEN 'EKG' THEN 'ECG' WHEN 'DC' THEN 'TRIG' WHEN 'EMG' THEN 'EMG' ELSE 'SEEG' END AS type, 'μV' AS units, '0.' || (p_partkey % 7) AS low_cutoff, p_size::varchar AS high_cutoff, '512' AS sampling_frequency, g AS \"group\" FROM (SELECT *, (['LAH', 'EKG', 'DC', 'EMG', 'RHc'])[(p_partkey % 5 + 1)::int] AS g FROM part))"
+register("K3_write_channels", lambda s, d: _back(s, tsv.channels(_SIGNALS(s, d)), "channels"), [], f"{_CHANNELS} SELECT rec::varchar AS rec, * EXCLUDE (rec) FROM ch")
+register("K4_write_electrodes", lambda s, d: _back(s, tsv.electrodes(tsv.channels(_SIGNALS(s, d)), size="2", material="Pt"), "electrodes"), [], f"{_CHANNELS} SELECT rec::varchar AS rec, name, 'n/a' AS x, 'n/a' AS y, 'n/a' AS z, '2' AS size, 'Pt' AS material FROM ch WHERE type = 'SEEG'")
+register("K5_write_events", lambda s, d: tsv.events_rows(v.events_tsv(s, d)).select("rec", "trial_type").groupBy("rec", "trial_type").count(), [v.EVENTS_TSV], "SELECT rec, coalesce(nullif(trim(text), ''), 'n/a') AS trial_type, count(*) AS count FROM events_tsv GROUP BY ALL")
+register(
+    "K6_sidecar_json", lambda s, d: tsv.sidecar(tsv.channels(_SIGNALS(s, d)), ["SEEG", "ECG", "EOG"]), [],
+    f"""{_CHANNELS} SELECT rec, '{{"SEEGChannelCount":' || count(*) FILTER (type = 'SEEG') || ',"ECGChannelCount":' || count(*) FILTER (type = 'ECG') || ',"EOGChannelCount":0}}' AS json FROM ch GROUP BY rec""",
+)
+register(
+    "K9_split_manifest", lambda s, d: tsv.split_manifest(v.scans(s, d).select("sub", "ses", "filename"), v.files(s, d).filter("ext = '.edf.gz'"), v.files(s, d).filter("ext = '.tsv' and file_id % 2 = 0")), [v.SCANS, v.FILES],
+    "SELECT sub, ses, filename FROM scans WHERE (sub, ses) IN (SELECT (sub, ses) FROM files WHERE ext = '.edf.gz') AND (sub, ses) NOT IN (SELECT (sub, ses) FROM files WHERE ext = '.tsv' AND file_id % 2 = 0)",
+)
+register(
+    "P12_bids_root", lambda s, d: v.files(s, d).groupBy(F.expr("regexp_extract(path, '^([^/]*)/', 1)").alias("folder")).agg(F.expr("bool_and(path rlike '^sub-[0-9]+/')").alias("subject_folder"), F.count_distinct("ses").alias("sessions")), [v.FILES],
+    "SELECT regexp_extract(path, '^([^/]*)/', 1) AS folder, true AS subject_folder, count(DISTINCT ses) AS sessions FROM files GROUP BY 1",
+)
+register("P3_channel_kind", lambda s, d: _SIGNALS(s, d).select("label", ev.channel_kind(F.col("label")).alias("generic")).groupBy("label", "generic").count(), [], "SELECT g || (p_partkey % 17) AS label, g = 'DC' AS generic, count(*) AS count FROM (SELECT *, (['LAH', 'EKG', 'DC', 'EMG', 'RHc'])[(p_partkey % 5 + 1)::int] AS g FROM part) GROUP BY ALL")
+_NAMES = lambda s, d: v.table(s, d, "customer").filter("c_custkey % 3 = 0").selectExpr("concat('note ', c_custkey % 50) as name").unionByName(v.table(s, d, "nation").selectExpr("lower(n_name) as name"))
+register("F3_dictionary_matches", lambda s, d: rd.dictionary(v.events_tsv(s, d).select("rec", "seq", "text"), _NAMES(s, d)).select("rec", "seq", "matches"), [v.EVENTS_TSV],
+    "SELECT rec, seq, regexp_extract(text, '(note \\d+)', 1) AS matches FROM events_tsv")
+register("F4_dictionary_redact", lambda s, d: rd.dictionary(v.events_tsv(s, d).select("rec", "seq", "text"), _NAMES(s, d), mode="mask").select("rec", "seq", "redacted"), [v.EVENTS_TSV], "SELECT rec, seq, regexp_replace(text, 'note (\\d+)', 'xxxx \\1') AS redacted FROM events_tsv")
+register("F5_name_pattern", lambda s, d: _PEOPLE(s, d).filter("lastname is not null").select(phi.name_pattern(F.concat_ws(" ", "firstname", "lastname")).alias("pattern")).distinct())
+register("F6_redact_json", lambda s, d: rd.redact_json(v.table(s, d, "events").selectExpr("event_id", "to_json(named_struct('k', event_type, 'n', user_id, 'x', array(props, event_type))) as doc"), "doc", [("e", "E")]).select("event_id", F.expr("get_json_object(redacted, '$.k')").alias("k"), F.expr("get_json_object(redacted, '$.n')").alias("n")), [], "SELECT event_id, replace(event_type, 'e', 'E') AS k, user_id::varchar AS n FROM events")
+_NOTED = lambda s, d: v.events_tsv(s, d).select("rec", "seq", "text")
+register("F7_redaction_mask", lambda s, d: _NOTED(s, d).select("rec", "seq", rd.redaction_mask(F.col("text"), F.expr("replace(text, 'note', '')")).alias("mask")).select("rec", "seq", F.expr("aggregate(mask, 0, (a, x) -> a + x)").alias("hidden")), [v.EVENTS_TSV], "SELECT rec, seq, CASE WHEN text LIKE '%note%' THEN 4 ELSE 0 END AS hidden FROM events_tsv")
+register("F8_placeholder_redaction", lambda s, d: _NOTED(s, d).select("rec", "seq", rd.placeholder(F.col("text"), rd.redaction_mask(F.col("text"), F.expr("replace(text, 'note', '')"))).alias("text")), [v.EVENTS_TSV], "SELECT rec, seq, replace(text, 'note', '[NAME]') AS text FROM events_tsv")
+register("W12_mask_spans", lambda s, d: _NOTED(s, d).select("rec", "seq", F.expr("if(instr(text, 'note') > 0, concat(array_repeat(0, instr(text, 'note') - 1), array(1, 1, 1, 1), array_repeat(0, length(text) - instr(text, 'note') - 3)), array())").alias("mask")).select("rec", "seq", rd.mask_spans(F.col("mask")).alias("spans")).selectExpr("rec", "seq", "get(spans, 0).start as start", "get(spans, 0).stop as stop").filter("start is not null"), [v.EVENTS_TSV], "SELECT rec, seq, (strpos(text, 'note') - 1)::int AS start, (strpos(text, 'note') + 3)::int AS stop FROM events_tsv WHERE text LIKE '%note%'")
+register("W11_vote_windows", lambda s, d: rd.vote_windows(v.events_tsv(s, d).selectExpr("rec as doc", "cast(seq * 3 as int) as at", "transform(sequence(0, 5), k -> if((seq + k) % 4 = 0, 1.0D, if((seq + k) % 4 = 1, 0.5D, 0D))) as scores")), [v.EVENTS_TSV],
+    "e AS (SELECT rec AS doc, seq * 3 + k AS pos, CASE (seq + k) % 4 WHEN 0 THEN 1.0 WHEN 1 THEN 0.5 ELSE 0 END AS p FROM events_tsv, (SELECT unnest(range(0, 6)) AS k)), y AS (SELECT doc, pos FROM e GROUP BY ALL HAVING avg(p) >= 0.5), r AS (SELECT doc, pos, pos - row_number() OVER (PARTITION BY doc ORDER BY pos) AS run FROM y) SELECT doc, min(pos)::int AS start, (max(pos) + 1)::int AS stop FROM r GROUP BY doc, run")
+register("F9_redact_with_model", lambda s, d: rd.redact_with_model(v.texts(s, d)))
+register("F10_augment", lambda s, d: rd.augment(v.events_tsv(s, d).selectExpr("rec as doc", "seq as line", "text"), ["Ann", "Bo"], 11))
+register("F11_split_by_case", lambda s, d: rd.split_by_case(v.events_tsv(s, d).select("rec", "seq"), "rec", 5).groupBy("rec").agg(F.count_distinct("split").alias("splits"), F.count("*").alias("n")), [v.EVENTS_TSV], "SELECT rec, 1 AS splits, count(*) AS n FROM events_tsv GROUP BY rec")
+register("A15_char_metrics", lambda s, d: rd.char_metrics(v.table(s, d, "events").selectExpr("transform(sequence(0, 9), k -> if((event_id + k) % 3 = 0, 1, 0)) as truth", "transform(sequence(0, 9), k -> if((event_id + k) % 6 < 2, 1, 0)) as guess")), [],
+    """c AS (SELECT sum(((event_id + k) % 3 = 0 AND (event_id + k) % 6 < 2)::int)::bigint AS tp, sum(((event_id + k) % 3 <> 0 AND (event_id + k) % 6 < 2)::int)::bigint AS fp, sum(((event_id + k) % 3 = 0 AND (event_id + k) % 6 >= 2)::int)::bigint AS fn, sum(((event_id + k) % 3 <> 0 AND (event_id + k) % 6 >= 2)::int)::bigint AS tn FROM events, (SELECT unnest(range(0, 10)) AS k)),
+    r AS (SELECT *, tp / (tp + fp + 1e-9) AS p, tp / (tp + fn + 1e-9) AS q FROM c) SELECT tp, fp, fn, tn, round(p, 6) AS precision, round(q, 6) AS recall, round(2 * p * q / (p + q + 1e-9), 6) AS f1, round(tn / (tn + fp + 1e-9), 6) AS retention FROM r""")
+_DOCS = lambda s, d: v.table(s, d, "conversations").selectExpr("conv_id * 1000 + turn as doc", "text as a", "replace(concat(text, '\\nlast'), 'la', 'LA') as b")
+register("F19_diff_blocks", lambda s, d: rd.diff_blocks(_DOCS(s, d)))
+register("J15_redaction_decisions", lambda s, d: rd.merged(_DOCS(s, d), rd.diff_blocks(_DOCS(s, d)).selectExpr("doc", "block", "if(doc % 2 = 0, 'accept', 'discard') as decision")), [], "SELECT conv_id * 1000 + turn AS doc, CASE WHEN (conv_id * 1000 + turn) % 2 = 0 THEN replace(text || chr(10) || 'last', 'la', 'LA') ELSE text END AS text FROM conversations")
+register("D1_pattern_table", lambda s, d: v.table(s, d, "events").select("event_id", phi.redact(F.col("props"), [(r"\d+", "#"), ("k", "key")]).alias("props")), [], "SELECT event_id, replace(regexp_replace(props, '\\d+', '#', 'g'), 'k', 'key') AS props FROM events")
+register("D2_scorer", lambda s, d: rd.redact_with_model(v.texts(s, d), lambda texts: [[1.0 if c.isdigit() else 0.0 for c in t] for t in texts]))
+register("D3_parse_functions", lambda s, d: edf.key_values(_ENT(s, d), "rec"))
+_CHAN = lambda s, d: v.table(s, d, "part").selectExpr("cast(p_size as bigint) as rec", "p_partkey as idx", "if(p_partkey % 6 = 0, 'Pr', concat('x', p_partkey % 9)) as label")
+register(
+    "F20_apply_labels", lambda s, d: rd.apply_labels(_CHAN(s, d), _CHAN(s, d).select("rec").distinct().selectExpr("rec", "explode(sequence(1, 10)) as place").selectExpr("rec", "place", "concat('L', place) as label")), [],
+    "SELECT p_size::bigint AS rec, p_partkey AS idx, CASE WHEN p_partkey % 6 = 0 THEN 'Pr' WHEN k <= 10 THEN 'L' || k ELSE 'C' || k END AS label FROM (SELECT *, row_number() OVER (PARTITION BY p_size, p_partkey % 6 = 0 ORDER BY p_partkey) AS k FROM part)",
+)
+register("N12_first_peak", lambda s, d: sg.first_peak(sg.epoch_events(v.samples(s, d), _EV(s, d).filter("rec < 8"), 5, 10), 0, 10, 2000.0))
+register("R4_live_event_clean", lambda s, d: live.finished(live.clean_events(live.stream(s, d, "events"))).distinct(), [], "SELECT DISTINCT user_id AS subject, event_type || ' ' || props AS text FROM events")
+register("R5_live_coverage", lambda s, d: live.latest(live.finished(live.day_coverage(live.stream(s, d, "events")), "update"), ["subject", "day"]), [], "SELECT user_id AS subject, strftime(ts, '%Y-%m-%d') AS day, count(*) AS n, round(sum(value), 4) AS hours FROM events GROUP BY ALL")
+register("R7_event_sessions", lambda s, d: live.finished(live.event_sessions(live.stream(s, d, "events"))))
+register("R3_stall_detector", lambda s, d: live.finished(live.stalls(live.stream(s, d, "events").selectExpr("ts", "concat('f', user_id % 20) as file", "value as size"), 60.0)))
+register("R2_ready_files", lambda s, d: live.finished(live.ready_files(live.stream(s, d, "events").selectExpr("concat('f', user_id) as path", "cast(floor(value / 60) as bigint) as size", "unix_timestamp(ts) as at"), 3600)))
+register("R6_live_relay_decoder", lambda s, d: live.finished(live.relay_stream(live.stream(s, d, "events").selectExpr("user_id as rec", "event_id as seq", "case event_id % 7 when 0 then concat('Closed relay to A', event_id % 5, ' and B1') when 1 then 'Opened relay' when 2 then '5' else if(event_id % 2 = 0, '7', 'note') end as text"))), [],
+    """t AS (SELECT user_id AS rec, event_id AS seq, CASE event_id % 7 WHEN 0 THEN 'Closed relay to A' || (event_id % 5) || ' and B1' WHEN 1 THEN 'Opened relay' WHEN 2 THEN '5' ELSE CASE WHEN event_id % 2 = 0 THEN '7' ELSE 'note' END END AS text FROM events),
+    c AS (SELECT *, last_value(CASE WHEN text LIKE 'Closed%' THEN 'A' || (seq % 5) || '-B1' WHEN text LIKE 'Opened%' THEN '' END IGNORE NULLS) OVER (PARTITION BY rec ORDER BY seq ROWS UNBOUNDED PRECEDING) AS pair FROM t)
+    SELECT rec, seq, pair, text AS current FROM c WHERE pair <> '' AND text IN ('5', '7')""")
+_MARKS = lambda s, d: v.table(s, d, "documents").selectExpr("cast(doc_id as string) as path", "doc_id % 3 = 0 as passed", "if(doc_id % 2 = 0, true, null) as done")
+register("R1_watch_folder", lambda s, d: live.finished(live.watch(live.stream(s, d, "documents").selectExpr("cast(doc_id as string) as path"), _MARKS(s, d))), [], "SELECT doc_id::varchar AS path FROM documents WHERE doc_id % 3 = 0 AND doc_id % 2 = 1")
+register("R8_rescan_loop", lambda s, d: live.finished(live.rescan(live.stream(s, d, "documents").selectExpr("concat(doc_id % 40, '/', doc_id % 3) as path"), v.table(s, d, "documents").filter("doc_id % 4 = 0").selectExpr("concat(doc_id % 40, '/', doc_id % 3) as path").distinct())), [],
+    "SELECT DISTINCT (doc_id % 40) || '/' || (doc_id % 3) AS path FROM documents WHERE (doc_id % 40) || '/' || (doc_id % 3) NOT IN (SELECT (doc_id % 40) || '/' || (doc_id % 3) FROM documents WHERE doc_id % 4 = 0)")
