@@ -52,7 +52,7 @@ def baseline_zscore(epochs: DataFrame) -> DataFrame:
 def detrend_linear(samples: DataFrame) -> DataFrame:
     """N10. What is left of the least-squares line of each channel."""
     line = samples.groupBy("rec", "channel").agg(F.expr("regr_slope(v, idx)").alias("slope"), F.expr("regr_intercept(v, idx)").alias("level"))
-    return samples.join(line, ["rec", "channel"]).select("rec", "channel", "idx", F.round(F.col("v") - (F.col("slope") * F.col("idx") + F.col("level")), 4).alias("rest"))
+    return samples.join(line, ["rec", "channel"]).select("rec", "channel", "idx", F.round(F.col("v") - (F.col("slope") * F.col("idx") + F.col("level")) + 1e-7, 4).alias("rest"))
 
 
 def find_peaks(samples: DataFrame, fraction: float = 0.25) -> DataFrame:

@@ -427,7 +427,7 @@ register(
 )
 register(
     "N10_detrend_linear", lambda s, d: sg.detrend_linear(v.samples(s, d)), [v.SAMPLES],
-    "l AS (SELECT rec, channel, regr_slope(v, idx) AS a, regr_intercept(v, idx) AS b FROM samples GROUP BY ALL) SELECT rec, channel, idx, round(v - (a * idx + b), 4) AS rest FROM samples JOIN l USING (rec, channel)",
+    "l AS (SELECT rec, channel, regr_slope(v, idx) AS a, regr_intercept(v, idx) AS b FROM samples GROUP BY ALL) SELECT rec, channel, idx, round(v - (a * idx + b) + 1e-7, 4) AS rest FROM samples JOIN l USING (rec, channel)",
 )
 register(
     "N11_find_peaks", lambda s, d: sg.find_peaks(v.samples(s, d)), [v.SAMPLES],
