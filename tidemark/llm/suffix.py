@@ -6,21 +6,23 @@ a window whose words also start earlier: in a document with a smaller id, or ear
 1. Anchors. Of the `least // 2 + 1` hashes of `least // 2` words that lie in a window, the smallest (the last among equals) is
    its anchor. Equal windows have equal anchors, so a window whose anchor occurs once in all texts is unique. Anchors are
    about a sixth as many as windows. A whole text is one more anchor, which tells exact copies.
-2. Suffixes. Each start of a window that may repeat gives the suffix from there, cut after `least` words. They are
-   dealt by range: the boundaries are prefixes, as long as it takes to make groups of about equal size, sampled by
-   Spark; each group is sorted on disk if need be.
-3. Subtrees. One pass over a group's sorted suffixes walks its suffix tree: the common prefix of neighbours gives the
+2. Pieces. Windows in a row with one anchor travel as one piece of text, filed under the anchor, so that
+   the network carries four to five words for each suffix instead of `least`.
+3. Prefixes. All suffixes of an anchor's pieces, cut after `least` words, meet in one task. They are split by
+   their first word, groups that are still too large by their second, and so on: variable-length prefixes, until a group has
+   GROUP suffixes or fewer or the prefix is `least` words long.
+4. Subtrees. One walk over a group's sorted suffixes goes through its suffix tree: the common prefix of neighbours gives the
    depth of the inner nodes, and a node `least` words deep or more is a repeat, whose leaves are all its places.
    All leaves but the first in (document, start) order are repeats of earlier ones; consecutive ones
    merge to maximal repeats when they meet their document again.
 
-Scale: each task sends one anchor row for each value and one suffix row for each window, however often it saw it; what it
+Scale: each task sends one anchor row for each value and one piece for each text of a piece, however often it saw it; what it
 saw twice is known to repeat. So a passage that a third of all documents share crosses the network once for each task.
 Texts are shuffled once. Exact copies are settled by step 1.
 
 Defined results: a null or blank text has no words. A row with a null id is neither compared nor changed. Rows that share
-an id and a text are one document. Windows are compared by their words, anchors and copies by 64-bit hashes (of a
-window that two tasks' rows share the words decide). Other columns are not looked at.
+an id and a text are one document. Windows are compared by their words, anchors and whole copies by 64-bit hashes. Other columns are not
+looked at.
 """
 
 from __future__ import annotations
@@ -39,6 +41,7 @@ U = np.uint64
 MIX = U(0xC2B2AE3D27D4EB4F)
 #: Bytes of text whose anchors or suffixes a task gathers before it hands them on.
 GATHER = 24 << 20
+GROUP = 5000
 
 
 def sequence_hashes(words: np.ndarray, k: int) -> np.ndarray:
@@ -135,56 +138,68 @@ def repeated_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield done(*held)
 
 
-def suffix_rows(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
-    """suffix, doc_id, start, stop: the suffix of the first place of each window that may repeat; without a suffix, starts [start, stop) of windows known to repeat earlier ones."""
-    names = ["suffix", "doc_id", "start", "stop", "known"]
-    texts: list[list[bytes]] = []
-    key, doc, at, own, size = [], [], [], [], 0
+def piece_rows(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """key (the anchor), doc_id, start, stop (starts of the windows), piece; without a piece, windows known to repeat earlier ones."""
+    names = ["key", "doc_id", "start", "stop", "piece"]
+    held: list[tuple[int, bytes, list[int]]] = []
+    size = 0
 
     def out() -> pa.RecordBatch:
-        k, d, a, o = np.concatenate(key), np.concatenate(doc), np.concatenate(at), np.concatenate(own)
-        order, head = by_key(k, d, a)
-        k, d, a, o = k[order], d[order], a[order], o[order]
-        suffix = [b" ".join(texts[t][s : s + least]) for t, s in zip(o[head].tolist(), a[head].tolist(), strict=True)]
-        rd, ra, rk = d[~head], a[~head], k[~head]
-        order = np.lexsort((ra, rd))
-        rd, ra, rk = rd[order], ra[order], rk[order]
-        edge = np.flatnonzero(np.concatenate(([True], (rd[1:] != rd[:-1]) | (ra[1:] > ra[:-1] + 1)))) if len(rd) else np.empty(0, np.int64)
-        last = np.append(edge[1:], len(rd)) - 1 if len(rd) else edge
-        # runs that are known need no order: a hash spreads them over the ranges
-        spread = [xxhash.xxh3_64_digest(int(x).to_bytes(8, "little")) for x in rk[edge].tolist()]
-        cols = [
-            pa.array(suffix + spread, pa.binary()), pa.array(np.concatenate([d[head], rd[edge]])), pa.array(np.concatenate([a[head], ra[edge]]).astype(np.int32)),
-            pa.array(np.concatenate([a[head] + 1, ra[last] + 1]).astype(np.int32)), pa.array(np.concatenate([np.zeros(len(suffix), bool), np.ones(len(edge), bool)])),
-        ]
-        return pa.RecordBatch.from_arrays(cols, names=names)
-
-    for b in batches:
-        for i, text, places in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-            if places[0] == WHOLE:
-                continue
+        seen: dict[bytes, tuple[int, int]] = {}
+        made = []
+        for i, text, places in sorted(held, key=lambda x: x[0]):
             words = text.split()
-            if len(words) < least:
-                continue
             hashes = word_hashes(words)
-            _, chosen = anchors(hashes, least)
+            grams, chosen = anchors(hashes, least)
             again = np.zeros(len(hashes), bool)
             again[places] = True
             starts = np.flatnonzero(again[chosen])
-            key.append(sequence_hashes(hashes, least)[starts])
-            doc.append(np.full(len(starts), i, np.int64))
-            at.append(starts)
-            own.append(np.full(len(starts), len(texts), np.int64))
-            texts.append(words)
-            size += len(text)
-            if size > GATHER // 4:
+            if not len(starts):
+                continue
+            own = chosen[starts]
+            edge = np.flatnonzero(np.concatenate(([True], (starts[1:] != starts[:-1] + 1) | (own[1:] != own[:-1]))))
+            plain = b" ".join(words)
+            at = np.concatenate(([0], np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)))
+            a, z = starts[edge], starts[np.append(edge[1:], len(starts)) - 1] + 1
+            for key, s, e, lo, hi in zip(grams[own[edge]].view(np.int64).tolist(), a.tolist(), z.tolist(), at[a].tolist(), (at[z + least - 1] - 1).tolist(), strict=True):
+                piece = plain[lo:hi]
+                if piece in seen:
+                    if seen[piece] != (i, s):
+                        made.append((xxhash.xxh3_64_intdigest(piece, seed=s) >> 1, i, s, e, None))
+                else:
+                    seen[piece] = (i, s)
+                    made.append((key, i, s, e, piece))
+        types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array([m[k] for m in made], t) for k, t in enumerate(types)], names=names)
+
+    for b in batches:
+        for i, text, places in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+            if places[0] != WHOLE:
+                held.append((i, text, places))
+                size += len(text)
+            if size > GATHER:
                 yield out()
-                texts = []
-                key, doc, at, own, size = [], [], [], [], 0
-    if key:
+                held.clear()
+                size = 0
+    if held:
         yield out()
 
 
+Suffix = tuple[bytes, int, int]
+
+
+def prefix_groups(suffixes: list[Suffix], least: int, depth: int = 0) -> Iterator[list[Suffix]]:
+    """Split by the first word, the second and so on, until groups are small or the prefix is least words long."""
+    if len(suffixes) <= GROUP or depth == least:
+        yield suffixes
+        return
+    groups: dict[bytes, list[Suffix]] = {}
+    for x in suffixes:
+        groups.setdefault(x[0].split(b" ", depth + 1)[depth], []).append(x)
+    for g in groups.values():
+        yield from prefix_groups(g, least, depth + 1)
+
+
 def common_words(a: bytes, b: bytes) -> int:
     """Words that two suffixes share at the start: the depth of the tree's node between them."""
     if a == b:
@@ -197,22 +212,65 @@ def common_words(a: bytes, b: bytes) -> int:
     return n
 
 
-def deep_leaves(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
-    """doc_id, start, stop of all leaves but the first below each node of `least` words or more. Rows come sorted by suffix, document and start."""
-    before, first = None, None
-    for b in batches:
-        suffix, doc, start, stop, known = (b.column(i).to_pylist() for i in range(5))
-        keep = []
-        for i, s in enumerate(suffix):
-            if known[i]:
-                keep.append(i)
-            elif before is not None and s == before and common_words(s, before) >= least:
-                if (doc[i], start[i]) != first:
-                    keep.append(i)
+def later_leaves(suffixes: list[Suffix], least: int) -> list[tuple[int, int]]:
+    """(document, start) of all leaves but the first below each node of least words or more."""
+    out = []
+    for group in prefix_groups(suffixes, least):
+        group.sort()
+        before, first = None, None
+        for s, doc, start in group:
+            # suffixes end after least words: only equal ones have a node that deep above them
+            if before is not None and s == before and common_words(s, before) >= least:
+                if (doc, start) != first:
+                    out.append((doc, start))
+            else:
+                before, first = s, (doc, start)
+    return out
+
+
+def walked(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """doc_id, start, stop of windows that repeat earlier ones. Rows come sorted by key."""
+    names = ["doc_id", "start", "stop"]
+    key, pieces = None, []
+
+    def close(pieces: list[tuple[int, int, bytes]]) -> list[tuple[int, int, int]]:
+        if len(pieces) < 2 and (not pieces or pieces[0][2].count(b" ") < least):
+            return []
+        suffixes = []
+        for doc, start, piece in pieces:
+            words = piece.split(b" ")
+            at = 0
+            ends = []
+            for w in words:
+                at += len(w) + 1
+                ends.append(at)
+            lo = 0
+            for k in range(len(words) - least + 1):
+                suffixes.append((piece[lo : ends[k + least - 1] - 1], doc, start + k))
+                lo = ends[k]
+        runs: list[list[int]] = []
+        for doc, start in sorted(later_leaves(suffixes, least)):
+            if runs and runs[-1][0] == doc and runs[-1][2] >= start:
+                runs[-1][2] = start + 1
             else:
-                before, first = s, (doc[i], start[i])
-        at = pa.array(keep, pa.int64())
-        yield pa.RecordBatch.from_arrays([b.column(i).take(at) for i in (1, 2, 3)], names=["doc_id", "start", "stop"])
+                runs.append([doc, start, start + 1])
+        return runs
+
+    def batch(rows: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int32(), pa.int32()))], names=names)
+
+    for b in batches:
+        rows = []
+        for k, doc, start, stop, piece in zip(*(b.column(i).to_pylist() for i in range(5)), strict=True):
+            if piece is None:
+                rows.append((doc, start, stop))
+                continue
+            if k != key:
+                rows += close(pieces)
+                key, pieces = k, []
+            pieces.append((doc, start, piece))
+        yield batch(rows)
+    yield batch(close(pieces))
 
 
 def removed(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
@@ -256,9 +314,8 @@ def dedup_substrings(docs: DataFrame, least: int = 20, id_col: str = "doc_id", t
     places = met.mapInArrow(repeated_places, "doc_id long, at int").groupBy("doc_id").agg(F.sort_array(F.collect_set("at")).alias("places"))
     places = written(places, "anchors")
     doubtful = own.join(places, "doc_id")
-    suffixes = doubtful.select("doc_id", "text", "places").mapInArrow(lambda x: suffix_rows(x, least), "suffix binary, doc_id long, start int, stop int, known boolean")
-    sorted_ = suffixes.repartitionByRange("suffix").sortWithinPartitions("suffix", "doc_id", "start")
-    repeats = sorted_.mapInArrow(lambda x: deep_leaves(x, least), "doc_id long, start int, stop int")
+    pieces = doubtful.select("doc_id", "text", "places").mapInArrow(lambda x: piece_rows(x, least), "key long, doc_id long, start int, stop int, piece binary")
+    repeats = pieces.repartition("key").sortWithinPartitions("key").mapInArrow(lambda x: walked(x, least), "doc_id long, start int, stop int")
     runs = repeats.groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop")).alias("runs"))
     last = own.join(places.select("doc_id", (F.col("places")[0] == WHOLE).alias("copy")), "doc_id", "left").join(runs, "doc_id", "left")
     return last.select("doc_id", "text", "copy", "runs").mapInArrow(lambda x: removed(x, least), "doc_id long, n_words long, n_removed long, kept binary, repeats array<struct<start:int,stop:int>>")
