@@ -8,6 +8,13 @@ from pyspark.sql import functions as F
 from tidemark.llm.work import written
 
 
+def small_star(edges: DataFrame) -> DataFrame:
+    """Links (a, b), a > b: every node's neighbours below it, and the node, go to the smallest of them."""
+    low = edges.groupBy("a").agg(F.min("b").alias("m"))
+    moved = edges.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
+    return moved.unionByName(low.select("a", F.col("m").alias("b"))).distinct()
+
+
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     """node, component (its smallest reachable node) of all nodes of links (a, b).
 
@@ -16,14 +23,13 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     is written to the shared folder. Hot nodes need one row for each link, split by aggregation before the shuffle.
     """
     edges = written(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct(), "links")
+    edges = written(small_star(edges), "links")  # first, as it leaves about one link for each node
     before = None
     for _ in range(rounds):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(low, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").unionByName(low.select("a", F.col("m").alias("b")))
-        edges = written(small.distinct(), "links")
+        edges = written(small_star(large), "links")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(now) == before:
             break

@@ -194,6 +194,15 @@ def bucket_links(keys: np.ndarray, codes: np.ndarray, nodes: np.ndarray, radius:
     return hi[lo != hi], lo[lo != hi]
 
 
+def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One link for each node but the smallest of every component that links (a, b) make."""
+    nodes, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+    sets = Sets(len(nodes))
+    sets.join(place[: len(a)], place[len(a) :])
+    root = nodes[sets.roots()] if len(nodes) else nodes
+    return nodes[nodes != root], root[nodes != root]
+
+
 def links(distinct: DataFrame, radius: int) -> DataFrame:
     """Links (a, b), a > b, between rows (fp, node) of distinct fingerprints: enough of them to connect all components."""
     n = distinct.count()
@@ -205,7 +214,7 @@ def links(distinct: DataFrame, radius: int) -> DataFrame:
 
         def out() -> pa.RecordBatch:
             t = pa.Table.from_batches(held)
-            a, b = bucket_links(t.column(0).to_numpy(), t.column(1).to_numpy().view(np.uint64), t.column(2).to_numpy(), radius)
+            a, b = forest(*bucket_links(t.column(0).to_numpy(), t.column(1).to_numpy().view(np.uint64), t.column(2).to_numpy(), radius))
             return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
         for batch in batches:  # sorted by bucket: hand over what is complete
@@ -260,14 +269,15 @@ def similar(a: bytes, b: bytes, shingle: int) -> float:
     return both / (len(x) + len(y) - both)
 
 
-def drop_near_duplicates(docs: DataFrame, radius: int = 9, shingle: int = 5, similarity: float = 0.8, rounds: int = 6, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, radius: int = 9, shingle: int = 5, similarity: float = 0.8, rounds: int = 6, print_words: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The ids (doc_id) of documents that go: those near a document that stays, which is the smallest id of its group.
 
-    Groups come from SimHash components (radius 9: the distance that a Jaccard similarity of 0.8 has on average), so that
-    only fingerprints cross the network for all documents. In each component the smallest id stays, and the documents whose exact
+    Groups come from SimHash components, so that only fingerprints cross the network for all documents. Their fingerprints are of
+    shorter shingles (three words), which an edit changes less: of texts whose sets of five-word shingles are 0.8 similar, 97 of 100 pairs
+    lie within 9 bits. In each component the smallest id stays, and the documents whose exact
     similarity with it is enough go. What is left of the component goes through the same, at most `rounds` times; what then is left stays.
     """
-    groups = near_duplicates(docs, radius, shingle, id_col, text_col).filter("component_id is not null")
+    groups = near_duplicates(docs, radius, print_words, id_col, text_col).filter("component_id is not null")
     many = groups.groupBy("component_id").agg(F.countDistinct("doc_id").alias("n")).filter("n > 1").select("component_id")
     open_ = groups.join(many, "component_id").select("doc_id", "component_id")
     left = written(words_source(docs, id_col, text_col).join(open_, "doc_id").select("doc_id", "component_id", "text"), "simhash-groups")
