@@ -313,12 +313,14 @@ def dedup_substrings(docs: DataFrame, least: int = 20, id_col: str = "doc_id", t
     met = found.select("meet", "doc_id", "at", "known", "pass").repartition("meet").sortWithinPartitions("meet", "pass", "doc_id", "at")
     places = met.mapInArrow(repeated_places, "doc_id long, at int").groupBy("doc_id").agg(F.sort_array(F.collect_set("at")).alias("places"))
     places = written(places, "anchors")
-    doubtful = own.join(places, "doc_id")
+    doubtful = named.join(places, "doc_id")
     pieces = doubtful.select("doc_id", "text", "places").mapInArrow(lambda x: piece_rows(x, least), "key long, doc_id long, start int, stop int, piece binary")
     repeats = pieces.repartition("key").sortWithinPartitions("key").mapInArrow(lambda x: walked(x, least), "doc_id long, start int, stop int")
     runs = repeats.groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop")).alias("runs"))
-    last = own.join(places.select("doc_id", (F.col("places")[0] == WHOLE).alias("copy")), "doc_id", "left").join(runs, "doc_id", "left")
-    return last.select("doc_id", "text", "copy", "runs").mapInArrow(lambda x: removed(x, least), "doc_id long, n_words long, n_removed long, kept binary, repeats array<struct<start:int,stop:int>>")
+    # the same rows and columns as above, so that Spark shuffles the texts once for both joins
+    last = named.join(places.select("doc_id", (F.col("places")[0] == WHOLE).alias("copy")), "doc_id", "left").join(runs, "doc_id", "left").select("doc_id", "text", "copy", "runs")
+    nameless = own.filter("doc_id is null").select("doc_id", "text", F.lit(False).alias("copy"), F.lit(None).cast("array<struct<start:int,stop:int>>").alias("runs"))
+    return last.unionByName(nameless).mapInArrow(lambda x: removed(x, least), "doc_id long, n_words long, n_removed long, kept binary, repeats array<struct<start:int,stop:int>>")
 
 
 #: The same result by comparing all windows of 20 words, for DuckDB.

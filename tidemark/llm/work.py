@@ -43,7 +43,9 @@ def text_or_empty(name: str = "text") -> Column:
 
 def words_source(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the id and the text as UTF-8 bytes, under fixed names: other columns never reach Python."""
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).cast("binary").alias("text"))
+    # a plain column where it is one: Spark shares a shuffle only between plans that are the same in every alias
+    plain = id_col == "doc_id" and dict(docs.dtypes)[id_col] == "bigint"
+    return docs.select(F.col(id_col) if plain else F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).cast("binary").alias("text"))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
