@@ -56,7 +56,8 @@ def fingerprints(docs: DataFrame, run: int) -> DataFrame:
 def repeated_runs(docs: DataFrame, run: int = RUN) -> DataFrame:
     """doc_id, q: every start of a run of lines that also starts earlier."""
     places = written(fingerprints(docs, run), "line-places")
-    again = places.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
+    # written, so that both sides of the joins below are plain shuffles, which Spark can split at a hot line
+    again = written(places.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h"), "line-repeats")
     joined = places.join(again, "h", "left_semi")
     runs = F.transform(
         sequence_or_none(F.lit(0), F.size("around") - run),
@@ -64,7 +65,7 @@ def repeated_runs(docs: DataFrame, run: int = RUN) -> DataFrame:
     )
     extended = joined.select("doc_id", F.explode(runs).alias("x")).select("doc_id", "x.q", "x.r").distinct()
     extended = written(extended, "line-runs")
-    first = extended.groupBy("r").agg(F.min(F.struct("doc_id", "q")).alias("first"), F.count("*").alias("n")).filter("n > 1").select("r", "first")
+    first = written(extended.groupBy("r").agg(F.min(F.struct("doc_id", "q")).alias("first"), F.count("*").alias("n")).filter("n > 1").select("r", "first"), "line-first")
     return extended.join(first, "r").filter(F.struct("doc_id", "q") > F.col("first")).select("doc_id", "q")
 
 
