@@ -289,7 +289,7 @@ def drop_near_duplicates(docs: DataFrame, radius: int = 9, shingle: int = 5, sim
 
     gone = None
     for _ in range(rounds):
-        heads = left.groupBy("component_id").agg(F.min_by("text", "doc_id").alias("head"), F.min("doc_id").alias("head_id"))
+        heads = written(left.groupBy("component_id").agg(F.min_by("text", "doc_id").alias("head"), F.min("doc_id").alias("head_id")), "simhash-heads")
         met = left.join(heads, "component_id").filter("doc_id <> head_id").select("doc_id", "component_id", "text", "head")
         judged = written(met.mapInArrow(run, "doc_id long, component_id long, near boolean"), "simhash-judged")
         near = judged.filter("near").select("doc_id")
