@@ -317,6 +317,47 @@ def test_near_duplicates_dropped(docs):
     assert {ids[16], ids[17], 1000} <= gone  # exact copies
 
 
+def greedy(rows_, least=0.8):
+    kept = []
+    for i, t in sorted(rows_):
+        if not any(simhash.similar(t.encode(), x.encode(), 5) >= least for _, x in kept):
+            kept.append((i, t))
+    return {i for i, _ in kept}
+
+
+@pytest.mark.parametrize("task_rows", [256, 8])
+def test_near_duplicates_leave_no_pair(spark, monkeypatch, task_rows):
+    """One SimHash component of many texts that differ: more of them than any fixed number of rounds settles."""
+    r = random.Random(11)
+    base = [f"w{r.randrange(900)}" for _ in range(60)]
+    kinds = []
+    for _ in range(14):  # half of the words in common: all far from each other
+        kinds.append([w if k % 2 else f"v{r.randrange(900)}" for k, w in enumerate(base)])
+    texts = [" ".join(x) for x in kinds]
+    for x in kinds:  # copies and near copies, all after the heads
+        texts += [" ".join(x), " ".join(x[:-1]), " ".join([*x, "end"])]
+    rows_ = list(enumerate(texts))
+    want = {i for i, _ in rows_} - greedy(rows_)
+    assert len(want) == 42
+    monkeypatch.setattr(simhash, "near_duplicates", lambda docs, *a: docs.select("doc_id", F.lit(0).cast("long").alias("component_id")))
+    df = spark.createDataFrame(rows_, "doc_id long, text string").repartition(3)
+    out = simhash.drop_near_duplicates(df) if task_rows == 256 else simhash.drop_near_duplicates(df, task_rows=task_rows)
+    assert {x.doc_id for x in out.collect()} == want
+
+
+def test_prefix_keys_meet():
+    r = random.Random(12)
+    near = 0
+    for _ in range(600):
+        a = [f"w{r.randrange(50)}" for _ in range(r.randrange(0, 90))]
+        b = [w for w in a if r.random() > 0.02] + ["z"] * r.randrange(0, 3)
+        a, b = " ".join(a).encode(), " ".join(b).encode()
+        if simhash.similar(a, b, 5) >= 0.8:
+            near += 1
+            assert set(simhash.prefix_keys(a, 5, 0.8)) & set(simhash.prefix_keys(b, 5, 0.8))
+    assert near > 100
+
+
 def test_crf_against_enumeration():
     r = np.random.default_rng(3)
     sizes = np.array([1, 4, 2, 6])

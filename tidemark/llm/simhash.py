@@ -19,13 +19,14 @@ not looked at.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.graph import components
@@ -34,6 +35,8 @@ from tidemark.llm.work import bounded_batches, words_source, written
 SEED = 42
 #: Fingerprints in a bucket, about; members of a node of the index; pairs compared at a time.
 TARGET, FANOUT, PAIRS = 256, 8, 1 << 18
+#: Bytes of text in a group that one task settles.
+TASK_BYTES = 16 << 20
 
 
 def fingerprint(text: bytes, shingle: int) -> int:
@@ -257,45 +260,137 @@ def near_duplicates(docs: DataFrame, radius: int = 4, shingle: int = 4, id_col:
 
 def similar(a: bytes, b: bytes, shingle: int) -> float:
     """Jaccard similarity of the shingle sets; 1 for two texts without words."""
-
-    def bag(text: bytes) -> set[tuple[bytes, ...]]:
-        words = text.lower().split()
-        return set(zip(*(words[i:] for i in range(shingle)))) if len(words) > shingle else {tuple(words)}
-
     if a == b:
         return 1.0
-    x, y = bag(a), bag(b)
+    x, y = shingles(a, shingle), shingles(b, shingle)
     both = len(x & y)
     return both / (len(x) + len(y) - both)
 
 
-def drop_near_duplicates(docs: DataFrame, radius: int = 9, shingle: int = 5, similarity: float = 0.8, rounds: int = 6, print_words: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The ids (doc_id) of documents that go: those near a document that stays, which is the smallest id of its group.
+def shingles(text: bytes, shingle: int) -> set[tuple[bytes, ...]]:
+    words = text.lower().split()
+    return set(zip(*(words[i:] for i in range(shingle)))) if len(words) > shingle else {tuple(words)}
+
+
+def prefix_keys(text: bytes, shingle: int, similarity: float) -> list[int]:
+    """The smallest hashes of a text's shingles, so many that two texts with that similarity always share one."""
+    hashes = sorted({xxhash.xxh64_intdigest(b" ".join(x), SEED) for x in shingles(text, shingle)})
+    return hashes[: len(hashes) - math.ceil(similarity * len(hashes) - 1e-6) + 1]
+
+
+def settle(ids: list[int], texts: list[bytes], shingle: int, similarity: float) -> list[bool]:
+    """Which rows of one group (sorted by id) go: those near a row of a smaller id that stays. Rows that share an id go together."""
+    kept: dict[int, list[int]] = {}  # key: rows that stay
+    out = [False] * len(ids)
+    at = 0
+    while at < len(ids):
+        stop = next((k for k in range(at, len(ids)) if ids[k] != ids[at]), len(ids))
+        keys = [prefix_keys(texts[k], shingle, similarity) for k in range(at, stop)]
+        met = {(k, h) for k, own in zip(range(at, stop), keys, strict=True) for x in own for h in kept.get(x, ())}
+        if any(similar(texts[k], texts[h], shingle) >= similarity for k, h in sorted(met)):
+            out[at:stop] = [True] * (stop - at)
+        else:
+            for k, own in zip(range(at, stop), keys, strict=True):
+                for x in own:
+                    kept.setdefault(x, []).append(k)
+        at = stop
+    return out
+
+
+def settled(rows: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """doc_id, component_id, near (whether it goes) of rows (doc_id, component_id, text) in groups that fit a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids: list[int] = []
+        texts: list[bytes] = []
+        group = None
+
+        def out() -> pa.RecordBatch:
+            near = settle(ids, texts, shingle, similarity)
+            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([group] * len(ids), pa.int64()), pa.array(near, pa.bool_())], names=["doc_id", "component_id", "near"])
+
+        for b in batches:
+            for i, c, text in zip(*(x.to_pylist() for x in b.columns), strict=True):
+                if c != group and ids:
+                    yield out()
+                    ids, texts = [], []
+                group = c
+                ids.append(i)
+                texts.append(text)
+        if ids:
+            yield out()
+
+    dealt = rows.select("doc_id", "component_id", "text").repartition("component_id").sortWithinPartitions("component_id", "doc_id")
+    return dealt.mapInArrow(run, "doc_id long, component_id long, near boolean")
+
+
+def keyed(rows: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """doc_id, component_id, key: the prefix keys of rows (doc_id, component_id, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keys = [np.array(prefix_keys(x, shingle, similarity), np.uint64).view(np.int64) for x in b.column(2).to_pylist()]
+            take = pa.array(np.repeat(np.arange(len(keys)), [len(x) for x in keys]))
+            yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), pa.array(np.concatenate(keys) if keys else [], pa.int64())], names=["doc_id", "component_id", "key"])
+
+    return rows.select("doc_id", "component_id", "text").mapInArrow(run, "doc_id long, component_id long, key long")
+
+
+def without_copies(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows less those whose text has a smaller id in their component, and the ids of the latter. Ids with several texts are left alone."""
+    digests = written(rows.select("doc_id", "component_id", F.sha2("text", 256).alias("digest")), "simhash-digests")
+    several = digests.groupBy("doc_id").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi")).filter("lo < hi").select("doc_id")
+    single = digests.join(several, "doc_id", "left_anti")
+    first = written(single.groupBy("component_id", "digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last"), "simhash-copied")
+    copies = written(single.join(first, ["component_id", "digest"]).filter("doc_id > first").select("doc_id").distinct(), "simhash-copies")
+    return rows.join(copies, "doc_id", "left_anti"), copies
+
+
+def drop_near_duplicates(docs: DataFrame, radius: int = 9, shingle: int = 5, similarity: float = 0.8, print_words: int = 3, id_col: str = "doc_id", text_col: str = "text", task_rows: int = 256) -> DataFrame:
+    """The ids (doc_id) of documents that go: those near a document of a smaller id, of the same group, that stays.
 
     Groups come from SimHash components, so that only fingerprints cross the network for all documents. Their fingerprints are of
     shorter shingles (three words), which an edit changes less: of texts whose sets of five-word shingles are 0.8 similar, 97 of 100 pairs
-    lie within 9 bits. In each component the smallest id stays, and the documents whose exact
-    similarity with it is enough go. What is left of the component goes through the same, at most `rounds` times; what then is left stays.
+    lie within 9 bits. Equal texts go first. A component of at most task_rows rows is then settled in one task, in the order of ids. Of a larger one the
+    first task_rows / 2 ids are, and the others are compared with those of them that stay and share a prefix key, which every
+    pair that is similar enough does. What is left is split into groups that are linked by prefix keys, and goes through the same, until nothing is left.
     """
     groups = near_duplicates(docs, radius, print_words, id_col, text_col).filter("component_id is not null")
     many = groups.groupBy("component_id").agg(F.countDistinct("doc_id").alias("n")).filter("n > 1").select("component_id")
-    open_ = groups.join(many, "component_id").select("doc_id", "component_id")
+    open_ = groups.join(many, "component_id").select("doc_id", "component_id").distinct()
     left = written(words_source(docs, id_col, text_col).join(open_, "doc_id").select("doc_id", "component_id", "text"), "simhash-groups")
+    left, gone = without_copies(left)
+    left = written(left, "simhash-groups")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            near = [similar(x, y, shingle) >= similarity for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(near, pa.bool_())], names=["doc_id", "component_id", "near"])
-
-    gone = None
-    for _ in range(rounds):
-        heads = written(left.groupBy("component_id").agg(F.min_by("text", "doc_id").alias("head"), F.min("doc_id").alias("head_id")), "simhash-heads")
-        met = left.join(heads, "component_id").filter("doc_id <> head_id").select("doc_id", "component_id", "text", "head")
-        judged = written(met.mapInArrow(run, "doc_id long, component_id long, near boolean"), "simhash-judged")
-        near = judged.filter("near").select("doc_id")
-        gone = near if gone is None else gone.unionByName(near)
-        far = judged.filter("not near").select("doc_id").distinct()
-        if far.isEmpty():
-            break
-        left = written(left.join(far, "doc_id", "left_semi"), "simhash-groups")
-    return gone.distinct()
+            near = [similar(x, y, shingle) >= similarity for x, y in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(near, pa.bool_())], names=["doc_id", "near"])
+
+    while True:
+        sizes = left.groupBy("component_id").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("bytes"))
+        sizes = written(sizes.select("component_id", ((F.col("n") <= task_rows) & (F.col("bytes") <= TASK_BYTES)).alias("small")), "simhash-sizes")
+        whole = left.join(sizes.filter("small"), "component_id", "left_semi")
+        gone = gone.unionByName(written(settled(whole, shingle, similarity).filter("near").select("doc_id"), "simhash-near"))
+        if sizes.filter("not small").isEmpty():
+            return gone.distinct()
+        large = written(left.join(sizes.filter("not small"), "component_id", "left_semi"), "simhash-large")
+        # Spark keeps only the first rows of each task before this shuffle
+        place = F.row_number().over(Window.partitionBy("component_id").orderBy("doc_id"))
+        front = written(large.select("doc_id", "component_id").distinct().withColumn("place", place).filter(F.col("place") <= max(1, task_rows // 2)).select("doc_id"), "simhash-front")
+        judged = written(settled(large.join(front, "doc_id", "left_semi"), shingle, similarity), "simhash-judged")
+        gone = gone.unionByName(judged.filter("near").select("doc_id"))
+        keys = written(keyed(large, shingle, similarity), "simhash-keys")
+        heads = judged.filter("not near").select(F.col("doc_id").alias("head_id")).distinct()
+        head_keys = written(keys.withColumnRenamed("doc_id", "head_id").join(heads, "head_id", "left_semi"), "simhash-head-keys")
+        rest_keys = written(keys.join(front, "doc_id", "left_anti"), "simhash-rest-keys")
+        met = written(rest_keys.join(head_keys, ["component_id", "key"]).select("doc_id", "head_id").distinct(), "simhash-met")
+        texts = large.select("doc_id", "text")
+        pairs = met.join(texts.select(F.col("doc_id").alias("head_id"), F.col("text").alias("head")), "head_id").join(texts, "doc_id")
+        near = written(pairs.select("doc_id", "text", "head").mapInArrow(run, "doc_id long, near boolean").filter("near").select("doc_id").distinct(), "simhash-near")
+        gone = gone.unionByName(near)
+        rest_keys = written(rest_keys.join(near, "doc_id", "left_anti"), "simhash-rest-keys")
+        lowest = written(rest_keys.groupBy("component_id", "key").agg(F.min("doc_id").alias("low")), "simhash-lowest")
+        linked = rest_keys.join(lowest, ["component_id", "key"]).filter("low < doc_id").select(F.col("doc_id").alias("a"), F.col("low").alias("b")).distinct()
+        parts = components(linked).select(F.col("node").alias("doc_id"), F.col("component").alias("component_id"))
+        left = written(texts.join(parts, "doc_id").select("doc_id", "component_id", "text"), "simhash-groups")  # one with no link stays
