@@ -476,6 +476,18 @@ def test_token_counts(docs, empty):
     assert tokencount.count_tokens(empty, RANKS, P.PATTERN).count() == 0
 
 
+def test_token_counts_blanks(spark):
+    """Every short text of these characters, and lines of one blank."""
+    import itertools
+
+    import regex
+
+    texts = ["a\n \nb", "x\n \n\ny", "a\r\n \r\nb", *("".join(x) for n in range(6) for x in itertools.product("a \n\r\t!", repeat=n))]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    want = {i: len(regex.findall(P.PATTERN, t)) for i, t in enumerate(texts)}
+    assert {r.doc_id: r.n_pretokens for r in tokencount.count_tokens(df, RANKS, P.PATTERN).collect()} == want
+
+
 def test_language_model(docs, empty):
     out = lm.score_documents(docs).collect()
     fold = lambda i: zlib.crc32(str(i).encode()) % 7

@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.work import bounded_batches, text_or_empty
 
 MEMO = 300_000
-#: Where cutting at every blank would cut inside a match: two blanks in one run of white space, or one that ends the text after others.
-RUNS = re.compile(r" \s* |\s \Z")
+#: Where cutting at every blank would cut inside a match: two blanks in one run of white space, or one after other white space that more of it, or the end, follows.
+RUNS = re.compile(r" \s* |\s \s|\s \Z")
 
 
 @lru_cache(maxsize=2)
