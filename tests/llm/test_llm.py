@@ -504,6 +504,16 @@ def test_language_model(docs, empty):
     assert lm.score_documents(empty).count() == 0
 
 
+def test_language_model_learns_from_all(spark, monkeypatch):
+    """However large the corpus is, every training document reaches the trainers."""
+    seen = []
+    monkeypatch.setattr(lm, "written", lambda df, name: seen.append(df.count()) or df)
+    docs_ = spark.createDataFrame([(i, bytearray(b"a b c")) for i in range(60)], "doc_id long, text binary")
+    one = np.sort(np.array([xxhash.xxh3_64_intdigest(x) for x in (b"a", b"b", b"c")], np.uint64))
+    lm.train(docs_, gru.Vocabulary(one, np.arange(3), np.array([60, 60, 60]), 80_000_000, 1000))
+    assert seen == [60]
+
+
 def small_vocabulary(seed=4, n=700):
     r = np.random.default_rng(seed)
     hashes = np.sort(r.integers(0, 2**63, n, dtype=np.uint64))

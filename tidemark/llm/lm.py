@@ -7,9 +7,8 @@ class gives a word (c + 1) / (tokens + words + 1) of that class, with c its coun
 
 Scale: counts are summed on the executors before and after a shuffle. The vocabulary of the head and middle classes goes
 to all executors: at most KNOWN words, seen at least SEEN times. Other words of a document meet their counts by a
-join; none of them is frequent, so no key of it is hot. The model learns from a hash sample of training documents, whose size
-follows the corpus (SHARE of all tokens, FEWEST at least): TRAINERS or more tasks pass over their parts in ROUNDS
-rounds, and the weights are averaged after each.
+join; none of them is frequent, so no key of it is hot. The model learns from all training documents, once each: TRAINERS or more tasks
+pass over their parts in ROUNDS rounds, and the weights are averaged after each.
 
 Defined results: a null text counts as the empty text, with one token, the end. A null id has no fold: its row is scored and not learnt
 from, and held_out is null. Repeated rows are scored each. Without training documents all tokens are unknown and base_score is 0
@@ -30,7 +29,7 @@ from tidemark.llm import gru
 from tidemark.llm.work import bounded_batches, text_or_empty, written
 
 KNOWN, SEEN = 200_000, 3
-HIDDEN, SHARE, FEWEST, ROUNDS, TRAINERS, MOST_TRAINERS = 16, 0.05, 3_000_000, 4, 4, 64
+HIDDEN, ROUNDS, TRAINERS, MOST_TRAINERS = 16, 4, 4, 64
 TRAINER_TOKENS = 5_000_000
 GATHER, SCORE_GATHER = 8 << 20, 3 << 20
 END = xxhash.xxh3_64_intdigest(b"\n")  # no word has a line end
@@ -89,18 +88,16 @@ def train(docs: DataFrame, words: gru.Vocabulary, seed: int = 7) -> bytes:
     weights = gru.pack(gru.start_weights(words, HIDDEN, seed))
     if not words.total:
         return weights
-    share = min(1.0, max(SHARE, FEWEST / words.total))
-    part = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(seed)), F.lit(1_000_000))
-    trainers = int(min(MOST_TRAINERS, max(TRAINERS, share * words.total / ROUNDS / TRAINER_TOKENS)))
+    trainers = int(min(MOST_TRAINERS, max(TRAINERS, words.total / ROUNDS / TRAINER_TOKENS)))
 
     def ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for held, hashed in gathered(batches):
             ids_ = pa.array([words.ids(h).astype("<i4").tobytes() for h in hashed], pa.binary())
             yield pa.RecordBatch.from_arrays([pa.concat_arrays([b.column(0) for b in held]), ids_], names=["doc_id", "ids"])
 
-    sample = docs.filter(part < int(share * 1_000_000)).mapInArrow(ids, "doc_id long, ids binary")
+    learnt = docs.mapInArrow(ids, "doc_id long, ids binary")
     mixed = F.xxhash64(F.col("doc_id"), F.lit(seed + 1))
-    sample = written(sample.withColumn("round", F.pmod(mixed, F.lit(ROUNDS)).cast("int")).withColumn("trainer", F.pmod(F.shiftright(mixed, 8), F.lit(trainers)).cast("int")), "gru-sample")
+    learnt = written(learnt.withColumn("round", F.pmod(mixed, F.lit(ROUNDS)).cast("int")).withColumn("trainer", F.pmod(F.shiftright(mixed, 8), F.lit(trainers)).cast("int")), "gru-learnt")
     for r in range(ROUNDS):
         now = gru.unpack(weights, HIDDEN)
 
@@ -117,7 +114,7 @@ def train(docs: DataFrame, words: gru.Vocabulary, seed: int = 7) -> bytes:
             if seen + n:
                 yield pa.RecordBatch.from_arrays([pa.array([gru.pack(w)], pa.binary()), pa.array([seen + n], pa.int64())], names=["weights", "n"])
 
-        mine = sample.filter(F.col("round") == r).repartition(trainers, "trainer").sortWithinPartitions("trainer", "doc_id", "ids").select("ids")
+        mine = learnt.filter(F.col("round") == r).repartition(trainers, "trainer").sortWithinPartitions("trainer", "doc_id", "ids").select("ids")
         done = mine.mapInArrow(run, "weights binary, n long").toArrow()
         if done.num_rows:
             n = np.array(done.column(1).to_pylist(), np.float64)
