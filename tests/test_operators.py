@@ -108,3 +108,9 @@ def test_masks(spark):
     df = spark.createDataFrame([("Jane ok", "[NAME] ok"), ("a\r\nb", "a\nb"), ("same", "same"), ("x 12 y", "x  y"), (None, None)], "a string, b string")
     out = [(r.m, r.t) for r in df.withColumn("m", redaction.redaction_mask(F.col("a"), F.col("b"))).withColumn("t", redaction.placeholder(F.col("a"), F.col("m"))).collect()]
     assert out[0][1].endswith(" ok") and "[NAME]" in out[0][1] and sum(out[1][0]) == 0 and out[2] == ([0, 0, 0, 0], "same") and out[3][1] == "x 12 y"
+
+
+def test_first_peak_takes_all_recordings(spark):
+    from tidemark import queries
+
+    assert queries.QUERIES["N12_first_peak"](spark, "/root/testdata/sf0.001").filter("rec >= 8").count() > 0

@@ -563,7 +563,7 @@ register(
     "F20_apply_labels", lambda s, d: rd.apply_labels(_CHAN(s, d), _CHAN(s, d).select("rec").distinct().selectExpr("rec", "explode(sequence(1, 10)) as place").selectExpr("rec", "place", "concat('L', place) as label")), [],
     "SELECT p_size::bigint AS rec, p_partkey AS idx, CASE WHEN p_partkey % 6 = 0 THEN 'Pr' WHEN k <= 10 THEN 'L' || k ELSE 'C' || k END AS label FROM (SELECT *, row_number() OVER (PARTITION BY p_size, p_partkey % 6 = 0 ORDER BY p_partkey) AS k FROM part)",
 )
-register("N12_first_peak", lambda s, d: sg.first_peak(sg.epoch_events(v.samples(s, d), _EV(s, d).filter("rec < 8"), 5, 10), 0, 10, 2000.0))
+register("N12_first_peak", lambda s, d: sg.first_peak(sg.epoch_events(v.samples(s, d), _EV(s, d), 5, 10), 0, 10, 2000.0))
 register("R4_live_event_clean", lambda s, d: live.finished(live.clean_events(live.stream(s, d, "events"))).distinct(), [], "SELECT DISTINCT user_id AS subject, event_type || ' ' || props AS text FROM events")
 register("R5_live_coverage", lambda s, d: live.latest(live.finished(live.day_coverage(live.stream(s, d, "events")), "update"), ["subject", "day"]), [], "SELECT user_id AS subject, strftime(ts, '%Y-%m-%d') AS day, count(*) AS n, round(sum(value), 4) AS hours FROM events GROUP BY ALL")
 register("R7_event_sessions", lambda s, d: live.finished(live.event_sessions(live.stream(s, d, "events"))))
