@@ -24,14 +24,16 @@ from pyspark.sql import functions as F
 from tidemark.llm.work import bounded_batches, text_or_empty
 
 CHUNK = 1 << 16
-#: A space after an ASCII letter or digit starts a new match.
+#: Safe boundaries of the public pattern: a space after an ASCII letter or digit starts a new match. Another pattern needs its own, or None.
 WORD_END = re.compile(r"(?<=[0-9A-Za-z])(?= )")
+#: White space as the library's pattern engine has it: without U+001C to U+001F, which Python's \\s counts, too.
+BLANK = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 #: A long run of blanks: all but its last (all of it at the end of the text) is one match, too long for the library's
 #: pattern engine.
-LONG_BLANKS = re.compile(r"(?<!\s)[^\S\x1c-\x1f]{4096,}(?!\s)")
+LONG_BLANKS = re.compile(rf"(?<!{BLANK}){BLANK}{{4096,}}(?!{BLANK})")
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=8)
 def encoding(ranks_path: str, pattern: str):
     import tiktoken
 
@@ -40,40 +42,48 @@ def encoding(ranks_path: str, pattern: str):
     return tiktoken.Encoding("local-ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
-def cut(text: str, size: int) -> Iterator[str]:
+def whole(ranks_path: str):
+    """An encoding that takes any text as one match."""
+    return encoding(ranks_path, r"(?s).+")
+
+
+def cut(text: str, size: int, boundary: re.Pattern) -> Iterator[str]:
     """Cut at safe boundaries: a little over size characters each, or up to the next boundary there is."""
     start = 0
-    while len(text) - start > size and (m := WORD_END.search(text, start + size)):
+    while len(text) - start > size and (m := boundary.search(text, start + size)):
         yield text[start : m.start()]
         start = m.start()
     yield text[start:]
 
 
-def encode_text(text: str, ranks_path: str, pattern: str, size: int = CHUNK) -> list[int]:
+def encode_text(text: str, ranks_path: str, pattern: str, size: int = CHUNK, boundary: re.Pattern | None = WORD_END) -> list[int]:
     enc = encoding(ranks_path, pattern)
-    if len(text) <= min(size, 4096):
+    if len(text) <= min(size, 4096) or boundary is None:
         return enc.encode_ordinary(text)
     ids: list[int] = []
     start = 0
     for m in LONG_BLANKS.finditer(text):
-        for part in cut(text[start : m.start()], size):
+        for part in cut(text[start : m.start()], size, boundary):
             ids += enc.encode_ordinary(part)
         start = m.end() - (m.end() < len(text))
-        ids += enc._encode_single_piece(text[m.start() : start])
-    for part in cut(text[start:], size):
+        ids += whole(ranks_path).encode_ordinary(text[m.start() : start])
+    for part in cut(text[start:], size, boundary):
         ids += enc.encode_ordinary(part)
     return ids
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens, token_ids: the ids as little-endian unsigned 32-bit integers, as training loaders map them."""
+def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", boundary: re.Pattern | None = WORD_END) -> DataFrame:
+    """doc_id, n_tokens, token_ids: the ids as little-endian unsigned 32-bit integers, as training loaders map them.
+
+    boundary: empty matches where no match of the pattern can reach across; None for a pattern without any, whose texts then are never cut.
+    """
     bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n, packed = [], []
             for text in b.column(1).to_pylist():
-                ids = encode_text(text, ranks_path, pattern)
+                ids = encode_text(text, ranks_path, pattern, boundary=boundary)
                 n.append(len(ids))
                 packed.append(np.asarray(ids, dtype="<u4").tobytes())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(packed, pa.binary())], names=["doc_id", "n_tokens", "token_ids"])
