@@ -80,7 +80,11 @@ def test_bpe_cuts():
         assert bpe.encode_text(t, RANKS, P.PATTERN, 7) == enc.encode_ordinary(t)
     for t in ("a" + " " * 9000 + "b", "a" + "\n" * 5000, " " * 5000 + "\n!", "x\u2003" + " " * 6000 + "y"):
         assert bpe.encode_text(t, RANKS, P.PATTERN) == enc.encode_ordinary(t)
-    assert len(bpe.encode_text(" " * 2_000_000 + "x", RANKS, P.PATTERN)) > 1
+    for t in ("a\x1c" + " " * 6000 + "b", "a" + " " * 6000 + "\x1f" + " " * 5000 + "!", "a" + "\x85" * 5000 + "b", "\x1c" * 5000):
+        assert bpe.encode_text(t, RANKS, P.PATTERN) == enc.encode_ordinary(t)
+    for t in (" " * 2_000_000 + "x", "a\x1c" + " " * 1_000_000 + "b", "a" + " " * 1_000_000 + "\x1cb"):
+        assert enc.decode_bytes(bpe.encode_text(t, RANKS, P.PATTERN)) == t.encode()
+    assert bpe.encode_text("ab cd" * 3000, RANKS, r"(?s)..", boundary=None) == bpe.encoding(RANKS, r"(?s)..").encode_ordinary("ab cd" * 3000)
 
 
 def test_media(docs, empty):
@@ -102,6 +106,21 @@ def test_media_bad_files(spark):
     assert all(out[i].error and out[i].payload is None for i in (2, 4, 5, 6))
 
 
+def test_media_malformed_files():
+    good = jpeg.write(media.padded(b"hi"))
+    size = good.index(b"\xff\xc0") + 5
+    bad = [b"\xff\xd8\xff\xdd\x00\x02", b"\xff\xd8\xff\xc0\x00\x04\x08\x00", good[:size] + b"\xff" * 4 + good[size + 4 :]]
+    for x in bad:
+        assert media.described([good, x, None])[0][4] == media.padded(b"hi") and media.described([x])[0][5]
+    r = random.Random(8)
+    for n in range(len(good)):  # no cut or changed byte breaks the task
+        changed = bytearray(good)
+        changed[n] ^= r.randrange(1, 256)
+        assert len(media.described([good[:n], bytes(changed)])) == 2
+    long = bytes(r.randrange(256) for _ in range(576 * 2000))  # coded in slices
+    assert media.described([jpeg.write(long)])[0][4] == long
+
+
 def scalar_decode(data):
     """One symbol after the other, as the standard describes it, for one grey component."""
     head = jpeg.parse(data)

@@ -22,6 +22,7 @@ ZIGZAG = np.array([
     35, 42, 49, 56, 57, 50, 43, 36, 29, 22, 15, 23, 30, 37, 44, 51, 58, 59, 52, 45, 38, 31, 39, 46, 53, 60, 61, 54, 47, 55, 62, 63,
 ])
 UNIT = 576  # bytes of 3 x 3 blocks
+SLICE = 1 << 14  # blocks coded at a time
 QUANT = 4
 #: DHT bodies: code lengths 1 to 16, then symbols in code order. Category 8 comes first; then 0 (DC), end of block and
 #: sixteen zeros (AC).
@@ -42,25 +43,30 @@ def write(payload: bytes) -> bytes:
     down = -(-units // across)
     blocks = np.full((9 * across * down, 64), 255, np.uint8)
     blocks.reshape(-1)[: len(payload)] = np.frombuffer(payload, np.uint8)
-    bits = np.zeros((len(blocks), 64, 9), np.uint8)  # the code 0, then the byte
-    bits[:, :, 1:] = np.unpackbits(blocks, axis=1).reshape(-1, 64, 8)
-    coded = np.packbits(bits.reshape(len(blocks), -1), axis=1)
-    body = np.empty((len(blocks), 74), np.uint8)
-    body[:, :72] = coded
-    body[:, 72] = 0xFF
-    body[:, 73] = 0xD0 + np.arange(len(blocks)) % 8
-    stuffed = np.zeros(body.shape, bool)
-    stuffed[:, :72] = coded == 0xFF
-    flat = body.reshape(-1)[:-2]
-    extra = stuffed.reshape(-1)[:-2]
-    place = np.arange(len(flat)) + np.concatenate(([0], np.cumsum(extra[:-1])))
-    scan = np.zeros(len(flat) + int(extra.sum()), np.uint8)
-    scan[place] = flat
+    # blocks stand alone, so that a long payload is coded a slice at a time
+    scan = b"".join(coded(blocks[at : at + SLICE], at) for at in range(0, len(blocks), SLICE))[:-2]
     head = b"\xff\xd8" + segment(0xFE, b"payload %d" % len(payload)) + segment(0xDB, bytes([0]) + bytes([QUANT]) * 64)
     head += segment(0xC0, struct.pack(">BHHBBBB", 8, 24 * down, 24 * across, 1, 1, 0x11, 0))
     head += segment(0xC4, bytes([0x00]) + DC_TABLE) + segment(0xC4, bytes([0x10]) + AC_TABLE)
     head += segment(0xDD, struct.pack(">H", 1)) + segment(0xDA, bytes([1, 1, 0x00, 0, 63, 0]))
-    return head + scan.tobytes() + b"\xff\xd9"
+    return b"".join((head, scan, b"\xff\xd9"))
+
+
+def coded(blocks: np.ndarray, first: int) -> bytes:
+    """Entropy-coded blocks, each with the restart marker of its number after it."""
+    bits = np.zeros((len(blocks), 64, 9), np.uint8)  # the code 0, then the byte
+    bits[:, :, 1:] = np.unpackbits(blocks, axis=1).reshape(-1, 64, 8)
+    body = np.empty((len(blocks), 74), np.uint8)
+    body[:, :72] = np.packbits(bits.reshape(len(blocks), -1), axis=1)
+    body[:, 72] = 0xFF
+    body[:, 73] = 0xD0 + (first + np.arange(len(blocks))) % 8
+    stuffed = body == 0xFF
+    stuffed[:, 72:] = False
+    flat, extra = body.reshape(-1), stuffed.reshape(-1)
+    place = np.arange(len(flat)) + np.cumsum(extra) - extra
+    out = np.zeros(len(flat) + int(extra.sum()), np.uint8)
+    out[place] = flat
+    return out.tobytes()
 
 
 @dataclass
@@ -122,6 +128,11 @@ def parse(data: bytes) -> Header:
             head.scan = [(ids.index(body[1 + 2 * i]), body[2 + 2 * i] >> 4, body[2 + 2 * i] & 15) for i in range(body[0])]
             if len(head.scan) != len(head.components) or not head.scan or not head.width or not head.height:
                 raise ValueError("only files with one scan of all components")
+            if not all(1 <= c[1] <= 4 and 1 <= c[2] <= 4 for c in head.components):
+                raise ValueError("no such sampling")
+            across, down, order = layout(head)
+            if across * down * len(order) > 4 * (len(data) - at):  # a block takes two bits or more
+                raise ValueError("the scan is too short for this size")
             head.data_at = at
             return head
     raise ValueError("no scan")

@@ -7,6 +7,7 @@ media. A null or repeated id is returned as it is, one row for each row. Other c
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -18,6 +19,8 @@ from tidemark.llm.work import bounded_batches, words_source
 
 #: Bytes of files that are decoded in step.
 TOGETHER = 2 << 20
+#: What a malformed file can raise in the reader.
+BAD = (ValueError, IndexError, KeyError, ArithmeticError, struct.error)
 
 
 def padded(data: bytes) -> bytes:
@@ -45,6 +48,7 @@ def described(files: list[bytes | None]) -> list[tuple]:
     for i, x in enumerate(files):
         if x is not None:
             ready.append(i)
+
     def finish(i: int, head: jpeg.Header, coefs) -> None:
         pixels = jpeg.thumbnail(head, coefs)
         kept = jpeg.payload(head, coefs) if head.comment.startswith(b"payload ") else None
@@ -59,11 +63,11 @@ def described(files: list[bytes | None]) -> list[tuple]:
             try:
                 for k, (head, coefs) in zip(group, jpeg.read([files[k] for k in group]), strict=True):
                     finish(k, head, coefs)
-            except (ValueError, IndexError, KeyError):  # one bad file: find it by taking each alone
+            except BAD:  # one bad file: find it by taking each alone
                 for k in group:
                     try:
                         finish(k, *jpeg.read([files[k]])[0])
-                    except (ValueError, IndexError, KeyError) as e:
+                    except BAD as e:
                         out[k] = (*(None,) * 5, str(e) or type(e).__name__)
             group, size = [], 0
     return out
