@@ -4,13 +4,13 @@ The features of a line describe its bytes and words (shares of character kinds,
 beside those of the line before and after it. Forward-backward gives each line's marginal probability of being good;
 the document's score is the mean of the marginals, weighted by the lines' lengths.
 
-Training takes at most `most` labelled documents (4000; the first by a hash of their id), each of at most `most_lines` lines
-(300): a classifier's bounded sample. Their lines carry the document's label. The weights are fitted on the driver by
-gradient steps in numpy from the features that Spark has computed; scoring runs over all documents, whole texts.
+Training takes labelled documents in the order of a hash of their id, whole, until there are `most` of them (4000) or `most_lines`
+lines in all (200,000): a classifier's bounded sample. Their lines carry the document's label. The weights are fitted on the
+driver by gradient steps in numpy from the features that Spark has computed; scoring runs over all documents, whole texts.
 
 Defined results: a null text counts as the empty text, one empty line, and has a score as any other. Documents without
 a label are scored, too. Rows with a null id are scored and not learnt from. Of several labels of a document the
-smallest holds. Without labelled documents, or with one kind only, every score is that kind's share (0.5 for none).
+smallest holds, and of several texts of an id the smallest is learnt from. Without labelled documents, or with one kind only, every score is that kind's share (0.5 for none).
 Other columns are not looked at.
 """
 
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.work import bounded_batches, words_source
 
-MOST, MOST_LINES = 4000, 300
+MOST, MOST_LINES = 4000, 200_000
 UPPER = bytes(range(65, 91))
 LETTERS = bytes([*range(65, 91), *range(97, 123)])
 DIGITS = b"0123456789"
@@ -167,21 +167,30 @@ def training_rows(docs: DataFrame, labels: DataFrame, most: int = MOST, most_lin
     """Line features and label of the sampled documents; the sample's ids are few enough to send to every executor."""
     known = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     known = known.filter(~held_out(F.col("doc_id")))
-    chosen = dict(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).select("doc_id", "quality").toArrow().to_pandas().itertuples(index=False, name=None))
+    order = F.xxhash64("doc_id"), F.col("doc_id")
+    chosen = dict(known.orderBy(*order).limit(most).select("doc_id", "quality").toArrow().to_pandas().itertuples(index=False, name=None))
     ids = pa.array(list(chosen), pa.int64())
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import pyarrow.compute as pc
 
         for b in batches:
-            b = b.filter(pc.is_in(b.column(0), ids))
-            made = [document_lines(x)[0] for x in b.column(1).to_pylist()]
-            keep = [i for i, f in enumerate(made) if len(f) <= most_lines]
-            packed = pa.array([made[i].tobytes() for i in keep], pa.binary())
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(keep, pa.int64())), packed], names=["doc_id", "lines"])
-
-    made = docs.filter(F.col("doc_id").isNotNull()).mapInArrow(run, "doc_id long, lines binary").dropDuplicates(["doc_id"]).orderBy("doc_id").toArrow()
-    return [(np.frombuffer(x, np.float32).reshape(-1, len(NAMES)), int(chosen[i])) for i, x in zip(made.column(0).to_pylist(), made.column(1).to_pylist(), strict=True)]
+            yield b.filter(pc.is_in(b.column(0), ids))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            packed = pa.array([document_lines(x)[0].tobytes() for x in b.column(1).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column(0), packed], names=["doc_id", "lines"])
+
+    picked = docs.filter(F.col("doc_id").isNotNull()).mapInArrow(pick, "doc_id long, text binary").groupBy("doc_id").agg(F.min("text").alias("text"))
+    out: list[tuple[np.ndarray, int]] = []
+    lines = 0
+    for i, packed in picked.mapInArrow(run, "doc_id long, lines binary").orderBy(*order).toLocalIterator():
+        if lines >= most_lines:
+            break
+        out.append((np.frombuffer(packed, np.float32).reshape(-1, len(NAMES)), int(chosen[i])))
+        lines += len(out[-1][0])
+    return out
 
 
 def held_out(doc_id):
