@@ -410,6 +410,13 @@ def test_quality(spark, docs, empty):
     assert kept.columns == docs.columns and kept.count() == sum(r.score >= 0.3 for r in out)
     none = quality.train(docs, spark.createDataFrame([], "doc_id long, quality int"))
     assert {r.score for r in quality.classify(docs, none).collect()} == {0.5}
+    order = [(1, "b"), (1, "a\nc"), (2, "x\n" * 900), (2, "y"), (3, None), (6, "z")]
+    marks = {1: 1, 2: 0, 3: 1, 6: 0}
+    want = sorted((n, marks[i]) for i, n in ((1, 2), (2, 901), (3, 1), (6, 1)) if zlib.crc32(str(i).encode()) % 5)
+    for rows_ in (order, order[::-1]):  # repeated ids: the smallest text, whatever the order; long documents count, too
+        texts = spark.createDataFrame([(i, bytearray((t or "").encode())) for i, t in rows_], "doc_id long, text binary").repartition(3)
+        sample = quality.training_rows(texts, spark.createDataFrame(list(marks.items()), "doc_id long, quality int"))
+        assert sorted((len(f), y) for f, y in sample) == want
     one = quality.train(docs, spark.createDataFrame([(4, 1), (7, 1), (None, 0), (10, None)], "doc_id long, quality int"))
     assert {r.score for r in quality.classify(docs, one).collect()} == {1.0}
 
@@ -579,7 +586,7 @@ def test_url_filter(spark):
         m = re.match(r"(?s)^.*?://([^/?#]*)([^?#]*)", urls[r.page_id] or "")
         host, path = (m[1].translate(upper), m[2]) if m else ("", "")
         fits = [(len(h + p), h + p, v) for v, h, p in urlfilter.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
-        rule = max(fits)[1:] if fits else (None, "block" if r.score >= 0.5 else "allow")
+        rule = max(fits)[1:] if fits else (None, "block" if r.score >= urlfilter.THRESHOLD else "allow")
         assert (r.host, r.path, r.rule, r.verdict) == (host, path, *rule)
     by = {urls[r.page_id]: r for r in got}
     assert by["https://cheap-pills.example.com/en/1"].verdict == "block" and by["https://there.example.com/en/1"].verdict == "allow"
@@ -643,6 +650,21 @@ def test_stages_on_awkward_rows(spark, docs):
         assert stage(spark, nothing, DATA).count() == 0
 
 
+def test_url_filter_on_held_out_names(spark):
+    """Four folds: each judges names that it has not learnt from. The labelled names are none of the judged table's hosts."""
+    found = []
+    for k in range(4):
+        model = urlfilter.train(urlfilter.labelled(spark, lambda i, k=k: i % 4 != k))
+        other = urlfilter.labelled(spark, lambda i, k=k: i % 4 == k).withColumn("page_id", F.monotonically_increasing_id()).cache()
+        found += [(r.score, r.bad, r.verdict) for r in urlfilter.judge(other, model, rules=[]).join(other, "page_id").collect()]
+    good, bad = ([x for x in found if x[1] == y] for y in (0.0, 1.0))
+    assert sum(v == "block" for *_, v in good) < 0.05 * len(good)
+    assert sum(b[0] > g[0] for b in bad for g in good) > 0.8 * len(bad) * len(good)
+    hosts = {r.url.split("://")[1].split("/")[0].lower() for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("url").collect()}
+    names = {part for h in hosts for part in h.split(".")}
+    assert not names & {*urlfilter.BAD_NAMES, *urlfilter.GOOD_NAMES}
+
+
 def test_labelled_urls_are_small():
     assert len(urlfilter.BAD_NAMES) * len(urlfilter.PREFIXES) * len(urlfilter.DOMAINS) < 1000
     assert json.dumps(urlfilter.RULES)
