@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.work import written
+from tidemark.llm.work import discard, written
 
 
 def small_star(edges: DataFrame) -> DataFrame:
@@ -23,13 +23,15 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     is written to the shared folder. Hot nodes need one row for each link, split by aggregation before the shuffle.
     """
     edges = written(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct(), "links")
-    edges = written(small_star(edges), "links")  # first, as it leaves about one link for each node
+    first, edges = edges, written(small_star(edges), "links")  # first, as it leaves about one link for each node
+    discard(first)
     before = None
     for _ in range(rounds):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(low, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
-        edges = written(small_star(large), "links")
+        last, edges = edges, written(small_star(large), "links")
+        discard(last)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(now) == before:
             break
