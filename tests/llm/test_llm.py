@@ -317,6 +317,52 @@ def test_simhash_index():
             assert np.array_equal(x.roots(), y.roots())
 
 
+def test_simhash_large_buckets(spark):
+    """Buckets over the limit are dealt in pairs of parts: the same components."""
+    r = np.random.default_rng(6)
+    codes = r.integers(0, 2**63, size=60, dtype=np.uint64)[r.integers(0, 60, 900)]
+    for _ in range(3):
+        codes = codes ^ (np.uint64(1) << r.integers(0, 64, 900).astype(np.uint64))
+    bucket = np.where(r.random(900) < 0.7, 0, r.integers(1, 200, 900))
+    rows_ = spark.createDataFrame([(int(b), int(c), i) for i, (b, c) in enumerate(zip(bucket, codes.view(np.int64), strict=True))], "bucket long, fp long, node long")
+    i, j = np.nonzero((np.bitwise_count(codes[:, None] ^ codes[None, :]) <= 4) & (bucket[:, None] == bucket[None, :]))
+    want = simhash.Sets(900)
+    want.join(i, j)
+    for limit in (10_000, 100, 37):
+        got = simhash.Sets(900)
+        found = np.array([(x.a, x.b) for x in simhash.linked(rows_, 4, limit).collect()])
+        got.join(found[:, 0], found[:, 1])
+        assert np.array_equal(got.roots(), want.roots())
+
+
+def test_common_shingles_come_last(spark, monkeypatch):
+    """A stock phrase in all texts: documents choose other keys, and the same ones go."""
+    r = random.Random(13)
+    phrase = " ".join(f"s{k}" for k in range(12))
+    texts = [" ".join([phrase, *(f"w{r.randrange(10**6)}" for _ in range(40))]) for _ in range(40)]
+    texts += [t + " end" for t in texts[::2]] + [phrase, phrase + " end", "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    want = {i for i, _ in enumerate(texts)} - greedy([(i, t or "") for i, t in enumerate(texts)])
+    assert len(want) == 22
+    for common in (1000, 5):
+        monkeypatch.setattr(simhash, "COMMON", common)
+        assert {x.doc_id for x in simhash.drop_near_duplicates(df).collect()} == want
+
+
+def test_near_duplicates_against_all_pairs(spark):
+    """All texts of sf0.01: every document that goes is near one that stays, and at most one in a hundred pairs of unequal texts stays."""
+    docs_ = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    by_id = {r.doc_id: simhash.shingles((r.text or "").encode(), 5) for r in docs_.collect()}
+    holders = {}
+    for i, x in by_id.items():
+        for h in simhash.prefix_of(x, 0.8).tolist():
+            holders.setdefault(h, []).append(i)
+    near = {(a, b) for own in holders.values() for a in own for b in own if a < b and simhash.similarity_of(by_id[a], by_id[b]) >= 0.8}
+    gone = {r.doc_id for r in simhash.drop_near_duplicates(docs_).collect()}
+    assert len(near) > 50 and all(any((a, b) in near and a not in gone for a in by_id) for b in gone)
+    assert sum(a not in gone and b not in gone for a, b in near) <= len(near) / 100
+
+
 def test_simhash_blocks_cover():
     r = random.Random(2)
     for b, radius in ((5, 4), (6, 4), (8, 4), (11, 9)):
@@ -327,7 +373,7 @@ def test_simhash_blocks_cover():
 
 
 def test_near_duplicates_dropped(docs):
-    gone = {r.doc_id for r in simhash.drop_near_duplicates(docs, radius=9, shingle=5).collect()}
+    gone = {r.doc_id for r in simhash.drop_near_duplicates(docs).collect()}
     by_id = {i: t for i, t in ROWS if i is not None}
     for i in gone:
         a = (by_id[i] or "").encode()
@@ -358,8 +404,9 @@ def test_near_duplicates_leave_no_pair(spark, monkeypatch, task_rows):
     rows_ = list(enumerate(texts))
     want = {i for i, _ in rows_} - greedy(rows_)
     assert len(want) == 42
-    monkeypatch.setattr(simhash, "near_duplicates", lambda docs, *a: docs.select("doc_id", F.lit(0).cast("long").alias("component_id")))
     df = spark.createDataFrame(rows_, "doc_id long, text string").repartition(3)
+    assert {x.doc_id for x in simhash.drop_near_duplicates(df).collect()} == want
+    monkeypatch.setattr(simhash, "candidate_groups", lambda texts, rows, *a: rows.select("doc_id", F.lit(0).cast("long").alias("component_id")))
     out = simhash.drop_near_duplicates(df) if task_rows == 256 else simhash.drop_near_duplicates(df, task_rows=task_rows)
     assert {x.doc_id for x in out.collect()} == want
 

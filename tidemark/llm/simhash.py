@@ -6,11 +6,13 @@ those of the graph of all links. Nothing is approximate: every link between fing
 
 Scale: equal fingerprints become one row first (so copies cost nothing), then fingerprints are dealt by blocks of their
 bits. With radius r and b blocks, b - r blocks of a linked pair agree, so each fingerprint goes to every choice of b - r
-blocks; b grows with the number of fingerprints, so that a bucket has about TARGET of them at any size. Each bucket
-becomes a hierarchical index: fingerprints in Gray order, FANOUT of them to a node, upper nodes holding the bits that
-all their members share. Pairs of nodes are compared from the top: a pair whose shared bits already differ in more than
-r places is dropped as a whole, one whose members can't differ in more is linked as a whole, and one whose members all
-are in one component is dropped, too. A bucket sends out at most one link for each of its members, not the pairs.
+blocks; b grows with the number of fingerprints, so that a bucket has about TARGET of them at any size (for radius 4, 5 to 70
+rows of 24 bytes a fingerprint up to 10^11 of them). A bucket of more than LIMIT rows is cut into parts, and each pair of parts is a bucket of its own.
+The buckets of a task are one hierarchical index: fingerprints by bucket and Gray rank, FANOUT of them to a node, upper nodes
+holding the bits that all their members share. Pairs of nodes are compared from the top: a pair without a bucket in common, or
+whose shared bits already differ in more than r places, is dropped as a whole, one whose members can't differ in more is linked as
+a whole, and one whose members all are in one component is dropped, too. A bucket sends out at most one link for each of its
+members, not the pairs.
 
 Defined results: null and blank texts have the fingerprint zero, linked like any other. Rows with the same id share a
 component; a null id has a fingerprint and a null component. An empty table gives an empty table. Other columns are
@@ -21,6 +23,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
@@ -30,11 +33,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.graph import components
-from tidemark.llm.work import bounded_batches, words_source, written
+from tidemark.llm.work import bounded_batches, discard, words_source, written
 
 SEED = 42
+MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Fingerprints in a bucket, about; members of a node of the index; pairs compared at a time.
 TARGET, FANOUT, PAIRS = 256, 8, 1 << 18
+#: Rows that a bucket may have, and that a task indexes together.
+LIMIT, HELD = 1 << 16, 1 << 18
+#: More documents than this, or this share of all keys, make a shingle a common one.
+COMMON, COMMON_SHARE = 1000, 1e-6
 #: Bytes of text in a group that one task settles.
 TASK_BYTES = 16 << 20
 
@@ -48,12 +56,15 @@ def fingerprint(text: bytes, shingle: int) -> int:
     else:
         digest = xxhash.xxh64_intdigest
         hashes = [digest(b" ".join(x), SEED) for x in zip(*(words[i:] for i in range(shingle)))]
+    return majority(np.array(hashes, np.uint64))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that over half of the hashes have."""
     ones = np.zeros(64, np.int64)
-    n = len(hashes)
-    for at in range(0, n, 1 << 16):
-        part = np.array(hashes[at : at + (1 << 16)], np.uint64)
-        ones += np.unpackbits(part.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big")
+    for at in range(0, len(hashes), 1 << 16):
+        ones += np.unpackbits(hashes[at : at + (1 << 16)].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big")
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -116,84 +127,81 @@ class Sets:
             np.minimum.at(self.up, hi, lo)
 
 
-def link_bucket(codes: np.ndarray, radius: int, sets: Sets, first: int) -> None:
-    """Join in sets (at first, first + 1, ...) all of these codes, in Gray order, that differ in radius bits or fewer."""
+def ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... (length of them), one after the other."""
+    return np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length) + np.repeat(start, length)
+
+
+@dataclass
+class Level:
+    """Nodes of one level, in order: the bits that all members share, the first and last bucket, the first member."""
+
+    pattern: np.ndarray
+    mask: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+    start: np.ndarray
+
+    def above(self) -> Level:
+        heads = np.arange(0, len(self.pattern), FANOUT)
+        ones = np.bitwise_and.reduceat(self.pattern & self.mask, heads)
+        zeros = np.bitwise_and.reduceat(~self.pattern & self.mask, heads)
+        return Level(ones, ones | zeros, self.low[heads], self.high[np.minimum(heads + FANOUT, len(self.high)) - 1], self.start[heads])
+
+
+def index_links(bucket: np.ndarray, codes: np.ndarray, radius: int) -> np.ndarray:
+    """The root of each row's component, linking rows of one bucket that differ in radius bits or fewer. Rows come by bucket number and Gray rank."""
     n = len(codes)
-    at = np.arange(n) + first
-    for step in range(1, min(n, 3)):  # neighbours in Gray order: most of a dense group is one component after this
-        near = np.bitwise_count(codes[step:] ^ codes[:-step]) <= radius
-        sets.join(at[:-step][near], at[step:][near])
-    full = np.uint64(0xFFFFFFFFFFFFFFFF)
-    levels = [(codes, np.full(n, full), at)]  # shared pattern, mask of shared bits, first member
-    while len(levels[-1][0]) > 1:
-        pattern, mask, start = levels[-1]
-        heads = np.arange(0, len(pattern), FANOUT)
-        ones = np.bitwise_and.reduceat(pattern & mask, heads)
-        zeros = np.bitwise_and.reduceat(~pattern & mask, heads)
-        levels.append((ones, ones | zeros, start[heads]))
-    top = len(levels) - 1
-    stack = [(top, np.zeros(1, np.int64), np.zeros(1, np.int64))]
+    sets = Sets(n)
+    for step in (1, 2):  # neighbours in Gray order: most of a dense group is one component after this
+        near = (np.bitwise_count(codes[step:] ^ codes[:-step]) <= radius) & (bucket[step:] == bucket[:-step])
+        at = np.flatnonzero(near)
+        sets.join(at, at + step)
+    levels = [Level(codes, np.full(n, 0xFFFFFFFFFFFFFFFF, np.uint64), bucket, bucket, np.arange(n))]
+    while len(levels[-1].pattern) > 1:
+        levels.append(levels[-1].above())
+    stack = [(len(levels) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))]
     while stack:
-        level, a, b = stack.pop()
-        pattern, mask, start = levels[level]
-        both = mask[a] & mask[b]
-        apart = np.bitwise_count((pattern[a] ^ pattern[b]) & both)  # accumulated differences of the shared bits
-        if level == 0:
-            hit = (apart <= radius) & (a != b)
-            sets.join(start[a[hit]], start[b[hit]])
+        depth, a, b = stack.pop()
+        level = levels[depth]
+        both = level.mask[a] & level.mask[b]
+        apart = np.bitwise_count((level.pattern[a] ^ level.pattern[b]) & both)  # accumulated differences of the shared bits
+        keep = (apart <= radius) & (level.high[a] >= level.low[b])
+        if depth == 0:
+            keep &= a != b
+            sets.join(a[keep], b[keep])
             continue
-        keep = apart <= radius
-        whole = keep & (apart + np.bitwise_count(~both) <= radius)
-        stop = np.append(start[1:], first + n)
-        if whole.any():  # all members of both nodes are near each other
-            for x in np.unique(np.concatenate([a[whole], b[whole]])):
-                sets.join(np.arange(start[x] + 1, stop[x]), np.full(stop[x] - start[x] - 1, start[x]))
-            sets.join(start[a[whole]], start[b[whole]])
-        root = sets.roots()[first : first + n]
-        rel = start - first
-        low, high = np.minimum.reduceat(root, rel), np.maximum.reduceat(root, rel)
-        keep &= ~whole & ~((low[a] == high[a]) & (low[b] == high[b]) & (low[a] == low[b]))
+        size = np.diff(np.append(level.start, n))
+        whole = keep & (level.low[a] == level.high[b]) & (apart + np.bitwise_count(~both) <= radius)
+        if whole.any():  # one bucket, and all members of both nodes are near each other
+            x = np.unique(np.concatenate([a[whole], b[whole]]))
+            sets.join(ranges(level.start[x], size[x]), np.repeat(level.start[x], size[x]))
+            sets.join(level.start[a[whole]], level.start[b[whole]])
+        root = sets.roots()
+        least, most = np.minimum.reduceat(root, level.start), np.maximum.reduceat(root, level.start)
+        keep &= ~whole & ~((least[a] == most[a]) & (least[b] == most[b]) & (least[a] == least[b]))
         a, b = a[keep], b[keep]
-        below = len(levels[level - 1][0])
+        below = len(levels[depth - 1].pattern)
         for lo in range(0, len(a), PAIRS // FANOUT**2):
             part_a, part_b = a[lo : lo + PAIRS // FANOUT**2], b[lo : lo + PAIRS // FANOUT**2]
             ca = (part_a[:, None] * FANOUT + np.arange(FANOUT)).repeat(FANOUT, axis=1).reshape(-1)
             cb = np.tile(part_b[:, None] * FANOUT + np.arange(FANOUT), (1, FANOUT)).reshape(-1)
             ok = (ca <= cb) & (cb < below)
-            stack.append((level - 1, ca[ok], cb[ok]))
+            stack.append((depth - 1, ca[ok], cb[ok]))
+    return sets.roots()
 
 
 def bucket_links(keys: np.ndarray, codes: np.ndarray, nodes: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links (node, smallest node of its component here) of rows sorted by key: each key is a bucket."""
-    if not len(codes):
-        return nodes, nodes
+    """Links (node, smaller node of its component in its bucket) of rows in any order: each key is a bucket."""
     order = np.lexsort((gray_rank(codes), keys))
     keys, codes, nodes = keys[order], codes[order], nodes[order]
-    edges = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1], [True])))
-    src, dst = [], []
-    sizes = np.diff(edges)
-    pairs = edges[:-1][sizes == 2]  # most buckets that have any pair: all at once
-    near = np.bitwise_count(codes[pairs] ^ codes[pairs + 1]) <= radius
-    src.append(nodes[pairs][near])
-    dst.append(nodes[pairs + 1][near])
-    small = edges[:-1][(sizes > 2) & (sizes <= 64)]
-    width = sizes[(sizes > 2) & (sizes <= 64)]
-    for step in range(1, 64):  # buckets that are one node of the index: its members one by one
-        at, w = small[width > step], width[width > step]
-        if not len(at):
-            break
-        left = np.repeat(at, w - step) + (np.arange((w - step).sum()) - np.repeat(np.cumsum(w - step) - (w - step), w - step))
-        near = np.bitwise_count(codes[left] ^ codes[left + step]) <= radius
-        src.append(nodes[left[near]])
-        dst.append(nodes[left[near] + step])
-    for lo, hi in zip(edges[:-1][sizes > 64], edges[1:][sizes > 64], strict=True):
-        sets = Sets(hi - lo)
-        link_bucket(codes[lo:hi], radius, sets, 0)
-        root = sets.roots()
-        src.append(nodes[lo:hi])
-        dst.append(nodes[lo:hi][root])
-    a, b = np.concatenate(src), np.concatenate(dst)
-    lo, hi = np.minimum(a, b), np.maximum(a, b)
+    new = np.concatenate(([True], keys[1:] != keys[:-1]))[: len(keys)]
+    alone = new & np.append(new[1:], True)[: len(keys)]
+    keys, codes, nodes = keys[~alone], codes[~alone], nodes[~alone]
+    if not len(codes):
+        return nodes, nodes
+    a = nodes[index_links(np.cumsum(new[~alone]), codes, radius)]
+    lo, hi = np.minimum(a, nodes), np.maximum(a, nodes)
     return hi[lo != hi], lo[lo != hi]
 
 
@@ -206,14 +214,24 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[nodes != root], root[nodes != root]
 
 
-def links(distinct: DataFrame, radius: int) -> DataFrame:
-    """Links (a, b), a > b, between rows (fp, node) of distinct fingerprints: enough of them to connect all components."""
-    n = distinct.count()
-    masks = block_masks(block_count(n, radius), radius)
+def dealt(rows: DataFrame, limit: int) -> DataFrame:
+    """rows (bucket, fp, node) with every bucket of more than limit rows cut into parts by a hash of the node: a row goes to the pairs of its part and each part."""
+    sizes = rows.groupBy("bucket").agg(F.count("*").alias("n")).filter(F.col("n") > limit)
+    large = written(sizes.select("bucket", F.ceil(F.col("n") / limit).cast("int").alias("parts")), "simhash-large-buckets")
+    if large.isEmpty():
+        return rows
+    own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    tiles = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda j: F.xxhash64("bucket", F.least(own, j), F.greatest(own, j)))
+    met = rows.join(large, "bucket", "left")
+    return met.select(F.explode(F.when(F.col("parts").isNull(), F.array("bucket")).otherwise(tiles)).alias("bucket"), "fp", "node")
+
+
+def linked(rows: DataFrame, radius: int, limit: int | None = None) -> DataFrame:
+    """Links (a, b), a > b, between rows (bucket, fp, node) of one bucket: enough of them to connect all that differ in radius bits or fewer."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-        rows = 0
+        rows_ = 0
 
         def out() -> pa.RecordBatch:
             t = pa.Table.from_batches(held)
@@ -221,24 +239,29 @@ def links(distinct: DataFrame, radius: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
         for batch in batches:  # sorted by bucket: hand over what is complete
-            if rows + len(batch) > 1 << 20 and held:
+            if not len(batch):
+                continue
+            if rows_ + len(batch) > HELD and held:
                 last = batch.column(0)[len(batch) - 1].as_py()
-                keys = batch.column(0).to_numpy()
-                cut = int(np.searchsorted(keys, last))
-                whole = cut > 0 or held[-1].column(0)[len(held[-1]) - 1].as_py() != last
-                if whole:
+                cut = int(np.searchsorted(batch.column(0).to_numpy(), last))
+                if cut > 0 or held[-1].column(0)[len(held[-1]) - 1].as_py() != last:
                     held.append(batch.slice(0, cut))
                     yield out()
-                    held, rows = [], 0
+                    held, rows_ = [], 0
                     batch = batch.slice(cut)
             held.append(batch)
-            rows += len(batch)
+            rows_ += len(batch)
         if held:
             yield out()
 
+    return dealt(rows, limit or LIMIT).repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "a long, b long")
+
+
+def links(distinct: DataFrame, radius: int) -> DataFrame:
+    """Links (a, b), a > b, between rows (fp, node) of distinct fingerprints: enough of them to connect all components."""
+    masks = block_masks(block_count(distinct.count(), radius), radius)
     choice = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("part")) for i, m in enumerate(masks)]))
-    dealt = distinct.select("fp", "node", choice.alias("c")).select(F.xxhash64("c.i", "c.part").alias("bucket"), "fp", "node")
-    return dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "a long, b long")
+    return linked(distinct.select("fp", "node", choice.alias("c")).select(F.xxhash64("c.i", "c.part").alias("bucket"), "fp", "node"), radius)
 
 
 def hex16(fp: str = "fp") -> Column:
@@ -258,36 +281,58 @@ def near_duplicates(docs: DataFrame, radius: int = 4, shingle: int = 4, id_col:
     return fps.join(by_fp, "fp", "left").select("doc_id", hex16().alias("fingerprint"), F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 
-def similar(a: bytes, b: bytes, shingle: int) -> float:
-    """Jaccard similarity of the shingle sets; 1 for two texts without words."""
-    if a == b:
-        return 1.0
-    x, y = shingles(a, shingle), shingles(b, shingle)
-    both = len(x & y)
-    return both / (len(x) + len(y) - both)
+def shingles(text: bytes, shingle: int) -> np.ndarray:
+    """The 64-bit hashes of a text's different shingles, ascending; a text of fewer words is one shingle."""
+    return np.unique(shingle_hashes(word_hashes(text), shingle))
 
 
-def shingles(text: bytes, shingle: int) -> set[tuple[bytes, ...]]:
+def word_hashes(text: bytes) -> np.ndarray:
     words = text.lower().split()
-    return set(zip(*(words[i:] for i in range(shingle)))) if len(words) > shingle else {tuple(words)}
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
-def prefix_keys(text: bytes, shingle: int, similarity: float) -> list[int]:
-    """The smallest hashes of a text's shingles, so many that two texts with that similarity always share one."""
-    hashes = sorted({xxhash.xxh64_intdigest(b" ".join(x), SEED) for x in shingles(text, shingle)})
+def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:
+    k = min(k, len(words)) or 1
+    out = np.full(max(len(words) - k + 1, 1), k, np.uint64)
+    for j in range(k if len(words) else 0):
+        out = (out ^ words[j : j + len(out)]) * MIX
+        out ^= out >> np.uint64(29)
+    return out
+
+
+def similarity_of(x: np.ndarray, y: np.ndarray) -> float:
+    """Jaccard similarity of two sets of shingles."""
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both / (len(x) + len(y) - both)
+
+
+def similar(a: bytes, b: bytes, shingle: int) -> float:
+    return similarity_of(shingles(a, shingle), shingles(b, shingle))
+
+
+def prefix_of(hashes: np.ndarray, similarity: float, last: np.ndarray | None = None) -> np.ndarray:
+    """The first shingles in the order of their hashes, those of `last` (ascending) after all others, so many that two texts with that similarity always share one."""
+    if last is not None and len(last):
+        late = last[np.minimum(np.searchsorted(last, hashes), len(last) - 1)] == hashes
+        hashes = np.concatenate([hashes[~late], hashes[late]])
     return hashes[: len(hashes) - math.ceil(similarity * len(hashes) - 1e-6) + 1]
 
 
+def prefix_keys(text: bytes, shingle: int, similarity: float) -> list[int]:
+    return prefix_of(shingles(text, shingle), similarity).tolist()
+
+
 def settle(ids: list[int], texts: list[bytes], shingle: int, similarity: float) -> list[bool]:
     """Which rows of one group (sorted by id) go: those near a row of a smaller id that stays. Rows that share an id go together."""
     kept: dict[int, list[int]] = {}  # key: rows that stay
+    sets = [shingles(x, shingle) for x in texts]
     out = [False] * len(ids)
     at = 0
     while at < len(ids):
         stop = next((k for k in range(at, len(ids)) if ids[k] != ids[at]), len(ids))
-        keys = [prefix_keys(texts[k], shingle, similarity) for k in range(at, stop)]
+        keys = [prefix_of(sets[k], similarity).tolist() for k in range(at, stop)]
         met = {(k, h) for k, own in zip(range(at, stop), keys, strict=True) for x in own for h in kept.get(x, ())}
-        if any(similar(texts[k], texts[h], shingle) >= similarity for k, h in sorted(met)):
+        if any(similarity_of(sets[k], sets[h]) >= similarity for k, h in sorted(met)):
             out[at:stop] = [True] * (stop - at)
         else:
             for k, own in zip(range(at, stop), keys, strict=True):
@@ -320,8 +365,8 @@ def settled(rows: DataFrame, shingle: int, similarity: float) -> DataFrame:
         if ids:
             yield out()
 
-    dealt = rows.select("doc_id", "component_id", "text").repartition("component_id").sortWithinPartitions("component_id", "doc_id")
-    return dealt.mapInArrow(run, "doc_id long, component_id long, near boolean")
+    placed = rows.select("doc_id", "component_id", "text").repartition("component_id").sortWithinPartitions("component_id", "doc_id")
+    return placed.mapInArrow(run, "doc_id long, component_id long, near boolean")
 
 
 def keyed(rows: DataFrame, shingle: int, similarity: float) -> DataFrame:
@@ -336,31 +381,80 @@ def keyed(rows: DataFrame, shingle: int, similarity: float) -> DataFrame:
     return rows.select("doc_id", "component_id", "text").mapInArrow(run, "doc_id long, component_id long, key long")
 
 
-def without_copies(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The rows less those whose text has a smaller id in their component, and the ids of the latter. Ids with several texts are left alone."""
-    digests = written(rows.select("doc_id", "component_id", F.sha2("text", 256).alias("digest")), "simhash-digests")
-    several = digests.groupBy("doc_id").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi")).filter("lo < hi").select("doc_id")
-    single = digests.join(several, "doc_id", "left_anti")
-    first = written(single.groupBy("component_id", "digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last"), "simhash-copied")
-    copies = written(single.join(first, ["component_id", "digest"]).filter("doc_id > first").select("doc_id").distinct(), "simhash-copies")
-    return rows.join(copies, "doc_id", "left_anti"), copies
+def prints(texts: DataFrame, shingle: int, similarity: float, print_words: int) -> DataFrame:
+    """doc_id, digest (128 bits of the text), fp (a SimHash of shingles of print_words words), keys (prefix keys), in one pass over rows (doc_id, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            made = []
+            for text in b.column(1).to_pylist():
+                words = word_hashes(text)
+                keys = prefix_of(np.unique(shingle_hashes(words, shingle)), similarity)
+                made.append((xxhash.xxh3_128_digest(text), majority(shingle_hashes(words, print_words)), keys.view(np.int64)))
+            fp = np.array([m[1] for m in made], np.uint64).view(np.int64)
+            ends = np.cumsum([0, *(len(m[2]) for m in made)])
+            keys = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([m[2] for m in made]) if made else [], pa.int64()))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([m[0] for m in made], pa.binary()), pa.array(fp), keys], names=["doc_id", "digest", "fp", "keys"])
+
+    return texts.select("doc_id", "text").mapInArrow(run, "doc_id long, digest binary, fp long, keys array<long>")
+
 
+def copies(rows: DataFrame) -> DataFrame:
+    """The ids of rows (doc_id, digest) whose text a smaller id has, too. Ids with several texts are left alone."""
+    several = rows.groupBy("doc_id").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi")).filter("lo < hi").select("doc_id")
+    single = rows.join(several, "doc_id", "left_anti")
+    # written, so that both sides of the join are plain shuffles, which Spark can split at a text that very many have
+    first = written(single.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last").select("digest", "first"), "simhash-copied")
+    return single.join(first, "digest").filter("doc_id > first").select("doc_id").distinct()
 
-def drop_near_duplicates(docs: DataFrame, radius: int = 9, shingle: int = 5, similarity: float = 0.8, print_words: int = 3, id_col: str = "doc_id", text_col: str = "text", task_rows: int = 256) -> DataFrame:
+
+def candidate_groups(texts: DataFrame, rows: DataFrame, radius: int, shingle: int, similarity: float) -> DataFrame:
+    """doc_id, component_id of rows (doc_id, fp, keys) in groups of more than one: those linked by a prefix key and fingerprints at most radius bits apart.
+
+    Prefix keys that very many documents have (stock phrases) come last in the order of shingles: the documents that have one of them
+    choose their keys anew. How many keys can be common is bounded by COMMON_SHARE.
+    """
+    keyed_ = rows.select("doc_id", "fp", F.explode("keys").alias("key"))
+    counts = written(keyed_.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "simhash-key-counts")
+    total = rows.agg(F.sum(F.size("keys"))).first()[0] or 0
+    common = written(counts.filter(F.col("n") > max(COMMON, total * COMMON_SHARE)).select("key"), "simhash-common")
+    if not common.isEmpty():
+        last = np.sort(common.toArrow().column(0).to_numpy().view(np.uint64))  # at most 1 / COMMON_SHARE keys
+        again = written(keyed_.join(common, "key", "left_semi").select("doc_id").distinct(), "simhash-again")
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                keys = [prefix_of(shingles(x, shingle), similarity, last).view(np.int64) for x in b.column(2).to_pylist()]
+                take = pa.array(np.repeat(np.arange(len(keys)), [len(x) for x in keys]))
+                yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), pa.array(np.concatenate(keys) if keys else [], pa.int64())], names=["doc_id", "fp", "key"])
+
+        fresh = texts.join(again, "doc_id", "left_semi").join(rows.select("doc_id", "fp").distinct(), "doc_id").select("doc_id", "fp", "text").mapInArrow(run, "doc_id long, fp long, key long")
+        keyed_ = written(keyed_.join(again, "doc_id", "left_anti").unionByName(fresh), "simhash-keys")
+    found = linked(keyed_.select(F.col("key").alias("bucket"), "fp", F.col("doc_id").alias("node")), radius)
+    return components(found).select(F.col("node").alias("doc_id"), F.col("component").alias("component_id"))
+
+
+def drop_near_duplicates(docs: DataFrame, radius: int = 16, shingle: int = 5, similarity: float = 0.8, print_words: int = 3, id_col: str = "doc_id", text_col: str = "text", task_rows: int = 256) -> DataFrame:
     """The ids (doc_id) of documents that go: those near a document of a smaller id, of the same group, that stays.
 
-    Groups come from SimHash components, so that only fingerprints cross the network for all documents. Their fingerprints are of
-    shorter shingles (three words), which an edit changes less: of texts whose sets of five-word shingles are 0.8 similar, 97 of 100 pairs
-    lie within 9 bits. Equal texts go first. A component of at most task_rows rows is then settled in one task, in the order of ids. Of a larger one the
+    Equal texts go first, all but the smallest id. The others are dealt by prefix keys: two texts whose sets of five-word shingles are 0.8
+    similar share one of the first fifth of their shingles in the order of hashes, so a document goes to so many buckets, whatever the
+    number of documents. In a bucket the Gray-order index links fingerprints (of three-word shingles, which an edit changes less) at most `radius` bits
+    apart; the expected distance of two texts of just 0.8 is 8 to 10 bits, so that 16 leaves out hardly any (README has the measured recall).
+    Links make groups, and exact comparison settles them. A group of at most task_rows rows is settled in one task, in the order of ids. Of a larger one the
     first task_rows / 2 ids are, and the others are compared with those of them that stay and share a prefix key, which every
     pair that is similar enough does. What is left is split into groups that are linked by prefix keys, and goes through the same, until nothing is left.
+
+    Rows that share an id go together, as soon as one of their texts goes. Rows without an id are not looked at.
     """
-    groups = near_duplicates(docs, radius, print_words, id_col, text_col).filter("component_id is not null")
-    many = groups.groupBy("component_id").agg(F.countDistinct("doc_id").alias("n")).filter("n > 1").select("component_id")
-    open_ = groups.join(many, "component_id").select("doc_id", "component_id").distinct()
-    left = written(words_source(docs, id_col, text_col).join(open_, "doc_id").select("doc_id", "component_id", "text"), "simhash-groups")
-    left, gone = without_copies(left)
-    left = written(left, "simhash-groups")
+    bounded_batches(docs.sparkSession)
+    texts = words_source(docs, id_col, text_col).filter("doc_id is not null")
+    rows = written(prints(texts, shingle, similarity, print_words), "simhash-prints")
+    same = written(copies(rows.select("doc_id", "digest")), "simhash-copies")
+    gone = same
+    different = rows.join(same, "doc_id", "left_anti")
+    open_ = written(candidate_groups(texts.join(same, "doc_id", "left_anti"), different, radius, shingle, similarity), "simhash-open")
+    left = written(texts.join(open_, "doc_id").select("doc_id", "component_id", "text"), "simhash-groups")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -391,6 +485,7 @@ def drop_near_duplicates(docs: DataFrame, radius: int = 9, shingle: int = 5, sim
         gone = gone.unionByName(near)
         rest_keys = written(rest_keys.join(near, "doc_id", "left_anti"), "simhash-rest-keys")
         lowest = written(rest_keys.groupBy("component_id", "key").agg(F.min("doc_id").alias("low")), "simhash-lowest")
-        linked = rest_keys.join(lowest, ["component_id", "key"]).filter("low < doc_id").select(F.col("doc_id").alias("a"), F.col("low").alias("b")).distinct()
-        parts = components(linked).select(F.col("node").alias("doc_id"), F.col("component").alias("component_id"))
-        left = written(texts.join(parts, "doc_id").select("doc_id", "component_id", "text"), "simhash-groups")  # one with no link stays
+        together = rest_keys.join(lowest, ["component_id", "key"]).filter("low < doc_id").select(F.col("doc_id").alias("a"), F.col("low").alias("b")).distinct()
+        parts = components(together).select(F.col("node").alias("doc_id"), F.col("component").alias("component_id"))
+        before, left = left, written(texts.join(parts, "doc_id").select("doc_id", "component_id", "text"), "simhash-groups")  # one with no link stays
+        discard(before, large, keys, head_keys, rest_keys, met)
