@@ -315,6 +315,13 @@ def test_simhash_index():
             x.join(a, b)
             y.join(nodes[i], nodes[j])
             assert np.array_equal(x.roots(), y.roots())
+            sizes = r.integers(10, 30, len(codes))
+            a, b = simhash.bucket_links(keys, codes, nodes, 4, sizes, 0.8)
+            fit = np.minimum(sizes[i], sizes[j]) >= 0.8 * np.maximum(sizes[i], sizes[j])
+            x, y = simhash.Sets(len(codes)), simhash.Sets(len(codes))
+            x.join(a, b)
+            y.join(nodes[i[fit]], nodes[j[fit]])
+            assert np.array_equal(x.roots(), y.roots())
 
 
 def test_simhash_large_buckets(spark):
@@ -324,13 +331,13 @@ def test_simhash_large_buckets(spark):
     for _ in range(3):
         codes = codes ^ (np.uint64(1) << r.integers(0, 64, 900).astype(np.uint64))
     bucket = np.where(r.random(900) < 0.7, 0, r.integers(1, 200, 900))
-    rows_ = spark.createDataFrame([(int(b), int(c), i) for i, (b, c) in enumerate(zip(bucket, codes.view(np.int64), strict=True))], "bucket long, fp long, node long")
+    rows_ = spark.createDataFrame([(int(b), int(c), i, 1) for i, (b, c) in enumerate(zip(bucket, codes.view(np.int64), strict=True))], "bucket long, fp long, node long, size int")
     i, j = np.nonzero((np.bitwise_count(codes[:, None] ^ codes[None, :]) <= 4) & (bucket[:, None] == bucket[None, :]))
     want = simhash.Sets(900)
     want.join(i, j)
     for limit in (10_000, 100, 37):
         got = simhash.Sets(900)
-        found = np.array([(x.a, x.b) for x in simhash.linked(rows_, 4, limit).collect()])
+        found = np.array([(x.a, x.b) for x in simhash.linked(rows_, 4, 0.0, limit).collect()])
         got.join(found[:, 0], found[:, 1])
         assert np.array_equal(got.roots(), want.roots())
 
@@ -390,7 +397,7 @@ def greedy(rows_, least=0.8):
     return {i for i, _ in kept}
 
 
-@pytest.mark.parametrize("task_rows", [256, 8])
+@pytest.mark.parametrize("task_rows", [8192, 8])
 def test_near_duplicates_leave_no_pair(spark, monkeypatch, task_rows):
     """One SimHash component of many texts that differ: more of them than any fixed number of rounds settles."""
     r = random.Random(11)
@@ -407,7 +414,7 @@ def test_near_duplicates_leave_no_pair(spark, monkeypatch, task_rows):
     df = spark.createDataFrame(rows_, "doc_id long, text string").repartition(3)
     assert {x.doc_id for x in simhash.drop_near_duplicates(df).collect()} == want
     monkeypatch.setattr(simhash, "candidate_groups", lambda texts, rows, *a: rows.select("doc_id", F.lit(0).cast("long").alias("component_id")))
-    out = simhash.drop_near_duplicates(df) if task_rows == 256 else simhash.drop_near_duplicates(df, task_rows=task_rows)
+    out = simhash.drop_near_duplicates(df) if task_rows == 8192 else simhash.drop_near_duplicates(df, task_rows=task_rows)
     assert {x.doc_id for x in out.collect()} == want
 
 

@@ -134,30 +134,36 @@ def ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Level:
-    """Nodes of one level, in order: the bits that all members share, the first and last bucket, the first member."""
+    """Nodes of one level, in order: the bits that all members share, the first and last bucket, the smallest and largest size, the first member."""
 
     pattern: np.ndarray
     mask: np.ndarray
     low: np.ndarray
     high: np.ndarray
+    least: np.ndarray
+    most: np.ndarray
     start: np.ndarray
 
     def above(self) -> Level:
         heads = np.arange(0, len(self.pattern), FANOUT)
         ones = np.bitwise_and.reduceat(self.pattern & self.mask, heads)
         zeros = np.bitwise_and.reduceat(~self.pattern & self.mask, heads)
-        return Level(ones, ones | zeros, self.low[heads], self.high[np.minimum(heads + FANOUT, len(self.high)) - 1], self.start[heads])
+        high = self.high[np.minimum(heads + FANOUT, len(self.high)) - 1]
+        return Level(ones, ones | zeros, self.low[heads], high, np.minimum.reduceat(self.least, heads), np.maximum.reduceat(self.most, heads), self.start[heads])
 
 
-def index_links(bucket: np.ndarray, codes: np.ndarray, radius: int) -> np.ndarray:
-    """The root of each row's component, linking rows of one bucket that differ in radius bits or fewer. Rows come by bucket number and Gray rank."""
+def index_links(bucket: np.ndarray, codes: np.ndarray, radius: int, size: np.ndarray, ratio: float) -> np.ndarray:
+    """The root of each row's component, linking rows of one bucket that differ in radius bits or fewer, the smaller of size ratio times the larger or more.
+
+    Rows come by bucket number and Gray rank."""
     n = len(codes)
     sets = Sets(n)
     for step in (1, 2):  # neighbours in Gray order: most of a dense group is one component after this
         near = (np.bitwise_count(codes[step:] ^ codes[:-step]) <= radius) & (bucket[step:] == bucket[:-step])
+        near &= np.minimum(size[step:], size[:-step]) >= ratio * np.maximum(size[step:], size[:-step])
         at = np.flatnonzero(near)
         sets.join(at, at + step)
-    levels = [Level(codes, np.full(n, 0xFFFFFFFFFFFFFFFF, np.uint64), bucket, bucket, np.arange(n))]
+    levels = [Level(codes, np.full(n, 0xFFFFFFFFFFFFFFFF, np.uint64), bucket, bucket, size, size, np.arange(n))]
     while len(levels[-1].pattern) > 1:
         levels.append(levels[-1].above())
     stack = [(len(levels) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))]
@@ -167,15 +173,17 @@ def index_links(bucket: np.ndarray, codes: np.ndarray, radius: int) -> np.ndarra
         both = level.mask[a] & level.mask[b]
         apart = np.bitwise_count((level.pattern[a] ^ level.pattern[b]) & both)  # accumulated differences of the shared bits
         keep = (apart <= radius) & (level.high[a] >= level.low[b])
+        keep &= (level.most[a] >= ratio * level.least[b]) & (level.most[b] >= ratio * level.least[a])
         if depth == 0:
             keep &= a != b
             sets.join(a[keep], b[keep])
             continue
-        size = np.diff(np.append(level.start, n))
+        width = np.diff(np.append(level.start, n))
         whole = keep & (level.low[a] == level.high[b]) & (apart + np.bitwise_count(~both) <= radius)
+        whole &= np.minimum(level.least[a], level.least[b]) >= ratio * np.maximum(level.most[a], level.most[b])
         if whole.any():  # one bucket, and all members of both nodes are near each other
             x = np.unique(np.concatenate([a[whole], b[whole]]))
-            sets.join(ranges(level.start[x], size[x]), np.repeat(level.start[x], size[x]))
+            sets.join(ranges(level.start[x], width[x]), np.repeat(level.start[x], width[x]))
             sets.join(level.start[a[whole]], level.start[b[whole]])
         root = sets.roots()
         least, most = np.minimum.reduceat(root, level.start), np.maximum.reduceat(root, level.start)
@@ -191,16 +199,17 @@ def index_links(bucket: np.ndarray, codes: np.ndarray, radius: int) -> np.ndarra
     return sets.roots()
 
 
-def bucket_links(keys: np.ndarray, codes: np.ndarray, nodes: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+def bucket_links(keys: np.ndarray, codes: np.ndarray, nodes: np.ndarray, radius: int, sizes: np.ndarray | None = None, ratio: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
     """Links (node, smaller node of its component in its bucket) of rows in any order: each key is a bucket."""
     order = np.lexsort((gray_rank(codes), keys))
+    sizes = np.ones(len(codes), np.int64) if sizes is None else sizes[order]
     keys, codes, nodes = keys[order], codes[order], nodes[order]
     new = np.concatenate(([True], keys[1:] != keys[:-1]))[: len(keys)]
     alone = new & np.append(new[1:], True)[: len(keys)]
-    keys, codes, nodes = keys[~alone], codes[~alone], nodes[~alone]
+    codes, nodes, sizes = codes[~alone], nodes[~alone], sizes[~alone]
     if not len(codes):
         return nodes, nodes
-    a = nodes[index_links(np.cumsum(new[~alone]), codes, radius)]
+    a = nodes[index_links(np.cumsum(new[~alone]), codes, radius, sizes, ratio)]
     lo, hi = np.minimum(a, nodes), np.maximum(a, nodes)
     return hi[lo != hi], lo[lo != hi]
 
@@ -215,7 +224,7 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def dealt(rows: DataFrame, limit: int) -> DataFrame:
-    """rows (bucket, fp, node) with every bucket of more than limit rows cut into parts by a hash of the node: a row goes to the pairs of its part and each part."""
+    """rows (bucket, fp, node, size) with every bucket of more than limit rows cut into parts by a hash of the node: a row goes to the pairs of its part and each part."""
     sizes = rows.groupBy("bucket").agg(F.count("*").alias("n")).filter(F.col("n") > limit)
     large = written(sizes.select("bucket", F.ceil(F.col("n") / limit).cast("int").alias("parts")), "simhash-large-buckets")
     if large.isEmpty():
@@ -223,11 +232,11 @@ def dealt(rows: DataFrame, limit: int) -> DataFrame:
     own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     tiles = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda j: F.xxhash64("bucket", F.least(own, j), F.greatest(own, j)))
     met = rows.join(large, "bucket", "left")
-    return met.select(F.explode(F.when(F.col("parts").isNull(), F.array("bucket")).otherwise(tiles)).alias("bucket"), "fp", "node")
+    return met.select(F.explode(F.when(F.col("parts").isNull(), F.array("bucket")).otherwise(tiles)).alias("bucket"), "fp", "node", "size")
 
 
-def linked(rows: DataFrame, radius: int, limit: int | None = None) -> DataFrame:
-    """Links (a, b), a > b, between rows (bucket, fp, node) of one bucket: enough of them to connect all that differ in radius bits or fewer."""
+def linked(rows: DataFrame, radius: int, ratio: float = 0.0, limit: int | None = None) -> DataFrame:
+    """Links (a, b), a > b, between rows (bucket, fp, node, size) of one bucket: enough of them to connect all that differ in radius bits or fewer and in size by ratio at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -235,7 +244,8 @@ def linked(rows: DataFrame, radius: int, limit: int | None = None) -> DataFrame:
 
         def out() -> pa.RecordBatch:
             t = pa.Table.from_batches(held)
-            a, b = forest(*bucket_links(t.column(0).to_numpy(), t.column(1).to_numpy().view(np.uint64), t.column(2).to_numpy(), radius))
+            key, fp, node, size = (t.column(i).to_numpy() for i in range(4))
+            a, b = forest(*bucket_links(key, fp.view(np.uint64), node, radius, size, ratio))
             return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
         for batch in batches:  # sorted by bucket: hand over what is complete
@@ -261,7 +271,7 @@ def links(distinct: DataFrame, radius: int) -> DataFrame:
     """Links (a, b), a > b, between rows (fp, node) of distinct fingerprints: enough of them to connect all components."""
     masks = block_masks(block_count(distinct.count(), radius), radius)
     choice = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("part")) for i, m in enumerate(masks)]))
-    return linked(distinct.select("fp", "node", choice.alias("c")).select(F.xxhash64("c.i", "c.part").alias("bucket"), "fp", "node"), radius)
+    return linked(distinct.select("fp", "node", choice.alias("c")).select(F.xxhash64("c.i", "c.part").alias("bucket"), "fp", "node", F.lit(1).alias("size")), radius)
 
 
 def hex16(fp: str = "fp") -> Column:
@@ -324,19 +334,32 @@ def prefix_keys(text: bytes, shingle: int, similarity: float) -> list[int]:
 
 def settle(ids: list[int], texts: list[bytes], shingle: int, similarity: float) -> list[bool]:
     """Which rows of one group (sorted by id) go: those near a row of a smaller id that stays. Rows that share an id go together."""
-    kept: dict[int, list[int]] = {}  # key: rows that stay
     sets = [shingles(x, shingle) for x in texts]
+    known, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    size = np.array([len(x) for x in sets])
+    places = np.split(flat, np.cumsum(size)[:-1])  # each row's shingles by their number in the group, in the order of hashes
+    marked = np.zeros(len(known), bool)
+    kept: dict[int, list[int]] = {}  # key: rows that stay
     out = [False] * len(ids)
+
+    def near(k: int) -> bool:
+        met = np.array(sorted({h for x in prefix_of(places[k], similarity).tolist() for h in kept.get(x, ())}), np.int64)
+        met = met[np.minimum(size[met], size[k]) >= similarity * np.maximum(size[met], size[k])]
+        if not len(met):
+            return False
+        marked[places[k]] = True
+        both = np.add.reduceat(marked[np.concatenate([places[h] for h in met])], np.cumsum(size[met]) - size[met], dtype=np.int64)
+        marked[places[k]] = False
+        return bool((both / (size[met] + size[k] - both) >= similarity).any())
+
     at = 0
     while at < len(ids):
         stop = next((k for k in range(at, len(ids)) if ids[k] != ids[at]), len(ids))
-        keys = [prefix_of(sets[k], similarity).tolist() for k in range(at, stop)]
-        met = {(k, h) for k, own in zip(range(at, stop), keys, strict=True) for x in own for h in kept.get(x, ())}
-        if any(similarity_of(sets[k], sets[h]) >= similarity for k, h in sorted(met)):
+        if any(near(k) for k in range(at, stop)):
             out[at:stop] = [True] * (stop - at)
         else:
-            for k, own in zip(range(at, stop), keys, strict=True):
-                for x in own:
+            for k in range(at, stop):
+                for x in prefix_of(places[k], similarity).tolist():
                     kept.setdefault(x, []).append(k)
         at = stop
     return out
@@ -382,21 +405,22 @@ def keyed(rows: DataFrame, shingle: int, similarity: float) -> DataFrame:
 
 
 def prints(texts: DataFrame, shingle: int, similarity: float, print_words: int) -> DataFrame:
-    """doc_id, digest (128 bits of the text), fp (a SimHash of shingles of print_words words), keys (prefix keys), in one pass over rows (doc_id, text)."""
+    """doc_id, digest (128 bits of the text), fp (a SimHash of shingles of print_words words), size (different shingles), keys (prefix keys), in one pass over rows (doc_id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             made = []
             for text in b.column(1).to_pylist():
                 words = word_hashes(text)
-                keys = prefix_of(np.unique(shingle_hashes(words, shingle)), similarity)
-                made.append((xxhash.xxh3_128_digest(text), majority(shingle_hashes(words, print_words)), keys.view(np.int64)))
+                own = np.unique(shingle_hashes(words, shingle))
+                made.append((xxhash.xxh3_128_digest(text), majority(shingle_hashes(words, print_words)), prefix_of(own, similarity).view(np.int64), len(own)))
             fp = np.array([m[1] for m in made], np.uint64).view(np.int64)
             ends = np.cumsum([0, *(len(m[2]) for m in made)])
             keys = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([m[2] for m in made]) if made else [], pa.int64()))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([m[0] for m in made], pa.binary()), pa.array(fp), keys], names=["doc_id", "digest", "fp", "keys"])
+            columns = [b.column(0), pa.array([m[0] for m in made], pa.binary()), pa.array(fp), pa.array([m[3] for m in made], pa.int32()), keys]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "digest", "fp", "size", "keys"])
 
-    return texts.select("doc_id", "text").mapInArrow(run, "doc_id long, digest binary, fp long, keys array<long>")
+    return texts.select("doc_id", "text").mapInArrow(run, "doc_id long, digest binary, fp long, size int, keys array<long>")
 
 
 def copies(rows: DataFrame) -> DataFrame:
@@ -409,12 +433,12 @@ def copies(rows: DataFrame) -> DataFrame:
 
 
 def candidate_groups(texts: DataFrame, rows: DataFrame, radius: int, shingle: int, similarity: float) -> DataFrame:
-    """doc_id, component_id of rows (doc_id, fp, keys) in groups of more than one: those linked by a prefix key and fingerprints at most radius bits apart.
+    """doc_id, component_id of rows (doc_id, fp, size, keys) in groups of more than one: those linked by a prefix key, fingerprints at most radius bits apart and sizes that allow the similarity.
 
     Prefix keys that very many documents have (stock phrases) come last in the order of shingles: the documents that have one of them
     choose their keys anew. How many keys can be common is bounded by COMMON_SHARE.
     """
-    keyed_ = rows.select("doc_id", "fp", F.explode("keys").alias("key"))
+    keyed_ = rows.select("doc_id", "fp", "size", F.explode("keys").alias("key"))
     counts = written(keyed_.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "simhash-key-counts")
     total = rows.agg(F.sum(F.size("keys"))).first()[0] or 0
     common = written(counts.filter(F.col("n") > max(COMMON, total * COMMON_SHARE)).select("key"), "simhash-common")
@@ -424,23 +448,23 @@ def candidate_groups(texts: DataFrame, rows: DataFrame, radius: int, shingle: in
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                keys = [prefix_of(shingles(x, shingle), similarity, last).view(np.int64) for x in b.column(2).to_pylist()]
+                keys = [prefix_of(shingles(x, shingle), similarity, last).view(np.int64) for x in b.column(3).to_pylist()]
                 take = pa.array(np.repeat(np.arange(len(keys)), [len(x) for x in keys]))
-                yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), pa.array(np.concatenate(keys) if keys else [], pa.int64())], names=["doc_id", "fp", "key"])
+                yield pa.RecordBatch.from_arrays([*(b.column(i).take(take) for i in range(3)), pa.array(np.concatenate(keys) if keys else [], pa.int64())], names=["doc_id", "fp", "size", "key"])
 
-        fresh = texts.join(again, "doc_id", "left_semi").join(rows.select("doc_id", "fp").distinct(), "doc_id").select("doc_id", "fp", "text").mapInArrow(run, "doc_id long, fp long, key long")
+        fresh = texts.join(again, "doc_id", "left_semi").join(rows.select("doc_id", "fp", "size").distinct(), "doc_id").select("doc_id", "fp", "size", "text").mapInArrow(run, "doc_id long, fp long, size int, key long")
         keyed_ = written(keyed_.join(again, "doc_id", "left_anti").unionByName(fresh), "simhash-keys")
-    found = linked(keyed_.select(F.col("key").alias("bucket"), "fp", F.col("doc_id").alias("node")), radius)
+    found = linked(keyed_.select(F.col("key").alias("bucket"), "fp", F.col("doc_id").alias("node"), "size"), radius, similarity)
     return components(found).select(F.col("node").alias("doc_id"), F.col("component").alias("component_id"))
 
 
-def drop_near_duplicates(docs: DataFrame, radius: int = 16, shingle: int = 5, similarity: float = 0.8, print_words: int = 3, id_col: str = "doc_id", text_col: str = "text", task_rows: int = 256) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, radius: int = 12, shingle: int = 5, similarity: float = 0.8, print_words: int = 3, id_col: str = "doc_id", text_col: str = "text", task_rows: int = 8192) -> DataFrame:
     """The ids (doc_id) of documents that go: those near a document of a smaller id, of the same group, that stays.
 
     Equal texts go first, all but the smallest id. The others are dealt by prefix keys: two texts whose sets of five-word shingles are 0.8
     similar share one of the first fifth of their shingles in the order of hashes, so a document goes to so many buckets, whatever the
     number of documents. In a bucket the Gray-order index links fingerprints (of three-word shingles, which an edit changes less) at most `radius` bits
-    apart; the expected distance of two texts of just 0.8 is 8 to 10 bits, so that 16 leaves out hardly any (README has the measured recall).
+    apart, where the numbers of shingles allow the similarity; two texts of just 0.8 are 8 to 10 bits apart on average, most pairs are nearer (README has the measured recall).
     Links make groups, and exact comparison settles them. A group of at most task_rows rows is settled in one task, in the order of ids. Of a larger one the
     first task_rows / 2 ids are, and the others are compared with those of them that stay and share a prefix key, which every
     pair that is similar enough does. What is left is split into groups that are linked by prefix keys, and goes through the same, until nothing is left.
