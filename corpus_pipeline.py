@@ -5,7 +5,7 @@ of documents.
 
 1. quality: documents whose score is under 0.3 go.
 2. line_dedup: later repeats of runs of two lines go; n_chars is counted anew; documents of which nothing is left go.
-3. near_dedup: of documents whose sets of five-word shingles are 0.8 similar or more, the one with the smallest id stays, as far as fingerprints lie within 16 bits.
+3. near_dedup: of documents whose sets of five-word shingles are 0.8 similar or more, the one with the smallest id stays, as far as fingerprints lie within 12 bits.
 4. decontamination: documents that leak a benchmark item (0.8 or more) go.
 5. bpe: the ids of what is left, and digests of them and of the bytes they decode to.
 
@@ -41,7 +41,7 @@ def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return without(docs, simhash.drop_near_duplicates(docs, radius=16, shingle=5, similarity=0.8))
+    return without(docs, simhash.drop_near_duplicates(docs, radius=12, shingle=5, similarity=0.8))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
