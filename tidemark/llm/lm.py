@@ -7,8 +7,9 @@ class gives a word (c + 1) / (tokens + words + 1) of that class, with c its coun
 
 Scale: counts are summed on the executors before and after a shuffle. The vocabulary of the head and middle classes goes
 to all executors: at most KNOWN words, seen at least SEEN times. Other words of a document meet their counts by a
-join; none of them is frequent, so no key of it is hot. The model learns from all training documents, once each: TRAINERS or more tasks
-pass over their parts in ROUNDS rounds, and the weights are averaged after each.
+join; none of them is frequent, so no key of it is hot. The model learns from all training documents, once each: in each of ROUNDS rounds,
+tasks of about TRAINER_TOKENS tokens (TRAINERS of them at least) pass over their parts, and their weights are averaged, in tasks as long as
+there are more than FAN_IN of them.
 
 Defined results: a null text counts as the empty text, with one token, the end. A null id has no fold: its row is scored and not learnt
 from, and held_out is null. Repeated rows are scored each. Without training documents all tokens are unknown and base_score is 0
@@ -17,7 +18,7 @@ a token. Other columns are not looked at. Words are told apart by 64-bit hashes.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +30,8 @@ from tidemark.llm import gru
 from tidemark.llm.work import bounded_batches, text_or_empty, written
 
 KNOWN, SEEN = 200_000, 3
-HIDDEN, ROUNDS, TRAINERS, MOST_TRAINERS = 16, 4, 4, 64
-TRAINER_TOKENS = 5_000_000
+HIDDEN, ROUNDS, TRAINERS, FAN_IN = 16, 4, 6, 64
+TRAINER_TOKENS, PASS_TOKENS = 4_000_000, 500_000
 GATHER, SCORE_GATHER = 8 << 20, 3 << 20
 END = xxhash.xxh3_64_intdigest(b"\n")  # no word has a line end
 
@@ -88,7 +89,7 @@ def train(docs: DataFrame, words: gru.Vocabulary, seed: int = 7) -> bytes:
     weights = gru.pack(gru.start_weights(words, HIDDEN, seed))
     if not words.total:
         return weights
-    trainers = int(min(MOST_TRAINERS, max(TRAINERS, words.total / ROUNDS / TRAINER_TOKENS)))
+    trainers = int(max(TRAINERS, words.total / ROUNDS / TRAINER_TOKENS))
 
     def ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for held, hashed in gathered(batches):
@@ -102,28 +103,52 @@ def train(docs: DataFrame, words: gru.Vocabulary, seed: int = 7) -> bytes:
         now = gru.unpack(weights, HIDDEN)
 
         def run(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
-            w, seen, docs_, size = now, 0, [], 0
+            w, trainer, seen, docs_, size = now, None, 0, [], 0
+
+            def out() -> pa.RecordBatch:
+                v, n = gru.train(w, words, docs_)
+                return weight_rows([(trainer, gru.pack(v), seen + n)] if seen + n else [])
+
             for b in batches:
-                for x in b.column(0).to_pylist():
+                for t, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                    if t != trainer:
+                        if trainer is not None:
+                            yield out()
+                        w, trainer, seen, docs_, size = now, t, 0, [], 0
                     docs_.append(np.frombuffer(x, "<i4").astype(np.int64))
                     size += len(docs_[-1])
-                if size > TRAINER_TOKENS // 10:
-                    w, n = gru.train(w, words, docs_)
-                    seen, docs_, size = seen + n, [], 0
-            w, n = gru.train(w, words, docs_)
-            if seen + n:
-                yield pa.RecordBatch.from_arrays([pa.array([gru.pack(w)], pa.binary()), pa.array([seen + n], pa.int64())], names=["weights", "n"])
-
-        mine = learnt.filter(F.col("round") == r).repartition(trainers, "trainer").sortWithinPartitions("trainer", "doc_id", "ids").select("ids")
-        done = mine.mapInArrow(run, "weights binary, n long").toArrow()
-        if done.num_rows:
-            n = np.array(done.column(1).to_pylist(), np.float64)
-            flat = np.stack([np.frombuffer(x, "<f4") for x in done.column(0).to_pylist()]).astype(np.float64)
-            order = np.lexsort(flat[:, :1].T)  # the same sum whatever task ends first
-            weights = (n[order] @ flat[order] / n.sum()).astype("<f4").tobytes()
+                    if size > PASS_TOKENS:
+                        w, n = gru.train(w, words, docs_)
+                        seen, docs_, size = seen + n, [], 0
+            if trainer is not None:
+                yield out()
+
+        mine = learnt.filter(F.col("round") == r).repartitionById(trainers, "trainer").sortWithinPartitions("trainer", "doc_id", "ids").select("trainer", "ids")
+        done, parts = mine.mapInArrow(run, WEIGHTS), trainers
+        while parts > FAN_IN:
+            parts = -(-parts // FAN_IN)
+            done = done.withColumn("trainer", (F.col("trainer") / FAN_IN).cast("int")).repartitionById(parts, "trainer").sortWithinPartitions("trainer", "n", "weights").mapInArrow(merged, WEIGHTS)
+        for last in merged(done.orderBy("trainer").toArrow().to_batches()):
+            weights = last.column(1)[0].as_py() if len(last) else weights
     return weights
 
 
+WEIGHTS = "trainer int, weights binary, n long"
+
+
+def weight_rows(rows: list[tuple[int, bytes, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.binary(), pa.int64()))], names=["trainer", "weights", "n"])
+
+
+def merged(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row: the mean of all weights, each counted by its tokens."""
+    total, n, first = 0.0, 0, None
+    for b in batches:
+        for t, x, k in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
+            total, n, first = total + k * np.frombuffer(x, "<f4").astype(np.float64), n + k, t if first is None else first
+    yield weight_rows([(first, (total / n).astype("<f4").tobytes(), n)] if n else [])
+
+
 ROW = "struct<doc_id:bigint,n_tokens:bigint,n_known:bigint,n_tail:bigint,known_log:double,model_log:double>"
 
 
