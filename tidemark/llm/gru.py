@@ -4,7 +4,8 @@ The output has two factors: the class of the next word, from the state, and the
 frequent words (HEAD of them, in classes of HEAD_SIZE) are told apart by a softmax on the state; those of the middle classes
 by their counts in the corpus. The last class stands for all rarer and unknown words; what a word has of it is the caller's.
 
-Documents run in lanes, one after the other: a lane's state goes from window to window, and starts anew with a document.
+Documents run in lanes, one after the other: a lane's state goes from window to window, and starts anew with a document. In
+training it starts anew after PIECE tokens, too; scores carry it through whole documents.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ LN10 = np.log(10)
 TINY = np.float32(1e-30)
 #: Lanes that are trained in step: so many that a pass has some 60 updates, within bounds.
 LANES, UPDATES = (16, 512), 60
+PIECE = 512  # tokens after which training starts from a blank state
 
 
 @dataclass
@@ -104,19 +106,30 @@ def lanes(docs: list[np.ndarray], most: int, least: int = 256) -> list[list[int]
     return sorted((x for x in out if x), key=lambda x: -sum(len(docs[d]) for d in x))
 
 
-def grid(docs: list[np.ndarray], vocabulary: Vocabulary, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Inputs, target ids and document numbers as time x lane; the number of lanes that are live at each time. docs end with their end token."""
+def grid(docs: list[np.ndarray], vocabulary: Vocabulary, most: int, before: list[int] | None = None) -> tuple[np.ndarray, ...]:
+    """Inputs, target ids, document numbers and starts of documents as time x lane; the number of lanes that are live at each time.
+
+    docs end with their end token; before has the id before a piece of a longer document, -1 at its start."""
     rows = lanes(docs, most)
     size = np.array([sum(len(docs[d]) for d in r) for r in rows])
-    x, y, of = (np.zeros((size[0], len(rows)), t) for t in (np.int64, np.int64, np.int64))
+    x, y, of, fresh = (np.zeros((size[0], len(rows)), t) for t in (np.int64, np.int64, np.int64, bool))
     for j, r in enumerate(rows):
         ids = np.concatenate([docs[d] for d in r])
         n = np.array([len(docs[d]) for d in r])
+        first = np.cumsum(n) - n
         fed = vocabulary.inputs[np.roll(ids, 1)]
-        fed[np.cumsum(n) - n] = START
+        last = np.array([before[d] for d in r]) if before else np.full(len(r), -1)
+        fed[first] = np.where(last < 0, START, vocabulary.inputs[last])
         x[: len(ids), j], y[: len(ids), j], of[: len(ids), j] = fed, ids, np.repeat(r, n)
+        fresh[first, j] = True
     live = np.searchsorted(-size, -np.arange(size[0]), side="left")
-    return x, y, of, live
+    return x, y, of, fresh, live
+
+
+def pieces(docs: list[np.ndarray], size: int) -> tuple[list[np.ndarray], list[int]]:
+    """Documents cut to size, and the id before each piece: a long document would hold up all lanes."""
+    cut = [(d[k : k + size], int(d[k - 1]) if k else -1) for d in docs for k in range(0, len(d), size)]
+    return [x for x, _ in cut], [k for _, k in cut]
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -158,14 +171,14 @@ def score(w: dict[str, np.ndarray], vocabulary: Vocabulary, docs: list[np.ndarra
     out = np.zeros(len(docs))
     if not docs:
         return out
-    x, y, of, live = grid(docs, vocabulary, most)
+    x, y, of, fresh, live = grid(docs, vocabulary, most)
     h = np.zeros((x.shape[1], w["U"].shape[0]), np.float32)
     for t0 in range(0, len(x), window):
         states, flat_y, flat_of = [], [], []
         for t in range(t0, min(t0 + window, len(x))):
             m = live[t]
             h = h[:m]
-            h = np.where((x[t, :m] == START)[:, None], np.float32(0), h)
+            h = np.where(fresh[t, :m, None], np.float32(0), h)
             h = step(w, x[t, :m], h)[0]
             states.append(h)
             flat_y.append(y[t, :m])
@@ -193,7 +206,8 @@ def train(w: dict[str, np.ndarray], vocabulary: Vocabulary, docs: list[np.ndarra
     if not docs:
         return w, 0
     most = most or int(np.clip(sum(map(len, docs)) // (window * UPDATES), *LANES))
-    x, y, _, live = grid(docs, vocabulary, most)
+    docs, before = pieces(docs, PIECE)
+    x, y, _, starts, live = grid(docs, vocabulary, most, before)
     hidden = w["U"].shape[0]
     h = np.zeros((x.shape[1], hidden), np.float32)
     m1, m2 = ({k: np.zeros_like(v) for k, v in w.items()} for _ in range(2))
@@ -203,7 +217,7 @@ def train(w: dict[str, np.ndarray], vocabulary: Vocabulary, docs: list[np.ndarra
         kept = []
         for t in range(t0, t1):
             n = live[t]
-            fresh = (x[t, :n] == START)[:, None]
+            fresh = starts[t, :n, None]
             before = np.where(fresh, np.float32(0), h[:n])
             h, zr, c, uc = step(w, x[t, :n], before)
             kept.append((before, zr, c, uc, fresh, h))
