@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tests.test_oracles import same
 from tidemark.llm import bpe, decontam, gru, jpeg, linededup, lm, media, quality, queries, simhash, suffix, tokencount, urlfilter
 
+U1 = np.uint64(1)
 RANKS = P.path("byte_bpe_multi_50k.tiktoken")
 DATA = "/root/testdata/sf0.001"
 EXTRA = "n_tokens token_ids media payload fp node bucket component_id lines at h q hs around starts carried gone places key known suffix start stop runs copy row word n c head score n_lines near left".split()
@@ -254,6 +255,32 @@ def test_decontamination(spark, docs, empty):
     assert decontam.find_leaks(docs, bench.limit(0)).count() == 0
 
 
+def test_decontamination_stock_phrase():
+    """A phrase that 200 items share, repeated through a text of 32,000 words, costs little."""
+    import time
+
+    r = random.Random(4)
+    phrase = "the quick brown fox jumps over it"
+    bodies = [phrase + " " + " ".join(f"i{r.randrange(10**6)}" for _ in range(40)) for _ in range(200)]
+    items = decontam.Items([(i, decontam.word_hashes(x)) for i, x in enumerate(bodies)])
+    text = " ".join(phrase + " " + " ".join(f"t{r.randrange(10**6)}" for _ in range(4)) for _ in range(2900))
+    began = time.process_time()
+    assert decontam.leaks([text], items, 0.8) == [] and time.process_time() - began < 3
+    assert [x[1] for x in decontam.leaks([text + " " + bodies[7]], items, 0.8)] == [7]
+
+
+def test_decontamination_index():
+    """Looking up block values finds every pair within the radius."""
+    r = np.random.default_rng(5)
+    items = decontam.Items([(i, r.integers(0, 2**63, 30, dtype=np.uint64)) for i in range(400)])
+    fps = items.fps[r.integers(0, 400, 3000)]
+    for _ in range(18):
+        fps = fps ^ (U1 << r.integers(0, 64, 3000).astype(np.uint64))
+    found = {(w, i) for part in items.candidates(fps) for w, i in zip(part[0].tolist(), part[1].tolist(), strict=True)}
+    w, i = np.nonzero(np.bitwise_count(fps[:, None] ^ items.fps[None, :]) <= decontam.RADIUS)
+    assert found == set(zip(w.tolist(), i.tolist(), strict=True)) and len(found) > 1000
+
+
 def test_decontamination_on_tables(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     bench = spark.read.parquet(f"{DATA}/benchmark.parquet")
