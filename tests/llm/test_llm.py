@@ -542,7 +542,7 @@ def test_line_dedup(docs, empty):
     long_ = {}
     for i, t in sorted((x for x in set(ROWS) if x[0] is not None), key=lambda x: x[0]):
         for k, x in enumerate(lines(t)):
-            if len(re.split(" +", x)) >= 40:
+            if len(x) >= 240:
                 long_.setdefault(x, (i, k))
     for (i, t), (_, own, gone) in zip(ROWS, brute_windows(ROWS, lines, 2), strict=True):
         gone = gone | {k for k, x in enumerate(own) if i is not None and x in long_ and long_[x] < (i, k)}
@@ -561,7 +561,7 @@ def test_line_dedup(docs, empty):
 
 def test_line_dedup_long_lines(spark):
     """A long line that repeats alone, between other neighbours and as a whole document."""
-    long, short = " ".join(f"w{i}" for i in range(40)), " ".join(f"w{i}" for i in range(39))
+    long, short = "word " * 47 + "words", "word " * 47 + "more"  # 240 and 239 characters
     rows_ = [(1, f"a\n{long}\nb"), (2, f"c\n{long}\nd"), (3, long), (4, f"e\n{short}\nf"), (5, f"g\n{short}"), (6, f"{long}\n{long}"), (None, long)]
     out = {r.doc_id: r.text for r in linededup.dedup_lines(spark.createDataFrame(rows_, "doc_id long, text string")).collect()}
     assert out == {1: rows_[0][1], 2: "c\nd", 3: "", 4: rows_[3][1], 5: rows_[4][1], 6: "", None: long}

@@ -2,7 +2,7 @@
 
 A document is the sequence of its lines that aren't blank (compared without blanks at either end). A line goes if it
 lies in a run of `run` lines whose sequence also starts earlier: in a document with a smaller id, or higher up in the
-same one. A line of `long_words` or more words (parts between blanks) is a run by itself. Blank lines stay.
+same one. A line of `long_line` or more characters (240: some 40 words) is a run by itself. Blank lines stay.
 
 Winnowing: in every window of `run` line hashes the smallest is a fingerprint (the last one among equals). A repeated
 run has the same hashes wherever it stands, so both places select the same fingerprint; a long line selects itself. Fingerprints that occur once
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.work import text_or_empty, written
 
-RUN, LONG_WORDS = 2, 40
+RUN, LONG_LINE = 2, 240
 
 
 def lines_of(text: Column) -> Column:
@@ -36,15 +36,16 @@ def sequence_or_none(lo: Column, hi: Column) -> Column:
 
 
 def solid_lines(lines: Column) -> Column:
-    """struct(at, h, words) of the lines that aren't blank: place among all lines (from 0), hash, number of words."""
-    marked = F.transform(lines, lambda x, i: F.struct(i.alias("at"), F.xxhash64(F.trim(x)).alias("h"), F.size(F.split(F.trim(x), " +")).alias("words"), (F.length(F.trim(x)) > 0).alias("solid")))
-    return F.filter(marked, lambda x: x["solid"])
+    """struct(at, h, size) of the lines that aren't blank: place among all lines (from 0), hash, characters."""
+    trimmed = F.transform(lines, lambda x: F.trim(x))
+    marked = F.transform(trimmed, lambda x, i: F.struct(i.alias("at"), F.xxhash64(x).alias("h"), F.length(x).alias("size")))
+    return F.filter(marked, lambda x: x["size"] > 0)
 
 
-def fingerprints(docs: DataFrame, run: int, long_words: int) -> DataFrame:
+def fingerprints(docs: DataFrame, run: int, long_line: int) -> DataFrame:
     """doc_id, q (place among solid lines, from 0), h, long (whether it is a run by itself), from_q and around (hashes of the lines up to run - 1 away)."""
     solid = docs.filter("doc_id is not null").select("doc_id", solid_lines(lines_of(F.col("text"))).alias("solid"))
-    hashes = solid.select("doc_id", F.transform("solid", lambda x: x["h"]).alias("hs"), F.transform("solid", lambda x: x["words"] >= long_words).alias("longs"))
+    hashes = solid.select("doc_id", F.transform("solid", lambda x: x["h"]).alias("hs"), F.transform("solid", lambda x: x["size"] >= long_line).alias("longs"))
     minima = F.transform(
         sequence_or_none(F.lit(0), F.size("hs") - run),
         lambda s: -F.array_min(F.transform(F.slice("hs", s + 1, F.lit(run)), lambda h, j: F.struct(h.alias("h"), (-(s + j)).alias("q"))))["q"],
@@ -55,9 +56,9 @@ def fingerprints(docs: DataFrame, run: int, long_words: int) -> DataFrame:
     return place.select("doc_id", "q", F.expr("hs[q]").alias("h"), F.expr("longs[q]").alias("long"), start.alias("from_q"), F.slice("hs", start + 1, F.col("q") - start + run).alias("around"))
 
 
-def repeated_runs(docs: DataFrame, run: int = RUN, long_words: int = LONG_WORDS) -> DataFrame:
+def repeated_runs(docs: DataFrame, run: int = RUN, long_line: int = LONG_LINE) -> DataFrame:
     """doc_id, q, n: the start and number of lines of every run that also starts earlier."""
-    places = written(fingerprints(docs, run, long_words), "line-places")
+    places = written(fingerprints(docs, run, long_line), "line-places")
     # written, so that both sides of the joins below are plain shuffles, which Spark can split at a hot line
     again = written(places.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h"), "line-repeats")
     joined = places.join(again, "h", "left_semi")
@@ -72,11 +73,11 @@ def repeated_runs(docs: DataFrame, run: int = RUN, long_words: int = LONG_WORDS)
     return extended.join(first, "r").filter(F.struct("doc_id", "q") > F.col("first")).select("doc_id", "q", "n")
 
 
-def dedup_lines(docs: DataFrame, run: int = RUN, long_words: int = LONG_WORDS, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+def dedup_lines(docs: DataFrame, run: int = RUN, long_line: int = LONG_LINE, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, n_lines, n_removed, text (what is left, lines joined by newlines), carried (a struct of the columns named by carry, if any)."""
     kept_columns = [F.struct(*carry).alias("carried")] if carry else []
     own = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"), *kept_columns)
-    starts = repeated_runs(own.select("doc_id", "text"), run, long_words).groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct("q", "n"))).alias("starts"))
+    starts = repeated_runs(own.select("doc_id", "text"), run, long_line).groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct("q", "n"))).alias("starts"))
     met = own.join(starts, "doc_id", "left").withColumn("lines", lines_of(F.col("text")))
     covered = F.flatten(F.transform("starts", lambda s: F.sequence(s["q"], s["q"] + s["n"] - 1)))
     at = F.transform(solid_lines(F.col("lines")), lambda x: x["at"])
@@ -94,7 +95,7 @@ WITH e AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS l
 s AS (SELECT doc_id, pos, trim(line) AS t, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS q FROM e WHERE length(trim(line)) > 0),
 w AS (SELECT doc_id, q, t || chr(10) || lead(t) OVER (PARTITION BY doc_id ORDER BY q) AS run FROM s),
 r AS (SELECT doc_id, q, row_number() OVER (PARTITION BY run ORDER BY doc_id, q) AS n FROM w WHERE run IS NOT NULL),
-l AS (SELECT doc_id, q, row_number() OVER (PARTITION BY t ORDER BY doc_id, q) AS n FROM s WHERE len(string_split_regex(t, ' +')) >= 40),
+l AS (SELECT doc_id, q, row_number() OVER (PARTITION BY t ORDER BY doc_id, q) AS n FROM s WHERE length(t) >= 240),
 gone AS (SELECT DISTINCT doc_id, q FROM (SELECT doc_id, q FROM r WHERE n > 1 UNION ALL SELECT doc_id, q + 1 FROM r WHERE n > 1 UNION ALL SELECT doc_id, q FROM l WHERE n > 1)),
 marked AS (SELECT e.doc_id, e.pos, e.line, gone.q IS NOT NULL AS removed FROM e LEFT JOIN s USING (doc_id, pos) LEFT JOIN gone ON gone.doc_id = s.doc_id AND gone.q = s.q)
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (removed) AS n_removed, sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT removed), '')) AS kept_sha256
