@@ -104,6 +104,13 @@ def test_set_compare_ignores_order_and_blanks(spark):
     assert joins.set_compare(a, b, ["k", "v"]).first().equal
 
 
+def test_coverage_rows_take_seconds_and_bad_times(spark):
+    rows = [("a", "1704096000", "1,5"), ("b", "2024-01-01T08:00:00", "1"), ("c", "yesterday", "1"), ("d", None, "1"), (" ", "1704096000.7", "n/a"), ("e", "1704096000", "-1")]
+    df = spark.createDataFrame(rows, "filename string, acq_time string, duration string")
+    assert sorted(tuple(r) for r in manifest.coverage_rows(df).collect()) == [("a", 1704096000, 1704101400), ("b", 1704096000, 1704099600)]
+    assert [r.label for r in manifest.coverage_rows(df, "label", 1).collect()] == ["a"]
+
+
 def test_masks(spark):
     df = spark.createDataFrame([("Jane ok", "[NAME] ok"), ("a\r\nb", "a\nb"), ("same", "same"), ("x 12 y", "x  y"), (None, None)], "a string, b string")
     out = [(r.m, r.t) for r in df.withColumn("m", redaction.redaction_mask(F.col("a"), F.col("b"))).withColumn("t", redaction.placeholder(F.col("a"), F.col("m"))).collect()]

@@ -19,10 +19,14 @@ def prune_events(lines: DataFrame, columns: int, key: str = "rec") -> DataFrame:
     return lines.groupBy(key, reason.alias("reason")).agg(F.count("*").alias("n"))
 
 
+# Prefixes of auxiliary channels.
+AUXILIARY = ["osat", "trig", "pr", "pleth", "patient", "event", "spo", "photic"]
+
+
 def channel_kind(label: Column) -> Column:
     """P3. Whether a channel can't show an evoked answer: blank, C and DC numbers, or a known auxiliary prefix."""
     t = F.trim(F.coalesce(label, F.lit("")))
-    return (t == "") | t.rlike(r"(?i)^(c|dc)\d+$") | t.rlike(r"(?i)^(osat|trig|pr|pleth|patient|event|spo|photic)")
+    return (t == "") | t.rlike(r"(?i)^(c|dc)\d+$") | t.rlike(f"(?i)^({'|'.join(AUXILIARY)})")
 
 
 def evoked_channels(channels: DataFrame, key: str, label: str) -> DataFrame:

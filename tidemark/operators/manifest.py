@@ -114,15 +114,16 @@ def first_appearance(df: DataFrame, key: str, order: str, keep: str = "first") -
     return df.withColumn("place", F.row_number().over(Window.partitionBy(key).orderBy(by))).filter("place = 1").drop("place")
 
 
-def coverage_rows(scans: DataFrame, sort_by: str = "start", most: int = 5000) -> DataFrame:
-    """T1. label, start, stop of the first `most` recordings (the tool's own row limit); times in epoch seconds, decimal commas allowed."""
+def coverage_rows(scans: DataFrame, sort_by: str = "start", most: int | None = None) -> DataFrame:
+    """T1. label, start, stop of recordings; times in epoch seconds or as yyyy-MM-ddTHH:mm:ss, decimal commas allowed; rows without a time or with a length below 0 go.
+
+    most: the first so many in order (a screen's limit); without it all rows, in no order."""
     hours = F.expr("try_cast(replace(trim(duration), ',', '.') as double)")
-    rows = scans.select(
-        F.coalesce(F.nullif(F.trim("filename"), F.lit("")), F.lit("row")).alias("label"), F.unix_timestamp(F.to_timestamp("acq_time", "yyyy-MM-dd'T'HH:mm:ss")).alias("start"), F.round(hours * 3600).cast("long").alias("length")
-    ).filter("length is not null and length >= 0")
-    rows = rows.selectExpr("label", "start", "start + length as stop")
+    start = F.coalesce(F.expr("cast(floor(try_cast(trim(acq_time) as double)) as bigint)"), F.expr("unix_timestamp(try_to_timestamp(trim(acq_time), \"yyyy-MM-dd'T'HH:mm:ss\"))"))
+    rows = scans.select(F.coalesce(F.nullif(F.trim("filename"), F.lit("")), F.lit("row")).alias("label"), start.alias("start"), F.round(hours * 3600).cast("long").alias("length"))
+    rows = rows.filter("start is not null and length >= 0").selectExpr("label", "start", "start + length as stop")
     order = ["start", "stop", "label"] if sort_by == "start" else ["label", "start", "stop"]
-    return rows.orderBy(*order).limit(most)
+    return rows.orderBy(*order).limit(most) if most is not None else rows
 
 
 def strip_common_prefix(df: DataFrame, key: str, label: str) -> DataFrame:

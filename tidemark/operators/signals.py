@@ -32,10 +32,10 @@ def epoch_events(samples: DataFrame, events: DataFrame, before: int, after: int)
 
 
 def orientation(samples: DataFrame, events: DataFrame, lag: int) -> DataFrame:
-    """W8. Sign of the sum of the sample at an event and the one lag later; null where the second is out of range."""
+    """W8. -1 where the sum of the sample at an event and the one lag later is below 0, else 1; null where the second is out of range."""
     first = samples.join(events, (samples.rec == events.rec) & (samples.idx == events.event)).select(samples.rec, "channel", "event", F.col("v").alias("v0"))
     later = samples.select("rec", "channel", (F.col("idx") - lag).alias("event"), F.col("v").alias("v1"))
-    return first.join(later, ["rec", "channel", "event"], "left").select("rec", "channel", "event", F.signum(F.col("v0") + F.col("v1")).cast("int").alias("orientation"))
+    return first.join(later, ["rec", "channel", "event"], "left").select("rec", "channel", "event", F.when(F.col("v0") + F.col("v1") < 0, -1).when(F.col("v1").isNotNull(), 1).alias("orientation"))
 
 
 def average_epochs(epochs: DataFrame) -> DataFrame:
@@ -52,7 +52,7 @@ def baseline_zscore(epochs: DataFrame) -> DataFrame:
 def detrend_linear(samples: DataFrame) -> DataFrame:
     """N10. What is left of the least-squares line of each channel."""
     line = samples.groupBy("rec", "channel").agg(F.expr("regr_slope(v, idx)").alias("slope"), F.expr("regr_intercept(v, idx)").alias("level"))
-    return samples.join(line, ["rec", "channel"]).select("rec", "channel", "idx", F.round(F.col("v") - (F.col("slope") * F.col("idx") + F.col("level")) + 1e-7, 4).alias("rest"))
+    return samples.join(line, ["rec", "channel"]).select("rec", "channel", "idx", (F.col("v") - (F.col("slope") * F.col("idx") + F.col("level"))).alias("rest"))
 
 
 def find_peaks(samples: DataFrame, fraction: float = 0.25) -> DataFrame:

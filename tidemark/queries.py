@@ -78,12 +78,12 @@ register(
 )
 register("W9_first_appearance", lambda s, d: m.first_appearance(v.demographics(s, d), "id", "idx", "last"), [v.DEMOGRAPHICS], "SELECT * FROM demographics QUALIFY row_number() OVER (PARTITION BY id ORDER BY idx DESC) = 1")
 register(
-    "T1_coverage_rows", lambda s, d: m.coverage_rows(v.scans(s, d).selectExpr("filename", "acq_time", "replace(duration, '.', ',') as duration")), [v.SCANS],
-    "SELECT filename AS label, epoch(acq_time::timestamp)::bigint AS start, epoch(acq_time::timestamp)::bigint + round(hours * 3600)::bigint AS stop FROM scans ORDER BY start, stop, label LIMIT 5000",
+    "T1_coverage_rows", lambda s, d: m.coverage_rows(v.scans(s, d).selectExpr("filename", "if(ses % 5 = 0, cast(unix_timestamp(to_timestamp(acq_time)) as string), acq_time) as acq_time", "replace(duration, '.', ',') as duration")), [v.SCANS],
+    "SELECT filename AS label, epoch(acq_time::timestamp)::bigint AS start, epoch(acq_time::timestamp)::bigint + round(hours * 3600)::bigint AS stop FROM scans",
 )
 register(
-    "T2_strip_common_prefix", lambda s, d: m.strip_common_prefix(v.files(s, d).filter("ses = sub % 8"), "sub", "path"), [v.FILES],
-    r"""f AS (SELECT sub, path FROM files WHERE ses = sub % 8), e AS (SELECT sub, min(path) AS lo, max(path) AS hi FROM f GROUP BY sub),
+    "T2_strip_common_prefix", lambda s, d: m.strip_common_prefix(v.files(s, d), "sub", "path"), [v.FILES],
+    r"""f AS (SELECT sub, path FROM files), e AS (SELECT sub, min(path) AS lo, max(path) AS hi FROM f GROUP BY sub),
     n AS (SELECT sub, lo, max(i) AS same FROM (SELECT sub, lo, hi, unnest(range(0, length(lo) + 1)) AS i FROM e) WHERE lo[1:i] = hi[1:i] OR i = 0 GROUP BY ALL)
     SELECT sub, path, path[length(regexp_extract(lo[1:same], '^(.*/)', 1)) + 1:] AS short FROM f JOIN n USING (sub)""",
 )
@@ -98,8 +98,8 @@ register(
     "SELECT *, row_number() OVER (PARTITION BY sub ORDER BY coalesce(length, -1) DESC, name) AS place FROM (SELECT sub, name || file_id AS name, nullif(length, 0) AS length FROM files)",
 )
 register(
-    "U1_merge_tsv", lambda s, d: u.merge_tsv(v.scans(s, d).filter("sub < 3").select("sub", "ses", "filename"), v.scans(s, d).filter("sub < 5").select("sub", "filename", "day")), [v.SCANS],
-    "SELECT sub, ses, filename, NULL AS day FROM scans WHERE sub < 3 UNION ALL SELECT sub, NULL, filename, day FROM scans WHERE sub < 5",
+    "U1_merge_tsv", lambda s, d: u.merge_tsv(v.scans(s, d).filter("ses % 3 <> 0").select("sub", "ses", "filename"), v.scans(s, d).filter("ses % 5 <> 0").select("sub", "filename", "day")), [v.SCANS],
+    "SELECT sub, ses, filename, NULL AS day FROM scans WHERE ses % 3 <> 0 UNION ALL SELECT sub, NULL, filename, day FROM scans WHERE ses % 5 <> 0",
 )
 register(
     "U2_list_compare", lambda s, d: u.list_compare(v.files(s, d).filter("file_id % 3 <> 0"), v.files(s, d).filter("file_id % 4 <> 0"), "path"), [v.FILES],
@@ -321,8 +321,8 @@ register(
     "SELECT sub, ses, count(*) AS n_files, concat_ws('; ', CASE WHEN NOT bool_or(ext = '.json') THEN 'no json' END, CASE WHEN NOT bool_or(ext = '.tsv') THEN 'no events' END) AS issues, bool_or(ext = '.json') AND bool_or(ext = '.tsv') AS ok FROM files GROUP BY sub, ses",
 )
 register(
-    "A10_dataset_summary", lambda s, d: ds.dataset_summary(v.scans(s, d).filter("ses <= 10"), v.files(s, d).withColumn("length", F.col("length") * 100000)), [v.SCANS, v.FILES],
-    """z AS (SELECT sub, ses, sum(length * 100000)::bigint AS bytes FROM files GROUP BY ALL) SELECT sub, ses, filename, day, hours, (bytes * 1000 + 536870912) // 1073741824 / 1000.0::double AS gb, CASE WHEN bytes IS NULL THEN 'folder missing' ELSE '' END AS error FROM scans LEFT JOIN z USING (sub, ses) WHERE ses <= 10""",
+    "A10_dataset_summary", lambda s, d: ds.dataset_summary(v.scans(s, d), v.files(s, d).withColumn("length", F.col("length") * 100000)), [v.SCANS, v.FILES],
+    """z AS (SELECT sub, ses, sum(length * 100000)::bigint AS bytes FROM files GROUP BY ALL) SELECT sub, ses, filename, day, hours, (bytes * 1000 + 536870912) // 1073741824 / 1000.0::double AS gb, CASE WHEN bytes IS NULL THEN 'folder missing' ELSE '' END AS error FROM scans LEFT JOIN z USING (sub, ses)""",
 )
 register("A11_compression_ratio", lambda s, d: ds.compression_ratio(v.files(s, d)), [v.FILES], "SELECT *, round(stored / nullif(unpacked, 0), 6) AS ratio FROM (SELECT sub, sum(length)::bigint AS stored, sum(CASE WHEN ext = '.edf.gz' THEN length * 2 ELSE length END)::bigint AS unpacked FROM files GROUP BY sub)")
 register("A16_anonymisation_report", lambda s, d: ds.anonymisation_report(v.files(s, d).selectExpr("if(file_id % 19 = 0, null, file_id % 3 <> 0) as header_ok", "file_id % 5 <> 0 as notes_ok")), [v.FILES],
@@ -357,8 +357,8 @@ register("P10_partial_name_match", lambda s, d: ds.partial_name_match(v.files(s,
 register("T4_best_file", lambda s, d: ds.best_file(v.files(s, d), "sub"), [v.FILES], "SELECT sub, max_by(path, (length, mtime, path)) AS path FROM files GROUP BY sub")
 register("T5_first_k_issues", lambda s, d: ds.first_k_issues(phi.find(v.texts(s, d), "doc", "text"), "doc", ["label", "match"], 10))
 register(
-    "J1_tsv_vs_folders", lambda s, d: j.status_outer(v.scans(s, d).filter("sub < 20 and ses <= 12"), v.files(s, d), ["sub", "ses"], "missing", "extra", "ok"), [v.SCANS, v.FILES],
-    """a AS (SELECT DISTINCT sub, ses FROM scans WHERE sub < 20 AND ses <= 12), b AS (SELECT DISTINCT sub, ses FROM files) SELECT coalesce(a.sub, b.sub) AS sub, coalesce(a.ses, b.ses) AS ses, CASE WHEN b.sub IS NULL THEN 'missing' WHEN a.sub IS NULL THEN 'extra' ELSE 'ok' END AS status FROM a FULL JOIN b ON a.sub = b.sub AND a.ses = b.ses""",
+    "J1_tsv_vs_folders", lambda s, d: j.status_outer(v.scans(s, d), v.files(s, d), ["sub", "ses"], "missing", "extra", "ok"), [v.SCANS, v.FILES],
+    """a AS (SELECT DISTINCT sub, ses FROM scans), b AS (SELECT DISTINCT sub, ses FROM files) SELECT coalesce(a.sub, b.sub) AS sub, coalesce(a.ses, b.ses) AS ses, CASE WHEN b.sub IS NULL THEN 'missing' WHEN a.sub IS NULL THEN 'extra' ELSE 'ok' END AS status FROM a FULL JOIN b ON a.sub = b.sub AND a.ses = b.ses""",
 )
 register(
     "J10_reconcile_session", lambda s, d: j.status_outer(v.files(s, d).filter("file_id % 5 <> 0"), v.files(s, d).filter("file_id % 7 <> 0"), ["file_id"], "Missing", "New", "Present"), [v.FILES],
@@ -370,8 +370,8 @@ register(
     """SELECT a.path, b.path AS raw_path, CASE WHEN b.path IN (SELECT path FROM files WHERE file_id % 4 = 1) THEN 'compliant' ELSE 'missing marker' END AS state FROM files a JOIN files b ON a.length = b.length AND a.md5 = b.md5 AND a.file_id % 2 = b.file_id % 2 WHERE a.file_id % 3 = 0 AND b.file_id % 3 <> 0""",
 )
 register(
-    "J6_merge_participants", lambda s, d: j.merge_participants(v.demographics(s, d).filter("idx < 1100").selectExpr("if(idx % 11 = 0, concat('z', idx), id) as id").distinct(), v.demographics(s, d)), [v.DEMOGRAPHICS],
-    """o AS (SELECT * FROM demographics QUALIFY row_number() OVER (PARTITION BY id ORDER BY idx) = 1) SELECT id, age, sex, coalesce(nullif(grp, ''), 'patient') AS grp FROM (SELECT DISTINCT CASE WHEN idx % 11 = 0 THEN 'z' || idx ELSE id END AS id FROM demographics WHERE idx < 1100) LEFT JOIN o USING (id)""",
+    "J6_merge_participants", lambda s, d: j.merge_participants(v.demographics(s, d).selectExpr("if(idx % 11 = 0, concat('z', idx), id) as id").distinct(), v.demographics(s, d)), [v.DEMOGRAPHICS],
+    """o AS (SELECT * FROM demographics QUALIFY row_number() OVER (PARTITION BY id ORDER BY idx) = 1) SELECT id, age, sex, coalesce(nullif(grp, ''), 'patient') AS grp FROM (SELECT DISTINCT CASE WHEN idx % 11 = 0 THEN 'z' || idx ELSE id END AS id FROM demographics) LEFT JOIN o USING (id)""",
 )
 register(
     "J7_archive_metadata", lambda s, d: j.archive_metadata(v.files(s, d).selectExpr("if(file_id % 6 = 0, concat('other/', name), if(file_id % 6 = 1, 'none', path)) as path"), v.files(s, d).selectExpr("path", "cast(mtime as string) as acq_time", "file_id as idx")), [v.FILES],
@@ -413,8 +413,9 @@ register(
 )
 register("A14_signal_stats", lambda s, d: sg.signal_stats(v.samples(s, d)), [v.SAMPLES], "SELECT rec, channel, count(v) AS n, round(avg(v), 6) AS mean, round(stddev_pop(v), 6) AS std, min(v) AS low, max(v) AS high FROM samples GROUP BY rec, channel")
 register("W7_moving_average", lambda s, d: sg.moving_average(v.samples(s, d), 10), [v.SAMPLES], "SELECT rec, channel, idx, round(avg(v) OVER (PARTITION BY rec, channel ORDER BY idx ROWS BETWEEN 5 PRECEDING AND 5 FOLLOWING), 6) AS smooth FROM samples")
-_EV = lambda s, d: v.table(s, d, "orders").filter("o_orderkey < 400").selectExpr("o_custkey % 40 as rec", "o_orderkey % 230 as event").distinct()
-_EPOCHS = "pe AS (SELECT DISTINCT o_custkey % 40 AS rec, o_orderkey % 230 AS event FROM orders WHERE o_orderkey < 400), ls AS (SELECT rec, channel, max(idx) AS last FROM samples GROUP BY ALL), epochs AS (SELECT s.rec, s.channel, event, s.idx - event AS \"offset\", v FROM samples s JOIN pe USING (rec) JOIN ls ON ls.rec = s.rec AND ls.channel = s.channel WHERE s.idx >= event - 5 AND s.idx < event + 10 AND event >= 5 AND event + 9 <= last)"
+_EV = lambda s, d: v.table(s, d, "orders").selectExpr("o_custkey % 40 as rec", "o_orderkey").join(v.samples(s, d).groupBy("rec").agg(F.max("idx").alias("last")), "rec").selectExpr("rec", "o_orderkey % (last + 1) as event").distinct()
+_PULSES = "pe AS MATERIALIZED (SELECT DISTINCT rec, o_orderkey % (last + 1) AS event FROM orders JOIN (SELECT rec, max(idx) AS last FROM samples GROUP BY rec) ON rec = o_custkey % 40)"
+_EPOCHS = _PULSES + ", ls AS (SELECT rec, channel, max(idx) AS last FROM samples GROUP BY ALL), epochs AS (SELECT s.rec, s.channel, event, s.idx - event AS \"offset\", v FROM samples s JOIN pe USING (rec) JOIN ls ON ls.rec = s.rec AND ls.channel = s.channel WHERE s.idx >= event - 5 AND s.idx < event + 10 AND event >= 5 AND event + 9 <= last)"
 register("J14_epoch_events", lambda s, d: sg.epoch_events(v.samples(s, d), _EV(s, d), 5, 10), [v.SAMPLES], _EPOCHS + " SELECT * FROM epochs")
 register("N13_average_epochs", lambda s, d: sg.average_epochs(sg.epoch_events(v.samples(s, d), _EV(s, d), 5, 10)), [v.SAMPLES], _EPOCHS + ' SELECT rec, channel, "offset", count(*) AS n, round(avg(v), 6) AS mean FROM epochs GROUP BY ALL')
 register(
@@ -423,11 +424,12 @@ register(
 )
 register(
     "W8_orientation", lambda s, d: sg.orientation(v.samples(s, d).withColumn("v", F.expr("v - 50000")), _EV(s, d), 4), [v.SAMPLES],
-    _EPOCHS + " SELECT a.rec, a.channel, event, sign(a.v - 50000 + b.v - 50000)::int AS orientation FROM pe JOIN samples a ON a.rec = pe.rec AND a.idx = event LEFT JOIN samples b ON b.rec = a.rec AND b.channel = a.channel AND b.idx = a.idx + 4",
+    _PULSES + " SELECT a.rec, a.channel, event, CASE WHEN a.v - 50000 + b.v - 50000 < 0 THEN -1 WHEN b.v IS NOT NULL THEN 1 END AS orientation FROM pe JOIN samples a ON a.rec = pe.rec AND a.idx = event LEFT JOIN samples b ON b.rec = a.rec AND b.channel = a.channel AND b.idx = a.idx + 4",
 )
 register(
-    "N10_detrend_linear", lambda s, d: sg.detrend_linear(v.samples(s, d)), [v.SAMPLES],
-    "l AS (SELECT rec, channel, regr_slope(v, idx) AS a, regr_intercept(v, idx) AS b FROM samples GROUP BY ALL) SELECT rec, channel, idx, round(v - (a * idx + b) + 1e-7, 4) AS rest FROM samples JOIN l USING (rec, channel)",
+    # in units of pi: no residual of decimal samples then lies on a tie, where the two engines round apart
+    "N10_detrend_linear", lambda s, d: sg.detrend_linear(v.samples(s, d)).select("rec", "channel", "idx", F.round(F.col("rest") / F.pi(), 4).alias("rest_pi")), [v.SAMPLES],
+    "l AS (SELECT rec, channel, regr_slope(v, idx) AS a, regr_intercept(v, idx) AS b FROM samples GROUP BY ALL) SELECT rec, channel, idx, round((v - (a * idx + b)) / pi(), 4) AS rest_pi FROM samples JOIN l USING (rec, channel)",
 )
 register(
     "N11_find_peaks", lambda s, d: sg.find_peaks(v.samples(s, d)), [v.SAMPLES],
@@ -509,8 +511,9 @@ register("F14_verify_anonymized", lambda s, d: edf.verify_anonymized(_EDF(s, d,
 register("A27_recording_summary", lambda s, d: edf.header(_EDF(s, d)).selectExpr("path", "n_records * record_s as seconds", "transform(signals, x -> x.label) as labels").selectExpr("path", "seconds", "array_join(labels, ',') as labels", "if(seconds > 0, 'done', 'failed') as status"), [v.SAMPLES], f"{_EDF_SQL} SELECT rec::varchar AS path, (n // 50)::double AS seconds, 'A1,A2' AS labels, 'done' AS status FROM en")
 _PART = "if(idx % 5 = 0, null, cast(idx % 100 as int)) as age", "if(idx % 3 = 0, null, 'm') as sex", "grp as group"
 register(
-    "K1_write_participants", lambda s, d: _back(s, tsv.participants(v.demographics(s, d).filter("idx < 1000").selectExpr("id as participant_id", *_PART), v.demographics(s, d).filter("idx < 20").selectExpr("id as participant_id", "'1' as age", "'f' as sex", "'old' as group")), "participants"), [v.DEMOGRAPHICS],
-    """SELECT id AS participant_id, CASE WHEN idx < 20 THEN '1' WHEN idx % 5 = 0 THEN 'n/a' WHEN idx % 100 >= 89 THEN '89+' ELSE (idx % 100)::varchar END AS age, CASE WHEN idx < 20 THEN 'f' WHEN idx % 3 = 0 THEN 'X' ELSE 'm' END AS sex, CASE WHEN idx < 20 THEN 'old' ELSE grp END AS "group" FROM demographics WHERE idx < 1000""",
+    "K1_write_participants", lambda s, d: _back(s, tsv.participants(v.demographics(s, d).selectExpr("id as participant_id", *_PART), v.demographics(s, d).filter("idx % 20 = 0").selectExpr("id as participant_id", "'1' as age", "'f' as sex", "'old' as group")), "participants"), [v.DEMOGRAPHICS],
+    """n AS (SELECT id AS participant_id, CASE WHEN idx % 5 = 0 THEN 'n/a' WHEN idx % 100 >= 89 THEN '89+' ELSE (idx % 100)::varchar END AS age, CASE WHEN idx % 3 = 0 THEN 'X' ELSE 'm' END AS sex, grp AS "group" FROM demographics)
+    SELECT id AS participant_id, '1' AS age, 'f' AS sex, 'old' AS "group" FROM demographics WHERE idx % 20 = 0 UNION ALL (SELECT * FROM n WHERE participant_id NOT IN (SELECT id FROM demographics WHERE idx % 20 = 0) QUALIFY row_number() OVER (PARTITION BY participant_id ORDER BY age, sex, "group") = 1)""",
 )
 register(
     "K2_write_scans", lambda s, d: _back(s, tsv.scans_rows(v.scans(s, d).withColumn("hours", F.expr("if(ses % 8 = 0, null, hours)")), v.scans(s, d).filter("ses <= 3").select("filename", "acq_time", "duration", "edf_type"), 5856), "scans"), [v.SCANS],

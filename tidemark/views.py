@@ -100,7 +100,7 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.selectExpr("rec", "channel", "cast(row_number() over (partition by rec, channel order by l_orderkey, l_partkey, l_suppkey, v, q) as bigint) - 1 as idx", "v")
 
 
-SAMPLES = """samples AS (SELECT l_suppkey % 40 AS rec, l_linenumber::bigint AS channel, row_number() OVER (PARTITION BY l_suppkey % 40, l_linenumber ORDER BY l_orderkey, l_partkey, l_suppkey, l_extendedprice, l_quantity) - 1 AS idx, l_extendedprice AS v FROM lineitem)"""
+SAMPLES = """samples AS MATERIALIZED (SELECT l_suppkey % 40 AS rec, l_linenumber::bigint AS channel, row_number() OVER (PARTITION BY l_suppkey % 40, l_linenumber ORDER BY l_orderkey, l_partkey, l_suppkey, l_extendedprice, l_quantity) - 1 AS idx, l_extendedprice AS v FROM lineitem)"""
 
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
