@@ -3,10 +3,11 @@
 import math
 
 import pytest
+import numpy as np
 from pyspark.sql import functions as F
 
 from tidemark.functions import phi, redaction, scalar
-from tidemark.operators import events, intervals, joins, manifest
+from tidemark.operators import events, filters, intervals, joins, manifest
 from tidemark.plans import renumber
 from tidemark.sources import edf
 
@@ -121,3 +122,100 @@ def test_first_peak_takes_all_recordings(spark):
     from tidemark import queries
 
     assert queries.QUERIES["N12_first_peak"](spark, "/root/testdata/sf0.001").filter("rec >= 8").count() > 0
+
+
+def rows_of(spark, signal):
+    return spark.createDataFrame([(1, 1, i, float(x)) for i, x in enumerate(signal)], "rec long, channel long, idx long, v double")
+
+
+def test_cubic_is_the_fit_of_numpy(spark):
+    rng = np.random.default_rng(4)
+    for n, most in ((60, 1e-3), (60, 1e9), (4, 1e9)):
+        x = np.arange(n)
+        v = 5 + 0.2 * x - 0.01 * x**2 + 0.05 * x**3 + rng.normal(size=n)
+        fit = np.polyfit(x, v, 3)
+        fit[0] = np.clip(fit[0], -most, most)
+        got = [r.rest for r in filters.detrend_cubic(rows_of(spark, v), most).orderBy("idx").collect()]
+        assert np.allclose(got, v - np.polyval(fit, x), atol=1e-6)
+    assert [r.rest for r in filters.detrend_cubic(rows_of(spark, [1, 2, 4])).collect()] == [None] * 3
+
+
+def test_windows_over_spans_are_those_over_channels(spark):
+    v = np.random.default_rng(5).normal(size=50)
+    padded = np.pad(v, 2)
+    want = [sorted(padded[i : i + 5])[2] for i in range(50)]
+    assert [r.median for r in filters.median_filter(rows_of(spark, v), 5).orderBy("idx").collect()] == want
+    small = filters.spans(rows_of(spark, v), 2, 7).withColumn("m", F.expr("sum(v) over (partition by rec, channel, span order by idx rows between 2 preceding and 2 following)")).filter("home = span").orderBy("idx").collect()
+    assert np.allclose([r.m for r in small], [padded[i : i + 5].sum() for i in range(50)])
+
+
+def test_orientation_and_slopes(spark):
+    v = np.random.default_rng(6).normal(size=30)
+    v[9] = np.nan
+    events_ = spark.createDataFrame([(1, e) for e in range(31)], "rec long, event long")
+    out = {r.event: r for r in filters.orientation(rows_of(spark, v), events_, 3, 6).collect()}
+    assert sorted(out) == list(range(30)) and out[0][3:] == (None, 0.0, 0.0)
+    for e in range(1, 30):
+        want = None if e + 3 > 29 else -1 if np.nansum(v[[e, e + 3]]) < 0 else 1
+        pre, post = v[max(0, e - 6) : e], v[e : e + 6]
+        assert out[e].orientation == want
+        if not max(0, e - 6) <= 9 <= e + 5:  # a window with NaN inside
+            assert np.allclose([out[e].pre, out[e].post], [np.mean(np.diff(w)) if len(w) > 1 else 0 for w in (pre, post)])
+
+
+def test_peaks_of_all_kinds(spark):
+    v = [5, 1, 2, 6, 6, 2, 0, 9, 1, 3, 8]
+    at = lambda **k: [(r.idx, r.v) for r in filters.find_peaks(rows_of(spark, v), **k).orderBy("idx").collect()]
+    assert at(sel=1, thresh=2) == [(3, 6.0), (4, 6.0), (7, 9.0), (10, 8.0)]
+    assert at(sel=-1, thresh=2)[0] == (0, 5.0) and at(sel=1, thresh=2, endpoints=False)[-1] == (7, 9.0)
+    assert len(at(sel=1, thresh=2, least=2, most=2)) == 4 and at(sel=1, thresh=2, least=3) == [] and at(sel=-1, thresh=-1.5, extrema=-1, endpoints=False) == [(1, 1.0), (6, 0.0), (8, 1.0)]
+    wide = rows_of(spark, [0, 2, 4, 9, 4, 1, 7, 0])  # widths 5 and 2
+    assert [r.idx for r in filters.find_peaks(wide, sel=1, thresh=1, least=3).collect()] == [3] and [r.idx for r in filters.find_peaks(wide, sel=1, thresh=1, most=3).collect()] == [6]
+    top = filters.find_peaks(rows_of(spark, [0, 3, 5, 4, 0]), sel=1, thresh=1).first()
+    assert top.place == pytest.approx(2 + 0.5 * (3 - 4) / (3 - 10 + 4))
+
+
+def test_first_peak_sees_its_window_only(spark):
+    v = [9, 0, 3, 3, 1, 5, 0, -8, 0, 20]
+    epochs = spark.createDataFrame([(1, 1, 0, o - 2, float(x)) for o, x in enumerate(v)] + [(1, 1, 1, -2, 1.0)], "rec long, channel long, event long, offset long, v double")
+    out = {r.event: (r.peak, r.polarity) for r in filters.first_peak(epochs, -1, 6, 2.0).collect()}
+    assert out == {0: (0, -1), 1: (None, None)}
+    assert filters.first_peak(epochs, -1, 6, 3.0).filter("event = 0").first().peak == 3
+
+
+def test_name_patterns(spark):
+    cases = [
+        ("Jane Doe", "saw jane Q. doe today", True), ("Jane Doe", "jane_doe", True), ("Jane Doe", "xjane doe", False), ("Jane Doe", "Jane Doest", False), ("Doe, J.", "Doe, Janet", True), ("Doe, Jane", "(doe , j)", True),
+        ("Doe, Jane", "Doe, Karl", False), ("Mary Ann O'Neil", "mary-ann_o'neil.", True), ("A+ B. C", "a+ b c", True), ("A+ B. C", "aa b c", False),
+    ]
+    df = spark.createDataFrame(cases, "name string, text string, hit boolean")
+    assert [r.hit for r in df.select("text", phi.name_pattern(F.col("name")).alias("p")).select(F.expr("rlike(text, p)").alias("hit")).collect()] == [c[2] for c in cases]
+
+
+def test_augment_keeps_counterparts(spark):
+    lines = spark.range(400).selectExpr("id % 7 as doc", "id as line", "if(id % 10 = 0, '', concat('w', id, ' of  text ', id)) as text")
+    out = redaction.augment(lines, ["Ann Lee", "Bo"], 3, percent=30, replacing=30, noise=True).collect()
+    before = {r.line: r.text for r in lines.collect()}
+    put, replaced = 0, 0
+    for r in out:
+        if r.text == before[r.line]:
+            assert r.label == r.text
+            continue
+        a, b = r.label.split("[NAME]")
+        assert r.text.startswith(a) and r.text.endswith(b) and before[r.line]
+        more = len(r.label.split(" ")) - len(before[r.line].split(" "))
+        put, replaced = put + (more == 1), replaced + (more == 0)
+    assert 60 < put < 160 and 60 < replaced < 160 and put + replaced < 360
+    again = redaction.augment(lines.repartition(5), ["Ann Lee", "Bo"], 3, percent=30, replacing=30, noise=True)
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, out))
+
+
+def test_diff_context_and_report_of_bounds(spark):
+    a = "\n".join(str(i) for i in range(10))
+    pair = spark.createDataFrame([(1, a, a.replace("5", "x"))], "doc long, a string, b string")
+    assert tuple(redaction.diff_blocks(pair).first()) == (1, 0, "replace", 5, 6, 5, 6, 2, 9)
+    rows = [(1, 1, 0.5, None), (1, 2, 7.0, None), (2, 1, None, None), (3, 1, 0.0, None), (3, 2, 1.0, "2024-01-02 08:05:09"), (3, 3, 2.0, "2024-01-02 20:00:00")]
+    df = spark.createDataFrame(rows, "rec long, seq long, onset double, time string").withColumn("time", F.expr("cast(time as timestamp)"))
+    assert sorted(tuple(r) for r in events.bounds_report(df).collect()) == [
+        (1, "0.5 s", "7.0 s", "N/A"), (2, "N/A", "N/A", "N/A"), (3, "2024-01-02 08:05:09", "2024-01-02 20:00:00", "2024-01-02\t8:05:09 AM\t8:00:00 PM"),
+    ]

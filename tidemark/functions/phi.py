@@ -79,10 +79,23 @@ def name_variants(people: DataFrame, separators: list[str]) -> DataFrame:
     return named.select(F.explode(F.array(*made)).alias("name")).filter("name is not null").distinct()
 
 
+# What may stand between the parts of a name, before it and after it.
+NAME_SEPARATORS = r"[ \t_.,|;-]+"
+NAME_START = r"(?:^|(?<=[\s:(\[{]))"
+NAME_END = r"(?=$|[\s.,;|\-\])}])"
+
+
 def name_pattern(name: Column) -> Column:
-    """F5. A pattern for a person's name: blanks match any run of blanks, dots, commas, dashes or underscores, with an initial between; whole words only."""
-    quoted = F.regexp_replace(F.trim(name), r"([.\\+*?\[\](){}|^$])", r"\\$1")
-    return F.concat(F.lit(r"(?i)(?<![A-Za-z])"), F.regexp_replace(quoted, r"[\s,]+", r"[\\s,._-]+(?:[A-Z][.\\s,_-]+)?"), F.lit(r"(?![A-Za-z])"))
+    """F5. A pattern, whatever the case, for a person's name. `First Last` may have an initial between; `Last, F` and `Last, First` fit any first name with that
+    initial; in other names each run of separators fits any other."""
+    n = F.trim(name)
+    quote = lambda c: F.regexp_replace(c, r"([\\.+*?\[\](){}|^$])", r"\\$1")
+    comma, pair = r"^([A-Za-z'`-]+)\s*,\s*([A-Za-z])(?:\.|[A-Za-z]*)$", r"^([A-Za-z]+)\s+([A-Za-z'`-]+)$"
+    one, two = lambda p: F.regexp_extract(n, p, 1), lambda p: F.regexp_extract(n, p, 2)
+    reverse = F.concat(one(comma), F.lit(r"\s*,\s*"), two(comma), F.lit(r"[A-Za-z]*\.?"))
+    both = F.concat(one(pair), F.lit(rf"(?:{NAME_SEPARATORS}[A-Za-z]\.?)?{NAME_SEPARATORS}"), two(pair))
+    other = F.array_join(F.transform(F.split(n, NAME_SEPARATORS), quote), NAME_SEPARATORS)
+    return F.concat(F.lit("(?i)" + NAME_START), F.when(n.rlike(comma), reverse).when(n.rlike(pair), both).otherwise(other), F.lit(NAME_END))
 
 
 def overwrite(df: DataFrame, text: str, patterns: list[tuple[str, str, str]]) -> DataFrame:

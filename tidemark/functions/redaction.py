@@ -185,12 +185,27 @@ def redact_with_model(df: DataFrame, scorer: Callable[[list[str]], list[list[flo
     return met.select("doc", "text", F.concat("d.out", F.expr("substring(text, d.at + 1)")).alias("redacted"))
 
 
-def augment(df: DataFrame, names: list[str], seed: int, percent: int = 30) -> DataFrame:
-    """F10. doc, line, text, label: some lines get a name put in after their first word, by a hash of (seed, doc, line), and the label has [NAME] there."""
-    h = F.pmod(F.xxhash64(F.lit(seed), "doc", "line"), F.lit(100))
-    name = F.element_at(F.array(*map(F.lit, names)), (F.pmod(F.xxhash64(F.lit(seed + 1), "doc", "line"), F.lit(len(names))) + 1).cast("int"))
-    put = lambda x: F.when(h < percent, F.regexp_replace("text", r"^(\S+)", F.concat(F.lit("$1 "), x))).otherwise(F.col("text"))
-    return df.select("doc", "line", put(name).alias("text"), put(F.lit("[NAME]")).alias("label"))
+def noisy(name: Column, h: Column) -> Column:
+    """F10. By a hash, three in ten names each in capitals or small letters, two with another letter in one place, two without their blanks."""
+    kind, at = F.pmod(h, F.lit(10)), (F.pmod(F.shiftright(h, 8), F.length(name)) + 1).cast("int")
+    letter = F.char(F.lit(97) + F.pmod(F.shiftright(h, 16), F.lit(26)))
+    typo = F.concat(F.substring(name, F.lit(1), at - 1), letter, F.substring(name, at + 1, F.length(name)))
+    return F.when(kind < 3, F.upper(name)).when(kind < 6, F.lower(name)).when(kind < 8, typo).otherwise(F.replace(name, F.lit(" "), F.lit("")))
+
+
+def augment(df: DataFrame, names: list[str], seed: int, percent: int = 30, replacing: int = 0, noise: bool = False) -> DataFrame:
+    """F10. doc, line, text, label: by hashes of (seed, doc, line), `percent` of 100 lines get a name put in after one of their words, `replacing` of 100 have a
+    word replaced by one, never both; label has [NAME] in that place. noise: names are changed as in noisy(). The same rows give the same result in any order."""
+    draw = lambda k: F.xxhash64(F.lit(seed + k), "doc", "line")
+    h = F.pmod(draw(0), F.lit(100))
+    name = F.element_at(F.array(*map(F.lit, names)), (F.pmod(draw(1), F.lit(len(names))) + 1).cast("int"))
+    words = F.split("text", " ", -1)
+    at = F.pmod(draw(2), F.size(words)).cast("int") + 1
+    rows = df.select("doc", "line", "text", h.alias("h"), (noisy(name, draw(3)) if noise else name).alias("name"), words.alias("words"), at.alias("at"))
+    kept = F.when(F.col("h") < percent, F.col("at")).otherwise(F.col("at") - 1)
+    put = lambda x: F.array_join(F.concat(F.slice("words", F.lit(1), kept), F.array(x), F.slice("words", F.col("at") + 1, F.size("words"))), " ")
+    hit = (F.col("h") < percent + replacing) & (F.trim("text") != "")
+    return rows.select("doc", "line", F.when(hit, put(F.col("name"))).otherwise(F.col("text")).alias("text"), F.when(hit, put(F.lit("[NAME]"))).otherwise(F.col("text")).alias("label"))
 
 
 def split_by_case(df: DataFrame, case: str, seed: int, train: int = 80, valid: int = 10) -> DataFrame:
@@ -209,18 +224,19 @@ def char_metrics(pairs: DataFrame) -> DataFrame:
     return c.select("tp", "fp", "fn", "tn", *[F.round(x, 6).alias(n) for x, n in ((F.col("precision"), "precision"), (F.col("recall"), "recall"), (2 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall") + e), "f1"), (F.col("tn") / (F.col("tn") + F.col("fp") + e), "retention"))])
 
 
-def diff_blocks(pairs: DataFrame) -> DataFrame:
-    """F19. doc, block, kind, a_from, a_to, b_from, b_to: what differs between the lines of two texts."""
+def diff_blocks(pairs: DataFrame, context: int = 3) -> DataFrame:
+    """F19. doc, block, kind, a_from, a_to, b_from, b_to: what differs between the lines of two texts; context_from, context_to: those lines of the first with `context` more on each side."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             rows = []
             for doc, a, b in zip(f["doc"], f["a"].fillna(""), f["b"].fillna(""), strict=True):
-                ops = [o for o in SequenceMatcher(None, a.split("\n"), b.split("\n"), autojunk=False).get_opcodes() if o[0] != "equal"]
-                rows += [(doc, i, *o) for i, o in enumerate(ops)]
-            yield pd.DataFrame(rows, columns=["doc", "block", "kind", "a_from", "a_to", "b_from", "b_to"])
+                lines = a.split("\n")
+                ops = [o for o in SequenceMatcher(None, lines, b.split("\n"), autojunk=False).get_opcodes() if o[0] != "equal"]
+                rows += [(doc, i, *o, max(0, o[1] - context), min(len(lines), o[2] + context)) for i, o in enumerate(ops)]
+            yield pd.DataFrame(rows, columns=["doc", "block", "kind", "a_from", "a_to", "b_from", "b_to", "context_from", "context_to"])
 
-    return pairs.select("doc", "a", "b").mapInPandas(run, "doc long, block int, kind string, a_from int, a_to int, b_from int, b_to int")
+    return pairs.select("doc", "a", "b").mapInPandas(run, "doc long, block int, kind string, a_from int, a_to int, b_from int, b_to int, context_from int, context_to int")
 
 
 def merged(pairs: DataFrame, decisions: DataFrame) -> DataFrame:

@@ -72,8 +72,9 @@ def dataset_summary(scans: DataFrame, files: DataFrame) -> DataFrame:
 
 
 def compression_ratio(files: DataFrame) -> DataFrame:
-    """A11. Bytes as stored and unpacked (archives are taken as half their content here), and their ratio."""
-    sums = files.groupBy("sub").agg(F.sum("length").alias("stored"), F.sum(F.when(F.col("ext") == ".edf.gz", F.col("length") * 2).otherwise(F.col("length"))).alias("unpacked"))
+    """A11. Bytes of each subject as stored and unpacked, and their ratio. Archives have their own size in `unpacked` (S11); where that is null, they count as stored bytes alone."""
+    archive = F.col("ext").rlike(r"\.(gz|rar|7z)$")
+    sums = files.groupBy("sub").agg(F.sum("length").alias("stored"), F.coalesce(F.sum(F.when(archive, F.col("unpacked")).otherwise(F.col("length"))), F.lit(0)).alias("unpacked"))
     return sums.withColumn("ratio", F.round(F.col("stored") / F.nullif("unpacked", F.lit(0)), 6))
 
 
@@ -171,6 +172,15 @@ def first_k_issues(issues: DataFrame, key: str, order: list[str], k: int = 10) -
     return issues.withColumn("place", F.row_number().over(Window.partitionBy(key).orderBy(*order))).filter(F.col("place") <= k)
 
 
+def first_failing(texts: DataFrame, key: str, allowed: list[str]) -> DataFrame:
+    """T5. key, records (with texts outside the allowed ones), unknown_chars, first_failing, sample (all texts of that record in order). texts: key, record, seq, text; empty texts are no finding."""
+    bad = (F.length("text") > 0) & ~F.col("text").isin(allowed)
+    each = texts.groupBy(key, "record").agg(F.sum(F.when(bad, F.length("text"))).alias("chars"), F.array_sort(F.collect_list(F.struct("seq", "text"))).alias("texts"))
+    first = F.min(F.when(F.col("chars").isNotNull(), F.struct("record", "texts"))).alias("first")
+    files = each.groupBy(key).agg(F.count("chars").alias("records"), F.coalesce(F.sum("chars"), F.lit(0)).alias("unknown_chars"), first)
+    return files.select(key, "records", "unknown_chars", F.col("first.record").alias("first_failing"), F.col("first.texts.text").alias("sample"))
+
+
 def best_file(files: DataFrame, key: str) -> DataFrame:
     """T4. The largest file of each key, the newest among equals, then the last name."""
     return files.groupBy(key).agg(F.max_by("path", F.struct("length", "mtime", "path")).alias("path"))

@@ -105,6 +105,20 @@ def recording_bounds(events: DataFrame) -> DataFrame:
     return events.filter("onset is not null").groupBy("rec").agg(F.min_by("onset", "seq").alias("first_onset"), F.max_by("onset", "seq").alias("last_onset"), F.count("*").alias("n"))
 
 
+def bounds_report(events: DataFrame) -> DataFrame:
+    """A25. rec, first, last, row: the first and last time by row order, else the first and last onset in seconds, else N/A; row is date, start and end on a
+    12-hour clock, parted by tabs, or N/A without times. events: rec, seq, onset, time."""
+    by = F.when(F.col("time").isNotNull(), F.col("seq"))
+    ends = events.groupBy("rec").agg(F.min_by("time", by).alias("t0"), F.max_by("time", by).alias("t1"), F.min_by("onset", "seq").alias("o0"), F.max_by("onset", "seq").alias("o1"))
+    stamp = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+    seconds = lambda c: F.concat(F.regexp_replace(F.regexp_replace(F.col(c).cast("decimal(20,6)").cast("string"), "0+$", ""), r"\.$", ".0"), F.lit(" s"))
+    clock = lambda c: F.regexp_replace(F.date_format(c, "hh:mm:ss a"), "^0", "")
+    row = F.coalesce(F.concat_ws("\t", F.date_format("t0", "yyyy-MM-dd"), clock("t0"), clock("t1")), F.lit("N/A"))
+    return ends.select(
+        "rec", F.coalesce(stamp("t0"), seconds("o0"), F.lit("N/A")).alias("first"), F.coalesce(stamp("t1"), seconds("o1"), F.lit("N/A")).alias("last"), F.when(F.col("t0").isNull(), "N/A").otherwise(row).alias("row")
+    )
+
+
 def estimate_rate(events: DataFrame, stamp: str) -> DataFrame:
     """A17. Median of stamp steps by seconds between neighbours, of steps above 0 within 0.5 to 60 s; null below 30 of them."""
     rows = events.select("rec", (F.col(stamp) - F.lag(stamp).over(in_order())).alias("ds"), (F.col("onset") - F.lag("onset").over(in_order())).alias("dt"))

@@ -1,14 +1,11 @@
-"""Samples of channels: statistics, filters, peaks and event-locked averages, in windows over (recording, channel)."""
+"""Samples of channels: statistics, smoothing and event-locked averages."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, WindowSpec
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def channel() -> WindowSpec:
-    """A channel's samples in their order."""
-    return Window.partitionBy("rec", "channel").orderBy("idx")
+from tidemark.operators.filters import spans
 
 
 def signal_stats(samples: DataFrame) -> DataFrame:
@@ -20,7 +17,8 @@ def moving_average(samples: DataFrame, window: int) -> DataFrame:
     """W7. Centred mean over window samples (an even number takes one more), shorter at the ends; NaN doesn't count."""
     half = window // 2
     v = F.when(~F.isnan("v"), F.col("v"))
-    return samples.select("rec", "channel", "idx", F.round(F.avg(v).over(channel().rowsBetween(-half, half)), 6).alias("smooth"))
+    around = Window.partitionBy("rec", "channel", "span").orderBy("idx").rowsBetween(-half, half)
+    return spans(samples, half).withColumn("smooth", F.round(F.avg(v).over(around), 6)).filter("home = span").select("rec", "channel", "idx", "smooth")
 
 
 def epoch_events(samples: DataFrame, events: DataFrame, before: int, after: int) -> DataFrame:
@@ -31,13 +29,6 @@ def epoch_events(samples: DataFrame, events: DataFrame, before: int, after: int)
     return met.filter((F.col("event") >= before) & (F.col("event") + after - 1 <= F.col("last"))).select("rec", "channel", "event", (F.col("idx") - F.col("event")).alias("offset"), "v")
 
 
-def orientation(samples: DataFrame, events: DataFrame, lag: int) -> DataFrame:
-    """W8. -1 where the sum of the sample at an event and the one lag later is below 0, else 1; null where the second is out of range."""
-    first = samples.join(events, (samples.rec == events.rec) & (samples.idx == events.event)).select(samples.rec, "channel", "event", F.col("v").alias("v0"))
-    later = samples.select("rec", "channel", (F.col("idx") - lag).alias("event"), F.col("v").alias("v1"))
-    return first.join(later, ["rec", "channel", "event"], "left").select("rec", "channel", "event", F.when(F.col("v0") + F.col("v1") < 0, -1).when(F.col("v1").isNotNull(), 1).alias("orientation"))
-
-
 def average_epochs(epochs: DataFrame) -> DataFrame:
     """N13. Mean answer of each channel at each offset."""
     return epochs.groupBy("rec", "channel", "offset").agg(F.count("*").alias("n"), F.round(F.avg("v"), 6).alias("mean"))
@@ -53,39 +44,3 @@ def detrend_linear(samples: DataFrame) -> DataFrame:
     """N10. What is left of the least-squares line of each channel."""
     line = samples.groupBy("rec", "channel").agg(F.expr("regr_slope(v, idx)").alias("slope"), F.expr("regr_intercept(v, idx)").alias("level"))
     return samples.join(line, ["rec", "channel"]).select("rec", "channel", "idx", (F.col("v") - (F.col("slope") * F.col("idx") + F.col("level"))).alias("rest"))
-
-
-def find_peaks(samples: DataFrame, fraction: float = 0.25) -> DataFrame:
-    """N11. Samples where the slope's sign falls, above the threshold and above the least sample so far by more than it; both are the channel's range times fraction (over the least value, for the first)."""
-    range_ = samples.groupBy("rec", "channel").agg((F.max("v") - F.min("v")).alias("span"))
-    rows = samples.select(
-        "rec", "channel", "idx", "v", F.signum(F.lead("v").over(channel()) - F.col("v")).alias("next"), F.signum(F.col("v") - F.lag("v").over(channel())).alias("before"),
-        F.min("v").over(channel().rowsBetween(Window.unboundedPreceding, 0)).alias("low"),
-    )
-    peaks = rows.filter("next < before").join(range_, ["rec", "channel"])
-    return peaks.filter((F.col("v") > F.col("span") * fraction) & (F.col("v") - F.col("low") > F.col("span") * fraction)).select("rec", "channel", "idx", "v")
-
-
-def first_peak(epochs: DataFrame, first: int, stop: int, prominence: float) -> DataFrame:
-    """N12. rec, channel, event, peak (offset), polarity: the first offset in [first, stop) that stands `prominence` above the lows on both sides; 1 or -1 where one side of the epoch is 1.2 times the other."""
-    import numpy as np
-    import pandas as pd
-
-    def of(f: pd.DataFrame) -> pd.DataFrame:
-        f = f.sort_values("offset")
-        x, at = f["v"].to_numpy(float), f["offset"].to_numpy()
-        peak = None
-        for i in range(1, len(x) - 1):
-            if first <= at[i] < stop and x[i - 1] < x[i] > x[i + 1]:
-                higher = np.flatnonzero(x > x[i])
-                lo = higher[higher < i].max(initial=-1) + 1
-                hi = higher[higher > i].min(initial=len(x))
-                if x[i] - max(x[lo : i + 1].min(), x[i:hi].min()) >= prominence:
-                    peak = int(at[i])
-                    break
-        up, down = x.max(initial=0), -x.min(initial=0)
-        sign = 1 if up > 1.2 * down else -1 if down > 1.2 * up else None
-        head = f.iloc[0]
-        return pd.DataFrame({"rec": [head["rec"]], "channel": [head["channel"]], "event": [head["event"]], "peak": pd.array([peak], "Int64"), "polarity": pd.array([sign], "Int64")})
-
-    return epochs.groupBy("rec", "channel", "event").applyInPandas(of, "rec long, channel long, event long, peak long, polarity long")

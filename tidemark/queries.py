@@ -262,6 +262,14 @@ register(
     SELECT rec, seq, pair, currents FROM g WHERE seq IS NOT NULL""",
 )
 register("A25_recording_bounds", lambda s, d: ev.recording_bounds(v.events_tsv(s, d)), [v.EVENTS_TSV], "SELECT rec, min_by(onset, seq) AS first_onset, max_by(onset, seq) AS last_onset, count(*) AS n FROM events_tsv GROUP BY rec")
+_TIMED = "cast(round(onset * 1000000) as bigint) + 1704067200000000"
+register(
+    "A25_bounds_report", lambda s, d: ev.bounds_report(v.events_tsv(s, d).withColumn("time", F.expr(f"if(rec % 3 > 0 and seq % 5 > 0, timestamp_micros({_TIMED}), null)"))), [v.EVENTS_TSV],
+    f"""t AS (SELECT *, CASE WHEN rec % 3 > 0 AND seq % 5 > 0 THEN make_timestamp({_TIMED}) END AS time FROM events_tsv),
+    e AS (SELECT rec, min_by(time, seq) FILTER (time IS NOT NULL) AS t0, max_by(time, seq) FILTER (time IS NOT NULL) AS t1, min_by(onset, seq)::decimal(20, 6)::varchar AS o0, max_by(onset, seq)::decimal(20, 6)::varchar AS o1 FROM t GROUP BY rec)
+    SELECT rec, coalesce(strftime(t0, '%Y-%m-%d %H:%M:%S'), regexp_replace(rtrim(o0, '0'), '[.]$', '.0') || ' s') AS first, coalesce(strftime(t1, '%Y-%m-%d %H:%M:%S'), regexp_replace(rtrim(o1, '0'), '[.]$', '.0') || ' s') AS last,
+    coalesce(strftime(t0, '%Y-%m-%d') || chr(9) || ltrim(strftime(t0, '%I:%M:%S %p'), '0') || chr(9) || ltrim(strftime(t1, '%I:%M:%S %p'), '0'), 'N/A') AS row FROM e""",
+)
 register(
     "A17_estimate_rate", lambda s, d: ev.estimate_rate(v.events_tsv(s, d).selectExpr("rec", "seq", "onset / 400 as onset", "cast(seq * 1000 as bigint) as stamp"), "stamp"), [v.EVENTS_TSV],
     """x AS (SELECT rec, (seq - lag(seq) OVER w) * 1000 AS ds, onset / 400 - lag(onset / 400) OVER w AS dt FROM events_tsv WINDOW w AS (PARTITION BY rec ORDER BY seq)), r AS (SELECT rec, CASE WHEN ds > 0 AND dt BETWEEN 0.5 AND 60 THEN ds / dt END AS ratio FROM x)
@@ -285,6 +293,7 @@ register(
 )
 
 from tidemark.operators import dataset as ds  # noqa: E402
+from tidemark.operators import filters as fl  # noqa: E402
 from tidemark.operators import joins as j  # noqa: E402
 from tidemark.operators import signals as sg  # noqa: E402
 
@@ -324,7 +333,11 @@ register(
     "A10_dataset_summary", lambda s, d: ds.dataset_summary(v.scans(s, d), v.files(s, d).withColumn("length", F.col("length") * 100000)), [v.SCANS, v.FILES],
     """z AS (SELECT sub, ses, sum(length * 100000)::bigint AS bytes FROM files GROUP BY ALL) SELECT sub, ses, filename, day, hours, (bytes * 1000 + 536870912) // 1073741824 / 1000.0::double AS gb, CASE WHEN bytes IS NULL THEN 'folder missing' ELSE '' END AS error FROM scans LEFT JOIN z USING (sub, ses)""",
 )
-register("A11_compression_ratio", lambda s, d: ds.compression_ratio(v.files(s, d)), [v.FILES], "SELECT *, round(stored / nullif(unpacked, 0), 6) AS ratio FROM (SELECT sub, sum(length)::bigint AS stored, sum(CASE WHEN ext = '.edf.gz' THEN length * 2 ELSE length END)::bigint AS unpacked FROM files GROUP BY sub)")
+_PACKED = "unhex(concat('1f8b00', regexp_replace(lpad(hex(length * 3 + file_id % 7), 8, '0'), '(..)(..)(..)(..)', '$4$3$2$1')))"
+register(
+    "A11_compression_ratio", lambda s, d: ds.compression_ratio(v.files(s, d).withColumn("unpacked", edf.gzip_size(F.expr(f"if(ext = '.edf.gz' and file_id % 5 > 0, {_PACKED}, null)")))), [v.FILES],
+    "SELECT *, round(stored / nullif(unpacked, 0), 6) AS ratio FROM (SELECT sub, sum(length)::bigint AS stored, coalesce(sum(CASE WHEN ext <> '.edf.gz' THEN length WHEN file_id % 5 > 0 THEN length * 3 + file_id % 7 END), 0)::bigint AS unpacked FROM files GROUP BY sub)",
+)
 register("A16_anonymisation_report", lambda s, d: ds.anonymisation_report(v.files(s, d).selectExpr("if(file_id % 19 = 0, null, file_id % 3 <> 0) as header_ok", "file_id % 5 <> 0 as notes_ok")), [v.FILES],
     "SELECT CASE WHEN file_id % 19 = 0 THEN 'ERROR' WHEN file_id % 3 <> 0 AND file_id % 5 <> 0 THEN 'PASS' ELSE 'FAIL' END AS status, count(*) AS n FROM files GROUP BY ALL")
 register("A19_checksum", lambda s, d: ds.checksum(v.files(s, d).withColumn("md5", F.expr("if(file_id % 43 = 0, 'bad', md5)"))), [v.FILES],
@@ -356,6 +369,11 @@ register(
 register("P10_partial_name_match", lambda s, d: ds.partial_name_match(v.files(s, d).select("file_id", "name"), "SES-003_x_pdf"), [v.FILES], "SELECT file_id, name FROM files WHERE lower(name) LIKE '%ses%' OR lower(name) LIKE '%003%' OR lower(name) LIKE '%pdf%'")
 register("T4_best_file", lambda s, d: ds.best_file(v.files(s, d), "sub"), [v.FILES], "SELECT sub, max_by(path, (length, mtime, path)) AS path FROM files GROUP BY sub")
 register("T5_first_k_issues", lambda s, d: ds.first_k_issues(phi.find(v.texts(s, d), "doc", "text"), "doc", ["label", "match"], 10))
+register(
+    "T5_first_failing", lambda s, d: ds.first_failing(v.events_tsv(s, d).selectExpr("rec", "seq div 10 as record", "seq", "text"), "rec", ["high freq", "Opened relay"]).withColumn("sample", F.array_join("sample", "|")), [v.EVENTS_TSV],
+    """x AS (SELECT rec, seq // 10 AS record, seq, text, CASE WHEN text NOT IN ('', 'high freq', 'Opened relay') THEN length(text) END AS chars FROM events_tsv), r AS (SELECT rec, record, sum(chars) AS chars, string_agg(text, '|' ORDER BY seq) AS sample FROM x GROUP BY rec, record)
+    SELECT rec, count(chars) AS records, coalesce(sum(chars), 0)::bigint AS unknown_chars, min(record) FILTER (chars IS NOT NULL) AS first_failing, min_by(sample, record) FILTER (chars IS NOT NULL) AS sample FROM r GROUP BY rec""",
+)
 register(
     "J1_tsv_vs_folders", lambda s, d: j.status_outer(v.scans(s, d), v.files(s, d), ["sub", "ses"], "missing", "extra", "ok"), [v.SCANS, v.FILES],
     """a AS (SELECT DISTINCT sub, ses FROM scans), b AS (SELECT DISTINCT sub, ses FROM files) SELECT coalesce(a.sub, b.sub) AS sub, coalesce(a.ses, b.ses) AS ses, CASE WHEN b.sub IS NULL THEN 'missing' WHEN a.sub IS NULL THEN 'extra' ELSE 'ok' END AS status FROM a FULL JOIN b ON a.sub = b.sub AND a.ses = b.ses""",
@@ -423,8 +441,11 @@ register(
     _EPOCHS + ', b AS (SELECT rec, channel, event, avg(v) AS m, stddev_pop(v) AS sd FROM epochs WHERE "offset" < 0 GROUP BY ALL) SELECT rec, channel, event, "offset", round((v - m) / nullif(sd, 0), 6) AS z FROM epochs LEFT JOIN b USING (rec, channel, event)',
 )
 register(
-    "W8_orientation", lambda s, d: sg.orientation(v.samples(s, d).withColumn("v", F.expr("v - 50000")), _EV(s, d), 4), [v.SAMPLES],
-    _PULSES + " SELECT a.rec, a.channel, event, CASE WHEN a.v - 50000 + b.v - 50000 < 0 THEN -1 WHEN b.v IS NOT NULL THEN 1 END AS orientation FROM pe JOIN samples a ON a.rec = pe.rec AND a.idx = event LEFT JOIN samples b ON b.rec = a.rec AND b.channel = a.channel AND b.idx = a.idx + 4",
+    "W8_orientation", lambda s, d: fl.orientation(v.samples(s, d).withColumn("v", F.expr("v - 50000")), _EV(s, d), 4, 10).withColumns({"pre": F.round("pre", 6), "post": F.round("post", 6)}), [v.SAMPLES],
+    _PULSES + """, x AS (SELECT rec, channel, idx, v - 50000 AS v0, lead(v - 50000, 4) OVER o AS v1, lag(v - 50000) OVER o AS b, first_value(v - 50000) OVER (o ROWS BETWEEN 10 PRECEDING AND CURRENT ROW) AS f, last_value(v - 50000) OVER (o ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING) AS l,
+    max(idx) OVER (PARTITION BY rec, channel) AS last FROM samples WINDOW o AS (PARTITION BY rec, channel ORDER BY idx))
+    SELECT x.rec, channel, event, CASE WHEN event = 0 OR v1 IS NULL THEN NULL WHEN v0 + v1 < 0 THEN -1 ELSE 1 END AS orientation, CASE WHEN event < 2 THEN 0 ELSE round((b - f) / (event - 1 - greatest(event - 10, 0)), 6) END AS pre,
+    CASE WHEN event = 0 OR event = last THEN 0 ELSE round((l - v0) / (least(event + 9, last) - event), 6) END AS post FROM pe JOIN x ON x.rec = pe.rec AND x.idx = event""",
 )
 register(
     # in units of pi: no residual of decimal samples then lies on a tie, where the two engines round apart
@@ -432,9 +453,28 @@ register(
     "l AS (SELECT rec, channel, regr_slope(v, idx) AS a, regr_intercept(v, idx) AS b FROM samples GROUP BY ALL) SELECT rec, channel, idx, round((v - (a * idx + b)) / pi(), 4) AS rest_pi FROM samples JOIN l USING (rec, channel)",
 )
 register(
-    "N11_find_peaks", lambda s, d: sg.find_peaks(v.samples(s, d)), [v.SAMPLES],
-    """x AS (SELECT *, sign(lead(v) OVER w - v) AS nx, sign(v - lag(v) OVER w) AS bf, min(v) OVER (PARTITION BY rec, channel ORDER BY idx ROWS UNBOUNDED PRECEDING) AS low, max(v) OVER (PARTITION BY rec, channel) - min(v) OVER (PARTITION BY rec, channel) AS span FROM samples WINDOW w AS (PARTITION BY rec, channel ORDER BY idx))
-    SELECT rec, channel, idx, v FROM x WHERE nx < bf AND v > span * 0.25 AND v - low > span * 0.25""",
+    "N10_detrend_cubic", lambda s, d: fl.detrend_cubic(v.samples(s, d)).select("rec", "channel", "idx", F.round(F.col("rest") / F.pi(), 3).alias("rest_pi")), [v.SAMPLES],
+    """m AS (SELECT rec, channel, (max(idx) + 1)::double AS n FROM samples GROUP BY ALL), t AS (SELECT *, idx - (n - 1) / 2 AS t FROM samples JOIN m USING (rec, channel)),
+    p AS (SELECT *, t * t - (n * n - 1) / 12 AS q, t * t * t - t * (3 * n * n - 7) / 20 AS r FROM t),
+    c AS (SELECT rec, channel, avg(v) AS c0, sum(v * t) / nullif(sum(t * t), 0) AS c1, sum(v * q) / nullif(sum(q * q), 0) AS c2, CASE WHEN count(*) > 3 THEN sum(v * r) / nullif(sum(r * r), 0) END AS c3 FROM p GROUP BY ALL)
+    SELECT rec, channel, idx, round((v - (c0 + c1 * t + c2 * q + c3 * r) + (c3 - greatest(-1e-3, least(1e-3, c3))) * idx::double * idx * idx) / pi(), 3) AS rest_pi FROM p JOIN c USING (rec, channel)""",
+)
+register(
+    "N10_median_filter", lambda s, d: fl.median_filter(v.samples(s, d), 5), [v.SAMPLES],
+    "w AS (SELECT rec, channel, idx, list(v) OVER (PARTITION BY rec, channel ORDER BY idx ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) AS x FROM samples) SELECT rec, channel, idx, list_sort(list_concat(x, [0.0::double, 0.0, 0.0, 0.0][:5 - len(x)]))[3] AS median FROM w",
+)
+_PEAKS = """x AS (SELECT rec, channel, idx, sign(lead(v) OVER w - v) AS nx, sign(v - lag(v) OVER w) AS bf, lag(v) OVER w AS a, lead(v) OVER w AS b, v, min(v) OVER (w ROWS UNBOUNDED PRECEDING) AS low,
+    max(v) OVER c - min(v) OVER c AS span, max(idx) OVER c AS last FROM {} WINDOW w AS (PARTITION BY rec, channel ORDER BY idx), c AS (PARTITION BY rec, channel))"""
+register(
+    "N11_find_peaks", lambda s, d: fl.find_peaks(v.samples(s, d), endpoints=False).select("rec", "channel", "idx", "v"), [v.SAMPLES],
+    _PEAKS.format("samples") + " SELECT rec, channel, idx, v FROM x WHERE nx < bf AND v > span * 0.25 AND v - low > span * 0.25",
+)
+register(
+    "N11_troughs_by_width", lambda s, d: fl.find_peaks(v.samples(s, d), sel=9000.0, thresh=-60000.0, extrema=-1, least=2, most=4).withColumn("place", F.round("place", 5)), [v.SAMPLES],
+    "neg AS (SELECT rec, channel, idx, -v AS v FROM samples), " + _PEAKS.format("neg") + """, y AS (SELECT *, coalesce(max(CASE WHEN nx <= 0 THEN idx + 1 END) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rise,
+    coalesce(min(CASE WHEN nx >= 0 THEN idx END) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), last) AS fall FROM x WINDOW w AS (PARTITION BY rec, channel ORDER BY idx))
+    SELECT rec, channel, idx, round(coalesce(idx + 0.5::double * (a - b) / (a - 2 * v + b), idx::double), 5) AS place, -v AS v FROM y
+    WHERE (nx < bf OR bf IS NULL AND nx < 0 OR nx IS NULL AND bf > 0) AND v > -60000 AND v - low > 9000 AND fall - rise BETWEEN 2 AND 4""",
 )
 
 from tidemark.functions import redaction as rd  # noqa: E402
@@ -523,7 +563,10 @@ _SIGNALS = lambda s, d: v.table(s, d, "part").selectExpr("p_size as rec", "conca
 _CHANNELS = "ch AS (SELECT p_size AS rec, g || (p_partkey % 17) AS name, CASE g WHEN 'EKG' THEN 'ECG' WHEN 'DC' THEN 'TRIG' WHEN 'EMG' THEN 'EMG' ELSE 'SEEG' END AS type, 'μV' AS units, '0.' || (p_partkey % 7) AS low_cutoff, p_size::varchar AS high_cutoff, '512' AS sampling_frequency, g AS \"group\" FROM (SELECT *, (['LAH', 'EKG', 'DC', 'EMG', 'RHc'])[(p_partkey % 5 + 1)::int] AS g FROM part))"
 register("K3_write_channels", lambda s, d: _back(s, tsv.channels(_SIGNALS(s, d)), "channels"), [], f"{_CHANNELS} SELECT rec::varchar AS rec, * EXCLUDE (rec) FROM ch")
 register("K4_write_electrodes", lambda s, d: _back(s, tsv.electrodes(tsv.channels(_SIGNALS(s, d)), size="2", material="Pt"), "electrodes"), [], f"{_CHANNELS} SELECT rec::varchar AS rec, name, 'n/a' AS x, 'n/a' AS y, 'n/a' AS z, '2' AS size, 'Pt' AS material FROM ch WHERE type = 'SEEG'")
-register("K5_write_events", lambda s, d: tsv.events_rows(v.events_tsv(s, d)).select("rec", "trial_type").groupBy("rec", "trial_type").count(), [v.EVENTS_TSV], "SELECT rec, coalesce(nullif(trim(text), ''), 'n/a') AS trial_type, count(*) AS count FROM events_tsv GROUP BY ALL")
+register(
+    "K5_write_events", lambda s, d: tsv.events_rows(v.events_tsv(s, d).withColumn("time_abs", F.expr(f"if(seq % 4 = 0, null, date_format(timestamp_micros({_TIMED}), 'HH:mm:ss'))"))), [v.EVENTS_TSV],
+    f"SELECT rec, round(onset::decimal(20, 6), 3)::decimal(20, 3)::varchar AS onset, 'n/a' AS duration, CASE WHEN seq % 4 = 0 THEN 'n/a' ELSE strftime(make_timestamp({_TIMED}), '%H:%M:%S') END AS time_abs, 'n/a' AS time_rel, coalesce(nullif(trim(text), ''), 'n/a') AS trial_type FROM events_tsv",
+)
 register(
     "K6_sidecar_json", lambda s, d: tsv.sidecar(tsv.channels(_SIGNALS(s, d)), ["SEEG", "ECG", "EOG"]), [],
     f"""{_CHANNELS} SELECT rec, '{{"SEEGChannelCount":' || count(*) FILTER (type = 'SEEG') || ',"ECGChannelCount":' || count(*) FILTER (type = 'ECG') || ',"EOGChannelCount":0}}' AS json FROM ch GROUP BY rec""",
@@ -551,6 +594,7 @@ register("W11_vote_windows", lambda s, d: rd.vote_windows(v.events_tsv(s, d).sel
     "e AS (SELECT rec AS doc, seq * 3 + k AS pos, CASE (seq + k) % 4 WHEN 0 THEN 1.0 WHEN 1 THEN 0.5 ELSE 0 END AS p FROM events_tsv, (SELECT unnest(range(0, 6)) AS k)), y AS (SELECT doc, pos FROM e GROUP BY ALL HAVING avg(p) >= 0.5), r AS (SELECT doc, pos, pos - row_number() OVER (PARTITION BY doc ORDER BY pos) AS run FROM y) SELECT doc, min(pos)::int AS start, (max(pos) + 1)::int AS stop FROM r GROUP BY doc, run")
 register("F9_redact_with_model", lambda s, d: rd.redact_with_model(v.texts(s, d)))
 register("F10_augment", lambda s, d: rd.augment(v.events_tsv(s, d).selectExpr("rec as doc", "seq as line", "text"), ["Ann", "Bo"], 11))
+register("F10_replace_and_noise", lambda s, d: rd.augment(v.events_tsv(s, d).selectExpr("rec as doc", "seq as line", "text"), ["Ann Lee", "Bo Ray"], 11, percent=20, replacing=20, noise=True))
 register("F11_split_by_case", lambda s, d: rd.split_by_case(v.events_tsv(s, d).select("rec", "seq"), "rec", 5).groupBy("rec").agg(F.count_distinct("split").alias("splits"), F.count("*").alias("n")), [v.EVENTS_TSV], "SELECT rec, 1 AS splits, count(*) AS n FROM events_tsv GROUP BY rec")
 register("A15_char_metrics", lambda s, d: rd.char_metrics(v.table(s, d, "events").selectExpr("transform(sequence(0, 9), k -> if((event_id + k) % 3 = 0, 1, 0)) as truth", "transform(sequence(0, 9), k -> if((event_id + k) % 6 < 2, 1, 0)) as guess")), [],
     """c AS (SELECT sum(((event_id + k) % 3 = 0 AND (event_id + k) % 6 < 2)::int)::bigint AS tp, sum(((event_id + k) % 3 <> 0 AND (event_id + k) % 6 < 2)::int)::bigint AS fp, sum(((event_id + k) % 3 = 0 AND (event_id + k) % 6 >= 2)::int)::bigint AS fn, sum(((event_id + k) % 3 <> 0 AND (event_id + k) % 6 >= 2)::int)::bigint AS tn FROM events, (SELECT unnest(range(0, 10)) AS k)),
@@ -566,7 +610,15 @@ register(
     "F20_apply_labels", lambda s, d: rd.apply_labels(_CHAN(s, d), _CHAN(s, d).select("rec").distinct().selectExpr("rec", "explode(sequence(1, 10)) as place").selectExpr("rec", "place", "concat('L', place) as label")), [],
     "SELECT p_size::bigint AS rec, p_partkey AS idx, CASE WHEN p_partkey % 6 = 0 THEN 'Pr' WHEN k <= 10 THEN 'L' || k ELSE 'C' || k END AS label FROM (SELECT *, row_number() OVER (PARTITION BY p_size, p_partkey % 6 = 0 ORDER BY p_partkey) AS k FROM part)",
 )
-register("N12_first_peak", lambda s, d: sg.first_peak(sg.epoch_events(v.samples(s, d), _EV(s, d), 5, 10), 0, 10, 2000.0))
+_PROMINENT = """list_filter(list_transform(range(2, len({x})), lambda i: {{'i': i, 'high': {x}[i], 'nx': list_min(list_filter(range(i, len({x}) + 1), lambda m: {x}[m] <> {x}[i])), 'lo': coalesce(list_max(list_filter(range(1, i), lambda m: {x}[m] > {x}[i])), 0) + 1,
+    'hi': coalesce(list_min(list_filter(range(i, len({x}) + 1), lambda m: {x}[m] > {x}[i])), len({x}) + 1)}}), lambda p: {x}[p['i'] - 1] < p['high'] AND {x}[p['nx']] < p['high'] AND p['high'] - greatest(list_min({x}[p['lo']:p['i']]), list_min({x}[p['i']:p['hi'] - 1])) >= 2000)"""
+register(
+    "N12_first_peak", lambda s, d: fl.first_peak(sg.epoch_events(v.samples(s, d), _EV(s, d), 5, 10), 0, 10, 2000.0), [v.SAMPLES],
+    _EPOCHS + f""", g AS (SELECT rec, channel, event, list(v ORDER BY "offset") FILTER ("offset" >= 0) AS x, list(-v ORDER BY "offset") FILTER ("offset" >= 0) AS y FROM epochs GROUP BY ALL),
+    p AS (SELECT rec, channel, event, {_PROMINENT.format(x="x")} AS ups, {_PROMINENT.format(x="y")} AS downs FROM g),
+    h AS (SELECT *, coalesce(list_max(list_transform(ups, lambda p: p['high'])), 0) AS high, coalesce(list_max(list_transform(downs, lambda p: p['high'])), 0) AS deep FROM p)
+    SELECT rec, channel, event, (ups[1]['i'] + ups[1]['nx'] - 1) // 2 - 1 AS peak, CASE WHEN len(ups) + len(downs) = 0 THEN NULL WHEN high > deep * 1.2 THEN 1 WHEN deep > high * 1.2 THEN -1 END::bigint AS polarity FROM h""",
+)
 register("R4_live_event_clean", lambda s, d: live.finished(live.clean_events(live.stream(s, d, "events"))).distinct(), [], "SELECT DISTINCT user_id AS subject, event_type || ' ' || props AS text FROM events")
 register("R5_live_coverage", lambda s, d: live.latest(live.finished(live.day_coverage(live.stream(s, d, "events")), "update"), ["subject", "day"]), [], "SELECT user_id AS subject, strftime(ts, '%Y-%m-%d') AS day, count(*) AS n, round(sum(value), 4) AS hours FROM events GROUP BY ALL")
 register("R7_event_sessions", lambda s, d: live.finished(live.event_sessions(live.stream(s, d, "events"))))

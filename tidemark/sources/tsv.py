@@ -78,9 +78,10 @@ def electrodes(channel_rows: DataFrame, kind: str = "SEEG", **fixed: str) -> Dat
 
 
 def events_rows(events: DataFrame) -> DataFrame:
-    """K5. onset, duration, trial_type as text in the order of the onsets: three decimals, n/a for what is missing."""
+    """K5. onset, duration, time_abs, time_rel, trial_type as text in the order of the onsets: three decimals, n/a for what is missing (also a column that the table hasn't)."""
     ordered = events.repartition("rec").sortWithinPartitions("rec", "onset", "seq")
-    return ordered.select("rec", F.format_string("%.3f", "onset").alias("onset"), F.lit("n/a").alias("duration"), F.coalesce(F.nullif(F.trim("text"), F.lit("")), F.lit("n/a")).alias("trial_type"))
+    text = lambda c: F.coalesce(F.nullif(F.trim(F.col(c).cast("string")), F.lit("")), F.lit("n/a")) if c in events.columns else F.lit("n/a")
+    return ordered.select("rec", F.coalesce(F.format_string("%.3f", F.col("onset")), F.lit("n/a")).alias("onset"), *[text(c).alias(c) for c in ("duration", "time_abs", "time_rel")], text("text").alias("trial_type"))
 
 
 def sidecar(channel_rows: DataFrame, kinds: list[str]) -> DataFrame:
