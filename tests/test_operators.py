@@ -219,3 +219,12 @@ def test_diff_context_and_report_of_bounds(spark):
     assert sorted(tuple(r) for r in events.bounds_report(df).collect()) == [
         (1, "0.5 s", "7.0 s", "N/A"), (2, "N/A", "N/A", "N/A"), (3, "2024-01-02 08:05:09", "2024-01-02 20:00:00", "2024-01-02\t8:05:09 AM\t8:00:00 PM"),
     ]
+
+
+def test_dictionary_in_turns_is_that_at_once(spark):
+    names = spark.createDataFrame([(x,) for x in ("ab", "bc", "abcd", "de", "ef", "cd", "zz", "", None, "ab")], "name string")
+    df = spark.createDataFrame([(1, "Abcdef bcde"), (2, "xefzz"), (3, None), (4, "")], "doc long, text string")
+    at_once = sorted(map(tuple, redaction.dictionary(df, names).select("doc", "matches", "redacted").collect()))
+    assert at_once[0] == (1, "Abcd|ef|bc|de", ".X..x. .x..x.") and at_once[2:] == [(3, "", ""), (4, "", "")]
+    for most in (1, 3):
+        assert sorted(map(tuple, redaction.dictionary(df, names, most=most).select("doc", "matches", "redacted").collect())) == at_once

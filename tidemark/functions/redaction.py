@@ -11,7 +11,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: A dictionary goes to all executors up to so many names; larger ones are taken in turns of that size.
+from tidemark.sources.shared import new_folder
+
+#: So many names of a dictionary go to all executors at a time; larger ones are taken in turns.
 MOST_NAMES = 200_000
 
 
@@ -27,50 +29,69 @@ def automaton(names: list[str]):
     return a
 
 
-def spans(text: str, a) -> list[tuple[int, int]]:
-    """Matches: leftmost first, the longest at one start, none that overlaps an earlier one."""
+def occurrences(text: str, a) -> list[tuple[int, int]]:
+    """The longest match at each start, also of those that overlap."""
     low = text.lower()
     if not len(a) or len(low) != len(text):  # some capitals change length when lowered
         low = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
-    found = sorted((end - n + 1, -n) for end, n in a.iter(low)) if len(a) else []
+    longest: dict[int, int] = {}
+    for end, n in a.iter(low) if len(a) else ():
+        longest[end - n + 1] = max(end + 1, longest.get(end - n + 1, 0))
+    return sorted(longest.items())
+
+
+def chosen(found: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Matches: leftmost first, the longest at one start, none that overlaps an earlier one."""
     out, at = [], 0
-    for start, minus in found:
+    for start, stop in sorted(found, key=lambda x: (x[0], -x[1])):
         if start >= at:
-            out.append((start, start - minus))
-            at = start - minus
+            out.append((start, stop))
+            at = stop
     return out
 
 
-def names_of(names: DataFrame) -> list[str]:
-    """The dictionary on the driver, behind a check of its size."""
-    n = names.select("name").distinct().limit(MOST_NAMES + 1).count()
-    if n > MOST_NAMES:
-        raise ValueError(f"more than {MOST_NAMES} names: redact in several passes")
-    return sorted(r.name for r in names.select("name").distinct().collect() if r.name)
+def marked(text: str, hits: list[tuple[int, int]], mode: str) -> str:
+    out, at = [], 0
+    for s, e in hits:
+        word = text[s:e]
+        out += [text[at:s], (".X." if word[:1].isupper() else ".x.") if mode == "mark" else re.sub(r"[^\W\d_]", lambda m: "X" if m[0].isupper() else "x", word)]
+        at = e
+    return "".join(out) + text[at:]
 
 
-def dictionary(df: DataFrame, names: DataFrame, text: str = "text", mode: str = "mark") -> DataFrame:
-    """F3, F4. Adds matches (names joined by |) and redacted: .X. or .x. by the first letter's case; mode mask keeps the length with X and x."""
-    known = names_of(names)
+def dictionary(df: DataFrame, names: DataFrame, text: str = "text", mode: str = "mark", most: int = MOST_NAMES) -> DataFrame:
+    """F3, F4. Adds matches (names joined by |) and redacted: .X. or .x. by the first letter's case; mode mask keeps the length with X and x.
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        a = automaton(known)
+    About `most` names are on the driver and the executors at a time; a larger dictionary is dealt into parts by hashes, each with a pass of its own over
+    the texts, written before the next. Matches of all parts are settled together, so the parts don't show in the result."""
+    known = names.select("name").filter("name <> ''").distinct()
+    parts = max(1, -(-known.count() // most))
+    fields = ", ".join(f"`{n}` {t}" for n, t in df.dtypes)
+    found = "dictionary hits"
+    rows = df.withColumn(found, F.array().cast("array<struct<start:int,stop:int>>"))
+    for part in range(parts):
+        some = sorted(r.name for r in known.filter(F.pmod(F.xxhash64("name"), F.lit(parts)) == part).collect())
+
+        def run(frames: Iterator[pd.DataFrame], some: list[str] = some) -> Iterator[pd.DataFrame]:
+            a = automaton(some)
+            for f in frames:
+                hits = [[*((h["start"], h["stop"]) for h in old), *occurrences(t, a)] for old, t in zip(f[found], f[text].fillna(""), strict=True)]
+                yield f.assign(**{found: [[{"start": s, "stop": e} for s, e in h] for h in hits]})
+
+        rows = rows.mapInPandas(run, f"{fields}, `{found}` array<struct<start:int,stop:int>>")
+        if parts > 1:
+            path = new_folder(df.sparkSession, "names")
+            rows.write.parquet(path)
+            rows = df.sparkSession.read.parquet(path)
+
+    def settle(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            matched, done = [], []
-            for t in f[text].fillna(""):
-                out, at = [], 0
-                hits = spans(t, a)
-                for s, e in hits:
-                    word = t[s:e]
-                    mark = ".X." if word[:1].isupper() else ".x."
-                    out += [t[at:s], mark if mode == "mark" else re.sub(r"[^\W\d_]", lambda m: "X" if m[0].isupper() else "x", word)]
-                    at = e
-                matched.append("|".join(t[s:e] for s, e in hits))
-                done.append("".join(out) + t[at:])
-            yield f.assign(matches=matched, redacted=done)
+            texts = f[text].fillna("").tolist()
+            hits = [chosen([(h["start"], h["stop"]) for h in x]) for x in f[found]]
+            f = f.drop(columns=found)
+            yield f.assign(matches=["|".join(t[s:e] for s, e in h) for t, h in zip(texts, hits, strict=True)], redacted=[marked(t, h, mode) for t, h in zip(texts, hits, strict=True)])
 
-    fields = ", ".join(f"`{n}` {t}" for n, t in df.dtypes)
-    return df.mapInPandas(run, f"{fields}, matches string, redacted string")
+    return rows.mapInPandas(settle, f"{fields}, matches string, redacted string")
 
 
 def redact_json(df: DataFrame, column: str, patterns: list[tuple[str, str]]) -> DataFrame:
