@@ -547,7 +547,7 @@ _HASHES = lambda s, d, x: edf.chunk_hashes(v.files(s, d).selectExpr("file_id", f
 register(
     "A20_verify_chunks", lambda s, d: edf.verify_chunks(_HASHES(s, d, "text"), _HASHES(s, d, "if(file_id % 5 = 0, concat('##', substring(text, 3)), if(file_id % 5 = 1, left(text, 10), text))"), "file_id").groupBy("file_id", "state").agg(F.count("*").alias("n"))
 )
-register("F14_verify_anonymized", lambda s, d: edf.verify_anonymized(_EDF(s, d, patient="Jane Doe").withColumn("content", F.expr("concat(content, encode('+0\\u0014\\u0014\\u0000+1\\u0014Seizure\\u0014\\u0000+2\\u0014Note by J\\u0014\\u0000', 'ISO-8859-1'))")), "path", ["Seizure"]).selectExpr("path", "findings like '%patient%' as patient", "findings like '%recording%' as recording"), [v.SAMPLES], f"{_EDF_SQL} SELECT rec::varchar AS path, true AS patient, false AS recording FROM en")
+register("F14_verify_anonymized", lambda s, d: edf.verify_anonymized(_EDF(s, d, patient="Jane Doe").withColumn("content", F.expr("concat(content, encode('+0\\u0014\\u0014\\u0000+1\\u0014Seizure\\u0014\\u0000+2\\u0014Note by J\\u0014\\u0000', 'ISO-8859-1'))")), "path", ["Seizure"]).selectExpr("path", "findings like '%patient%' as patient", "findings like '%recording%' as recording", "findings like '%text: Note by J%' as note", "findings like '%text: Seizure%' as allowed"), [v.SAMPLES], f"{_EDF_SQL} SELECT rec::varchar AS path, true AS patient, false AS recording, true AS note, false AS allowed FROM en")
 register("A27_recording_summary", lambda s, d: edf.header(_EDF(s, d)).selectExpr("path", "n_records * record_s as seconds", "transform(signals, x -> x.label) as labels").selectExpr("path", "seconds", "array_join(labels, ',') as labels", "if(seconds > 0, 'done', 'failed') as status"), [v.SAMPLES], f"{_EDF_SQL} SELECT rec::varchar AS path, (n // 50)::double AS seconds, 'A1,A2' AS labels, 'done' AS status FROM en")
 _PART = "if(idx % 5 = 0, null, cast(idx % 100 as int)) as age", "if(idx % 3 = 0, null, 'm') as sex", "grp as group"
 register(

@@ -191,11 +191,11 @@ def verify_chunks(known: DataFrame, now: DataFrame, key: str) -> DataFrame:
     return met.select(key, "chunk", state.alias("state")).filter("state is not null")
 
 
-def verify_anonymized(files: DataFrame, key: str, allowed: list[str], records: int = 3) -> DataFrame:
-    """F14. Findings of each file: a patient field that isn't blotted out, a recording field without the neutral start, texts outside the allowed ones."""
+def verify_anonymized(files: DataFrame, key: str, allowed: list[str]) -> DataFrame:
+    """F14. Findings of each file: a patient field that isn't blotted out, a recording field without the neutral start, texts outside the allowed ones, of the whole file."""
     head = header(files)
     bad_head = head.select(key, F.explode(F.array_compact(F.array(F.when(F.col("patient") != "X X X X", "patient"), F.when(~F.col("recording").startswith("Startdate X X X X"), "recording")))).alias("finding"))
-    texts = annotations(files, key).filter(F.col("seq") < records * 10)
+    texts = annotations(files, key)
     bad_text = texts.filter(~F.col("text").isin(allowed)).select(key, F.concat(F.lit("text: "), "text").alias("finding"))
     return bad_head.unionByName(bad_text).groupBy(key).agg(F.array_join(F.array_sort(F.collect_set("finding")), "; ").alias("findings"))
 
