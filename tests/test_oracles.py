@@ -40,4 +40,4 @@ def test_query(spark, name):
     if name in own.ORACLES:
         same(frame, own.ORACLES[name])
     else:
-        assert frame.columns and len(frame.collect()) >= 0
+        assert frame.count() > 0  # test_operators.py has what they are to return

@@ -153,7 +153,13 @@ _F1 = "regexp_replace(text, '[A-Za-z0-9._%+\\-]+@[A-Za-z0-9.\\-]+\\.[A-Za-z]{2,}
 for _p, _r in ((r"(?:\d{1,2}[\s\-]?)?(?:\(?\d{3}\)?[\s\-]?)\d{3}[\s\-]?\d{4}", "[REDACTED_PHONE]"), (r"\d{4}-\d{2}-\d{2}", "[REDACTED_DATE]"), (r"\d{1,2}/\d{1,2}/\d{2,4}", "[REDACTED_DATE]"), (r"\d{7,}", "[REDACTED_ID]")):
     _F1 = f"regexp_replace(regexp_replace({_F1}, '{_B}{_p}{_E}', '\\1{_r}\\2', 'g'), '{_B}{_p}{_E}', '\\1{_r}\\2', 'g')"
 register("F1_redact_phi", lambda s, d: v.texts(s, d).select("doc", phi.redact(F.col("text")).alias("text")), [v.TEXTS], f"SELECT doc, regexp_replace({_F1}, '[\\x00-\\x1f\\x7f]', '', 'g') AS text FROM texts")
-register("F2_find_phi", lambda s, d: phi.find(v.texts(s, d), "doc", "text"))
+_QUOTED = lambda x: x.replace("'", "''")
+_FOUND = (
+    "p AS (SELECT doc, unnest(regexp_split_to_array(text, '[^\\x20-\\x7e]+')) AS part FROM texts), h AS ("
+    + " UNION ALL ".join(f"SELECT doc, '{label}' AS label, unnest(regexp_extract_all(part, '{_QUOTED(p)}', {g})) AS match FROM p WHERE length(part) > 2" for p, g, label in phi.FINDINGS)
+    + f"), found AS (SELECT doc, label, match, count(*) AS n FROM h WHERE length(match) > 3 AND lower(match) NOT IN {tuple(phi.STOP_WORDS)} GROUP BY ALL)"
+)
+register("F2_find_phi", lambda s, d: phi.find(v.texts(s, d), "doc", "text"), [v.TEXTS], f"{_FOUND} SELECT * FROM found")
 register(
     "P9_header_check", lambda s, d: phi.header_check(v.table(s, d, "customer").selectExpr("c_custkey", "case c_custkey % 7 when 0 then ' X X X X ' when 1 then c_name when 2 then 'Jane Doe' when 3 then '1.2.1980' when 4 then 'XX  X' when 5 then 'ab-1' else '' end as patient"), "patient"), [],
     r"""SELECT *, reason IS NULL AS anonymized FROM (SELECT c_custkey, patient, CASE WHEN p IN ('', 'X', 'X X X X', 'Anonymized', 'XXXX') THEN NULL WHEN regexp_matches(p, '[A-Za-z]+\s+[A-Za-z]+') THEN 'possible identifier: ' || regexp_extract(p, '[A-Za-z]+\s+[A-Za-z]+')
@@ -368,7 +374,8 @@ register(
 )
 register("P10_partial_name_match", lambda s, d: ds.partial_name_match(v.files(s, d).select("file_id", "name"), "SES-003_x_pdf"), [v.FILES], "SELECT file_id, name FROM files WHERE lower(name) LIKE '%ses%' OR lower(name) LIKE '%003%' OR lower(name) LIKE '%pdf%'")
 register("T4_best_file", lambda s, d: ds.best_file(v.files(s, d), "sub"), [v.FILES], "SELECT sub, max_by(path, (length, mtime, path)) AS path FROM files GROUP BY sub")
-register("T5_first_k_issues", lambda s, d: ds.first_k_issues(phi.find(v.texts(s, d), "doc", "text"), "doc", ["label", "match"], 10))
+register("T5_first_k_issues", lambda s, d: ds.first_k_issues(phi.find(v.texts(s, d), "doc", "text"), "doc", ["label", "match"], 10), [v.TEXTS],
+    f"{_FOUND} SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc ORDER BY label, match)::int AS place FROM found) WHERE place <= 10")
 register(
     "T5_first_failing", lambda s, d: ds.first_failing(v.events_tsv(s, d).selectExpr("rec", "seq div 10 as record", "seq", "text"), "rec", ["high freq", "Opened relay"]).withColumn("sample", F.array_join("sample", "|")), [v.EVENTS_TSV],
     """x AS (SELECT rec, seq // 10 AS record, seq, text, CASE WHEN text NOT IN ('', 'high freq', 'Opened relay') THEN length(text) END AS chars FROM events_tsv), r AS (SELECT rec, record, sum(chars) AS chars, string_agg(text, '|' ORDER BY seq) AS sample FROM x GROUP BY rec, record)
@@ -541,11 +548,14 @@ register(
     k AS (SELECT *, lag(source) OVER (PARTITION BY log ORDER BY n) AS before FROM l WHERE source IS NOT NULL OR target IS NOT NULL) SELECT log, before AS source, target FROM k WHERE target IS NOT NULL AND before IS NOT NULL""",
 )
 register("S11_archive_uncompressed_size", lambda s, d: v.table(s, d, "part").select("p_partkey", edf.gzip_size(F.expr("unhex(concat('1f8b00', regexp_replace(lpad(hex(p_partkey * 70001), 8, '0'), '(..)(..)(..)(..)', '$4$3$2$1')))")).alias("size")), [], "SELECT p_partkey, p_partkey * 70001 AS size FROM part")
-register("A20_chunk_hashes", lambda s, d: edf.chunk_hashes(v.files(s, d).selectExpr("file_id", "cast(text as binary) as content"), "file_id", head=64, size=1000).groupBy("file_id").agg(F.count("*").alias("chunks"), F.max(F.expr("if(chunk = -1, sha256, null)")).alias("head")), [v.FILES],
-    "SELECT file_id, (1 + greatest(ceil((strlen(text) - 64) / 1000), 0))::bigint AS chunks, sha256(array_slice(encode(text), 1, 64)) AS head FROM files")
 _HASHES = lambda s, d, x: edf.chunk_hashes(v.files(s, d).selectExpr("file_id", f"cast({x} as binary) as content"), "file_id", head=64, size=1000)
+_CHUNKED = lambda x: f"""SELECT file_id, chunk, sha256(CASE WHEN chunk < 0 THEN array_slice(b, 1, 64) ELSE array_slice(b, chunk * 1000 + 65, chunk * 1000 + 1064) END) AS sha256
+    FROM (SELECT *, unnest(range(-1, greatest(ceil((octet_length(b) - 64) / 1000), 0)::bigint))::int AS chunk FROM (SELECT file_id, encode({x}) AS b FROM files))"""
+register("A20_chunk_hashes", lambda s, d: _HASHES(s, d, "text"), [v.FILES], _CHUNKED("text"))
 register(
-    "A20_verify_chunks", lambda s, d: edf.verify_chunks(_HASHES(s, d, "text"), _HASHES(s, d, "if(file_id % 5 = 0, concat('##', substring(text, 3)), if(file_id % 5 = 1, left(text, 10), text))"), "file_id").groupBy("file_id", "state").agg(F.count("*").alias("n"))
+    "A20_verify_chunks", lambda s, d: edf.verify_chunks(_HASHES(s, d, "text"), _HASHES(s, d, "if(file_id % 5 = 0, concat('##', substring(text, 3)), if(file_id % 5 = 1, left(text, 10), text))"), "file_id"), [v.FILES],
+    f"""k AS ({_CHUNKED("text")}), o AS ({_CHUNKED("CASE file_id % 5 WHEN 0 THEN '##' || substr(text, 3) WHEN 1 THEN left(text, 10) ELSE text END")})
+    SELECT file_id, chunk, CASE WHEN o.sha256 IS NULL THEN 'missing' WHEN chunk < 0 THEN 'header mismatch' ELSE 'chunk mismatch' END AS state FROM k LEFT JOIN o USING (file_id, chunk) WHERE o.sha256 IS DISTINCT FROM k.sha256""",
 )
 register("F14_verify_anonymized", lambda s, d: edf.verify_anonymized(_EDF(s, d, patient="Jane Doe").withColumn("content", F.expr("concat(content, encode('+0\\u0014\\u0014\\u0000+1\\u0014Seizure\\u0014\\u0000+2\\u0014Note by J\\u0014\\u0000', 'ISO-8859-1'))")), "path", ["Seizure"]).selectExpr("path", "findings like '%patient%' as patient", "findings like '%recording%' as recording", "findings like '%text: Note by J%' as note", "findings like '%text: Seizure%' as allowed"), [v.SAMPLES], f"{_EDF_SQL} SELECT rec::varchar AS path, true AS patient, false AS recording, true AS note, false AS allowed FROM en")
 register("A27_recording_summary", lambda s, d: edf.header(_EDF(s, d)).selectExpr("path", "n_records * record_s as seconds", "transform(signals, x -> x.label) as labels").selectExpr("path", "seconds", "array_join(labels, ',') as labels", "if(seconds > 0, 'done', 'failed') as status"), [v.SAMPLES], f"{_EDF_SQL} SELECT rec::varchar AS path, (n // 50)::double AS seconds, 'A1,A2' AS labels, 'done' AS status FROM en")
@@ -584,7 +594,14 @@ _NAMES = lambda s, d: v.table(s, d, "customer").filter("c_custkey % 3 = 0").sele
 register("F3_dictionary_matches", lambda s, d: rd.dictionary(v.events_tsv(s, d).select("rec", "seq", "text"), _NAMES(s, d)).select("rec", "seq", "matches"), [v.EVENTS_TSV],
     "SELECT rec, seq, regexp_extract(text, '(note \\d+)', 1) AS matches FROM events_tsv")
 register("F4_dictionary_redact", lambda s, d: rd.dictionary(v.events_tsv(s, d).select("rec", "seq", "text"), _NAMES(s, d), mode="mask").select("rec", "seq", "redacted"), [v.EVENTS_TSV], "SELECT rec, seq, regexp_replace(text, 'note (\\d+)', 'xxxx \\1') AS redacted FROM events_tsv")
-register("F5_name_pattern", lambda s, d: _PEOPLE(s, d).filter("lastname is not null").select(phi.name_pattern(F.concat_ws(" ", "firstname", "lastname")).alias("pattern")).distinct())
+_FORMS = lambda f, l, k, first: f"CASE {k} % 4 WHEN 0 THEN concat({f}, '  ', {l}) WHEN 1 THEN concat({l}, ', ', {f}) WHEN 2 THEN concat(' ', {l}, ' ,', {first}, '.') ELSE concat({f}, '_', {l}, '; (', {k} % 30, ')') END"
+_LETTERS = lambda k, n: f"translate(cast({k} % {n} as varchar(9)), '0123456789', 'abcdefghij')"
+_FIRST, _LAST = f"concat('Fn', {_LETTERS('c_custkey', 40)})", f"concat('Ln', {_LETTERS('c_custkey', 70)})"
+register(
+    "F5_name_pattern", lambda s, d: v.table(s, d, "customer").selectExpr(f"{_FORMS(_FIRST, _LAST, 'c_custkey', repr('F'))} as name").select("name", phi.name_pattern(F.col("name")).alias("pattern")).distinct(), [],
+    f"""SELECT DISTINCT {_FORMS(_FIRST, _LAST, 'c_custkey', repr('F'))} AS name, '(?i){phi.NAME_START}' || CASE c_custkey % 4 WHEN 0 THEN {_FIRST} || '(?:{phi.NAME_SEPARATORS}[A-Za-z]\\.?)?{phi.NAME_SEPARATORS}' || {_LAST} WHEN 3 THEN {_FIRST} || '{phi.NAME_SEPARATORS}' || {_LAST} || '{phi.NAME_SEPARATORS}\\(' || (c_custkey % 30) || '\\)'
+    ELSE {_LAST} || '\\s*,\\s*F[A-Za-z]*\\.?' END || '{phi.NAME_END}' AS pattern FROM customer""",
+)
 register("F6_redact_json", lambda s, d: rd.redact_json(v.table(s, d, "events").selectExpr("event_id", "to_json(named_struct('k', event_type, 'n', user_id, 'x', array(props, event_type))) as doc"), "doc", [("e", "E")]).select("event_id", F.expr("get_json_object(redacted, '$.k')").alias("k"), F.expr("get_json_object(redacted, '$.n')").alias("n")), [], "SELECT event_id, replace(event_type, 'e', 'E') AS k, user_id::varchar AS n FROM events")
 _NOTED = lambda s, d: v.events_tsv(s, d).select("rec", "seq", "text")
 register("F7_redaction_mask", lambda s, d: _NOTED(s, d).select("rec", "seq", rd.redaction_mask(F.col("text"), F.expr("replace(text, 'note', '')")).alias("mask")).select("rec", "seq", F.expr("aggregate(mask, 0, (a, x) -> a + x)").alias("hidden")), [v.EVENTS_TSV], "SELECT rec, seq, CASE WHEN text LIKE '%note%' THEN 4 ELSE 0 END AS hidden FROM events_tsv")
@@ -600,11 +617,19 @@ register("A15_char_metrics", lambda s, d: rd.char_metrics(v.table(s, d, "events"
     """c AS (SELECT sum(((event_id + k) % 3 = 0 AND (event_id + k) % 6 < 2)::int)::bigint AS tp, sum(((event_id + k) % 3 <> 0 AND (event_id + k) % 6 < 2)::int)::bigint AS fp, sum(((event_id + k) % 3 = 0 AND (event_id + k) % 6 >= 2)::int)::bigint AS fn, sum(((event_id + k) % 3 <> 0 AND (event_id + k) % 6 >= 2)::int)::bigint AS tn FROM events, (SELECT unnest(range(0, 10)) AS k)),
     r AS (SELECT *, tp / (tp + fp + 1e-9) AS p, tp / (tp + fn + 1e-9) AS q FROM c) SELECT tp, fp, fn, tn, round(p, 6) AS precision, round(q, 6) AS recall, round(2 * p * q / (p + q + 1e-9), 6) AS f1, round(tn / (tn + fp + 1e-9), 6) AS retention FROM r""")
 _DOCS = lambda s, d: v.table(s, d, "conversations").selectExpr("conv_id * 1000 + turn as doc", "text as a", "replace(concat(text, '\\nlast'), 'la', 'LA') as b")
-register("F19_diff_blocks", lambda s, d: rd.diff_blocks(_DOCS(s, d)))
+register(
+    "F19_diff_blocks", lambda s, d: rd.diff_blocks(_DOCS(s, d)), [],
+    """l AS (SELECT doc, size, unnest(x) AS line, generate_subscripts(x, 1) AS i FROM (SELECT conv_id * 1000 + turn AS doc, string_split(text, chr(10)) AS x, len(string_split(text, chr(10))) AS size FROM conversations)),
+    e AS (SELECT doc, size, i FROM l WHERE contains(line, 'la') UNION ALL SELECT DISTINCT doc, size, size + 1 FROM l), r AS (SELECT *, i - row_number() OVER (PARTITION BY doc ORDER BY i) AS run FROM e),
+    b AS (SELECT doc, size, min(i) - 1 AS b_from, max(i) AS b_to FROM r GROUP BY doc, size, run)
+    SELECT doc, (row_number() OVER (PARTITION BY doc ORDER BY b_from) - 1)::int AS block, CASE WHEN b_from >= size THEN 'insert' ELSE 'replace' END AS kind, b_from::int AS a_from, least(b_to, size)::int AS a_to, b_from::int AS b_from, b_to::int AS b_to,
+    greatest(b_from - 3, 0)::int AS context_from, least(least(b_to, size) + 3, size)::int AS context_to FROM b""",
+)
 register("J15_redaction_decisions", lambda s, d: rd.merged(_DOCS(s, d), rd.diff_blocks(_DOCS(s, d)).selectExpr("doc", "block", "if(doc % 2 = 0, 'accept', 'discard') as decision")), [], "SELECT conv_id * 1000 + turn AS doc, CASE WHEN (conv_id * 1000 + turn) % 2 = 0 THEN replace(text || chr(10) || 'last', 'la', 'LA') ELSE text END AS text FROM conversations")
 register("D1_pattern_table", lambda s, d: v.table(s, d, "events").select("event_id", phi.redact(F.col("props"), [(r"\d+", "#"), ("k", "key")]).alias("props")), [], "SELECT event_id, replace(regexp_replace(props, '\\d+', '#', 'g'), 'k', 'key') AS props FROM events")
-register("D2_scorer", lambda s, d: rd.redact_with_model(v.texts(s, d), lambda texts: [[1.0 if c.isdigit() else 0.0 for c in t] for t in texts]))
-register("D3_parse_functions", lambda s, d: edf.key_values(_ENT(s, d), "rec"))
+register("D2_scorer", lambda s, d: rd.redact_with_model(v.texts(s, d), lambda texts: [[1.0 if c.isdigit() else 0.0 for c in t] for t in texts]), [v.TEXTS], "SELECT doc, text, regexp_replace(text, '[0-9]+', '[NAME]', 'g') AS redacted FROM texts")
+register("D3_parse_functions", lambda s, d: edf.key_values(_ENT(s, d), "rec"), [v.EVENTS_TSV],
+    "SELECT rec::varchar AS rec, '/' || (3 * seq - 3 + i) || ['/CreationTime', '/Stamp', '/Text'][i + 1] AS path, [(45292 + seq) || '.5', (seq * 10)::varchar, text][i + 1] AS value FROM events_tsv, (SELECT unnest([0, 1, 2]) AS i)")
 _CHAN = lambda s, d: v.table(s, d, "part").selectExpr("cast(p_size as bigint) as rec", "p_partkey as idx", "if(p_partkey % 6 = 0, 'Pr', concat('x', p_partkey % 9)) as label")
 register(
     "F20_apply_labels", lambda s, d: rd.apply_labels(_CHAN(s, d), _CHAN(s, d).select("rec").distinct().selectExpr("rec", "explode(sequence(1, 10)) as place").selectExpr("rec", "place", "concat('L', place) as label")), [],
@@ -621,9 +646,19 @@ register(
 )
 register("R4_live_event_clean", lambda s, d: live.finished(live.clean_events(live.stream(s, d, "events"))).distinct(), [], "SELECT DISTINCT user_id AS subject, event_type || ' ' || props AS text FROM events")
 register("R5_live_coverage", lambda s, d: live.latest(live.finished(live.day_coverage(live.stream(s, d, "events")), "update"), ["subject", "day"]), [], "SELECT user_id AS subject, strftime(ts, '%Y-%m-%d') AS day, count(*) AS n, round(sum(value), 4) AS hours FROM events GROUP BY ALL")
-register("R7_event_sessions", lambda s, d: live.finished(live.event_sessions(live.stream(s, d, "events"))))
-register("R3_stall_detector", lambda s, d: live.finished(live.stalls(live.stream(s, d, "events").selectExpr("ts", "concat('f', user_id % 20) as file", "value as size"), 60.0)))
-register("R2_ready_files", lambda s, d: live.finished(live.ready_files(live.stream(s, d, "events").selectExpr("concat('f', user_id) as path", "cast(floor(value / 60) as bigint) as size", "unix_timestamp(ts) as at"), 3600)))
+_CLOSED = "closed AS (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 MINUTE AS mark FROM events)"
+register(
+    "R7_event_sessions", lambda s, d: live.finished(live.event_sessions(live.stream(s, d, "events"))), [_CLOSED],
+    """x AS (SELECT user_id AS subject, ts, coalesce(ts - lag(ts) OVER w > INTERVAL 6 HOUR, true)::int AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)), b AS (SELECT *, sum(new) OVER (PARTITION BY subject ORDER BY ts) AS burst FROM x)
+    SELECT subject, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS start, count(*) AS n FROM b, closed GROUP BY subject, burst, mark HAVING max(ts) + INTERVAL 6 HOUR <= mark""",
+)
+register("R3_stall_detector", lambda s, d: live.finished(live.stalls(live.stream(s, d, "events").selectExpr("ts", "concat('f', user_id % 20) as file", "value as size"), 60.0)), [_CLOSED],
+    """w AS (SELECT 'f' || (user_id % 20) AS file, value, time_bucket(INTERVAL 3 HOUR, ts, TIMESTAMP '1970-01-01') - k * INTERVAL 3 HOUR AS start FROM events, (SELECT unnest([0, 1]) AS k))
+    SELECT file, strftime(start, '%Y-%m-%d %H:%M:%S') AS start, round(max(value) - min(value), 6) AS grown FROM w, closed GROUP BY file, w.start, mark HAVING w.start + INTERVAL 6 HOUR <= mark AND max(value) - min(value) < 60""")
+register("R2_ready_files", lambda s, d: live.finished(live.ready_files(live.stream(s, d, "events").selectExpr("concat('f', user_id) as path", "cast(floor(value / 60) as bigint) as size", "unix_timestamp(ts) as at"), 3600)), [],
+    """e AS (SELECT 'f' || user_id AS path, floor(value / 60)::bigint AS size, epoch_us(ts) // 1000000 AS "at" FROM events), x AS (SELECT *, coalesce(size <> lag(size) OVER w, true)::int AS new FROM e WINDOW w AS (PARTITION BY path ORDER BY "at", size)),
+    r AS (SELECT *, sum(new) OVER (PARTITION BY path ORDER BY "at", size ROWS UNBOUNDED PRECEDING) AS run FROM x), f AS (SELECT *, min("at") OVER (PARTITION BY path, run) AS since FROM r)
+    SELECT path, size, min("at") AS "at" FROM f WHERE "at" - since >= 3600 GROUP BY path, run, size""")
 register("R6_live_relay_decoder", lambda s, d: live.finished(live.relay_stream(live.stream(s, d, "events").selectExpr("user_id as rec", "event_id as seq", "case event_id % 7 when 0 then concat('Closed relay to A', event_id % 5, ' and B1') when 1 then 'Opened relay' when 2 then '5' else if(event_id % 2 = 0, '7', 'note') end as text"))), [],
     """t AS (SELECT user_id AS rec, event_id AS seq, CASE event_id % 7 WHEN 0 THEN 'Closed relay to A' || (event_id % 5) || ' and B1' WHEN 1 THEN 'Opened relay' WHEN 2 THEN '5' ELSE CASE WHEN event_id % 2 = 0 THEN '7' ELSE 'note' END END AS text FROM events),
     c AS (SELECT *, last_value(CASE WHEN text LIKE 'Closed%' THEN 'A' || (seq % 5) || '-B1' WHEN text LIKE 'Opened%' THEN '' END IGNORE NULLS) OVER (PARTITION BY rec ORDER BY seq ROWS UNBOUNDED PRECEDING) AS pair FROM t)
