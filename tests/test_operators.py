@@ -1,6 +1,9 @@
 """Hand-written cases: traps of the rules, round trips and properties that the tables don't show."""
 
 import math
+import random
+import re
+import time
 
 import pytest
 import numpy as np
@@ -228,3 +231,53 @@ def test_dictionary_in_turns_is_that_at_once(spark):
     assert at_once[0] == (1, "Abcd|ef|bc|de", ".X..x. .x..x.") and at_once[2:] == [(3, "", ""), (4, "", "")]
     for most in (1, 3):
         assert sorted(map(tuple, redaction.dictionary(df, names, most=most).select("doc", "matches", "redacted").collect())) == at_once
+
+
+def test_changes_of_long_texts(spark):
+    """Words blotted out of long texts are found again, in a time that doesn't grow with the square of the length."""
+    rnd = random.Random(5)
+    words = [f"w{rnd.randrange(300)}" for _ in range(30_000)]
+    gone = set(rnd.sample(range(len(words)), 600))
+    text, left = " ".join(words), " ".join("[NAME]" if i in gone else w for i, w in enumerate(words))
+    began = time.time()
+    mask = redaction.mask_of(text, left)
+    assert time.time() - began < 20
+    at, hidden = 0, 0
+    for i, w in enumerate(words):
+        hidden += i in gone and sum(mask[at : at + len(w)]) == len(w)
+        at += len(w) + 1
+    assert hidden == 600 and sum(mask) < 1.2 * sum(len(words[i]) for i in gone)
+    other = " ".join(f"v{rnd.randrange(300)}" for _ in range(30_000))  # nothing in common but blanks and digits
+    assert len(redaction.mask_of(text, other)) == len(text) and time.time() - began < 60
+    for a, b in (("", ""), ("", "x"), ("a b", ""), ("a\r\nb", "a\nb"), ("abc", "abc")):
+        assert sum(redaction.mask_of(a, b)) == (len(a) if not b else 0)
+    for _ in range(300):  # what changes() leaves is the same in both
+        a, b = ([rnd.choice("abcd") for _ in range(rnd.randrange(12))] for _ in range(2))
+        built, i = [], 0
+        for _kind, lo, hi, x, y in redaction.changes(a, b):
+            built += a[i:lo] + b[x:y]
+            i = hi
+        assert built + a[i:] == b
+
+
+def test_model_redaction_is_that_of_whole_texts(spark):
+    """F9, D2: windows, votes and runs against a plain loop over each text."""
+    texts = ["", "no names", "Jane Doe met Bo Ray. " * 60, "x" * 700 + " Ann Lee", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc long, text string")
+    for size, stride in ((512, 256), (64, 48)):
+        for r in redaction.redact_with_model(df, size=size, stride=stride).collect():
+            t = r.text
+            if t is None:
+                assert r.redacted is None
+                continue
+            score, votes = [0.0] * len(t), [0] * len(t)
+            for at in range(0, max(len(t), 1), stride):
+                for k, p in enumerate(redaction.pattern_scorer([t[at : at + size]])[0]):
+                    score[at + k] += p
+                    votes[at + k] += 1
+            hit = "".join("1" if v and s / v >= 0.5 else "0" for s, v in zip(score, votes, strict=True))
+            plain, end = "", 0
+            for m in re.finditer("1+", hit):
+                plain += t[end : m.start()] + "[NAME]"
+                end = m.end()
+            assert r.redacted == plain + t[end:]
