@@ -655,14 +655,18 @@ register(
 register("R3_stall_detector", lambda s, d: live.finished(live.stalls(live.stream(s, d, "events").selectExpr("ts", "concat('f', user_id % 20) as file", "value as size"), 60.0)), [_CLOSED],
     """w AS (SELECT 'f' || (user_id % 20) AS file, value, time_bucket(INTERVAL 3 HOUR, ts, TIMESTAMP '1970-01-01') - k * INTERVAL 3 HOUR AS start FROM events, (SELECT unnest([0, 1]) AS k))
     SELECT file, strftime(start, '%Y-%m-%d %H:%M:%S') AS start, round(max(value) - min(value), 6) AS grown FROM w, closed GROUP BY file, w.start, mark HAVING w.start + INTERVAL 6 HOUR <= mark AND max(value) - min(value) < 60""")
-register("R2_ready_files", lambda s, d: live.finished(live.ready_files(live.stream(s, d, "events").selectExpr("concat('f', user_id) as path", "cast(floor(value / 60) as bigint) as size", "unix_timestamp(ts) as at"), 3600)), [],
-    """e AS (SELECT 'f' || user_id AS path, floor(value / 60)::bigint AS size, epoch_us(ts) // 1000000 AS "at" FROM events), x AS (SELECT *, coalesce(size <> lag(size) OVER w, true)::int AS new FROM e WINDOW w AS (PARTITION BY path ORDER BY "at", size)),
-    r AS (SELECT *, sum(new) OVER (PARTITION BY path ORDER BY "at", size ROWS UNBOUNDED PRECEDING) AS run FROM x), f AS (SELECT *, min("at") OVER (PARTITION BY path, run) AS since FROM r)
-    SELECT path, size, min("at") AS "at" FROM f WHERE "at" - since >= 3600 GROUP BY path, run, size""")
-register("R6_live_relay_decoder", lambda s, d: live.finished(live.relay_stream(live.stream(s, d, "events").selectExpr("user_id as rec", "event_id as seq", "case event_id % 7 when 0 then concat('Closed relay to A', event_id % 5, ' and B1') when 1 then 'Opened relay' when 2 then '5' else if(event_id % 2 = 0, '7', 'note') end as text"))), [],
-    """t AS (SELECT user_id AS rec, event_id AS seq, CASE event_id % 7 WHEN 0 THEN 'Closed relay to A' || (event_id % 5) || ' and B1' WHEN 1 THEN 'Opened relay' WHEN 2 THEN '5' ELSE CASE WHEN event_id % 2 = 0 THEN '7' ELSE 'note' END END AS text FROM events),
-    c AS (SELECT *, last_value(CASE WHEN text LIKE 'Closed%' THEN 'A' || (seq % 5) || '-B1' WHEN text LIKE 'Opened%' THEN '' END IGNORE NULLS) OVER (PARTITION BY rec ORDER BY seq ROWS UNBOUNDED PRECEDING) AS pair FROM t)
-    SELECT rec, seq, pair, text AS current FROM c WHERE pair <> '' AND text IN ('5', '7')""")
+_LISTED = lambda s, d: live.stream(s, d, "events").selectExpr("concat('f', user_id) as path", "cast(floor(value / 60) as bigint) as size", "unix_timestamp(ts) as at", "unix_timestamp(ts) - event_id % 5 * 600 as modified")
+register(
+    "R2_ready_files", lambda s, d: live.finished(live.ready_files(_LISTED(s, d), 3600, 600, v.table(s, d, "events").filter("user_id % 10 = 3").selectExpr("concat('f', user_id) as path").distinct())), [],
+    """e AS (SELECT 'f' || user_id AS path, floor(value / 60)::bigint AS size, epoch_us(ts) // 1000000 AS s, event_id % 5 * 600 AS age FROM events WHERE user_id % 10 <> 3),
+    x AS (SELECT *, coalesce(size <> lag(size) OVER w OR s - lag(s) OVER w > 86400, true)::int AS new FROM e WINDOW w AS (PARTITION BY path ORDER BY s, size, -age)),
+    r AS (SELECT *, sum(new) OVER (PARTITION BY path ORDER BY s, size, -age ROWS UNBOUNDED PRECEDING) AS run FROM x), f AS (SELECT *, min(s) OVER (PARTITION BY path, run) AS since FROM r)
+    SELECT path, size, min(s) AS "at" FROM f WHERE s - since >= 3600 AND age >= 600 GROUP BY path, run, size""",
+)
+register("R6_live_relay_decoder", lambda s, d: live.finished(live.relay_stream(live.stream(s, d, "events").selectExpr("user_id as rec", "ts", "event_id as seq", "case event_id % 7 when 0 then concat('Closed relay to A', event_id % 5, ' and B1') when 1 then 'Opened relay' when 2 then '5' else if(event_id % 2 = 0, '7', 'note') end as text"))), [_CLOSED],
+    """t AS (SELECT user_id AS rec, ts, event_id AS seq, CASE event_id % 7 WHEN 0 THEN 'Closed relay to A' || (event_id % 5) || ' and B1' WHEN 1 THEN 'Opened relay' WHEN 2 THEN '5' ELSE CASE WHEN event_id % 2 = 0 THEN '7' ELSE 'note' END END AS text FROM events),
+    c AS (SELECT *, last_value(CASE WHEN text LIKE 'Closed%' THEN 'A' || (seq % 5) || '-B1' WHEN text LIKE 'Opened%' THEN '' END IGNORE NULLS) OVER (PARTITION BY rec ORDER BY ts, seq ROWS UNBOUNDED PRECEDING) AS pair FROM t)
+    SELECT rec, seq, pair, text AS current FROM c, closed WHERE date_trunc('millisecond', ts) < mark AND pair <> '' AND text IN ('5', '7')""")
 _MARKS = lambda s, d: v.table(s, d, "documents").selectExpr("cast(doc_id as string) as path", "doc_id % 3 = 0 as passed", "if(doc_id % 2 = 0, true, null) as done")
 register("R1_watch_folder", lambda s, d: live.finished(live.watch(live.stream(s, d, "documents").selectExpr("cast(doc_id as string) as path"), _MARKS(s, d))), [], "SELECT doc_id::varchar AS path FROM documents WHERE doc_id % 3 = 0 AND doc_id % 2 = 1")
 register("R8_rescan_loop", lambda s, d: live.finished(live.rescan(live.stream(s, d, "documents").selectExpr("concat(doc_id % 40, '/', doc_id % 3) as path"), v.table(s, d, "documents").filter("doc_id % 4 = 0").selectExpr("concat(doc_id % 40, '/', doc_id % 3) as path").distinct())), [],

@@ -76,50 +76,73 @@ def stalls(sizes: DataFrame, least: float, window: str = "6 hours", slide: str =
     return w.filter(F.col("grown") < least).select("file", F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("start"), F.round("grown", 6).alias("grown"))
 
 
-def ready_files(listing: DataFrame, quiet_s: int) -> DataFrame:
-    """R2. Paths whose size stayed the same for quiet_s or more between two listings in a row: path, size, at. listing: path, size, at (epoch seconds). State: the last size and when it changed."""
+def ready_files(listing: DataFrame, quiet_s: int, least_age_s: int = 0, marked: DataFrame | None = None, forget_s: int = 86400, late: str = "1 hour") -> DataFrame:
+    """R2. Paths whose size stayed the same for quiet_s or more, in a listing at which they were least_age_s old or more: path, size, at; once for each size that they come to.
+
+    listing: path, size, at, modified (epoch seconds). marked: a table of paths that are done with. A path that isn't listed for forget_s starts anew, and its
+    state is dropped. State: the last size, when it changed, whether it was told, and the last listing."""
+    from pyspark.sql.streaming.state import GroupStateTimeout
 
     def step(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        size, since, told = state.get if state.exists else (None, None, False)
+        if state.hasTimedOut:
+            state.remove()
+            return
+        size, since, told, last = state.get if state.exists else (None, None, False, None)
         out = []
-        for f in frames:
-            for at, now in sorted(zip(f["at"].tolist(), f["size"].tolist(), strict=True)):
-                if now != size:
-                    size, since, told = now, at, False
-                elif at - since >= quiet_s and not told:
-                    out.append((key[0], int(now), int(at)))
-                    told = True
-        state.update((size, since, told))
+        for at, now, modified in sorted(r for f in frames for r in zip(f["at"].tolist(), f["size"].tolist(), f["modified"].tolist(), strict=True)):
+            if now != size or at - last > forget_s:
+                size, since, told = now, at, False
+            elif at - since >= quiet_s and at - modified >= least_age_s and not told:
+                out.append((key[0], int(now), int(at)))
+                told = True
+            last = at
+        state.update((size, since, told, last))
+        state.setTimeoutTimestamp(max((last + forget_s) * 1000, state.getCurrentWatermarkMs() + 1000))
         yield pd.DataFrame(out, columns=["path", "size", "at"])
 
-    from pyspark.sql.streaming.state import GroupStateTimeout
+    if marked is not None:
+        listing = listing.join(marked.select("path"), "path", "left_anti")
+    rows = listing.select("path", "size", "at", "modified", F.timestamp_seconds("at").alias("ts")).withWatermark("ts", late)
+    return rows.groupBy("path").applyInPandasWithState(step, "path string, size long, at long", "size long, since long, told boolean, last long", "append", GroupStateTimeout.EventTimeTimeout)
 
-    return listing.groupBy("path").applyInPandasWithState(step, "path string, size long, at long", "size long, since long, told boolean", "append", GroupStateTimeout.NoTimeout)
 
+def relay_stream(events: DataFrame, late: str = "1 minute", forget_s: int = 30 * 86400) -> DataFrame:
+    """R6. Currents of the relay's open pair: rec, seq, pair, current. events: rec, ts, seq, text.
 
-def relay_stream(events: DataFrame) -> DataFrame:
-    """R6. Currents of the relay's open pair across batches: rec, seq, pair, current. events: rec, seq, text. State: the pair."""
+    Rows wait until the watermark has passed them and are taken in the order of (ts, seq), so that a row of a later batch finds its place. A recording without rows for
+    forget_s has no open pair any more, and its state is dropped. State: the pair, the last time, the rows that wait."""
+    import re
 
-    def step(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        import re
+    from pyspark.sql.streaming.state import GroupStateTimeout
 
-        pair = state.get[0] if state.exists else ""
-        rows = sorted((s, t) for f in frames for s, t in zip(f["seq"].tolist(), f["text"].fillna("").tolist(), strict=True))
-        out = []
-        for seq, text in rows:
-            t = text.strip(" ")
+    def step(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        pair, last, *kept = state.get if state.exists else ("", 0, [], [], [])
+        waiting = list(zip(*kept, strict=True))
+        waiting += [r for f in frames for r in zip(f["us"].tolist(), f["seq"].tolist(), f["text"].fillna("").tolist(), strict=True)]
+        mark, out, left = state.getCurrentWatermarkMs(), [], []
+        for us, seq, text in sorted(waiting):
+            if us // 1000 >= mark:
+                left.append((us, seq, text))
+                continue
+            if us - last > forget_s * 1_000_000:
+                pair = ""
+            last, t = us, text.strip(" ")
             if m := re.match(r"Closed relay to (\S+) and (\S+)", t):
                 pair = f"{m[1]}-{m[2]}"
             elif "Opened relay" in t or "De-block" in t:
                 pair = ""
             elif pair and re.fullmatch("[0-9]+", t):
                 out.append((key[0], seq, pair, t))
-        state.update((pair,))
+        if not left and mark > last // 1000 + forget_s * 1000:
+            state.remove()
+        else:
+            state.update((pair, last, *([r[k] for r in left] for k in range(3))))
+            state.setTimeoutTimestamp(max(left[0][0] // 1000 if left else last // 1000 + forget_s * 1000, mark + 1))
         yield pd.DataFrame(out, columns=["rec", "seq", "pair", "current"])
 
-    from pyspark.sql.streaming.state import GroupStateTimeout
-
-    return events.groupBy("rec").applyInPandasWithState(step, "rec long, seq long, pair string, current string", "pair string", "append", GroupStateTimeout.NoTimeout)
+    rows = events.withWatermark("ts", late).select("rec", "ts", F.unix_micros("ts").alias("us"), "seq", "text")
+    kept = "pair string, last long, us array<long>, seq array<long>, text array<string>"
+    return rows.groupBy("rec").applyInPandasWithState(step, "rec long, seq long, pair string, current string", kept, "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def watch(files: DataFrame, markers: DataFrame) -> DataFrame:
@@ -127,6 +150,7 @@ def watch(files: DataFrame, markers: DataFrame) -> DataFrame:
     return files.join(markers, "path", "left").filter("passed and not coalesce(done, false)").select("path")
 
 
-def rescan(listings: DataFrame, known: DataFrame) -> DataFrame:
-    """R8. Stream of listings without the folders that are known to be good, each folder once."""
-    return listings.join(known, "path", "left_anti").dropDuplicates(["path"])
+def rescan(listings: DataFrame, known: DataFrame, again: str = "1 hour") -> DataFrame:
+    """R8. Stream of listings without the folders that are known to be good; a folder that was taken is not taken again before `again` has passed. Time is ts, where listings have it, else the clock's."""
+    timed = listings if "ts" in listings.columns else listings.withColumn("ts", F.current_timestamp())
+    return timed.join(known, "path", "left_anti").withWatermark("ts", again).dropDuplicatesWithinWatermark(["path"]).select(*listings.columns)
