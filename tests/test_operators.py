@@ -281,3 +281,9 @@ def test_model_redaction_is_that_of_whole_texts(spark):
                 plain += t[end : m.start()] + "[NAME]"
                 end = m.end()
             assert r.redacted == plain + t[end:]
+
+
+def test_bids_roots(spark):
+    paths = ["a/sub-1/ses-1/ieeg/x.edf", "a/sub-1/ses-2/x.tsv", "a/sub-2/x.tsv", "a/sub-3", "b/notes/sub-1/ses-1/x.edf", "b/sub-é/x", "readme", "", None]
+    out = manifest.bids_roots(spark.createDataFrame([(p,) for p in paths], "path string")).collect()
+    assert {tuple(r) for r in out} == {("a", 2, 2, True), ("b", 0, 0, False), ("readme", 0, 0, False), ("", 0, 0, False), (None, 0, 0, False)}

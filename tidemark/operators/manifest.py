@@ -42,6 +42,15 @@ def session_of(text: Column) -> Column:
     return F.regexp_extract(text, r"ses-(\d+)", 1)
 
 
+def bids_roots(files: DataFrame) -> DataFrame:
+    """P12. folder, subjects (folders sub-<id> with a file), sessions (of those, with a file), is_root (one subject or more) of each top folder. files: path, below the top folder."""
+    at = F.split("path", "/")
+    subject = F.when(F.get(at, F.lit(1)).rlike("^sub-[A-Za-z0-9]+$") & (F.size(at) > 2), F.get(at, F.lit(1)))
+    session = F.when(subject.isNotNull() & F.get(at, F.lit(2)).rlike("^ses-[A-Za-z0-9]+$") & (F.size(at) > 3), F.concat_ws("/", subject, F.get(at, F.lit(2))))
+    seen = files.groupBy(F.get(at, F.lit(0)).alias("folder")).agg(F.count_distinct(subject).alias("subjects"), F.count_distinct(session).alias("sessions"))
+    return seen.withColumn("is_root", F.col("subjects") > 0)
+
+
 def session_discrepancy(df: DataFrame, path: str = "path") -> DataFrame:
     """P7. Files whose folder has another session number than their name; where either has none there is no discrepancy."""
     folder, name = session_of(F.regexp_extract(path, r"^(.*)/", 1)), session_of(F.element_at(F.split(F.col(path), "/"), -1))

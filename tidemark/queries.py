@@ -586,8 +586,9 @@ register(
     "SELECT sub, ses, filename FROM scans WHERE (sub, ses) IN (SELECT (sub, ses) FROM files WHERE ext = '.edf.gz') AND (sub, ses) NOT IN (SELECT (sub, ses) FROM files WHERE ext = '.tsv' AND file_id % 2 = 0)",
 )
 register(
-    "P12_bids_root", lambda s, d: v.files(s, d).groupBy(F.expr("regexp_extract(path, '^([^/]*)/', 1)").alias("folder")).agg(F.expr("bool_and(path rlike '^sub-[0-9]+/')").alias("subject_folder"), F.count_distinct("ses").alias("sessions")), [v.FILES],
-    "SELECT regexp_extract(path, '^([^/]*)/', 1) AS folder, true AS subject_folder, count(DISTINCT ses) AS sessions FROM files GROUP BY 1",
+    "P12_bids_root", lambda s, d: m.bids_roots(v.files(s, d).selectExpr("concat(case file_id % 7 when 0 then 'other/notes/' when 1 then '' else concat('study', file_id % 3, '/') end, path) as path")), [v.FILES],
+    """p AS (SELECT string_split(CASE file_id % 7 WHEN 0 THEN 'other/notes/' WHEN 1 THEN '' ELSE 'study' || (file_id % 3) || '/' END || path, '/') AS x FROM files)
+    SELECT x[1] AS folder, count(DISTINCT x[2]) FILTER (x[2] LIKE 'sub-%') AS subjects, count(DISTINCT x[2] || x[3]) FILTER (x[2] LIKE 'sub-%' AND x[3] LIKE 'ses-%') AS sessions, count(*) FILTER (x[2] LIKE 'sub-%') > 0 AS is_root FROM p GROUP BY 1""",
 )
 register("P3_channel_kind", lambda s, d: _SIGNALS(s, d).select("label", ev.channel_kind(F.col("label")).alias("generic")).groupBy("label", "generic").count(), [], "SELECT g || (p_partkey % 17) AS label, g = 'DC' AS generic, count(*) AS count FROM (SELECT *, (['LAH', 'EKG', 'DC', 'EMG', 'RHc'])[(p_partkey % 5 + 1)::int] AS g FROM part) GROUP BY ALL")
 _NAMES = lambda s, d: v.table(s, d, "customer").filter("c_custkey % 3 = 0").selectExpr("concat('note ', c_custkey % 50) as name").unionByName(v.table(s, d, "nation").selectExpr("lower(n_name) as name"))
