@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontam, linededup, lm, media, quality, simhash, suffix, tokencount, urlfilter
+from tidemark.llm import bpe, decontam, licenses, linededup, lm, media, quality, simhash, suffix, tokencount, trie, urlfilter, whiten
 from tidemark.llm.work import table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -62,5 +62,17 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(table(spark, sf_dir, "pages"), model)
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_media, op3_decontamination, op4_simhash, op5_quality, op6_substring_dedup, op7_language_model, op8_token_counts, op9_line_dedup, op10_url_filter)}
-ORACLES = {"op6_substring_dedup": suffix.ORACLE, "op9_line_dedup": linededup.ORACLE}
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten.whiten(table(spark, sf_dir, "embeddings"), components=4)
+
+
+def op13_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.digests(licenses.scan(table(spark, sf_dir, "documents")))
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_media, op3_decontamination, op4_simhash, op5_quality, op6_substring_dedup, op7_language_model, op8_token_counts, op9_line_dedup, op10_url_filter, op11_prefix_trie, op12_whitening, op13_licenses)}
+ORACLES = {"op6_substring_dedup": suffix.ORACLE, "op9_line_dedup": linededup.ORACLE, "op11_prefix_trie": trie.ORACLE}
