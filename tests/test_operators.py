@@ -287,3 +287,143 @@ def test_bids_roots(spark):
     paths = ["a/sub-1/ses-1/ieeg/x.edf", "a/sub-1/ses-2/x.tsv", "a/sub-2/x.tsv", "a/sub-3", "b/notes/sub-1/ses-1/x.edf", "b/sub-é/x", "readme", "", None]
     out = manifest.bids_roots(spark.createDataFrame([(p,) for p in paths], "path string")).collect()
     assert {tuple(r) for r in out} == {("a", 2, 2, True), ("b", 0, 0, False), ("readme", 0, 0, False), ("", 0, 0, False), (None, 0, 0, False)}
+
+
+def test_blocks_are_those_of_the_standard_matcher():
+    from difflib import SequenceMatcher
+
+    from tidemark.functions import blocks
+
+    rnd, before = random.Random(9), blocks.CELLS
+    try:
+        for _ in range(400):
+            blocks.CELLS = rnd.choice([0, 16, before])
+            letters = rnd.choice([1, 2, 3, 5, 30])
+            a = [rnd.randrange(letters) for _ in range(rnd.randrange(150))]
+            b = [rnd.randrange(letters) for _ in range(rnd.randrange(150))] if rnd.random() < 0.5 else [x for x in a if rnd.random() < 0.8]
+            assert blocks.changes(a, b) == [o for o in SequenceMatcher(None, a, b, autojunk=False).get_opcodes() if o[0] != "equal"]
+            assert [x for x in blocks.matching_blocks(a, b)] == [tuple(m) for m in SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks()[:-1]]
+    finally:
+        blocks.CELLS = before
+    x, y = ["x", "y"] * 150, ["y", "x"] * 151
+    assert sum(m[2] for m in blocks.matching_blocks(x, y)) == 300
+    began = time.time()
+    other = [f"w{i // 2}" if i % 2 else f"b{i}" for i in range(20_000)]
+    assert len(blocks.matching_blocks([f"w{i // 2}" if i % 2 else f"a{i}" for i in range(20_000)], other)) == 10_000
+    blocks.matching_blocks([rnd.randrange(3) for _ in range(20_000)], [rnd.randrange(3) for _ in range(20_000)])
+    assert time.time() - began < 20
+
+
+def test_first_peaks_against_definition():
+    r = np.random.default_rng(2)
+
+    def peaks(x, least):
+        out = []
+        for i in range(1, len(x) - 1):
+            after = next((m for m in range(i, len(x)) if x[m] != x[i]), None)
+            if after is not None and x[i - 1] < x[i] and x[after] < x[i]:
+                lo = max((m for m in range(i) if x[m] > x[i]), default=-1) + 1
+                hi = min((m for m in range(i, len(x)) if x[m] > x[i]), default=len(x))
+                if x[i] - max(min(x[lo : i + 1]), min(x[i:hi])) >= least:
+                    out.append((i, after))
+        return out
+
+    for _ in range(60):
+        x = r.integers(0, r.integers(2, 12), (10, r.integers(1, 30))).astype(float)
+        place, sign = filters.peaks_of(x, 2.0)
+        for k, row in enumerate(x):
+            ups, downs = peaks(row, 2), peaks(-row, 2)
+            high, deep = max((row[i] for i, _ in ups), default=0), max((-row[i] for i, _ in downs), default=0)
+            assert place[k] == ((ups[0][0] + ups[0][1] - 1) // 2 if ups else -1)
+            assert sign[k] == (0 if not ups + downs else 1 if high > deep * 1.2 else -1 if deep > high * 1.2 else 0)
+
+
+def test_epoch_windows_are_epochs(spark):
+    from tidemark.operators import signals
+
+    samples = spark.createDataFrame([(r, c, i, float((i * 37 + c * 11) % 101)) for r in (1, 2) for c in (1, 2) for i in range(40 + 30 * c)], "rec long, channel long, idx long, v double")
+    at = spark.createDataFrame([(r, e) for r in (1, 2, 3) for e in (0, 2, 3, 15, 16, 17, 63, 64, 65, 66, 95, 96, 97, 98, 99, 100)], "rec long, event long")
+    want = {}
+    for r in signals.epoch_events(samples, at, 3, 4).collect():
+        want.setdefault((r.rec, r.channel, r.event), {})[r.offset] = r.v
+    for block in (8, 16, 1024):
+        got = {(r.rec, r.channel, r.event): r["values"] for r in signals.epoch_windows(samples, at, 3, 4, block).collect()}
+        assert got == {k: [v[o] for o in sorted(v)] for k, v in want.items()}
+
+
+@pytest.mark.parametrize("size", [7, 64, 1 << 16])
+def test_spans_give_the_same_peaks_and_states(spark, size):
+    r = random.Random(3)
+    values = [(rec, c, i, float(r.randrange(6))) for rec in (1, 2) for c in (1, 2) for i in range(90 * c)]
+    samples = spark.createDataFrame(values, "rec long, channel long, idx long, v double").repartition(3)
+    for kw in ({"sel": 1.0, "thresh": 1.0}, {"sel": 0.5, "thresh": -9.0, "extrema": -1, "least": 2, "most": 5}, {"endpoints": False, "least": 1}):
+        got = sorted((p.rec, p.channel, p.idx, round(p.place, 6), p.v) for p in filters.find_peaks(samples, size=size, **kw).collect())
+        assert got == plain_peaks(values, **kw)
+    said = ["Closed relay to A and B", "Opened relay", "3", "x", "Start Stimulation from C to D", "high freq", " 7 ", None]
+    rows = [(rec, i + 1, float(i * r.choice([1, 30])), r.choice(said)) for rec in (1, 2) for i in range(150)]
+    notes = spark.createDataFrame(rows, "rec long, seq long, onset double, text string")
+    for f in (events.relay_state, events.manual_stims):
+        assert sorted(map(tuple, f(notes, size=size).collect()), key=repr) == sorted(map(tuple, f(notes, size=1 << 20).collect()), key=repr)
+
+
+def plain_peaks(values, sel=None, thresh=None, extrema=1, endpoints=True, least=None, most=None):
+    out = []
+    for key in sorted({v[:2] for v in values}):
+        x = [v[3] * extrema for v in sorted(values) if v[:2] == key]
+        quarter = (max(x) - min(x)) / 4
+        slope = [(b > a) - (b < a) for a, b in zip(x, x[1:])]
+        for i, top in enumerate(x):
+            before, after = slope[i - 1] if i else None, slope[i] if i < len(slope) else None
+            end = endpoints and ((before is None and after == -1) or (after is None and before == 1))
+            if not (end or (before is not None and after is not None and after < before)):
+                continue
+            if not (top > (quarter if thresh is None else thresh) and top - min(x[: i + 1]) > (quarter if sel is None else sel)):
+                continue
+            rise = max((j + 1 for j in range(i) if slope[j] <= 0), default=0)
+            fall = min((j for j in range(i, len(slope)) if slope[j] >= 0), default=len(x) - 1)
+            if (least is not None and fall - rise < least) or (most is not None and fall - rise > most):
+                continue
+            inner = 0 < i < len(x) - 1
+            place = i + 0.5 * (x[i - 1] - x[i + 1]) / (x[i - 1] - 2 * top + x[i + 1]) if inner else float(i)
+            out.append((*key, i, round(place, 6), top * extrema))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("bucket", [5, 1000])
+def test_interval_union_by_buckets(spark, bucket):
+    r = random.Random(6)
+    rows = [(s, a := r.randrange(300), a + r.choice([0, 1, 5, -9, 40, 200])) for s in (1, 2, 3) for _ in range(60)] + [(4, None, 3), (4, 1, None), (5, 7, 7), (6, 3, 4), (6, 3, 4)]
+    got = {u.subject: (u.n_intervals, u.total_s) for u in intervals.interval_union(spark.createDataFrame(rows, "subject long, s long, e long"), bucket_s=bucket).collect()}
+    want = {}
+    for subject in {x[0] for x in rows}:
+        spans = sorted((min(s, e), max(s, e)) for k, s, e in rows if k == subject and s is not None and e is not None and s != e)
+        n = total = 0
+        reach = None
+        for s, e in spans:
+            n += reach is None or s > reach
+            total += max(0, e - (s if reach is None else max(s, reach)))
+            reach = e if reach is None else max(reach, e)
+        if spans:
+            want[subject] = (n, total)
+    assert got == want
+
+
+def test_best_shift_against_all_slices():
+    r = np.random.default_rng(5)
+    for _ in range(300):
+        n = int(r.integers(1, 12))
+        short, notes = np.sort(r.integers(0, 60, n)).astype(float), np.sort(r.integers(0, 90, n + int(r.integers(0, 20)))).astype(float)
+        scores = [round(float((((short - short[0]) - (notes[s : s + n] - notes[s])) ** 2).sum()), 6) for s in range(len(notes) - n + 1)]
+        assert events.best_shift(short, notes) == scores.index(min(scores))
+    notes = np.cumsum(r.exponential(3.0, 200_000))
+    began = time.time()
+    assert events.best_shift(notes[70_000:170_000] + 123.0, notes) == 70_000 and time.time() - began < 10
+
+
+def test_size_classes(spark):
+    a = spark.createDataFrame([(f"a{i}", i % 4) for i in range(12)] + [("n", None)], "path string, length long")
+    b = spark.createDataFrame([(f"b{i}", i % 3) for i in range(9)], "path string, length long")
+    rows = joins.size_classes(a, b).collect()
+    assert len(rows) == 18 and all((r.members, r.partners) == (3, 3) for r in rows) and {r.length for r in rows} == {0, 1, 2}
+    pairs = joins.match_by_size(a, b).collect()
+    assert len(pairs) == 27 and len({(p.path_a, p.path_b) for p in pairs}) == 27

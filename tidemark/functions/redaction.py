@@ -4,15 +4,13 @@ from __future__ import annotations
 
 import json
 import re
-from bisect import bisect_left
 from collections.abc import Callable, Iterator
-from difflib import SequenceMatcher
-from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.blocks import changes, matching_blocks
 from tidemark.sources.shared import new_folder
 
 #: So many names of a dictionary go to all executors at a time; larger ones are taken in turns.
@@ -124,83 +122,12 @@ def redact_json(df: DataFrame, column: str, patterns: list[tuple[str, str]]) ->
     return df.withColumn("redacted", change(column))
 
 
-#: Cells of a stretch that is compared place by place; how often a longer one is split at what only comes once in it.
-CELLS, SPLITS = 40_000, 40
-
-
-def anchors(a: list[str], b: list[str], i: int, k: int, j: int, n: int, width: int) -> list[tuple[int, int]]:
-    """The longest rising chain of places (in a[i:k], in b[j:n]) where `width` items stand that come once in each stretch."""
-
-    def once(items: list[str], lo: int, hi: int) -> dict:
-        at: dict = {}
-        for x in range(lo, hi - width + 1):
-            key = items[x] if width == 1 else tuple(items[x : x + width])
-            at[key] = -1 if key in at else x
-        return at
-
-    there = once(b, j, n)
-    met = [(x, there[key]) for key, x in once(a, i, k).items() if x >= 0 and there.get(key, -1) >= 0]
-    ends: list[int] = []  # the least last place in b of a chain of each length
-    last: list[int] = []  # its pair
-    before = [-1] * len(met)
-    for p, (_, y) in enumerate(met):
-        at = bisect_left(ends, y)
-        before[p] = last[at - 1] if at else -1
-        ends[at : at + 1], last[at : at + 1] = [y], [p]
-    chain, p = [], last[-1] if last else -1
-    while p >= 0:
-        chain.append(met[p])
-        p = before[p]
-    return chain[::-1]
-
-
-def matched(a: list[str], b: list[str]) -> list[tuple[int, int]]:
-    """Pairs of places that stay, rising in both. Equal ends are paired, long stretches are split at items (else runs of 3 or 9) that come once in both, short ones are
-    compared place by place; a long stretch with nothing of that kind counts as changed. Time grows with the length, not with its square."""
-    out: list[tuple[int, int]] = []
-    todo = [(0, len(a), 0, len(b), SPLITS)]
-    while todo:
-        i, k, j, n, splits = todo.pop()
-        while i < k and j < n and a[i] == b[j]:
-            out.append((i, j))
-            i, j = i + 1, j + 1
-        while i < k and j < n and a[k - 1] == b[n - 1]:
-            k, n = k - 1, n - 1
-            out.append((k, n))
-        if (k - i) * (n - j) <= CELLS:
-            for x, y, size in SequenceMatcher(None, a[i:k], b[j:n], autojunk=False).get_matching_blocks():
-                out += [(i + x + t, j + y + t) for t in range(size)]
-            continue
-        chain = next((c for w in (1, 3, 9) if (c := anchors(a, b, i, k, j, n, w))), []) if splits else []
-        for x, y in chain:
-            todo.append((i, x, j, y, splits - 1))
-            out.append((x, y))
-            i, j = x + 1, y + 1
-        if chain:
-            todo.append((i, k, j, n, splits - 1))
-    return sorted(out)
-
-
-def changes(a: list[str], b: list[str]) -> list[tuple[str, int, int, int, int]]:
-    """kind (replace, delete, insert), from and to in a, from and to in b: what lies between the pairs of matched()."""
-    out, i, j = [], 0, 0
-    for x, y in [*matched(a, b), (len(a), len(b))]:
-        if x > i or y > j:
-            out.append(("delete" if y == j else "insert" if x == i else "replace", i, x, j, y))
-        i, j = x + 1, y + 1
-    return out
-
-
 def mask_of(original: str, redacted: str) -> list[int]:
-    """1 for each character of the original that went: words are compared first, then the characters of what was replaced."""
-    a, b = (re.findall(r"\w+|\s|[^\w\s]", x.replace("\r\n", "\n").replace("\r", "\n")) for x in (original, redacted))
-    starts = [0, *accumulate(map(len, a))]
-    out = [0] * starts[-1]
-    for kind, i, k, j, n in changes(a, b):
-        if kind != "insert":
-            out[starts[i] : starts[k]] = [1] * (starts[k] - starts[i])
-            for x, _ in matched(list("".join(a[i:k])), list("".join(b[j:n]))):
-                out[starts[i] + x] = 0
+    """1 for each character of the original, with newlines of one kind, that lies in no block that both have."""
+    a, b = (x.replace("\r\n", "\n").replace("\r", "\n") for x in (original, redacted))
+    out = [1] * len(a)
+    for x, _, size in matching_blocks(a, b):
+        out[x : x + size] = [0] * size
     return out
 
 

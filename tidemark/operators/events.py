@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from tidemark.operators.scans import SIZE, beside, running
+
 
 def in_order() -> WindowSpec:
     """A recording's events in their order."""
@@ -52,29 +56,25 @@ def labelled(events: DataFrame) -> DataFrame:
     return events.withColumn("x", stim_labels(F.col("text"))).filter("x is not null").select("rec", "seq", "onset", "x.decoder", "x.pair", "x.current")
 
 
-def relay_state(events: DataFrame) -> DataFrame:
+def relay_state(events: DataFrame, size: int = SIZE) -> DataFrame:
     """W6. Events between `Closed relay to A and B` and the next opening whose text is all digits: the pair and the current."""
     t = F.trim(F.col("text"))
     closed = r"^Closed relay to (\S+) and (\S+)"
     # a change is the pair, or an empty text where the relay opens
     change = F.when(t.rlike(closed), F.concat_ws("-", F.regexp_extract(t, closed, 1), F.regexp_extract(t, closed, 2))).when(t.contains("Opened relay") | t.contains("De-block"), "")
-    state = F.last(change, ignorenulls=True).over(in_order().rowsBetween(Window.unboundedPreceding, 0))
-    on = events.withColumn("pair", state).filter(t.rlike(r"^\d+$") & (F.col("pair") != ""))
+    on = running(events.select("rec", "seq", "onset", "text"), ["rec"], "seq", {"pair": ("last", change)}, size).filter(t.rlike(r"^\d+$") & (F.col("pair") != ""))
     return on.select("rec", "seq", "onset", F.lit("rev1").alias("decoder"), "pair", F.trim("text").alias("current"))
 
 
-def manual_stims(events: DataFrame, gap_s: float = 20.0) -> DataFrame:
-    """W5. Stimulation commands that no high-frequency line is or comes before, with the next event less than gap_s later; numbers of the lines up to the next command are their currents."""
+def manual_stims(events: DataFrame, gap_s: float = 20.0, size: int = SIZE) -> DataFrame:
+    """W5. Stimulation commands that no high-frequency line is or comes before, with the next event less than gap_s later; numbers of the lines up to the next command are their currents. seq counts a
+    recording's events without gaps."""
     t = F.trim(F.coalesce("text", F.lit("")))
     pattern = r"^(?:Closed relay to|Start Stimulation from) (\S+) (?:and|to) (\S+)"
-    high = F.lower(t).contains("high freq")
-    command = t.rlike(pattern)
-    rows = events.select(
-        "rec", "seq", "onset", t.alias("t"), command.alias("command"), high.alias("high"), F.lag(high, 1, False).over(in_order()).alias("high_before"),
-        F.lead("onset").over(in_order()).alias("next"),
-    )
-    rows = rows.withColumn("block", F.sum(F.col("command").cast("int")).over(in_order().rowsBetween(Window.unboundedPreceding, 0)))
-    good = F.col("command") & ~F.col("high") & ~F.col("high_before") & (F.col("next") - F.col("onset") < gap_s)
+    rows = events.select("rec", "seq", "onset", t.alias("t"), t.rlike(pattern).alias("command"), F.lower(t).contains("high freq").alias("high"))
+    rows = beside(rows, ["rec"], "seq", {"high_before": (F.col("high"), -1), "next": (F.col("onset"), 1)}, size)
+    rows = running(rows, ["rec"], "seq", {"block": ("sum", F.col("command").cast("int"))}, size)
+    good = F.col("command") & ~F.col("high") & ~F.coalesce("high_before", F.lit(False)) & (F.col("next") - F.col("onset") < gap_s)
     pair = F.concat_ws("-", F.regexp_extract("t", pattern, 1), F.regexp_extract("t", pattern, 2))
     number = F.when(~F.col("command") & ~F.col("t").rlike(r"[A-Za-z]+\d+"), F.nullif(F.regexp_extract("t", r"(\d+(?:\.\d+)?)", 1), F.lit("")))
     return rows.groupBy("rec", "block").agg(
@@ -134,18 +134,44 @@ def event_sessions(events: DataFrame, gap_s: float = 20.0) -> DataFrame:
     return rows.groupBy("rec", "burst").agg(F.min("onset").alias("start"), F.max("onset").alias("stop"), F.count("*").alias("n")).drop("burst")
 
 
+def best_shift(short: np.ndarray, notes: np.ndarray) -> int:
+    """Where in `notes` the slice as long as `short` starts whose times from its first fit best: the least sum of squared differences, rounded to six places, then the first.
+
+    The sums of all shifts come from prefix sums and one convolution; those that its rounding can't tell from the least are summed again."""
+    n, m = len(short), len(notes)
+    if n == m:
+        return 0
+    d, x = short - short[0], notes - notes[0]
+    sums, squares = np.concatenate([[0], np.cumsum(x)]), np.concatenate([[0], np.cumsum(x * x)])
+    size = 1 << (n + m - 1).bit_length()
+    cross = np.fft.irfft(np.fft.rfft(x, size) * np.conj(np.fft.rfft(d, size)), size)[: m - n + 1]  # sum of d[i] * x[i + shift]
+    first, within, squared = x[: m - n + 1], sums[n:] - sums[: m - n + 1], squares[n:] - squares[: m - n + 1]
+    about = (d * d).sum() + squared + n * first**2 - 2 * cross + 2 * first * d.sum() - 2 * first * within
+    slack = 1e-12 * size.bit_length() * ((d * d).sum() + squares[-1] + n * (x * x).max()) + 1e-6
+    best, place = np.inf, 0
+    for s in np.flatnonzero(about <= about.min() + 2 * slack).tolist():
+        score = round(float(((d - (x[s : s + n] - x[s])) ** 2).sum()), 6)
+        if score < best:
+            best, place = score, s
+        if best == 0:
+            break
+    return place
+
+
 def complete_truncated(events: DataFrame, notes: DataFrame, k: int = 4) -> DataFrame:
-    """J5. Truncated event texts and longer notes of the same recording that start with them, matched in order where both are as many; more notes than events give the slice of neighbours whose relative times fit best (least sum of squares, then the first)."""
-    a, b = events.select("rec", "seq", "onset", F.col("text").alias("short")), notes.select("rec", F.col("seq").alias("note_seq"), F.col("onset").alias("note_onset"), F.col("text").alias("full"))
-    a = a.withColumn("i", F.row_number().over(Window.partitionBy("rec", "short").orderBy("seq"))).withColumn("n", F.count("*").over(Window.partitionBy("rec", "short")))
-    keys = a.select("rec", "short").distinct().withColumn("p", F.substring("short", 1, k))
-    cand = keys.join(b.withColumn("p", F.substring("full", 1, k)), ["rec", "p"]).filter(F.col("full").startswith(F.col("short")) & (F.length("full") > F.length("short"))).drop("p")
-    cand = cand.withColumn("j", F.row_number().over(Window.partitionBy("rec", "short").orderBy("note_seq"))).withColumn("m", F.count("*").over(Window.partitionBy("rec", "short")))
-    size = a.groupBy("rec", "short").agg(F.first("n").alias("n"), F.min_by("onset", "seq").alias("onset0")).join(cand.groupBy("rec", "short").agg(F.first("m").alias("m")), ["rec", "short"]).filter("m >= n")
-    starts = size.withColumn("s", F.explode(F.expr("sequence(0, cast(m - n as int))")))
-    slices = starts.join(a.select("rec", "short", "seq", "onset", "i"), ["rec", "short"]).withColumn("j", F.col("i") + F.col("s")).join(cand.select("rec", "short", "j", "note_seq", "note_onset", "full"), ["rec", "short", "j"])
-    w = Window.partitionBy("rec", "short", "s")
-    slices = slices.withColumn("note0", F.min_by("note_onset", "j").over(w))
-    slices = slices.withColumn("d", F.pow((F.col("onset") - F.col("onset0")) - (F.col("note_onset") - F.col("note0")), 2))
-    best = slices.groupBy("rec", "short", "s").agg(F.round(F.sum("d"), 6).alias("score")).groupBy("rec", "short").agg(F.min(F.struct("score", "s")).alias("best"))
-    return slices.join(best, ["rec", "short"]).filter("s = best.s").select("rec", "seq", "short", "note_seq", "full")
+    """J5. Truncated event texts and longer notes of the same recording that start with them, matched in order where both are as many; more notes than events give the slice of neighbours whose relative times fit best (least sum of squares, then the first). Fewer notes give none."""
+    a = events.filter("text is not null and onset is not null").groupBy("rec", F.col("text").alias("short")).agg(F.array_sort(F.collect_list(F.struct("seq", "onset"))).alias("events"))
+    b = notes.filter("onset is not null").select("rec", "seq", "onset", F.col("text").alias("full"))
+    keys = a.select("rec", "short").withColumn("p", F.substring("short", 1, k))
+    cand = keys.join(b.withColumn("p", F.substring("full", 1, k)), ["rec", "p"]).filter(F.col("full").startswith(F.col("short")) & (F.length("full") > F.length("short")))
+    lists = cand.groupBy("rec", "short").agg(F.array_sort(F.collect_list(F.struct("seq", "onset", "full"))).alias("notes"))
+    met = a.join(lists, ["rec", "short"]).filter(F.size("notes") >= F.size("events"))
+    times = lambda c: F.transform(c, lambda x: x["onset"].cast("double"))
+
+    @F.pandas_udf("int")
+    def shift(short: pd.Series, there: pd.Series) -> pd.Series:
+        return pd.Series([best_shift(np.asarray(x, np.float64), np.asarray(y, np.float64)) for x, y in zip(short, there, strict=True)], dtype="int32")
+
+    placed = met.withColumn("s", shift(times("events"), times("notes")))
+    pairs = F.explode(F.arrays_zip(F.col("events").alias("a"), F.slice("notes", F.col("s") + 1, F.size("events")).alias("b")))
+    return placed.select("rec", "short", pairs.alias("x")).select("rec", F.col("x.a.seq").alias("seq"), "short", F.col("x.b.seq").alias("note_seq"), F.col("x.b.full").alias("full"))

@@ -1,20 +1,24 @@
-"""Trends, medians and peaks of channels, from sums and windows that Spark runs without Python. idx counts a channel's samples from 0."""
+"""Trends, medians and peaks of channels: sums and windows over spans, and peaks of short windows in Arrow batches. idx counts a channel's samples from 0."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.scans import SIZE, beside, halo, running
+
 CHANNEL = ("rec", "channel")
 EPOCH = ("rec", "channel", "event")
 
 
-def spans(samples: DataFrame, reach: int, size: int = 65_536) -> DataFrame:
-    """Adds home and span: samples are dealt by spans of `size` indices, so that a long channel goes to many tasks; those within `reach` of a
-    span's end go to the neighbour as well, where home and span differ. reach is at most size."""
-    home = F.floor(F.col("idx") / size)
-    near = F.array_distinct(F.array(F.floor((F.col("idx") - reach) / size), home, F.floor((F.col("idx") + reach) / size)))
-    return samples.withColumn("home", home).withColumn("span", F.explode(near))
+def spans(samples: DataFrame, reach: int, size: int = SIZE) -> DataFrame:
+    """Adds home and span to samples: see scans.halo."""
+    return halo(samples, "idx", reach, size)
 
 
 def median_filter(samples: DataFrame, kernel: int) -> DataFrame:
@@ -65,55 +69,110 @@ def orientation(samples: DataFrame, events: DataFrame, lag: int, window: int) ->
     return rows.select(*EPOCH, F.when(first | total.isNull(), None).when(total < 0, -1).otherwise(1).alias("orientation"), slope(2, 3).alias("pre"), slope(0, 4).alias("post"))
 
 
-def find_peaks(samples: DataFrame, sel: float | None = None, thresh: float | None = None, extrema: int = 1, endpoints: bool = True, least: int | None = None, most: int | None = None) -> DataFrame:
+def find_peaks(samples: DataFrame, sel: float | None = None, thresh: float | None = None, extrema: int = 1, endpoints: bool = True, least: int | None = None, most: int | None = None, size: int = SIZE) -> DataFrame:
     """N11. rec, channel, idx, place, v: samples after which the slope's sign falls, above thresh, and above the least sample so far by more than sel
     (both: a quarter of the channel's range, unless given).
 
     extrema -1 looks for minima. endpoints: a falling start and a rising end count too. least, most: limits of the width, from where the rise begins
-    to where the fall ends. place: the top of the parabola through the sample and its neighbours; an end's own place."""
-    up = Window.partitionBy(*CHANNEL).orderBy("idx")
-    down = Window.partitionBy(*CHANNEL).orderBy(F.desc("idx")).rowsBetween(Window.unboundedPreceding, 0)
+    to where the fall ends. place: the top of the parabola through the sample and its neighbours; an end's own place. size: samples of a span that one task takes."""
+    keys = [*CHANNEL]
     x = samples.select(*CHANNEL, "idx", (F.col("v") * extrema).alias("x"))
     limits = x.groupBy(*CHANNEL).agg(((F.max("x") - F.min("x")) / 4).alias("quarter"), F.max("idx").alias("last"))
-    rows = x.withColumns({"a": F.lag("x").over(up), "b": F.lead("x").over(up), "low": F.min("x").over(up.rowsBetween(Window.unboundedPreceding, 0))})
+    rows = beside(x, keys, "idx", {"a": (F.col("x"), -1), "b": (F.col("x"), 1)}, size)
     rows = rows.withColumns({"before": F.signum(F.col("x") - F.col("a")), "next": F.signum(F.col("b") - F.col("x"))})
+    wide = least is not None or most is not None
+    # a rise begins where the slope before isn't up any more, or at the channel's start
+    starts = {"rise": ("last", F.when(F.col("before") <= 0, F.col("idx")))} if wide else {}
+    rows = running(rows, keys, "idx", {"low": ("min", F.col("x")), **starts}, size)
+    if wide:
+        rows = running(rows, keys, "idx", {"fall": ("min", F.when(F.col("next") >= 0, F.col("idx")))}, size, backwards=True)
     falls: Column = F.col("next") < F.col("before")
     if endpoints:
         falls = falls | (F.col("before").isNull() & (F.col("next") < 0)) | (F.col("next").isNull() & (F.col("before") > 0))
-    if least is not None or most is not None:
-        rise = F.last(F.when(F.col("next") <= 0, F.col("idx") + 1), ignorenulls=True).over(up.rowsBetween(Window.unboundedPreceding, -1))
-        fall = F.last(F.when(F.col("next") >= 0, F.col("idx")), ignorenulls=True).over(down)
-        rows = rows.withColumns({"rise": F.coalesce(rise, F.lit(0)), "fall": fall})
-    peaks = rows.filter(falls).join(limits, [*CHANNEL])
+    peaks = rows.filter(falls).join(limits, keys)
     peaks = peaks.filter((F.col("x") > (F.col("quarter") if thresh is None else thresh)) & (F.col("x") - F.col("low") > (F.col("quarter") if sel is None else sel)))
-    if least is not None or most is not None:
-        width = F.coalesce("fall", "last") - F.col("rise")
+    if wide:
+        width = F.coalesce("fall", "last") - F.coalesce("rise", F.lit(0))
         peaks = peaks.filter(width >= (0 if least is None else least)).filter(F.lit(True) if most is None else width <= most)
     top = F.col("idx") + 0.5 * (F.col("a") - F.col("b")) / (F.col("a") - 2 * F.col("x") + F.col("b"))
     return peaks.select(*CHANNEL, "idx", F.coalesce(top, F.col("idx").cast("double")).alias("place"), (F.col("x") * extrema).alias("v"))
 
 
-def prominent(x: str, prominence: float) -> str:
-    """SQL over an array column: structs (i, next, high) of the peaks that stand `prominence` over the lows on both sides, up to the next higher value or the end.
-    A flat top is from i to next - 1."""
-    end = f"size({x}) - 1"
-    return f"""filter(transform(if(size({x}) > 2, sequence(1, size({x}) - 2), cast(array() as array<int>)), i -> named_struct('i', i, 'high', {x}[i],
-        'next', array_min(filter(sequence(i, {end}), m -> {x}[m] <> {x}[i])),
-        'lo', coalesce(array_max(filter(sequence(0, i), m -> {x}[m] > {x}[i])) + 1, 0), 'hi', coalesce(array_min(filter(sequence(i, {end}), m -> {x}[m] > {x}[i])), size({x})))),
-        p -> {x}[p.i - 1] < p.high and {x}[p.next] < p.high and p.high - greatest(array_min(slice({x}, p.lo + 1, p.i - p.lo + 1)), array_min(slice({x}, p.i + 1, p.hi - p.i))) >= {prominence}D)"""
+def lows_before(x: np.ndarray) -> np.ndarray:
+    """For each value of each row the least one from behind the last greater value up to it: a stack of falling values for each row, all rows at once."""
+    rows, n = x.shape
+    values, lows, height = np.empty((rows, n)), np.empty((rows, n)), np.zeros(rows, np.int64)
+    out = np.empty((rows, n))
+    for i in range(n):
+        low = x[:, i].copy()
+        open_rows = np.flatnonzero(height)
+        while len(open_rows):
+            top = height[open_rows] - 1
+            open_rows = open_rows[values[open_rows, top] <= x[open_rows, i]]
+            top = height[open_rows] - 1
+            low[open_rows] = np.minimum(low[open_rows], lows[open_rows, top])
+            height[open_rows] = top
+            open_rows = open_rows[top > 0]
+        at = np.arange(rows)
+        values[at, height], lows[at, height] = x[:, i], low
+        height += 1
+        out[:, i] = low
+    return out
+
+
+def prominent(x: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each value of each row is a peak that stands `least` over the lows on both sides, up to the next greater value or the end; and the next place with another
+    value. Flat tops count at their first place, a row's ends never."""
+    rows, n = x.shape
+    other = np.full((rows, n), n)
+    for i in range(n - 2, -1, -1):
+        other[:, i] = np.where(x[:, i + 1] != x[:, i], i + 1, other[:, i + 1])
+    rises, falls = np.zeros((rows, n), bool), np.zeros((rows, n), bool)
+    rises[:, 1:] = x[:, :-1] < x[:, 1:]
+    falls[:, :-1] = np.take_along_axis(x, np.minimum(other[:, :-1], n - 1), 1) < x[:, :-1]
+    high = x - np.maximum(lows_before(x), lows_before(x[:, ::-1])[:, ::-1]) >= least
+    return rises & falls & (other < n) & high, other
+
+
+def peaks_of(x: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Of each row: the place of its first prominent peak (a flat top's middle), -1 where there is none; 1, -1 or 0 (neither) as the highest peak is over 1.2 times the deepest trough or the
+    reverse."""
+    if x.shape[1] < 3:
+        return np.full(len(x), -1), np.zeros(len(x), np.int64)
+    ups, other = prominent(x, least)
+    downs, _ = prominent(-x, least)
+    first = ups.argmax(axis=1)
+    place = np.where(ups.any(axis=1), (first + np.take_along_axis(other, first[:, None], 1)[:, 0] - 1) // 2, -1)
+    best = lambda on, v: np.where(on.any(axis=1), np.where(on, v, -np.inf).max(axis=1), 0.0)
+    high, deep = best(ups, x), best(downs, -x)
+    found = ups.any(axis=1) | downs.any(axis=1)
+    return place, np.where(found & (high > deep * 1.2), 1, np.where(found & (deep > high * 1.2), -1, 0))
+
+
+def first_peaks(windows: DataFrame, first: int, prominence: float) -> DataFrame:
+    """N12. rec, channel, event, peak, polarity of windows (rec, channel, event, values: samples at offsets from `first` on): the offset of the first prominent peak (a flat top's middle);
+    1 or -1 where the highest prominent peak is over 1.2 times the deepest trough or the reverse (0 where there is none), else null. A window with a null or NaN has neither.
+
+    Windows of a batch that are equally long are one matrix, walked once in each direction with a stack for each row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            values = b.column(3)
+            sizes = np.array([-1 if n is None else n for n in pa.compute.list_value_length(values).to_pylist()], np.int64)
+            peak, sign = np.full(b.num_rows, -1, np.int64), np.zeros(b.num_rows, np.int64)
+            for n in np.unique(sizes[sizes > 0]):
+                at = np.flatnonzero(sizes == n)
+                x = values.take(pa.array(at)).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, n)
+                fine = ~np.isnan(x).any(axis=1)
+                place, polarity = peaks_of(x[fine], prominence)
+                peak[at[fine]], sign[at[fine]] = place, polarity
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(peak + first, mask=peak < 0), pa.array(sign, mask=sign == 0)], names=[*EPOCH, "peak", "polarity"])
+
+    kinds = dict(windows.dtypes)
+    return windows.select(*EPOCH, F.col("values").cast("array<double>")).mapInArrow(run, ", ".join(f"{k} {kinds[k]}" for k in EPOCH) + ", peak long, polarity long")
 
 
 def first_peak(epochs: DataFrame, first: int, last: int, prominence: float) -> DataFrame:
-    """N12. rec, channel, event, peak, polarity, of the samples at offsets first to last alone: the offset of the first prominent peak (a flat top's
-    middle); 1 or -1 where the highest prominent peak is over 1.2 times the deepest trough or the reverse (0 where there is none), else null.
-
-    A window is an array of its few samples in one row."""
+    """N12 over epochs with a row for each sample (offset, v), of offsets first to last."""
     part = F.array_sort(F.collect_list(F.when(F.col("offset").between(first, last), F.struct("offset", "v"))))
-    rows = epochs.groupBy(*EPOCH).agg(part.alias("part")).withColumns({"x": F.expr("transform(part, r -> r.v)"), "y": F.expr("transform(part, r -> -r.v)")})
-    rows = rows.withColumns({"ups": F.expr(prominent("x", prominence)), "downs": F.expr(prominent("y", prominence))})
-    best = lambda c: F.expr(f"coalesce(array_max(transform({c}, p -> p.high)), 0D)")
-    rows = rows.withColumns({"high": best("ups"), "deep": best("downs")})
-    peak = F.expr("if(size(ups) > 0, part[cast((ups[0].i + ups[0].next - 1) div 2 as int)].offset, null)")
-    found = F.size("ups") + F.size("downs") > 0
-    sign = F.when(found & (F.col("high") > F.col("deep") * 1.2), 1).when(found & (F.col("deep") > F.col("high") * 1.2), -1)
-    return rows.select(*EPOCH, peak.cast("long").alias("peak"), sign.cast("long").alias("polarity"))
+    return first_peaks(epochs.groupBy(*EPOCH).agg(F.transform(part, lambda r: r["v"]).alias("values")), first, prominence)

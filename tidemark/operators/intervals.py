@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.scans import running
 from tidemark.views import DAY
 
 
@@ -51,20 +52,16 @@ def coverage_overlaps(sessions: DataFrame) -> DataFrame:
     return pairs.groupBy("subject", "day").agg(F.array_join(F.array_sort(F.collect_set("name")), ",").alias("names"))
 
 
-def interval_union(sessions: DataFrame) -> DataFrame:
-    """D4. subject, n_intervals, total_s of the union of all sessions; one aggregate, no window."""
-    spans = F.array_sort(F.collect_list(F.struct(F.least("s", "e").alias("s"), F.greatest("s", "e").alias("e"))))
-    start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("total"), F.lit(None).cast("long").alias("reach"))
+def interval_union(sessions: DataFrame, keys: list[str] = ["subject"], bucket_s: int = DAY) -> DataFrame:  # noqa: B006
+    """D4. keys, n_intervals, total_s of the union of all sessions; ends may be reversed, empty and null ones count for nothing.
 
-    def add(acc, x):
-        fresh = acc["reach"].isNull() | (x["s"] > acc["reach"])
-        return F.struct(
-            (acc["n"] + F.when(fresh, 1).otherwise(0)).alias("n"), (acc["total"] + F.when(fresh, x["e"] - x["s"]).otherwise(F.greatest(x["e"] - acc["reach"], F.lit(0)))).alias("total"),
-            F.greatest(acc["reach"], x["e"]).alias("reach"),
-        )
-
-    done = sessions.filter("s <> e").groupBy("subject").agg(F.aggregate(spans, start, add).alias("u"))
-    return done.select("subject", F.col("u.n").alias("n_intervals"), F.col("u.total").alias("total_s"))
+    Sessions are dealt by buckets of their start. A bucket's greatest end, carried to the later buckets, tells what of each session is new; the rest are sums, so
+    that no task or row holds a subject's sessions."""
+    ordered = sessions.select(*keys, F.least("s", "e").alias("s"), F.greatest("s", "e").alias("e")).filter("s < e")
+    rows = running(ordered, keys, "s", {"reach": ("max", F.col("e"))}, before=True, span=F.floor(F.col("s") / bucket_s), ties=["e"])
+    fresh = F.col("reach").isNull() | (F.col("s") > F.col("reach"))
+    new = F.greatest(F.col("e") - F.greatest("s", "reach"), F.lit(0))
+    return rows.groupBy(*keys).agg(F.sum(fresh.cast("long")).alias("n_intervals"), F.sum(new).alias("total_s"))
 
 
 BY_DAY = """o AS (SELECT subject, name, least(s, e) AS s, greatest(s, e) AS e FROM sessions WHERE s <> e),

@@ -12,9 +12,20 @@ def status_outer(a: DataFrame, b: DataFrame, keys: list[str], only_a: str, only_
     return x.join(y, keys, "full_outer").select(*keys, F.when(F.col("in_a") & F.col("in_b"), both).when(F.col("in_a"), only_a).otherwise(only_b).alias("status"))
 
 
-def match_by_size(a: DataFrame, b: DataFrame) -> DataFrame:
-    """J2. Every pair of files of equal size."""
-    return a.select(F.col("path").alias("path_a"), "length").join(b.select(F.col("path").alias("path_b"), "length"), "length")
+def size_classes(a: DataFrame, b: DataFrame) -> DataFrame:
+    """J2. side, path, length, members (files of the own side with this length), partners (of the other side) for each file that has a partner: the length is the class, so that n and m files
+    of a length take n + m rows and stand for n * m pairs."""
+    both = a.select(F.lit("a").alias("side"), "path", "length").unionByName(b.select(F.lit("b").alias("side"), "path", "length")).filter("length is not null")
+    sizes = both.groupBy("length").agg(F.count_if(F.col("side") == "a").alias("a"), F.count_if(F.col("side") == "b").alias("b")).filter("a > 0 and b > 0")
+    own = lambda x, y: F.when(F.col("side") == "a", F.col(x)).otherwise(F.col(y))
+    return both.join(sizes, "length").select("side", "path", "length", own("a", "b").alias("members"), own("b", "a").alias("partners"))
+
+
+def match_by_size(a: DataFrame, b: DataFrame, parts: int = 16) -> DataFrame:
+    """J2. The classes' pairs, for those who want each: files of equal size, n * m rows for a size. Each file of a goes to one of `parts` parts of its size, b's to all."""
+    left = a.select(F.col("path").alias("path_a"), "length", F.pmod(F.xxhash64("path"), F.lit(parts)).cast("int").alias("part"))
+    right = b.select(F.col("path").alias("path_b"), "length", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
+    return left.join(right, ["length", "part"]).select("length", "path_a", "path_b")
 
 
 def compare_steps(done: DataFrame, raw: DataFrame, markers: DataFrame) -> DataFrame:

@@ -29,6 +29,18 @@ def epoch_events(samples: DataFrame, events: DataFrame, before: int, after: int)
     return met.filter((F.col("event") >= before) & (F.col("event") + after - 1 <= F.col("last"))).select("rec", "channel", "event", (F.col("idx") - F.col("event")).alias("offset"), "v")
 
 
+def epoch_windows(samples: DataFrame, events: DataFrame, before: int, after: int, block: int = 1024) -> DataFrame:
+    """J14 with a row for each epoch. rec, channel, event, values: samples from event - before up to event + after; events whose span isn't whole go.
+
+    Samples become arrays of `block` and what an epoch may reach beyond; an event meets its block of each channel by key and takes its slice."""
+    blocks = F.sequence(F.floor((F.col("idx") - after + 1) / block), F.floor((F.col("idx") + before) / block))
+    held = samples.withColumn("block", F.explode(blocks)).groupBy("rec", "channel", "block").agg(F.array_sort(F.collect_list(F.struct("idx", "v"))).alias("x"))
+    held = held.select("rec", "channel", "block", F.expr("x[0].idx").alias("start"), F.expr("transform(x, r -> r.v)").alias("x"))
+    at = events.withColumn("block", F.floor(F.col("event") / block))
+    met = at.join(held, ["rec", "block"]).filter(F.col("event") - before >= F.col("start")).filter(F.col("event") + after - F.col("start") <= F.size("x"))
+    return met.select("rec", "channel", "event", F.slice("x", (F.col("event") - before - F.col("start") + 1).cast("int"), before + after).alias("values"))
+
+
 def average_epochs(epochs: DataFrame) -> DataFrame:
     """N13. Mean answer of each channel at each offset."""
     return epochs.groupBy("rec", "channel", "offset").agg(F.count("*").alias("n"), F.round(F.avg("v"), 6).alias("mean"))

@@ -389,6 +389,12 @@ register(
     "J10_reconcile_session", lambda s, d: j.status_outer(v.files(s, d).filter("file_id % 5 <> 0"), v.files(s, d).filter("file_id % 7 <> 0"), ["file_id"], "Missing", "New", "Present"), [v.FILES],
     "SELECT file_id, CASE WHEN file_id % 7 = 0 THEN 'Missing' WHEN file_id % 5 = 0 THEN 'New' ELSE 'Present' END AS status FROM files WHERE file_id % 5 <> 0 OR file_id % 7 <> 0",
 )
+_HALVES = lambda s, d: (v.files(s, d).filter("file_id % 2 = 0 and length > 0"), v.files(s, d).filter("file_id % 2 = 1 and length > 0"))
+register(
+    "J2_size_classes", lambda s, d: j.size_classes(*_HALVES(s, d)), [v.FILES],
+    """x AS (SELECT CASE file_id % 2 WHEN 0 THEN 'a' ELSE 'b' END AS side, path, length FROM files WHERE length > 0), c AS (SELECT length, count(*) FILTER (side = 'a') AS a, count(*) FILTER (side = 'b') AS b FROM x GROUP BY length)
+    SELECT side, path, length, CASE side WHEN 'a' THEN a ELSE b END AS members, CASE side WHEN 'a' THEN b ELSE a END AS partners FROM x JOIN c USING (length) WHERE a > 0 AND b > 0""",
+)
 register("J2_match_by_size", lambda s, d: j.match_by_size(v.files(s, d).filter("file_id % 2 = 0 and length > 0"), v.files(s, d).filter("file_id % 2 = 1 and length > 0")), [v.FILES], "SELECT a.path AS path_a, b.path AS path_b, a.length FROM files a JOIN files b ON a.length = b.length WHERE a.file_id % 2 = 0 AND b.file_id % 2 = 1 AND a.length > 0")
 register(
     "J3_compare_steps", lambda s, d: j.compare_steps(v.files(s, d).filter("file_id % 3 = 0 and md5 is not null").selectExpr("path", "length", "md5 as start", "file_id % 2 as milli"), v.files(s, d).filter("file_id % 3 <> 0 and md5 is not null").selectExpr("path", "length", "md5 as start", "file_id % 2 as milli"), v.files(s, d).filter("file_id % 4 = 1").select("path")), [v.FILES],
@@ -485,7 +491,7 @@ register(
 )
 
 from tidemark.functions import redaction as rd  # noqa: E402
-from tidemark.sources import edf, tsv  # noqa: E402
+from tidemark.sources import edf, edf_files, tsv  # noqa: E402
 from tidemark.sources.shared import new_folder  # noqa: E402
 from tidemark.streaming import live  # noqa: E402
 
@@ -510,26 +516,44 @@ def _written_texts(spark: SparkSession, sf_dir: str) -> str:
 
 
 register("S2_list_files", lambda s, d: tsv.list_files(s, _written_texts(s, d), "txt", ["part-*"], ["*.crc"]).selectExpr("regexp_extract(path, '/sub=(\\\\d+)/', 1) as sub", "length"), [v.FILES], "SELECT sub::varchar AS sub, sum(strlen(text) + 1)::bigint AS length FROM files GROUP BY sub")
-_EDF = lambda s, d, **k: edf.encoded(v.samples(s, d), **k)
-_EDF_SQL = "es AS (SELECT rec, channel, idx, (floor(v)::bigint % 4001 - 2000) AS d FROM samples WHERE channel <= 2), en AS (SELECT rec, min(n) AS n FROM (SELECT rec, channel, count(*) // 50 * 50 AS n FROM es GROUP BY ALL) GROUP BY rec HAVING count(*) = 2 AND min(n) > 0), ed AS (SELECT * FROM es JOIN en USING (rec) WHERE idx < n)"
-register(
-    "S4_edf_header", lambda s, d: edf.header(_EDF(s, d, records="-1")).selectExpr("path", "patient", "day", "clock", "n_records", "record_s", "size(signals) as n_signals", "signals[1].label as label", "signals[1].prefilter as prefilter", "cast(signals[0].spr as int) as spr"), [v.SAMPLES],
-    f"{_EDF_SQL} SELECT rec::varchar AS path, 'X X X X' AS patient, '02.01.24' AS day, '03.04.05' AS clock, n // 50 AS n_records, 1.0::double AS record_s, 2 AS n_signals, 'A2' AS label, 'HP:0.1Hz LP:70Hz' AS prefilter, 50 AS spr FROM en",
-)
+_SIGNAL = {"unit": "uV", "phys_min": "-500", "phys_max": "500", "dig_min": "-2000", "dig_max": "2000", "prefilter": "HP:0.1Hz LP:70Hz", "spr": "50"}
+
+
+def _recordings(spark: SparkSession, sf_dir: str, start: str = "0", **header) -> str:
+    """A folder with a file for each recording: channels 1 to 7 as signals A1 to A7 in records of 50 samples, its annotations by fours. start: the onset of the first list."""
+    cells = v.samples(spark, sf_dir).selectExpr("rec", "channel - 1 as channel", "cast(floor(idx / 50) as bigint) as record", "idx % 50 as k", "(floor(v) % 4001 - 2000) * 0.25D as v")
+    values = cells.groupBy("rec", "record", "channel").agg(F.expr("transform(array_sort(collect_list(struct(k, v))), x -> x.v) as values"))
+    notes = v.events_tsv(spark, sf_dir).selectExpr("rec", "cast(floor((seq - 1) / 4) as bigint) as record", "seq", "concat('+', format_string('%.6f', onset), '\u0014', text, '\u0014\u0000') as t")
+    lists = notes.groupBy("rec", "record").agg(F.expr("array_join(transform(array_sort(collect_list(struct(seq, t))), x -> x.t), '') as t"))
+    sizes = values.select("rec", "record").union(lists.select("rec", "record")).groupBy("rec").agg((F.max("record") + 1).alias("n_records"))
+    every = sizes.selectExpr("rec", "explode(sequence(0L, n_records - 1)) as record").join(lists, ["rec", "record"], "left")
+    clock = f"concat('+', record + {start}, '\u0014\u0014\u0000', coalesce(t, ''))"
+    rows = values.selectExpr("rec", "record", "channel", "values", "cast(null as binary) as tal").unionByName(every.selectExpr("rec", "record", "7L as channel", "cast(null as array<double>) as values", f"encode({clock}, 'UTF-8') as tal"))
+    folder = new_folder(spark, "recordings")
+    edf_files.write(rows.join(sizes, "rec"), folder, [{"label": f"A{i}", **_SIGNAL} for i in range(1, 8)], annotation_bytes=512, **header).count()
+    return folder
+
+
+_rec = lambda: F.regexp_extract("path", r"([0-9]+)\.edf$", 1).cast("long").alias("rec")
+_EDF_SQL = """es AS (SELECT rec, channel - 1 AS channel, idx // 50 AS record, idx % 50 AS k, (floor(v)::bigint % 4001 - 2000) * 0.25::double AS v FROM samples),
+en AS (SELECT rec, max(record) + 1 AS n FROM (SELECT rec, record FROM es UNION ALL SELECT rec, (seq - 1) // 4 FROM events_tsv) GROUP BY rec)"""
 register(
-    "S5_edf_samples", lambda s, d: edf.samples(_EDF(s, d)).selectExpr("path", "channel", "record", "posexplode(values) as (k, v)").selectExpr("path", "channel", "record", "k", "round(v, 6) as v"), [v.SAMPLES],
-    f"{_EDF_SQL} SELECT rec::varchar AS path, (channel - 1)::int AS channel, idx // 50 AS record, (idx % 50)::int AS k, d * 0.25::double AS v FROM ed",
+    "S4_edf_header", lambda s, d: edf_files.read(s, _recordings(s, d, count=False), "headers").select(_rec(), "patient", "day", "clock", "n_records", "record_s", F.size("signals").alias("n_signals"), F.expr("signals[6].label as label"), F.expr("signals[6].prefilter as prefilter"), F.expr("cast(signals[0].spr as int) as spr"), "reason"),
+    [v.SAMPLES, v.EVENTS_TSV],
+    f"{_EDF_SQL} SELECT rec, 'X X X X' AS patient, '02.01.24' AS day, '03.04.05' AS clock, n AS n_records, 1.0::double AS record_s, 8 AS n_signals, 'A7' AS label, 'HP:0.1Hz LP:70Hz' AS prefilter, 50 AS spr, NULL::varchar AS reason FROM en",
 )
 register(
-    "N5_clip_recording", lambda s, d: edf.samples(_EDF(s, d), channels=[1], first=1, stop=3).selectExpr("path", "channel", "record", "size(values) as n", "round(aggregate(values, 0D, (a, x) -> a + x), 4) as total"), [v.SAMPLES],
-    f"{_EDF_SQL} SELECT rec::varchar AS path, 1 AS channel, idx // 50 AS record, count(*)::int AS n, round(sum(d * 0.25::double), 4) AS total FROM ed WHERE channel = 2 AND idx // 50 IN (1, 2) GROUP BY ALL",
+    "S5_edf_samples", lambda s, d: edf_files.read(s, _recordings(s, d)).select(_rec(), "channel", "record", F.posexplode("values").alias("k", "v")).filter("v <> 0"), [v.SAMPLES, v.EVENTS_TSV],
+    f"{_EDF_SQL} SELECT rec, channel::int AS channel, record, k::int AS k, v FROM es WHERE v <> 0",
 )
 register(
-    "S6_edf_annotations", lambda s, d: edf.annotations(edf.encode_tal(v.events_tsv(s, d)), "rec").select("rec", "seq", "onset", "text"), [v.EVENTS_TSV],
-    "SELECT rec, min(seq)::int AS seq, round(onset, 6) AS onset, regexp_replace(text, '[\\x00-\\x1f]', '', 'g') AS text FROM events_tsv WHERE text <> '' GROUP BY rec, round(onset, 6), text",
+    "N5_clip_recording", lambda s, d: edf_files.read(s, _recordings(s, d)).filter("channel in (1, 4) and record >= 1 and record < 3").select(_rec(), "channel", "record", F.size("values").alias("n"), F.expr("round(aggregate(values, 0D, (a, x) -> a + x), 4) as total")), [v.SAMPLES, v.EVENTS_TSV],
+    f"{_EDF_SQL} SELECT rec, c::int AS channel, r AS record, 50 AS n, round(coalesce(sum(v), 0), 4) AS total FROM en, (SELECT unnest([1, 4]) AS c), (SELECT unnest([1, 2]) AS r) LEFT JOIN es ON es.rec = en.rec AND es.channel = c AND es.record = r WHERE r < n GROUP BY ALL".replace("SELECT rec, c::int", "SELECT en.rec, c::int"),
 )
-register("W10_tal_offset", lambda s, d: edf.annotations(edf.encode_tal(v.events_tsv(s, d)).withColumn("content", F.expr("encode(replace(decode(content, 'ISO-8859-1'), '+0\\u0014\\u0014', '+1.5\\u0014\\u0014'), 'ISO-8859-1')")), "rec").select("rec", "seq", "onset", "text"), [v.EVENTS_TSV],
-    "SELECT rec, min(seq)::int AS seq, round(onset - 1.5, 6) AS onset, text FROM events_tsv WHERE text <> '' GROUP BY rec, round(onset - 1.5, 6), text")
+_FOUND = lambda s, d, **k: edf.events_of(edf_files.read(s, _recordings(s, d, **k), "annotations"))
+_FOUND_SQL = "SELECT rec, (min(seq) - 1) // 4 AS record, ((min(seq) - 1) % 4 + 1)::int AS place, round(onset - {0}, 6) AS onset, text FROM events_tsv WHERE text <> '' GROUP BY rec, round(onset - {0}, 6), text"
+register("S6_edf_annotations", lambda s, d: _FOUND(s, d).select(_rec(), "record", "place", "onset", "text"), [v.EVENTS_TSV], _FOUND_SQL.format("0"))
+register("W10_tal_offset", lambda s, d: _FOUND(s, d, start="1.5").select(_rec(), "record", "place", "onset", "text"), [v.EVENTS_TSV], _FOUND_SQL.format("1.5"))
 register(
     "F13_blank_tal", lambda s, d: edf.encode_tal(v.events_tsv(s, d)).select("rec", F.length("content").alias("size"), edf.blank_tal(F.col("content")).alias("b")).selectExpr("rec", "size", "length(b) as blank_size", "regexp_count(decode(b, 'ISO-8859-1'), '[A-Za-z]') as letters"), [v.EVENTS_TSV],
     "SELECT rec, (5 + sum(length('+' || printf('%.6f', onset)) + length(text) + 3))::int AS size, size AS blank_size, 0 AS letters FROM events_tsv GROUP BY rec",
@@ -547,7 +571,6 @@ register(
     """l AS (SELECT rec AS log, seq AS n, CASE WHEN seq % 4 = 0 THEN 'x' || seq || '.EDF' WHEN seq % 4 = 2 AND seq % 3 = 0 THEN 'z' || seq || '.EDF' END AS source, CASE WHEN seq % 4 = 1 THEN 'sub-' || seq || '_a.edf' WHEN seq % 4 = 3 AND seq % 5 = 0 THEN 'sub-' || seq || '_b.edf' END AS target FROM events_tsv),
     k AS (SELECT *, lag(source) OVER (PARTITION BY log ORDER BY n) AS before FROM l WHERE source IS NOT NULL OR target IS NOT NULL) SELECT log, before AS source, target FROM k WHERE target IS NOT NULL AND before IS NOT NULL""",
 )
-register("S11_archive_uncompressed_size", lambda s, d: v.table(s, d, "part").select("p_partkey", edf.gzip_size(F.expr("unhex(concat('1f8b00', regexp_replace(lpad(hex(p_partkey * 70001), 8, '0'), '(..)(..)(..)(..)', '$4$3$2$1')))")).alias("size")), [], "SELECT p_partkey, p_partkey * 70001 AS size FROM part")
 _HASHES = lambda s, d, x: edf.chunk_hashes(v.files(s, d).selectExpr("file_id", f"cast({x} as binary) as content"), "file_id", head=64, size=1000)
 _CHUNKED = lambda x: f"""SELECT file_id, chunk, sha256(CASE WHEN chunk < 0 THEN array_slice(b, 1, 64) ELSE array_slice(b, chunk * 1000 + 65, chunk * 1000 + 1064) END) AS sha256
     FROM (SELECT *, unnest(range(-1, greatest(ceil((octet_length(b) - 64) / 1000), 0)::bigint))::int AS chunk FROM (SELECT file_id, encode({x}) AS b FROM files))"""
@@ -557,8 +580,54 @@ register(
     f"""k AS ({_CHUNKED("text")}), o AS ({_CHUNKED("CASE file_id % 5 WHEN 0 THEN '##' || substr(text, 3) WHEN 1 THEN left(text, 10) ELSE text END")})
     SELECT file_id, chunk, CASE WHEN o.sha256 IS NULL THEN 'missing' WHEN chunk < 0 THEN 'header mismatch' ELSE 'chunk mismatch' END AS state FROM k LEFT JOIN o USING (file_id, chunk) WHERE o.sha256 IS DISTINCT FROM k.sha256""",
 )
-register("F14_verify_anonymized", lambda s, d: edf.verify_anonymized(_EDF(s, d, patient="Jane Doe").withColumn("content", F.expr("concat(content, encode('+0\\u0014\\u0014\\u0000+1\\u0014Seizure\\u0014\\u0000+2\\u0014Note by J\\u0014\\u0000', 'ISO-8859-1'))")), "path", ["Seizure"]).selectExpr("path", "findings like '%patient%' as patient", "findings like '%recording%' as recording", "findings like '%text: Note by J%' as note", "findings like '%text: Seizure%' as allowed"), [v.SAMPLES], f"{_EDF_SQL} SELECT rec::varchar AS path, true AS patient, false AS recording, true AS note, false AS allowed FROM en")
-register("A27_recording_summary", lambda s, d: edf.header(_EDF(s, d)).selectExpr("path", "n_records * record_s as seconds", "transform(signals, x -> x.label) as labels").selectExpr("path", "seconds", "array_join(labels, ',') as labels", "if(seconds > 0, 'done', 'failed') as status"), [v.SAMPLES], f"{_EDF_SQL} SELECT rec::varchar AS path, (n // 50)::double AS seconds, 'A1,A2' AS labels, 'done' AS status FROM en")
+_BOTH = lambda s, folder: (edf_files.read(s, folder, "headers"), edf_files.read(s, folder, "annotations"))
+register(
+    "F14_verify_anonymized", lambda s, d: edf.verify_anonymized(*_BOTH(s, _recordings(s, d, patient="Jane Doe")), ["Opened relay", "3"]).select(_rec(), *[F.col("findings").contains(t).alias(n) for t, n in (("patient", "patient"), ("recording", "recording"), ("text: high freq", "high"), ("text: Opened relay", "allowed"), ("text: é", "accent"))]), [v.SAMPLES, v.EVENTS_TSV],
+    f"{_EDF_SQL} SELECT rec, true AS patient, false AS recording, coalesce(bool_or(text = 'high freq'), false) AS high, false AS allowed, coalesce(bool_or(text = 'é'), false) AS accent FROM en LEFT JOIN events_tsv USING (rec) GROUP BY rec",
+)
+_TRIED = lambda s, folder: edf_files.read(s, folder, "headers").select("path", _rec()).filter("rec % 5 <> 4").selectExpr("path", "cast(rec % 3 + 1 as int) as tries", "if(rec % 7 = 6, 'timeout', null) as error")
+_SUMMED = lambda s, folder: edf.recording_summary(*_BOTH(s, folder), _TRIED(s, folder))
+_SUMMED_SQL = f"""{_EDF_SQL}, t AS (SELECT rec, count(*) FILTER (text <> '') AS n_annotations FROM events_tsv GROUP BY rec),
+r AS (SELECT rec, CASE WHEN rec % 5 = 4 THEN 'skipped' WHEN rec % 7 = 6 THEN 'failed' ELSE 'done' END AS status, CASE WHEN rec % 5 = 4 THEN 0 ELSE rec % 3 + 1 END::int AS tries, n::double AS seconds, 8 AS n_signals, 'A1,A2,A3,A4,A5,A6,A7,EDF Annotations' AS labels, coalesce(n_annotations, 0) AS n_annotations,
+true AS patient_blank, true AS recording_blank, false AS day_neutral, CASE WHEN rec % 5 <> 4 AND rec % 7 = 6 THEN 'timeout' END AS note FROM en LEFT JOIN t USING (rec))"""
+register("A27_recording_summary", lambda s, d: _SUMMED(s, _recordings(s, d)).select(_rec(), "status", "tries", "seconds", "n_signals", "labels", "n_annotations", "patient_blank", "recording_blank", "day_neutral", "note"), [v.SAMPLES, v.EVENTS_TSV], f"{_SUMMED_SQL} SELECT * FROM r")
+register("A27_status_totals", lambda s, d: edf.status_totals(_SUMMED(s, _recordings(s, d))), [v.SAMPLES, v.EVENTS_TSV], f"{_SUMMED_SQL} SELECT status, count(*) AS files, sum(tries)::bigint AS tries, sum(seconds) AS seconds FROM r GROUP BY status")
+
+
+def _archives(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with the texts of each session's files: as one zip, as one gzip and plain, by turns."""
+    import gzip
+    import io
+    import zipfile
+
+    folder = new_folder(spark, "archives")
+
+    def packed(frames):
+        for f in frames:
+            for sub, ses, texts in zip(f["sub"], f["ses"], f["texts"], strict=True):
+                name, raw = f"sub-{sub}_ses-{ses}", "".join(texts).encode()
+                system, root = edf_files.at(folder)
+                system.create_dir(root, recursive=True)
+                if ses % 3 == 0:
+                    held = io.BytesIO()
+                    with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as z:
+                        for i, t in enumerate(texts):
+                            z.writestr(f"{i}.txt", t)
+                    raw, name = held.getvalue(), f"{name}.zip"
+                elif ses % 3 == 1:
+                    raw, name = gzip.compress(raw), f"{name}.edf.gz"
+                with system.open_output_stream(f"{root}/{name}", compression=None) as out:
+                    out.write(raw)
+            yield f[["sub"]]
+
+    v.files(spark, sf_dir).groupBy("sub", "ses").agg(F.collect_list("text").alias("texts")).mapInPandas(packed, "sub long").count()
+    return folder
+
+
+register(
+    "S11_archive_uncompressed_size", lambda s, d: edf_files.read(s, _archives(s, d), "archives").select(F.regexp_extract("path", r"sub-(\d+)_", 1).cast("long").alias("sub"), F.regexp_extract("path", r"ses-(\d+)", 1).cast("long").alias("ses"), "kind", "unpacked", "reason"), [v.FILES],
+    "SELECT sub, ses, ['zip', 'gzip', 'file'][(ses % 3 + 1)::int] AS kind, sum(strlen(text))::bigint AS unpacked, NULL::varchar AS reason FROM files GROUP BY sub, ses",
+)
 _PART = "if(idx % 5 = 0, null, cast(idx % 100 as int)) as age", "if(idx % 3 = 0, null, 'm') as sex", "grp as group"
 register(
     "K1_write_participants", lambda s, d: _back(s, tsv.participants(v.demographics(s, d).selectExpr("id as participant_id", *_PART), v.demographics(s, d).filter("idx % 20 = 0").selectExpr("id as participant_id", "'1' as age", "'f' as sex", "'old' as group")), "participants"), [v.DEMOGRAPHICS],
@@ -639,7 +708,7 @@ register(
 _PROMINENT = """list_filter(list_transform(range(2, len({x})), lambda i: {{'i': i, 'high': {x}[i], 'nx': list_min(list_filter(range(i, len({x}) + 1), lambda m: {x}[m] <> {x}[i])), 'lo': coalesce(list_max(list_filter(range(1, i), lambda m: {x}[m] > {x}[i])), 0) + 1,
     'hi': coalesce(list_min(list_filter(range(i, len({x}) + 1), lambda m: {x}[m] > {x}[i])), len({x}) + 1)}}), lambda p: {x}[p['i'] - 1] < p['high'] AND {x}[p['nx']] < p['high'] AND p['high'] - greatest(list_min({x}[p['lo']:p['i']]), list_min({x}[p['i']:p['hi'] - 1])) >= 2000)"""
 register(
-    "N12_first_peak", lambda s, d: fl.first_peak(sg.epoch_events(v.samples(s, d), _EV(s, d), 5, 10), 0, 10, 2000.0), [v.SAMPLES],
+    "N12_first_peak", lambda s, d: fl.first_peaks(sg.epoch_windows(v.samples(s, d), _EV(s, d), 5, 10).withColumn("values", F.expr("slice(values, 6, 10)")), 0, 2000.0), [v.SAMPLES],
     _EPOCHS + f""", g AS (SELECT rec, channel, event, list(v ORDER BY "offset") FILTER ("offset" >= 0) AS x, list(-v ORDER BY "offset") FILTER ("offset" >= 0) AS y FROM epochs GROUP BY ALL),
     p AS (SELECT rec, channel, event, {_PROMINENT.format(x="x")} AS ups, {_PROMINENT.format(x="y")} AS downs FROM g),
     h AS (SELECT *, coalesce(list_max(list_transform(ups, lambda p: p['high'])), 0) AS high, coalesce(list_max(list_transform(downs, lambda p: p['high'])), 0) AS deep FROM p)

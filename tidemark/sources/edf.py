@@ -1,84 +1,41 @@
-"""Recording files as bytes: EDF headers, samples, annotation lists and the vendor's note files, over tables with a binary column.
+"""Recordings and the vendor's note files: what is made of the data source's rows (edf_files), and the same over tables with a binary column.
 
-The bytes come from Spark's binaryFile reader (or any table), so that they can lie in any store.
+Bytes in a column may come from Spark's binaryFile reader or any table; large files are better read by the data source, which seeks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: The widths of a signal's header fields, in order.
-FIELDS = {"label": 16, "transducer": 80, "unit": 8, "phys_min": 8, "phys_max": 8, "dig_min": 8, "dig_max": 8, "prefilter": 80, "spr": 8, "reserved": 32}
+from tidemark.sources import edf_files
 
 
-def text_at(content: Column, at: Column | int, size: int) -> Column:
-    at = F.lit(at) if isinstance(at, int) else at
-    return F.trim(F.decode(F.substring(content, at + 1, F.lit(size)), "ISO-8859-1"))
-
-
-def header(files: DataFrame, content: str = "content") -> DataFrame:
-    """S4. patient, recording, start, kind, n_records (implied by the size where the header says -1), record_s, signals."""
-    c = F.col(content)
-    ns = text_at(c, 252, 4).try_cast("int")
-    before, offsets = 0, {}
-    for name, width in FIELDS.items():
-        offsets[name] = before
-        before += width
-    signal = lambda i: F.struct(*[text_at(c, 256 + ns * offsets[n] + i * FIELDS[n], FIELDS[n]).alias(n) for n in ("label", "unit", "phys_min", "phys_max", "dig_min", "dig_max", "prefilter", "spr")])
-    rows = files.select(
-        *[x for x in files.columns if x != content], F.length(c).cast("long").alias("size"), text_at(c, 8, 80).alias("patient"), text_at(c, 88, 80).alias("recording"), text_at(c, 168, 8).alias("day"), text_at(c, 176, 8).alias("clock"),
-        text_at(c, 184, 8).try_cast("int").alias("header_bytes"), text_at(c, 192, 44).alias("reserved"), text_at(c, 236, 8).try_cast("long").alias("said_records"), text_at(c, 244, 8).try_cast("double").alias("record_s"),
-        F.transform(F.sequence(F.lit(0), F.greatest(ns, F.lit(1)) - 1), signal).alias("signals"),
-    )
-    width = F.when(F.col("reserved").contains("24BIT"), 3).otherwise(2)
-    rows = rows.withColumn("record_bytes", F.aggregate("signals", F.lit(0).cast("long"), lambda a, s: a + s["spr"].try_cast("long")) * width)
-    implied = F.floor((F.col("size") - F.col("header_bytes")) / F.nullif("record_bytes", F.lit(0)))
-    return rows.withColumn("n_records", F.when(F.col("said_records") >= 0, F.col("said_records")).otherwise(implied))
+def header(files: DataFrame, key: str = "path", content: str = "content") -> DataFrame:
+    """S4. path (the key), patient, recording, start, kind, n_records (as many whole records as there are, and no more than the header says), record_s, signals, reason."""
+    return edf_files.from_column(files, key, content, edf_files.Wanted("headers"))
 
 
 def samples(files: DataFrame, key: str = "path", channels: list[int] | None = None, first: int = 0, stop: int | None = None, content: str = "content") -> DataFrame:
-    """S5, N5. key, channel, record, values (physical): int16 or int24 samples of records [first, stop), other channels and records aren't decoded."""
-    heads = header(files.select(key, content), content)
-    meta = files.select(key, content).join(heads.select(key, "header_bytes", "n_records", "reserved", "signals"), key)
+    """S5, N5. path (the key), channel, record, values (physical), reason: int16 or int24 samples of records [first, stop); other channels aren't decoded."""
+    wanted = edf_files.Wanted("samples", None if channels is None else frozenset(channels), first, edf_files.MOST if stop is None else stop)
+    return edf_files.from_column(files, key, content, wanted)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for row in b.to_pylist():
-                sig = row["signals"]
-                spr = [int(s["spr"]) for s in sig]
-                at = np.concatenate(([0], np.cumsum(spr)))
-                wide = 3 if "24BIT" in row["reserved"] else 2
-                raw = np.frombuffer(row[content], np.uint8)[row["header_bytes"] :]
-                end = row["n_records"] if stop is None else min(stop, row["n_records"])
-                raw = raw[: row["n_records"] * at[-1] * wide].reshape(row["n_records"], -1)[first:end]
-                out = []
-                for c, s in enumerate(sig):
-                    if (channels is not None and c not in channels) or "Annotations" in s["label"]:
-                        continue
-                    part = np.ascontiguousarray(raw[:, at[c] * wide : at[c + 1] * wide])
-                    if wide == 2:
-                        digital = part.view("<i2").astype(np.float64)
-                    else:
-                        p = part.reshape(len(part), -1, 3).astype(np.int64)
-                        digital = ((p[..., 0] | p[..., 1] << 8 | p[..., 2] << 16) ^ 0x800000) - 0x800000
-                    gain = (float(s["phys_max"]) - float(s["phys_min"])) / (float(s["dig_max"]) - float(s["dig_min"]))
-                    offset = float(s["phys_max"]) / gain - float(s["dig_max"])
-                    out += [(row[key], c, first + r, v) for r, v in enumerate((gain * (digital + offset)).tolist())]
-                yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate((pa.string(), pa.int32(), pa.int64(), pa.list_(pa.float64())))], names=[key, "channel", "record", "values"])
-
-    return meta.mapInArrow(run, f"{key} string, channel int, record long, values array<double>")
+
+def events_of(found: DataFrame) -> DataFrame:
+    """S6, W10. path, record, place, onset, duration, text of the data source's annotations; exact repeats in a file count where they come first, rows with a reason go."""
+    first = F.min(F.struct("record", "place")).alias("first")
+    return found.filter("text is not null").groupBy("path", "onset", "duration", "text").agg(first).select("path", "first.record", "first.place", "onset", "duration", "text")
 
 
 TAL = r"([+-]\d+(?:\.\d*)?)(?:\x15(\d+(?:\.\d*)?))?\x14([^\x00]*?)\x14?\x00"
 
 
 def annotations(files: DataFrame, key: str, content: str = "content") -> DataFrame:
-    """S6, W10. key, seq, onset, text of all lists: the first list's empty text sets the file's offset; control characters and blank texts go, exact repeats too."""
+    """S6, W10, of bytes that are annotation lists and nothing else. key, seq, onset, text of all lists: the first list's empty text sets the file's offset; control characters and blank texts go, exact repeats too."""
     text = F.decode(F.col(content), "ISO-8859-1")
     found = files.select(key, *[F.regexp_extract_all(text, F.lit(TAL), F.lit(i)).alias(f"g{i}") for i in (1, 2, 3)])
     rows = found.select(key, F.posexplode(F.arrays_zip("g1", "g2", "g3"))).select(key, "pos", F.col("col.g1").cast("double").alias("onset"), F.col("col.g2").try_cast("double").alias("duration"), F.col("col.g3").alias("texts"))
@@ -177,11 +134,9 @@ def gzip_size(content: Column) -> Column:
 
 
 def chunk_hashes(files: DataFrame, key: str, content: str = "content", head: int = 256, size: int = 102400) -> DataFrame:
-    """A20. key, chunk (-1 is the header), sha256 of each part of a file."""
-    n = F.ceil((F.length(content) - head) / size).cast("int")
-    rows = files.select(key, content, F.explode(F.when(n > 0, F.sequence(F.lit(-1), n - 1)).otherwise(F.array(F.lit(-1)))).alias("chunk"))
-    part = F.when(F.col("chunk") < 0, F.substring(content, F.lit(1), F.lit(head))).otherwise(F.substring(F.col(content), F.col("chunk") * size + head + 1, F.lit(size)))
-    return rows.select(key, "chunk", F.sha2(part, 256).alias("sha256"))
+    """A20. key, chunk (-1 is the header), sha256 of each part of a file, hashed in the task that has its bytes."""
+    rows = edf_files.from_column(files, key, content, edf_files.Wanted("chunks", head=head, piece=size))
+    return rows.filter("chunk is not null").select(F.col("path").cast(files.schema[key].dataType).alias(key), "chunk", "sha256")
 
 
 def verify_chunks(known: DataFrame, now: DataFrame, key: str) -> DataFrame:
@@ -191,28 +146,31 @@ def verify_chunks(known: DataFrame, now: DataFrame, key: str) -> DataFrame:
     return met.select(key, "chunk", state.alias("state")).filter("state is not null")
 
 
-def verify_anonymized(files: DataFrame, key: str, allowed: list[str]) -> DataFrame:
-    """F14. Findings of each file: a patient field that isn't blotted out, a recording field without the neutral start, texts outside the allowed ones, of the whole file."""
-    head = header(files)
-    bad_head = head.select(key, F.explode(F.array_compact(F.array(F.when(F.col("patient") != "X X X X", "patient"), F.when(~F.col("recording").startswith("Startdate X X X X"), "recording")))).alias("finding"))
-    texts = annotations(files, key)
-    bad_text = texts.filter(~F.col("text").isin(allowed)).select(key, F.concat(F.lit("text: "), "text").alias("finding"))
-    return bad_head.unionByName(bad_text).groupBy(key).agg(F.array_join(F.array_sort(F.collect_set("finding")), "; ").alias("findings"))
-
-
-def encoded(samples_rows: DataFrame, spr: int = 50, patient: str = "X X X X", records: str | None = None) -> DataFrame:
-    """path, content: recordings as EDF bytes with two signals (channels 1 and 2), whole records only; digital values from -2000 to 2000 for -500 to 500 uV."""
-    s = samples_rows.filter("channel <= 2").selectExpr("rec", "channel", "idx", "cast(floor(v) % 4001 - 2000 as int) as d")
-    n = s.groupBy("rec", "channel").agg((F.floor(F.count("*") / spr) * spr).alias("n")).groupBy("rec").agg(F.min("n").alias("n"), F.count("*").alias("channels")).filter("channels = 2 and n > 0")
-    s = s.join(n, "rec").filter("idx < n").withColumn("u", F.expr("(d + 65536) % 65536"))
-    two = F.concat(F.lpad(F.hex(F.col("u") % 256), 2, "0"), F.lpad(F.hex(F.floor(F.col("u") / 256).cast("int")), 2, "0"))
-    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.floor(F.col("idx") / spr).alias("r"), "channel", "idx", two.alias("x")))), lambda x: x["x"]), "")
-    bodies = s.groupBy("rec", "n").agg(body.alias("hex"))
-    field = lambda x, w: F.rpad(x if isinstance(x, Column) else F.lit(x), w, " ")
-    twice = lambda a, b, w: [field(a, w), field(b, w)]
-    count = F.lit(records) if records else F.floor(F.col("n") / spr).cast("string")
-    head = F.concat(
-        field("0", 8), field(patient, 80), field("Startdate X X X X", 80), field("02.01.24", 8), field("03.04.05", 8), field("768", 8), field("EDF+C", 44), field(count, 8), field("1", 8), field("2", 4),
-        *twice("A1", "A2", 16), *twice("", "", 80), *twice("uV", "uV", 8), *twice("-500", "-500", 8), *twice("500", "500", 8), *twice("-2000", "-2000", 8), *twice("2000", "2000", 8), *twice("HP:0.1Hz LP:70Hz", "HP:0.1Hz LP:70Hz", 80), *twice(str(spr), str(spr), 8), *twice("", "", 32),
+def verify_anonymized(headers: DataFrame, events: DataFrame, allowed: list[str]) -> DataFrame:
+    """F14. path, findings: a patient field that isn't blotted out, a recording field without the neutral start, texts outside the allowed ones, and why a file can't be read."""
+    checks = F.array(F.when(F.col("patient") != "X X X X", "patient"), F.when(~F.col("recording").startswith("Startdate X X X X"), "recording"), F.when(F.col("reason").isNotNull(), F.concat(F.lit("unread: "), "reason")))
+    of_heads = headers.select("path", F.explode(F.array_compact(checks)).alias("finding"))
+    of_texts = events.filter("text is not null").filter(~F.col("text").isin(allowed)).select("path", F.concat(F.lit("text: "), "text").alias("finding"))
+    return of_heads.unionByName(of_texts).groupBy("path").agg(F.array_join(F.array_sort(F.collect_set("finding")), "; ").alias("findings"))
+
+
+def recording_summary(headers: DataFrame, events: DataFrame, attempts: DataFrame) -> DataFrame:
+    """A27. path, status, tries, seconds, n_signals, labels, n_annotations, patient_blank, recording_blank, day_neutral, note of each file.
+
+    attempts: path, tries, error (of the last try, or null). status: skipped where a file was never tried, failed where its last try has an error or its header can't be read, else
+    done. The flags tell whether the header is free of personal data: only X in the patient field, the recording field's neutral start, a day of 1985-01-01."""
+    texts = events.filter("text is not null").groupBy("path").agg(F.count("*").alias("n_annotations"))
+    met = headers.join(attempts.select("path", "tries", "error"), "path", "full").join(texts, "path", "left")
+    tries = F.coalesce("tries", F.lit(0)).cast("int")
+    unread = F.coalesce("error", F.when(F.col("signals").isNull(), F.coalesce("reason", F.lit("no such file"))))
+    status = F.when(tries == 0, "skipped").when(unread.isNotNull(), "failed").otherwise("done")
+    return met.select(
+        "path", status.alias("status"), tries.alias("tries"), (F.col("n_records") * F.col("record_s")).alias("seconds"), F.size("signals").alias("n_signals"), F.array_join("signals.label", ",").alias("labels"),
+        F.coalesce("n_annotations", F.lit(0)).alias("n_annotations"), F.col("patient").rlike("^[X ]+$").alias("patient_blank"), F.col("recording").startswith("Startdate X X X X").alias("recording_blank"),
+        (F.col("day") == "01.01.85").alias("day_neutral"), F.coalesce(unread, F.col("reason")).alias("note"),
     )
-    return bodies.select(F.col("rec").cast("string").alias("path"), F.concat(F.encode(head, "ISO-8859-1"), F.unhex("hex")).alias("content"))
+
+
+def status_totals(summary: DataFrame) -> DataFrame:
+    """A27. status, files, tries, seconds."""
+    return summary.groupBy("status").agg(F.count("*").alias("files"), F.sum("tries").alias("tries"), F.sum("seconds").alias("seconds"))
