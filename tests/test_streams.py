@@ -49,3 +49,36 @@ def test_rescan_takes_a_folder_once(spark, tmp_path):
     known = spark.createDataFrame([("y",)], "path string")
     out = live.finished(live.rescan(batches(spark, tmp_path, "path string", *parts), known)).collect()
     assert sorted(str(r.path) for r in out) == ["None", "x", "z"]
+
+
+def test_stall_states_over_batches(spark, tmp_path):
+    mb = 1 << 20
+    clock = "2024-01-01 10:{:02d}:{:02d}".format
+    parts = [
+        [("a.edf", clock(0, 0), 0), ("a.edf", clock(0, 15), 5 * mb), ("b.edf", clock(0, 0), 9), ("c.edf", clock(0, 0), 1)],
+        [("a.edf", clock(0, 45), 6 * mb), ("a.edf", clock(0, 30), 6 * mb), ("b.edf", clock(0, 20), 9), ("c(1).edf", clock(0, 30), 1)],  # a's two samples come in the wrong order
+        [("a.edf", clock(1, 15), 6 * mb), ("a.edf", clock(1, 0), 6 * mb), ("c.edf", clock(2, 0), 1), ("C(12).EDF", clock(0, 40), 1)],
+        [("a.edf", clock(1, 30), 6 * mb), ("a.edf", clock(1, 45), 20 * mb), ("a.edf", clock(2, 45), 20 * mb), ("b.edf", clock(1, 0), 9)],
+        [("z.edf", clock(30, 0), 0)],
+        [("z.edf", clock(40, 0), 0)],
+    ]
+    rows = batches(spark, tmp_path, "file string, ts string, size long", *parts).selectExpr("file", "cast(ts as timestamp) as ts", "size")
+    out = sorted((r.file, r.us // 1_000_000 % 3600, r.state, r.quiet_s) for r in live.finished(live.stall_states(rows)).collect())
+    assert [x for x in out if x[0] == "a.edf"] == [("a.edf", 75, "stalled", 60.0), ("a.edf", 105, "growing", 0.0), ("a.edf", 165, "stalled", 60.0)]
+    assert ("b.edf", 60, "stalled", 60.0) in out and ("c.edf", 30, "replicated", 0.0) in out and ("C.EDF", 40, "replicated", 0.0) in out and not any(x[0] == "c.edf" and x[2] == "stalled" for x in out)
+
+
+def test_state_goes_on_from_a_checkpoint(spark, tmp_path):
+    """A stream that ends and starts again from its checkpoint finds the rows that wait and the open pair."""
+    schema = "rec long, ts string, seq long, text string"
+    folder, state, out = str(tmp_path / "in"), str(tmp_path / "state"), str(tmp_path / "out")
+    parts = [
+        [(1, "2024-01-01 10:00:00", 1, "Closed relay to A1 and B1"), (1, "2024-01-01 10:00:40", 3, "7")],
+        [(1, "2024-01-01 10:00:20", 2, "5"), (1, "2024-01-01 10:05:00", 4, "9"), (1, "2024-01-01 10:05:00", 4, "9")],
+        [(1, "2024-01-01 11:00:00", 5, "x")],
+    ]
+    for i, rows in enumerate(parts):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{folder}/{i}")
+        stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(folder).selectExpr("rec", "cast(ts as timestamp) as ts", "seq", "text")
+        live.relay_stream(stream).writeStream.format("parquet").option("path", out).option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
+    assert sorted((r.seq, r.current) for r in spark.read.parquet(out).collect()) == [(2, "5"), (3, "7"), (4, "9"), (4, "9")]

@@ -725,6 +725,17 @@ register(
 register("R3_stall_detector", lambda s, d: live.finished(live.stalls(live.stream(s, d, "events").selectExpr("ts", "concat('f', user_id % 20) as file", "value as size"), 60.0)), [_CLOSED],
     """w AS (SELECT 'f' || (user_id % 20) AS file, value, time_bucket(INTERVAL 3 HOUR, ts, TIMESTAMP '1970-01-01') - k * INTERVAL 3 HOUR AS start FROM events, (SELECT unnest([0, 1]) AS k))
     SELECT file, strftime(start, '%Y-%m-%d %H:%M:%S') AS start, round(max(value) - min(value), 6) AS grown FROM w, closed GROUP BY file, w.start, mark HAVING w.start + INTERVAL 6 HOUR <= mark AND max(value) - min(value) < 60""")
+_SIZED = "concat('f', user_id % 20, if(event_id % 500 = 7, '(1)', ''), '.edf') as file"
+register(
+    "R3_stall_states", lambda s, d: live.finished(live.stall_states(live.stream(s, d, "events").selectExpr(_SIZED, "ts", "cast(value * 1000 as bigint) as size"), 0.001, 7200.0, forget_s=400 * 86400)), [_CLOSED],
+    """e AS (SELECT 'f' || (user_id % 20) || '.edf' AS file, epoch_us(ts) AS us, trunc(value * 1000)::bigint AS size, event_id % 500 = 7 AS copy FROM events, closed WHERE date_trunc('millisecond', ts) < mark),
+    c AS (SELECT file, min((us, size)) AS copied FROM e WHERE copy GROUP BY file), x AS (SELECT e.*, copied FROM e LEFT JOIN c USING (file) WHERE copied IS NULL OR (us, size) < copied),
+    g AS (SELECT *, coalesce(size - lag(size) OVER w >= 0.001::double * ((us - lag(us) OVER w) / 1e6::double), true) AS grew, lag(us) OVER w IS NULL AS opens FROM x WINDOW w AS (PARTITION BY file ORDER BY us, size)),
+    r AS (SELECT *, sum(grew::int) OVER (PARTITION BY file ORDER BY us, size) AS run FROM g), q AS (SELECT *, round((us - min(us) OVER (PARTITION BY file, run)) / 1e6::double, 6) AS quiet_s FROM r),
+    s AS (SELECT file, run, arg_min((us, quiet_s, size), (us, size)) AS first FROM q WHERE NOT grew AND quiet_s >= 7200 GROUP BY file, run)
+    SELECT file, first[1] AS us, 'stalled' AS state, first[2] AS quiet_s, first[3] AS size FROM s UNION ALL SELECT q.file, us, 'growing', 0.0, size FROM q JOIN s ON s.file = q.file AND s.run = q.run - 1 WHERE grew
+    UNION ALL SELECT c.file, c.copied[1], 'replicated', coalesce(l.quiet_s, 0), coalesce(l.size, NULL) FROM c LEFT JOIN (SELECT file, arg_max(quiet_s, (us, size)) AS quiet_s, arg_max(size, (us, size)) AS size FROM q GROUP BY file) l USING (file)""",
+)
 _LISTED = lambda s, d: live.stream(s, d, "events").selectExpr("concat('f', user_id) as path", "cast(floor(value / 60) as bigint) as size", "unix_timestamp(ts) as at", "unix_timestamp(ts) - event_id % 5 * 600 as modified")
 register(
     "R2_ready_files", lambda s, d: live.finished(live.ready_files(_LISTED(s, d), 3600, 600, v.table(s, d, "events").filter("user_id % 10 = 3").selectExpr("concat('f', user_id) as path").distinct())), [],

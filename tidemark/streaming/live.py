@@ -7,11 +7,12 @@ same transformations with another trigger.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tidemark.functions import phi
@@ -25,11 +26,16 @@ def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df.withColumns({f.name: F.col(f.name).cast("timestamp") for f in schema if f.dataType.typeName() == "timestamp_ntz"})
 
 
+#: Entries of maps and timers need a store that has them one by one.
+STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def finished(df: DataFrame, mode: str = "append") -> DataFrame:
     """Run a stream over what is there now into a new table of the shared folder, and read that.
 
     Other modes than append give each batch's rows; the last batch that wrote a key holds its final value."""
     spark = df.sparkSession
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STORE)
     out, state = new_folder(spark, "stream"), new_folder(spark, "stream-state")
     if mode == "append":
         query = df.writeStream.format("parquet").option("path", out).option("checkpointLocation", state).trigger(availableNow=True).start()
@@ -71,78 +77,186 @@ def event_sessions(events: DataFrame, gap: str = "6 hours") -> DataFrame:
 
 
 def stalls(sizes: DataFrame, least: float, window: str = "6 hours", slide: str = "3 hours") -> DataFrame:
-    """R3. Sliding windows in which a file grew by less than least: file, start, grown. sizes: ts, file, size."""
+    """R3 by windows. Sliding windows in which a file grew by less than least: file, start, grown. sizes: ts, file, size."""
     w = sizes.withWatermark("ts", "1 minute").groupBy(F.window("ts", window, slide), "file").agg((F.max("size") - F.min("size")).alias("grown"))
     return w.filter(F.col("grown") < least).select("file", F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("start"), F.round("grown", 6).alias("grown"))
 
 
-def ready_files(listing: DataFrame, quiet_s: int, least_age_s: int = 0, marked: DataFrame | None = None, forget_s: int = 86400, late: str = "1 hour") -> DataFrame:
-    """R2. Paths whose size stayed the same for quiet_s or more, in a listing at which they were least_age_s old or more: path, size, at; once for each size that they come to.
+class Readiness(StatefulProcessor):
+    """The last size of a path, when it changed, whether it was told, the last listing; a timer drops a path that isn't listed any more."""
 
-    listing: path, size, at, modified (epoch seconds). marked: a table of paths that are done with. A path that isn't listed for forget_s starts anew, and its
-    state is dropped. State: the last size, when it changed, whether it was told, and the last listing."""
-    from pyspark.sql.streaming.state import GroupStateTimeout
+    def __init__(self, quiet_s: int, least_age_s: int, forget_s: int):
+        self.quiet_s, self.least_age_s, self.forget_s = quiet_s, least_age_s, forget_s
 
-    def step(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        size, since, told, last = state.get if state.exists else (None, None, False, None)
-        out = []
-        for at, now, modified in sorted(r for f in frames for r in zip(f["at"].tolist(), f["size"].tolist(), f["modified"].tolist(), strict=True)):
-            if now != size or at - last > forget_s:
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.kept = handle.getValueState("kept", "size long, since long, told boolean, last long")
+
+    def expiry(self, last: int) -> int:
+        return (last + self.forget_s) * 1000
+
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:
+        size, since, told, last = self.kept.get() or (None, None, False, None)
+        timer = last
+        for at, now, modified in sorted((r.at, r.size, r.modified) for r in rows):
+            if now != size or at - last > self.forget_s:
                 size, since, told = now, at, False
-            elif at - since >= quiet_s and at - modified >= least_age_s and not told:
-                out.append((key[0], int(now), int(at)))
+            elif at - since >= self.quiet_s and at - modified >= self.least_age_s and not told:
                 told = True
+                yield Row(path=key[0], size=now, at=at)
             last = at
-        state.update((size, since, told, last))
-        state.setTimeoutTimestamp(max((last + forget_s) * 1000, state.getCurrentWatermarkMs() + 1000))
-        yield pd.DataFrame(out, columns=["path", "size", "at"])
+        self.kept.update((size, since, told, last))
+        if timer != last:
+            if timer is not None:
+                self.handle.deleteTimer(self.expiry(timer))
+            self.handle.registerTimer(self.expiry(last))
+
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
+        self.kept.clear()
+        return iter(())
+
 
+def ready_files(listing: DataFrame, quiet_s: int, least_age_s: int = 0, marked: DataFrame | None = None, forget_s: int = 86400, late: str = "1 hour") -> DataFrame:
+    """R2. Paths whose size stayed the same for quiet_s or more, in a listing at which they were least_age_s old or more: path, size, at; once for each size that they come to.
+
+    listing: path, size, at, modified (epoch seconds). marked: a table of paths that are done with. A path that isn't listed for forget_s starts anew, and its
+    state is dropped."""
     if marked is not None:
         listing = listing.join(marked.select("path"), "path", "left_anti")
     rows = listing.select("path", "size", "at", "modified", F.timestamp_seconds("at").alias("ts")).withWatermark("ts", late)
-    return rows.groupBy("path").applyInPandasWithState(step, "path string, size long, at long", "size long, since long, told boolean, last long", "append", GroupStateTimeout.EventTimeTimeout)
+    return rows.groupBy("path").transformWithState(Readiness(quiet_s, least_age_s, forget_s), "path string, size long, at long", "append", "EventTime")
+
+
+class InOrder(StatefulProcessor):
+    """Takes a key's rows in the order of (us, place), whatever batches bring them: a row waits as an entry of its own until the watermark has passed it.
+
+    One timer stands for the earliest row that waits, else for when the key is forgotten (forget_s after its last row). start: the state of a new or forgotten key; state:
+    its fields; fields: what a row carries besides us and place. step() gives the next state and the rows that come out."""
+
+    start: tuple = ()
+    state = ""
+    fields: tuple[str, ...] = ()
+    field_types = ""
+
+    def __init__(self, forget_s: int):
+        self.forget_s = forget_s
+
+    def step(self, key: tuple, state: tuple, us: int, place: int, values: tuple) -> tuple[tuple, list[Row]]:
+        raise NotImplementedError
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getMapState("waiting", "us long, place long, n long", self.field_types)
+        # n: rows so far, so that equal ones stay apart; timer: for when it is set; last: the time of the last row that was taken
+        self.kept = handle.getValueState("kept", f"n long, timer long, last long, {self.state}")
+
+    def set_timer(self, old: int | None, new: int) -> int:
+        if old != new:
+            if old is not None:
+                self.handle.deleteTimer(old)
+            self.handle.registerTimer(new)
+        return new
+
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:
+        n, timer, last, *state = self.kept.get() or (0, None, None, *self.start)
+        due = None
+        for r in rows:
+            self.waiting.updateValue((r.us, r.place, n), tuple(r[f] for f in self.fields))
+            n += 1
+            due = r.us // 1000 + 1 if due is None else min(due, r.us // 1000 + 1)
+        forgets = last is not None and timer == self.forgotten(last)
+        timer = self.set_timer(timer, due if timer is None or forgets else min(timer, due))
+        self.kept.update((n, timer, last, *state))
+        return iter(())
+
+    def forgotten(self, last: int) -> int:
+        return last // 1000 + self.forget_s * 1000
+
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
+        kept = self.kept.get()
+        if kept is None:
+            return
+        n, _, last, *state = kept
+        mark = timerValues.getCurrentWatermarkInMs()
+        waiting = [(tuple(k), tuple(v)) for k, v in self.waiting.iterator()]
+        for (us, place, i), values in sorted((w for w in waiting if w[0][0] // 1000 < mark), key=lambda w: w[0]):
+            if last is not None and us - last > self.forget_s * 1_000_000:
+                state = self.start
+            last = us
+            state, out = self.step(key, tuple(state), us, place, values)
+            self.waiting.removeKey((us, place, i))
+            yield from out
+        left = [k[0] // 1000 + 1 for k, _ in waiting if k[0] // 1000 >= mark]
+        if not left and last is not None and mark > self.forgotten(last):
+            self.kept.clear()
+            return
+        timer = min(left) if left else self.forgotten(last)
+        self.handle.registerTimer(timer)  # the one that has expired is gone
+        self.kept.update((n, timer, last, *state))
+
+
+class Relay(InOrder):
+    start, state, fields, field_types = ("",), "pair string", ("text",), "text string"
+
+    def step(self, key: tuple, state: tuple, us: int, place: int, values: tuple) -> tuple[tuple, list[Row]]:
+        (pair,), t = state, (values[0] or "").strip(" ")
+        if m := re.match(r"Closed relay to (\S+) and (\S+)", t):
+            return (f"{m[1]}-{m[2]}",), []
+        if "Opened relay" in t or "De-block" in t:
+            return ("",), []
+        return state, [Row(rec=key[0], seq=place, pair=pair, current=t)] if pair and re.fullmatch("[0-9]+", t) else []
 
 
 def relay_stream(events: DataFrame, late: str = "1 minute", forget_s: int = 30 * 86400) -> DataFrame:
     """R6. Currents of the relay's open pair: rec, seq, pair, current. events: rec, ts, seq, text.
 
     Rows wait until the watermark has passed them and are taken in the order of (ts, seq), so that a row of a later batch finds its place. A recording without rows for
-    forget_s has no open pair any more, and its state is dropped. State: the pair, the last time, the rows that wait."""
-    import re
-
-    from pyspark.sql.streaming.state import GroupStateTimeout
-
-    def step(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        pair, last, *kept = state.get if state.exists else ("", 0, [], [], [])
-        waiting = list(zip(*kept, strict=True))
-        waiting += [r for f in frames for r in zip(f["us"].tolist(), f["seq"].tolist(), f["text"].fillna("").tolist(), strict=True)]
-        mark, out, left = state.getCurrentWatermarkMs(), [], []
-        for us, seq, text in sorted(waiting):
-            if us // 1000 >= mark:
-                left.append((us, seq, text))
-                continue
-            if us - last > forget_s * 1_000_000:
-                pair = ""
-            last, t = us, text.strip(" ")
-            if m := re.match(r"Closed relay to (\S+) and (\S+)", t):
-                pair = f"{m[1]}-{m[2]}"
-            elif "Opened relay" in t or "De-block" in t:
-                pair = ""
-            elif pair and re.fullmatch("[0-9]+", t):
-                out.append((key[0], seq, pair, t))
-        if not left and mark > last // 1000 + forget_s * 1000:
-            state.remove()
-        else:
-            state.update((pair, last, *([r[k] for r in left] for k in range(3))))
-            state.setTimeoutTimestamp(max(left[0][0] // 1000 if left else last // 1000 + forget_s * 1000, mark + 1))
-        yield pd.DataFrame(out, columns=["rec", "seq", "pair", "current"])
-
-    rows = events.withWatermark("ts", late).select("rec", "ts", F.unix_micros("ts").alias("us"), "seq", "text")
-    kept = "pair string, last long, us array<long>, seq array<long>, text array<string>"
-    return rows.groupBy("rec").applyInPandasWithState(step, "rec long, seq long, pair string, current string", kept, "append", GroupStateTimeout.EventTimeTimeout)
+    forget_s has no open pair any more, and its state is dropped."""
+    rows = events.withWatermark("ts", late).select("rec", "ts", F.unix_micros("ts").alias("us"), F.col("seq").alias("place"), "text")
+    return rows.groupBy("rec").transformWithState(Relay(forget_s), "rec long, seq long, pair string, current string", "append", "EventTime")
+
+
+class Stall(InOrder):
+    """quiet: seconds of too little growth so far; told: a stall that goes on is told once; copied: a copy of the file was seen, which is the end of its watch."""
+
+    start, state = (None, None, 0.0, False, False), "size long, at long, quiet double, told boolean, copied boolean"
+    fields, field_types = ("size", "copy"), "size long, copy boolean"
+
+    def __init__(self, forget_s: int, bytes_s: float, stall_s: float):
+        super().__init__(forget_s)
+        self.bytes_s, self.stall_s = bytes_s, stall_s
+
+    def step(self, key: tuple, state: tuple, us: int, place: int, values: tuple) -> tuple[tuple, list[Row]]:
+        size, at, quiet, told, copied = state
+        now, copy = values
+        row = lambda what: [Row(file=key[0], us=us, state=what, quiet_s=round(quiet, 6), size=size)]
+        if copied:
+            return state, []
+        if copy:
+            return (size, at, quiet, told, True), row("replicated")
+        if at is None:
+            return (now, us, 0.0, False, False), []
+        seconds = (us - at) / 1e6
+        if now - size >= self.bytes_s * seconds:
+            out = [Row(file=key[0], us=us, state="growing", quiet_s=0.0, size=now)] if told else []
+            return (now, us, 0.0, False, False), out
+        quiet, size = quiet + seconds, now
+        stalled = quiet >= self.stall_s and not told
+        return (now, us, quiet, told or stalled, False), row("stalled") if stalled else []
+
+
+#: A copy that an exporter makes beside a file: its name with a number in brackets.
+COPY = r"^(.*)\(\d+\)(\.edf)$"
+
+
+def stall_states(sizes: DataFrame, bytes_s: float = 10 * 1024 * 1024 / 60, stall_s: float = 60.0, late: str = "1 minute", forget_s: int = 86400) -> DataFrame:
+    """R3. file, us, state, quiet_s, size: `stalled` when a file grew by less than bytes_s a second from sample to sample for stall_s or more, once until it is `growing` again, which comes
+    after a stall; `replicated` when a copy of it, name(n).edf, is listed, after which it isn't watched any more. sizes: ts, file, size.
+
+    Samples are taken in the order of their time, also over batches; a file without samples for forget_s starts anew."""
+    base = F.coalesce(F.nullif(F.concat(F.regexp_extract("file", f"(?i){COPY}", 1), F.regexp_extract("file", f"(?i){COPY}", 2)), F.lit("")), F.col("file"))
+    rows = sizes.withWatermark("ts", late).select(base.alias("base"), "ts", F.unix_micros("ts").alias("us"), F.col("size").cast("long").alias("place"), F.col("size").cast("long").alias("size"), (base != F.col("file")).alias("copy"))
+    return rows.groupBy("base").transformWithState(Stall(forget_s, bytes_s, stall_s), "file string, us long, state string, quiet_s double, size long", "append", "EventTime")
 
 
 def watch(files: DataFrame, markers: DataFrame) -> DataFrame:
