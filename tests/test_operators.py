@@ -427,3 +427,102 @@ def test_size_classes(spark):
     assert len(rows) == 18 and all((r.members, r.partners) == (3, 3) for r in rows) and {r.length for r in rows} == {0, 1, 2}
     pairs = joins.match_by_size(a, b).collect()
     assert len(pairs) == 27 and len({(p.path_a, p.path_b) for p in pairs}) == 27
+
+
+def test_legal_tags_against_all_sequences():
+    from itertools import product
+
+    from tidemark.functions import tagging
+
+    r = np.random.default_rng(4)
+    for n in (1, 2, 3, 5):
+        for _ in range(60):
+            scores = np.round(r.normal(0, 1, (n, 3)), 1)
+            legal = [p for p in product(range(3), repeat=n) if all(t != tagging.I or (i and p[i - 1] != tagging.O) for i, t in enumerate(p))]
+            total = lambda p: sum(scores[i, t] for i, t in enumerate(p))  # noqa: B023, E731
+            got = tuple(tagging.legal_tags(scores).tolist())
+            assert got in legal and math.isclose(total(got), max(map(total, legal)), abs_tol=1e-9)
+
+
+def test_votes_hold_only_what_windows_overlap_in():
+    from tidemark.functions import tagging
+
+    r = random.Random(2)
+    for _ in range(200):
+        windows, at = [], 0
+        for _ in range(r.randrange(1, 8)):
+            at += r.randrange(0, 9)
+            windows.append((at, [r.choice([0.0, 0.5, 1.0]) for _ in range(r.randrange(0, 9))]))
+        score, seen = [0.0] * 100, [0] * 100
+        votes = tagging.Votes(0.5)
+        for start, scores in windows:
+            votes.add(start, np.array(scores))
+            assert len(votes.sums) <= 16
+            for k, p in enumerate(scores):
+                score[start + k] += p
+                seen[start + k] += 1
+        hit = "".join("1" if n and s / n >= 0.5 else "0" for s, n in zip(score, seen, strict=True))
+        assert votes.done() == [m.span() for m in re.finditer("1+", hit)]
+
+
+def test_vote_windows_over_tasks(spark):
+    from tidemark.functions import tagging
+
+    rows = [(d, at, [1.0 if (d + at + k) % 3 else 0.0 for k in range(6)]) for d in range(5) for at in range(0, 30, 4)] + [(9, 0, []), (10, 3, None)]
+    df = spark.createDataFrame(rows, "doc long, at int, scores array<double>").repartition(4)
+    want = []
+    for d in range(5):
+        hit = ""
+        for pos in range(40):
+            p = [s[pos - at] for doc, at, s in rows if doc == d and s and at <= pos < at + 6]
+            hit += "1" if p and sum(p) / len(p) >= 0.5 else "0"
+        want += [(d, *m.span()) for m in re.finditer("1+", hit)]
+    assert sorted(map(tuple, tagging.vote_windows(df).collect())) == want
+
+
+def test_token_head_finds_names_it_has_not_seen(spark):
+    from tidemark.functions import tagging
+
+    rnd = random.Random(7)
+    words = [f"{a}{b}" for a in ("ka", "to", "ri", "me", "su") for b in ("lo", "na", "vi", "der", "pos", "ten")]
+    given, family = [f"{c}{v}n{w}" for c in "BDFGKLMNPRST" for v in "aeio" for w in ("a", "o")], [f"{c}{v}{w}" for c in "BDFGKLMNPRST" for v in "aeiou" for w in ("ssen", "ski", "ton")]
+    rnd.shuffle(given)
+    rnd.shuffle(family)
+
+    def lines(n, first, last):
+        out = []
+        for _ in range(n):
+            text = [rnd.choice(words) for _ in range(rnd.randrange(4, 14))]
+            text[0] = text[0].capitalize()
+            label = list(text)
+            if rnd.random() < 0.7:
+                at = rnd.randrange(len(text))
+                text.insert(at, f"{rnd.choice(first)} {rnd.choice(last)}")
+                label.insert(at, "[NAME]")
+            out.append((" ".join(text), " ".join(label)))
+        return out
+
+    seen = spark.createDataFrame(lines(600, given[::2], family[::2]), "text string, label string")
+    head = tagging.train(seen)
+    assert np.array_equal(head.weights, tagging.train(seen.repartition(3)).weights)
+    held = lines(300, given[1::2], family[1::2])
+    out = [r.redacted for r in tagging.redact_with_model(spark.createDataFrame([(i, t) for i, (t, _) in enumerate(held)], "doc long, text string"), head).orderBy("doc").collect()]
+    found = sum("[NAME] [NAME]" in o for o, (t, label) in zip(out, held, strict=True) if label != t)
+    left_alone = sum(o == t for o, (t, label) in zip(out, held, strict=True) if label == t)
+    assert found > 0.9 * sum(label != t for t, label in held) and left_alone > 0.9 * sum(label == t for t, label in held)
+    long = " ".join(t for t, _ in held)  # more than one window
+    parts = [tagging.TokenHead(head.weights, size, overlap) for size, overlap in ((64, 16), (1 << 20, 0))]
+    a, b = (tagging.redact_with_model(spark.createDataFrame([(1, long), (2, None), (3, " ")], "doc long, text string"), p).orderBy("doc").collect() for p in parts)
+    assert a[1].redacted is None and a[2].redacted == " " and abs(a[0].redacted.count("[NAME]") - b[0].redacted.count("[NAME]")) < 20
+
+
+def test_table_functions_check_their_arguments(spark):
+    from tidemark.functions import tables
+
+    tables.register(spark)
+    row = spark.sql("SELECT * FROM diff_lines('a\nb\nc', 'a\nx\nc', 1)").collect()
+    assert [tuple(r) for r in row] == [(0, "replace", 1, 2, 1, 2, 0, 3)]
+    assert spark.sql("SELECT * FROM parse_tal(CAST(NULL AS BINARY))").count() == 0
+    for bad, why in (("SELECT * FROM diff_lines(1, 'a', 1)", "argument 1"), ("SELECT * FROM parse_notes(1.5)", "argument 1"), ("SELECT * FROM relay_pairs(TABLE(SELECT 1 AS rec))", "has no seq")):
+        with pytest.raises(Exception, match=why):
+            spark.sql(bad).collect()

@@ -17,7 +17,7 @@ from difflib import SequenceMatcher
 import numpy as np
 
 #: Pairs of places of a stretch that is left to the standard matcher, which is faster there.
-CELLS = 1 << 12
+CELLS = 1 << 15
 
 
 class Runs:

@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions import tagging
 from tidemark.functions.blocks import changes, matching_blocks
 from tidemark.sources.shared import new_folder
 
@@ -169,16 +170,8 @@ def mask_spans(mask: Column) -> Column:
     return F.arrays_zip(starts.alias("start"), stops.alias("stop"))
 
 
-def vote_windows(windows: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """W11. doc, start, stop: runs of characters whose scores, averaged over the windows that hold them, reach the threshold. windows: doc, at, scores."""
-    each = windows.select("doc", "at", F.posexplode("scores").alias("k", "p")).select("doc", (F.col("at") + F.col("k")).alias("pos"), "p")
-    yes = each.groupBy("doc", "pos").agg(F.avg("p").alias("p")).filter(F.col("p") >= threshold)
-    runs = yes.selectExpr("doc", "pos", "pos - row_number() over (partition by doc order by pos) as run")
-    return runs.groupBy("doc", "run").agg(F.min("pos").alias("start"), (F.max("pos") + 1).alias("stop")).drop("run")
-
-
 def pattern_scorer(texts: list[str]) -> list[list[float]]:
-    """D2. The scorer where no model is at hand: 1 for characters of capitalised pairs of words."""
+    """D2. A scorer where no model is at hand: 1 for characters of capitalised pairs of words."""
     out = []
     for t in texts:
         p = [0.0] * len(t)
@@ -189,21 +182,8 @@ def pattern_scorer(texts: list[str]) -> list[list[float]]:
 
 
 def redact_with_model(df: DataFrame, scorer: Callable[[list[str]], list[list[float]]] = pattern_scorer, size: int = 512, stride: int = 256) -> DataFrame:
-    """F9, D2. doc, text, redacted: windows of `size` characters are scored, votes averaged, runs replaced. A null text stays null."""
-    starts = F.explode(F.sequence(F.lit(0), F.greatest(F.length("text") - 1, F.lit(0)), F.lit(stride)))
-    cut = df.filter("text is not null").select("doc", "text", starts.alias("at")).select("doc", "at", F.expr(f"substring(text, at + 1, {size})").alias("part"))
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            yield pd.DataFrame({"doc": f["doc"], "at": f["at"], "scores": scorer(f["part"].tolist())})
-
-    votes = vote_windows(cut.mapInPandas(run, "doc long, at int, scores array<double>"))
-    runs = votes.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("runs"))
-    step = lambda acc, r: F.struct(F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, r["start"] - acc["at"]), F.lit("[NAME]")).alias("out"), r["stop"].cast("int").alias("at"))
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-    done = F.aggregate(F.coalesce("runs", F.array().cast("array<struct<start:int,stop:int>>")), start, step)
-    met = df.select("doc", "text").join(runs.select("doc", F.col("runs").cast("array<struct<start:int,stop:int>>").alias("runs")), "doc", "left").withColumn("d", done)
-    return met.select("doc", "text", F.concat("d.out", F.expr("substring(text, d.at + 1)")).alias("redacted"))
+    """D2. doc, text, redacted by a scorer of characters; see tagging."""
+    return tagging.redact_with_model(df, tagging.CharHead(scorer, size, stride))
 
 
 def noisy(name: Column, h: Column) -> Column:

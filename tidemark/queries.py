@@ -491,6 +491,8 @@ register(
 )
 
 from tidemark.functions import redaction as rd  # noqa: E402
+from tidemark.functions import tables as tb  # noqa: E402
+from tidemark.functions import tagging as tg  # noqa: E402
 from tidemark.sources import edf, edf_files, tsv  # noqa: E402
 from tidemark.sources.shared import new_folder  # noqa: E402
 from tidemark.streaming import live  # noqa: E402
@@ -677,9 +679,18 @@ _NOTED = lambda s, d: v.events_tsv(s, d).select("rec", "seq", "text")  # noqa: E
 register("F7_redaction_mask", lambda s, d: _NOTED(s, d).select("rec", "seq", rd.redaction_mask(F.col("text"), F.expr("replace(text, 'note', '')")).alias("mask")).select("rec", "seq", F.expr("aggregate(mask, 0, (a, x) -> a + x)").alias("hidden")), [v.EVENTS_TSV], "SELECT rec, seq, CASE WHEN text LIKE '%note%' THEN 4 ELSE 0 END AS hidden FROM events_tsv")
 register("F8_placeholder_redaction", lambda s, d: _NOTED(s, d).select("rec", "seq", rd.placeholder(F.col("text"), rd.redaction_mask(F.col("text"), F.expr("replace(text, 'note', '')"))).alias("text")), [v.EVENTS_TSV], "SELECT rec, seq, replace(text, 'note', '[NAME]') AS text FROM events_tsv")
 register("W12_mask_spans", lambda s, d: _NOTED(s, d).select("rec", "seq", F.expr("if(instr(text, 'note') > 0, concat(array_repeat(0, instr(text, 'note') - 1), array(1, 1, 1, 1), array_repeat(0, length(text) - instr(text, 'note') - 3)), array())").alias("mask")).select("rec", "seq", rd.mask_spans(F.col("mask")).alias("spans")).selectExpr("rec", "seq", "get(spans, 0).start as start", "get(spans, 0).stop as stop").filter("start is not null"), [v.EVENTS_TSV], "SELECT rec, seq, (strpos(text, 'note') - 1)::int AS start, (strpos(text, 'note') + 3)::int AS stop FROM events_tsv WHERE text LIKE '%note%'")
-register("W11_vote_windows", lambda s, d: rd.vote_windows(v.events_tsv(s, d).selectExpr("rec as doc", "cast(seq * 3 as int) as at", "transform(sequence(0, 5), k -> if((seq + k) % 4 = 0, 1.0D, if((seq + k) % 4 = 1, 0.5D, 0D))) as scores")), [v.EVENTS_TSV],
+register("W11_vote_windows", lambda s, d: tg.vote_windows(v.events_tsv(s, d).selectExpr("rec as doc", "cast(seq * 3 as int) as at", "transform(sequence(0, 5), k -> if((seq + k) % 4 = 0, 1.0D, if((seq + k) % 4 = 1, 0.5D, 0D))) as scores")), [v.EVENTS_TSV],
     "e AS (SELECT rec AS doc, seq * 3 + k AS pos, CASE (seq + k) % 4 WHEN 0 THEN 1.0 WHEN 1 THEN 0.5 ELSE 0 END AS p FROM events_tsv, (SELECT unnest(range(0, 6)) AS k)), y AS (SELECT doc, pos FROM e GROUP BY ALL HAVING avg(p) >= 0.5), r AS (SELECT doc, pos, pos - row_number() OVER (PARTITION BY doc ORDER BY pos) AS run FROM y) SELECT doc, min(pos)::int AS start, (max(pos) + 1)::int AS stop FROM r GROUP BY doc, run")
-register("F9_redact_with_model", lambda s, d: rd.redact_with_model(v.texts(s, d)))
+_GIVEN, _FAMILY = "Ann Bo Carla Dmitri Eva Farid Greta Hugo Ines Jonas Kira Liam Mona Nils".split(), "Lee Ray Okoro Petrov Ivanova Garcia Schmidt Tanaka Silva Novak Moreau Haddad".split()
+
+
+def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of all documents, with names put in or in a word's place in three of four, and the same with [NAME] there."""
+    lines = v.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("doc"), F.posexplode(F.split("text", "\n")).alias("line", "text")).filter("length(text) between 20 and 400")
+    return rd.augment(lines, [f"{a} {b}" for a in _GIVEN for b in _FAMILY], 5, percent=50, replacing=25)
+
+
+register("F9_redact_with_model", lambda s, d: tg.redact_with_model(v.texts(s, d), tg.train(_labelled(s, d))))
 register("F10_augment", lambda s, d: rd.augment(v.events_tsv(s, d).selectExpr("rec as doc", "seq as line", "text"), ["Ann", "Bo"], 11))
 register("F10_replace_and_noise", lambda s, d: rd.augment(v.events_tsv(s, d).selectExpr("rec as doc", "seq as line", "text"), ["Ann Lee", "Bo Ray"], 11, percent=20, replacing=20, noise=True))
 register("F11_split_by_case", lambda s, d: rd.split_by_case(v.events_tsv(s, d).select("rec", "seq"), "rec", 5).groupBy("rec").agg(F.count_distinct("split").alias("splits"), F.count("*").alias("n")), [v.EVENTS_TSV], "SELECT rec, 1 AS splits, count(*) AS n FROM events_tsv GROUP BY rec")
@@ -698,8 +709,31 @@ register(
 register("J15_redaction_decisions", lambda s, d: rd.merged(_DOCS(s, d), rd.diff_blocks(_DOCS(s, d)).selectExpr("doc", "block", "if(doc % 2 = 0, 'accept', 'discard') as decision")), [], "SELECT conv_id * 1000 + turn AS doc, CASE WHEN (conv_id * 1000 + turn) % 2 = 0 THEN replace(text || chr(10) || 'last', 'la', 'LA') ELSE text END AS text FROM conversations")
 register("D1_pattern_table", lambda s, d: v.table(s, d, "events").select("event_id", phi.redact(F.col("props"), [(r"\d+", "#"), ("k", "key")]).alias("props")), [], "SELECT event_id, replace(regexp_replace(props, '\\d+', '#', 'g'), 'k', 'key') AS props FROM events")
 register("D2_scorer", lambda s, d: rd.redact_with_model(v.texts(s, d), lambda texts: [[1.0 if c.isdigit() else 0.0 for c in t] for t in texts]), [v.TEXTS], "SELECT doc, text, regexp_replace(text, '[0-9]+', '[NAME]', 'g') AS redacted FROM texts")
-register("D3_parse_functions", lambda s, d: edf.key_values(_ENT(s, d), "rec"), [v.EVENTS_TSV],
+
+
+def _by_sql(spark: SparkSession, sql: str, **tables: DataFrame) -> DataFrame:
+    """A query in SQL over these tables, with the table functions."""
+    tb.register(spark)
+    for name, df in tables.items():
+        df.createOrReplaceTempView(name)
+    return spark.sql(sql)
+
+
+register("D3_parse_functions", lambda s, d: _by_sql(s, "SELECT cast(rec AS string) AS rec, n.path, n.value FROM note_files, LATERAL parse_notes(content) n", note_files=_ENT(s, d)), [v.EVENTS_TSV],
     "SELECT rec::varchar AS rec, '/' || (3 * seq - 3 + i) || ['/CreationTime', '/Stamp', '/Text'][i + 1] AS path, [(45292 + seq) || '.5', (seq * 10)::varchar, text][i + 1] AS value FROM events_tsv, (SELECT unnest([0, 1, 2]) AS i)")
+register(
+    "D3_parse_tal", lambda s, d: _by_sql(s, "SELECT rec, t.place, t.onset, t.text FROM list_files, LATERAL parse_tal(content) t WHERE t.text <> ''", list_files=edf.encode_tal(v.events_tsv(s, d))), [v.EVENTS_TSV],
+    "SELECT rec, seq::int AS place, onset, text FROM events_tsv WHERE text <> ''",
+)
+register(
+    "D3_parse_diff", lambda s, d: _by_sql(s, "SELECT doc, x.block, x.kind, x.a_from, x.a_to, x.b_from, x.b_to, x.context_from, x.context_to FROM text_pairs, LATERAL diff_lines(a, b, 3) x", text_pairs=_DOCS(s, d)),
+)
+ORACLES["D3_parse_diff"] = ORACLES["F19_diff_blocks"]
+register(
+    "D3_relay_pairs", lambda s, d: _by_sql(s, "SELECT rec, seq, pair, current FROM relay_pairs(TABLE(SELECT rec, seq, text FROM relay_events))", relay_events=v.events_tsv(s, d)), [v.EVENTS_TSV],
+    """c AS (SELECT *, last_value(CASE WHEN text LIKE 'Closed relay to %' THEN regexp_extract(text, 'to (\\S+)', 1) || '-' || regexp_extract(text, 'and (\\S+)', 1) WHEN text = 'Opened relay' THEN '' END IGNORE NULLS) OVER (PARTITION BY rec ORDER BY seq ROWS UNBOUNDED PRECEDING) AS pair FROM events_tsv)
+    SELECT rec, seq, pair, text AS current FROM c WHERE pair <> '' AND regexp_full_match(text, '[0-9]+')""",
+)
 _CHAN = lambda s, d: v.table(s, d, "part").selectExpr("cast(p_size as bigint) as rec", "p_partkey as idx", "if(p_partkey % 6 = 0, 'Pr', concat('x', p_partkey % 9)) as label")
 register(
     "F20_apply_labels", lambda s, d: rd.apply_labels(_CHAN(s, d), _CHAN(s, d).select("rec").distinct().selectExpr("rec", "explode(sequence(1, 10)) as place").selectExpr("rec", "place", "concat('L', place) as label")), [],

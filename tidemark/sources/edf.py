@@ -5,6 +5,7 @@ Bytes in a column may come from Spark's binaryFile reader or any table; large fi
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -68,43 +69,43 @@ def ent_events(files: DataFrame, key: str, content: str = "content") -> DataFram
     return files.select(key, F.explode(zipped).alias("x")).select(key, F.col("x.a").cast("double").alias("serial"), F.col("x.b").cast("long").alias("stamp"), F.col("x.c").alias("text"))
 
 
-def key_values(files: DataFrame, key: str, content: str = "content") -> DataFrame:
-    """S8. key, path, value: a note file's tree, one row for each leaf; list members are numbered."""
-    import re
-
-    token = re.compile(r'\(|\)|\.(?=")|"((?:[^"\\]|\\.)*)"|([^\s(),"]+)')
-
-    def leaves(text: str) -> list[tuple[str, str]]:
-        out: list[tuple[str, str]] = []
-        stack: list[list] = [["", 0]]  # path, members so far
-        name = None
-        dotted = False
-        for m in token.finditer(text):
-            t = m.group(0)
-            if t == "(":
-                stack.append([f"{stack[-1][0]}/{name if name is not None else stack[-1][1]}" if len(stack) > 1 or name is not None else "", 0])
-                if name is None:
-                    stack[-2][1] += 1
-                name = None
-            elif t == ")":
-                if len(stack) > 1:
-                    stack.pop()
-                name = None
-            elif t == ".":
-                dotted = True
+NOTE_TOKEN = re.compile(r'\(|\)|\.(?=")|"((?:[^"\\]|\\.)*)"|([^\s(),"]+)')
+
+
+def note_leaves(text: str) -> Iterator[tuple[str, str]]:
+    """Path and value of each leaf of a note file's tree; list members are numbered."""
+    stack: list[list] = [["", 0]]  # path, members so far
+    name = None
+    dotted = False
+    for m in NOTE_TOKEN.finditer(text):
+        t = m.group(0)
+        if t == "(":
+            stack.append([f"{stack[-1][0]}/{name if name is not None else stack[-1][1]}" if len(stack) > 1 or name is not None else "", 0])
+            if name is None:
+                stack[-2][1] += 1
+            name = None
+        elif t == ")":
+            if len(stack) > 1:
+                stack.pop()
+            name = None
+        elif t == ".":
+            dotted = True
+        else:
+            value = m.group(1) if m.group(1) is not None else m.group(2)
+            if dotted:
+                name, dotted = value, False
             else:
-                value = m.group(1) if m.group(1) is not None else m.group(2)
-                if dotted:
-                    name, dotted = value, False
-                else:
-                    out.append((f"{stack[-1][0]}/{name if name is not None else stack[-1][1]}", value))
-                    stack[-1][1] += name is None
-                    name = None
-        return out
+                yield f"{stack[-1][0]}/{name if name is not None else stack[-1][1]}", value
+                stack[-1][1] += name is None
+                name = None
+
+
+def key_values(files: DataFrame, key: str, content: str = "content") -> DataFrame:
+    """S8. key, path, value: a note file's tree, one row for each leaf."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [(k, p, v) for k, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) for p, v in leaves((c or b"").decode("latin-1"))]
+            rows = [(k, p, v) for k, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) for p, v in note_leaves((c or b"").decode("latin-1"))]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in range(3)], names=[key, "path", "value"])
 
     return files.select(F.col(key).cast("string").alias(key), content).mapInArrow(run, f"{key} string, path string, value string")
