@@ -9,17 +9,20 @@ of documents.
 4. decontamination: documents that leak a benchmark item (0.8 or more) go.
 5. bpe: the ids of what is left, and digests of them and of the bytes they decode to.
 
-Nulls: a text that is null counts as empty. A row without doc_id is never compared with others, so stages 2 and 3 keep it.
+Nulls: a text that is null counts as empty. A row without doc_id is never compared with others, so stages 2 and 3 keep it. Different texts with one id are
+judged each by itself; equal rows stay or go together.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, decontam, linededup, quality, simhash
-from tidemark.llm.work import table, written
+from tidemark.llm.work import apart, table, written
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -36,16 +39,18 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return left.select(*[values[c].alias(c) for c in docs.columns])
 
 
-def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    return docs.join(written(ids, "dropped"), "doc_id", "left_anti").select(*docs.columns)
+def without(docs: DataFrame, found: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """docs without the rows whose ids are found; of different texts with one id, each is judged by itself."""
+    own, back = apart(docs)
+    return back(own.join(written(found(own), "dropped"), "doc_id", "left_anti")).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return without(docs, simhash.drop_near_duplicates(docs, radius=12, shingle=5, similarity=0.8))
+    return without(docs, lambda own: simhash.drop_near_duplicates(own, radius=12, shingle=5, similarity=0.8))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return without(docs, decontam.find_leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct())
+    return without(docs, lambda own: decontam.find_leaks(own, table(spark, sf_dir, "benchmark")).select("doc_id").distinct())
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,8 +13,8 @@ a run are deleted.
 Scale: a line that a third of all documents share is one row of the partial sums before a shuffle, and the joins back
 to its places are on keys whose rows Spark may split among tasks. Texts are shuffled once, to meet their deletions.
 
-Defined results: a null text counts as the empty text, and comes back empty. A null id is neither matched nor changed. Rows that
-share an id are treated as one place. A table without lines comes back as it is. Lines are compared by 64-bit hashes.
+Defined results: a null text counts as the empty text, and comes back empty. A null id is neither matched nor changed. Rows that share an id and a
+text are one document; different texts of one id are documents of their own, one after the other by a hash of the text. A table without lines comes back as it is. Lines are compared by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.work import text_or_empty, written
+from tidemark.llm.work import apart, text_or_empty, written
 
 RUN, LONG_LINE = 2, 240
 
@@ -76,7 +76,7 @@ def repeated_runs(docs: DataFrame, run: int = RUN, long_line: int = LONG_LINE) -
 def dedup_lines(docs: DataFrame, run: int = RUN, long_line: int = LONG_LINE, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, n_lines, n_removed, text (what is left, lines joined by newlines), carried (a struct of the columns named by carry, if any)."""
     kept_columns = [F.struct(*carry).alias("carried")] if carry else []
-    own = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"), *kept_columns)
+    own, back = apart(docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"), *kept_columns))
     starts = repeated_runs(own.select("doc_id", "text"), run, long_line).groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct("q", "n"))).alias("starts"))
     met = own.join(starts, "doc_id", "left").withColumn("lines", lines_of(F.col("text")))
     covered = F.flatten(F.transform("starts", lambda s: F.sequence(s["q"], s["q"] + s["n"] - 1)))
@@ -86,7 +86,7 @@ def dedup_lines(docs: DataFrame, run: int = RUN, long_line: int = LONG_LINE, id_
     met = met.withColumn("gone", F.array_compact(gone))
     kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "gone"), lambda i: F.get("lines", i))
     text = F.when(F.size("gone") > 0, F.concat_ws("\n", kept)).otherwise(F.col("text"))
-    return met.select("doc_id", F.size("lines").cast("long").alias("n_lines"), F.size("gone").cast("long").alias("n_removed"), text.alias("text"), *(["carried"] if carry else []))
+    return back(met.select("doc_id", F.size("lines").cast("long").alias("n_lines"), F.size("gone").cast("long").alias("n_removed"), text.alias("text"), *(["carried"] if carry else [])))
 
 
 #: The same result by comparing all runs of two lines and all long lines, for DuckDB.

@@ -21,7 +21,7 @@ saw twice is known to repeat. So a passage that a third of all documents share c
 Texts are shuffled once. Exact copies are settled by step 1.
 
 Defined results: a null or blank text has no words. A row with a null id is neither compared nor changed. Rows that share
-an id and a text are one document. Windows are compared by their words, anchors and whole copies by 64-bit hashes. Other columns are not
+an id and a text are one document; different texts of one id are documents of their own, one after the other by a hash of the text. Windows are compared by their words, anchors and whole copies by 64-bit hashes. Other columns are not
 looked at.
 """
 
@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.work import bounded_batches, words_source, written
+from tidemark.llm.work import apart, bounded_batches, words_source, written
 
 U = np.uint64
 MIX = U(0xC2B2AE3D27D4EB4F)
@@ -306,7 +306,7 @@ def removed(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Record
 def dedup_substrings(docs: DataFrame, least: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_words, n_removed, kept (bytes of the words left, joined by blanks), repeats."""
     bounded_batches(docs.sparkSession)
-    own = words_source(docs, id_col, text_col)
+    own, back = apart(words_source(docs, id_col, text_col))
     named = own.filter("doc_id is not null")
     found = named.mapInArrow(lambda x: anchor_rows(x, least), "key long, doc_id long, at int, known boolean, pass boolean")
     found = found.withColumn("meet", F.when(F.col("pass"), F.xxhash64("doc_id", "at")).otherwise(F.col("key")))
@@ -320,7 +320,7 @@ def dedup_substrings(docs: DataFrame, least: int = 20, id_col: str = "doc_id", t
     # the same rows and columns as above, so that Spark shuffles the texts once for both joins
     last = named.join(places.select("doc_id", (F.col("places")[0] == WHOLE).alias("copy")), "doc_id", "left").join(runs, "doc_id", "left").select("doc_id", "text", "copy", "runs")
     nameless = own.filter("doc_id is null").select("doc_id", "text", F.lit(False).alias("copy"), F.lit(None).cast("array<struct<start:int,stop:int>>").alias("runs"))
-    return last.unionByName(nameless).mapInArrow(lambda x: removed(x, least), "doc_id long, n_words long, n_removed long, kept binary, repeats array<struct<start:int,stop:int>>")
+    return back(last.unionByName(nameless).mapInArrow(lambda x: removed(x, least), "doc_id long, n_words long, n_removed long, kept binary, repeats array<struct<start:int,stop:int>>"))
 
 
 #: The same result by comparing all windows of 20 words, for DuckDB.
