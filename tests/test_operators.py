@@ -526,3 +526,73 @@ def test_table_functions_check_their_arguments(spark):
     for bad, why in (("SELECT * FROM diff_lines(1, 'a', 1)", "argument 1"), ("SELECT * FROM parse_notes(1.5)", "argument 1"), ("SELECT * FROM relay_pairs(TABLE(SELECT 1 AS rec))", "has no seq")):
         with pytest.raises(Exception, match=why):
             spark.sql(bad).collect()
+
+
+def test_coverage_with_reasons(spark):
+    rows = [(0, "a.edf", "2024-01-01T08:00:00", "1,5"), (1, " ", "2024-01-01 09:00:00", "﻿2"), (2, "c", "never", "1"), (3, "d", "2024-01-01T00:00:00", "n/a"), (4, "e", "2024-01-01T00:00:00", "-0.5"), (5, None, None, None), (6, "f", "1704067200", "1")]
+    schema = "row long, filename string, acq_time string, duration string"
+    out = {r.row: (r.label, r.stop and r.stop - r.start, r.reason) for r in manifest.coverage_checked(spark.createDataFrame(rows, schema)).collect()}
+    assert out == {0: ("a.edf", 5400, None), 1: ("row_1", 7200, None), 2: ("c", None, "bad start"), 3: ("d", None, "bad duration"), 4: ("e", None, "end before start"), 5: ("row_5", None, "bad start"), 6: ("f", None, "bad start")}
+    # four of five are numbers: seconds, and the text is none
+    unix = [(i, f"u{i}", str(1704067200 + i) + (".0" if i else ""), "0") for i in range(4)] + [(4, "t", "2024-01-01T00:00:00", "1")]
+    out = {r.row: (r.start, r.reason) for r in manifest.coverage_checked(spark.createDataFrame(unix, schema)).collect()}
+    assert out == {i: (1704067200 + i, None) for i in range(4)} | {4: (None, "bad start")}
+    assert manifest.coverage_checked(spark.createDataFrame([], schema)).count() == 0
+
+
+def test_time_axis_units(spark):
+    rows = [("short", "a", 0, 3600), ("short", "b", 7200, 48 * 3600), ("long", "a", 86400, 2 * 86400), ("long", "b", 86400, 86400 + 48 * 3600 + 1)]
+    out = sorted(map(tuple, manifest.time_axis(spark.createDataFrame(rows, "key string, label string, start long, stop long"), "key").collect()))
+    assert out == [("long", "a", "days", 0.0, 1.0), ("long", "b", "days", 0.0, 2.000012), ("short", "a", "hours", 0.0, 1.0), ("short", "b", "hours", 2.0, 46.0)]
+
+
+def test_anonymisation_issues(spark):
+    from tidemark.operators import dataset
+
+    rows = [("ok", True, True, None), ("h", False, True, ""), ("n", True, False, "text: a; text: b"), ("u", None, True, None)]
+    out = [tuple(r) for r in dataset.anonymisation_issues(spark.createDataFrame(rows, "path string, header_ok boolean, notes_ok boolean, findings string")).orderBy("path", "place").collect()]
+    assert out == [("h", "FAIL", 0, "header not anonymised"), ("n", "FAIL", 0, "annotations not anonymised"), ("n", "FAIL", 1, "text: a"), ("n", "FAIL", 2, "text: b"), ("u", "ERROR", 0, "header not checked")]
+
+
+def test_copies_of_recordings(spark):
+    from tidemark.operators import dataset
+
+    scans = spark.createDataFrame([(1, s, "d", str(k)) for s, k in ((1, 1), (2, 1), (3, 2), (4, 2), (5, 3), (6, 4), (7, 4))], "sub long, ses long, day string, duration string")
+    files = spark.createDataFrame([(1, 1, ".edf", 5, "x"), (1, 2, ".edf", 5, "x"), (1, 3, ".edf", 5, "x"), (1, 4, ".edf", 5, "y"), (1, 6, ".edf", 5, None), (1, 7, ".edf", 5, None)], "sub long, ses long, ext string, length long, md5 string")
+    out = {r.key: (r.n, r.full) for r in dataset.copies_of_recordings(scans, files).collect()}
+    assert out == {"1000": (2, True), "2000": (2, False), "4000": (2, False)}
+
+
+def test_flips_turn_answers_over(spark):
+    from tidemark.operators import signals
+
+    up, down = [float(i % 10) for i in range(60)], [-float(i % 10) for i in range(60)]
+    samples = spark.createDataFrame([(1, c, i, v) for c, line in ((1, up), (2, down), (3, up), (4, up[:30])) for i, v in enumerate(line)], "rec long, channel long, idx long, v double")
+    at = spark.createDataFrame([(1, 0), (1, 12), (1, 22), (1, 25), (1, 58)], "rec long, event long")
+    decided = signals.flip_decisions(samples, at, 1, 2, 4, 4, 4)
+    out = {(r.channel, r.event): (r.flip, r.reason) for r in decided.collect()}
+    assert out[2, 12] == out[2, 22] == (True, "opposite") and out[3, 12] == (False, "same") and out[2, 0] == (None, "out of bounds") and out[2, 58] == (None, "out of bounds") and (1, 12) not in out
+    assert out[4, 25] == (False, "same") and out[4, 22] == (False, "same")
+    mean = {(r.channel, r.offset): (r.n, r.flipped, r["mean"]) for r in signals.average_flipped(signals.epoch_events(samples, at, 2, 4), decided).collect()}
+    assert mean[2, 0] == (3, 3, 3.0) and mean[3, 0] == (3, 0, 3.0)
+
+
+def test_sidecar_of_a_recording(spark):
+    import json
+
+    from tidemark.sources import tsv
+
+    channels = spark.createDataFrame([(1, "B2", "SEEG", "0.3", "70", "512"), (1, "A1", "SEEG", "0.1", "n/a", "256"), (1, "DC1", "TRIG", "n/a", "n/a", "512")], "rec long, name string, type string, low_cutoff string, high_cutoff string, sampling_frequency string")
+    recordings = spark.createDataFrame([(1, "full", 0.5), (2, "clip", None)], "rec long, task string, hours double")
+    out = {r.rec: json.loads(r.json) for r in tsv.sidecar_json(channels, recordings, {"Manufacturer": "M"}).collect()}
+    assert out[1]["HardwareFilters"] == {"HighpassFilter": {"Cutoff (Hz)": "0.1"}, "LowpassFilter": {"Cutoff (Hz)": "n/a"}} and out[1]["RecordingDuration"] == 1800.0 and out[1]["SamplingFrequency"] == "256"
+    assert (out[1]["SEEGChannelCount"], out[1]["TriggerChannelCount"], out[2]["SEEGChannelCount"], out[2]["SamplingFrequency"]) == (2, 1, 0, "n/a") and "RecordingDuration" not in out[2]
+
+
+def test_subfields_that_stay(spark):
+    cases = [("P1 F 01-JAN-1950 Ann_Lee", "Startdate 02-FEB-2020 A T E"), ("P1  M X Bo extra words", "Startdate 02-FEB-2020 A T E more"), ("Ann Lee", "02-FEB-2020 A T E x"), (None, None)]
+    df = spark.createDataFrame(cases, "p string, r string")
+    scrub = lambda keep: [(a.a, a.b) for a in df.select(*[c.alias(n) for c, n in zip(phi.scrub_subfields(F.col("p"), F.col("r"), keep), "ab", strict=True)]).collect()]
+    assert all(len(x) == 80 for row in scrub({"sex"}) for x in row)
+    assert [tuple(x.rstrip() for x in r) for r in scrub({"sex", "startdate"})] == [("X F X X", "Startdate 02-FEB-2020 X X X"), ("X M X X", "Startdate 02-FEB-2020 X X X"), ("X X X X", "Startdate X X X X"), ("X X X X", "Startdate X X X X")]
+    assert [tuple(x.rstrip() for x in r) for r in scrub({"additional"})][1] == ("X X X X extra words", "Startdate X X X X more")

@@ -70,6 +70,25 @@ def scrub_header(patient: Column, recording: Column, edf_plus: Column) -> tuple[
     return patient_out, recording_out
 
 
+#: An EDF+ file's subfields, in order.
+PATIENT_PARTS, RECORDING_PARTS = ["code", "sex", "birthdate", "name"], ["Startdate", "startdate", "administration", "technician", "equipment"]
+
+
+def scrub_subfields(patient: Column, recording: Column, keep: set[str]) -> tuple[Column, Column]:
+    """F12. An EDF+ file's patient and recording fields with X for each subfield that isn't in keep; additional ones go unless keep has `additional`. Fields that haven't the form lose all, and
+    80 characters are kept."""
+
+    def scrubbed(text: Column, parts: list[str], fixed: int) -> Column:
+        words = F.filter(F.split(F.trim(F.coalesce(text, F.lit(""))), " +"), lambda w: w != "")
+        shown = [F.lit(p) if i < fixed else F.get(words, i) if p in keep else F.lit("X") for i, p in enumerate(parts)]
+        more = F.slice(words, len(parts) + 1, F.greatest(F.size(words) - len(parts), F.lit(0))) if "additional" in keep else F.array().cast("array<string>")
+        formed = (F.size(words) >= len(parts)) & (F.get(words, 0) == parts[0] if fixed else F.lit(True))
+        blank = " ".join([p if i < fixed else "X" for i, p in enumerate(parts)])
+        return F.rpad(F.when(formed, F.array_join(F.concat(F.array(*shown), more), " ")).otherwise(blank), 80, " ")
+
+    return scrubbed(patient, PATIENT_PARTS, 0), scrubbed(recording, RECORDING_PARTS, 1)
+
+
 def name_variants(people: DataFrame, separators: list[str]) -> DataFrame:
     """S14. name: the spellings of each person: single names, full and reversed with each separator, initials."""
     first, last = F.nullif(F.trim("firstname"), F.lit("")), F.nullif(F.trim("lastname"), F.lit(""))

@@ -210,8 +210,9 @@ def augment(df: DataFrame, names: list[str], seed: int, percent: int = 30, repla
 
 
 def split_by_case(df: DataFrame, case: str, seed: int, train: int = 80, valid: int = 10) -> DataFrame:
-    """F11. Adds split; all rows of a case have the same."""
-    h = F.pmod(F.xxhash64(F.lit(seed), case), F.lit(100))
+    """F11. Adds split; all rows of a case have the same, by the first 32 bits of the MD5 of seed:case, which any system can compute again."""
+    text = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(case).cast("string"), F.lit("")))
+    h = F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long") % 100
     return df.withColumn("split", F.when(h < train, "train").when(h < train + valid, "valid").otherwise("test"))
 
 

@@ -130,27 +130,77 @@ def processing_index(old: DataFrame, new: DataFrame, columns: list[str]) -> Data
     return met.select("path", *[F.coalesce(c, f"old_{c}").alias(c) for c in columns], F.when(F.col("is_new").isNull(), "missing").when(F.col("was").isNull(), "processed").otherwise("updated").alias("status"))
 
 
+def check_status() -> Column:
+    """ERROR where a check is unknown, PASS if both hold, else FAIL."""
+    return F.when(F.col("header_ok").isNull() | F.col("notes_ok").isNull(), "ERROR").when(F.col("header_ok") & F.col("notes_ok"), "PASS").otherwise("FAIL")
+
+
 def anonymisation_report(checks: DataFrame) -> DataFrame:
     """A16. Files by status: ERROR where a check is unknown, PASS if both hold, else FAIL."""
-    status = F.when(F.col("header_ok").isNull() | F.col("notes_ok").isNull(), "ERROR").when(F.col("header_ok") & F.col("notes_ok"), "PASS").otherwise("FAIL")
-    return checks.groupBy(status.alias("status")).agg(F.count("*").alias("n"))
+    return checks.groupBy(check_status().alias("status")).agg(F.count("*").alias("n"))
+
+
+def anonymisation_issues(checks: DataFrame) -> DataFrame:
+    """A16. path, status, place, issue: a row for each issue of the files that did not pass. checks: path, header_ok, notes_ok, findings (of F14: parted by semicolons, or null).
+
+    A check that fails without a finding of its own, and one that could not be made, are issues, too; they come before the findings."""
+    state = lambda c, name: F.when(F.col(c).isNull(), f"{name} not checked").when(~F.col(c), f"{name} not anonymised")
+    findings = F.coalesce(F.filter(F.split("findings", "; "), lambda x: x != ""), F.array().cast("array<string>"))
+    issues = F.concat(F.array_compact(F.array(state("header_ok", "header"), state("notes_ok", "annotations"))), findings)
+    failed = checks.withColumn("status", check_status()).filter("status <> 'PASS'")
+    return failed.select("path", "status", F.posexplode(issues).alias("place", "issue"))
+
+
+def session_contents(files: DataFrame) -> DataFrame:
+    """sub, ses, content (what its files are, by extension, size and checksum; null where a checksum is unknown)."""
+    each = F.struct("ext", "length", "md5")
+    return files.groupBy("sub", "ses").agg(F.array_sort(F.collect_list(each)).alias("all"), F.expr("bool_or(md5 is null)").alias("unknown")).select("sub", "ses", F.when(~F.col("unknown"), F.sha2(F.to_json("all"), 256)).alias("content"))
 
 
-def validate_all(files: DataFrame, sessions: DataFrame) -> DataFrame:
-    """A23. One table of counts of all checks."""
+def copies_of_recordings(scans: DataFrame, files: DataFrame) -> DataFrame:
+    """A23. sub, day, key, n, full: recordings of a subject with one date and duration, and whether the folders of all their sessions hold the same files."""
+    from tidemark.operators.manifest import duration_key, find_duplicates
+
+    groups = find_duplicates(scans).select("sub", "day", "key", "n")
+    members = scans.select("sub", "day", duration_key().alias("key"), "ses").join(groups, ["sub", "day", "key"]).join(session_contents(files), ["sub", "ses"], "left")
+    return members.groupBy("sub", "day", "key").agg(F.first("n").alias("n"), ((F.count_distinct("content") == 1) & (F.count("content") == F.count("*"))).alias("full"))
+
+
+def validation_issues(files: DataFrame, sessions: DataFrame, scans: DataFrame) -> DataFrame:
+    """A23. check, sub, item: a row for each finding of all checks. sessions: folders (sub, ses); scans: the manifest's rows."""
+    from tidemark.operators.joins import status_outer
     from tidemark.operators.manifest import session_discrepancy
 
-    parts = {
-        "session_discrepancy": session_discrepancy(files), "empty_session": empty_sessions(sessions, files), "orphan_sidecar": orphan_sidecars(files),
-        "duplicate_run": duplicate_runs(files).filter("role = 'skip'"), "invalid_session": validate_session(files).filter("not ok"),
-    }
-    out = None
-    for name, rows in parts.items():
-        n = rows.agg(F.lit(name).alias("check"), F.count("*").alias("n"))
-        out = n if out is None else out.unionByName(n)
+    folders = status_outer(scans, sessions, ["sub", "ses"], "missing_folder", "extra_folder", "ok").filter("status <> 'ok'")
+    ses = F.concat(F.lit("ses-"), F.lpad(F.col("ses").cast("string"), 3, "0")).alias("item")
+    copies = copies_of_recordings(scans, files)
+    rows = lambda df, name, sub, item: df.select(F.lit(name).alias("check"), sub, item)
+    named = lambda df, name: rows(df.join(files.select("path", "sub").distinct(), "path"), name, F.col("sub"), F.col("path").alias("item"))
+    parts = [
+        folders.select(F.col("status").alias("check"), "sub", ses),
+        named(session_discrepancy(files), "session_discrepancy"),
+        rows(empty_sessions(sessions, files), "empty_session", F.col("sub"), ses),
+        rows(orphan_sidecars(files).join(files.select("file_id", "sub"), "file_id"), "orphan_sidecar", F.col("sub"), F.col("name").alias("item")),
+        rows(duplicate_runs(files).filter("role = 'skip'"), "duplicate_run", F.col("sub"), F.concat_ws("/", "ses", "run").alias("item")),
+        rows(validate_session(files).filter("not ok"), "invalid_session", F.col("sub"), ses),
+        copies.select(F.when(F.col("full"), "full_copy").otherwise("partial_copy").alias("check"), "sub", F.concat_ws(" ", "day", "key").alias("item")),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
     return out
 
 
+CHECKS = ["missing_folder", "extra_folder", "session_discrepancy", "empty_session", "orphan_sidecar", "duplicate_run", "invalid_session", "full_copy", "partial_copy"]
+
+
+def validate_all(files: DataFrame, sessions: DataFrame, scans: DataFrame) -> DataFrame:
+    """A23. check, n, subjects: how many findings each check has and in how many subjects; 0 where there is none."""
+    spark = files.sparkSession
+    counts = validation_issues(files, sessions, scans).groupBy("check").agg(F.count("*").alias("n"), F.count_distinct("sub").alias("subjects"))
+    return spark.createDataFrame([(c,) for c in CHECKS], "check string").join(counts, "check", "left").select("check", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("subjects", F.lit(0)).alias("subjects"))
+
+
 def quality_rules(headers: DataFrame) -> DataFrame:
     """P11. Issues of a recording's size against its header, as a list; ok if there are none."""
     implied = F.floor((F.col("size") - F.col("header_bytes")) / F.nullif("record_bytes", F.lit(0)))

@@ -135,6 +135,32 @@ def coverage_rows(scans: DataFrame, sort_by: str = "start", most: int | None = N
     return rows.orderBy(*order).limit(most) if most is not None else rows
 
 
+def coverage_checked(scans: DataFrame, numeric_share: float = 0.8) -> DataFrame:
+    """T1. row, label, start, stop, reason: every row of a manifest as an interval in epoch seconds, or why it is none. scans: row (its number), filename, acq_time, duration.
+
+    Where numeric_share or more of all times are numbers, times are epoch seconds, else texts (a T or a blank before the clock). Marks of byte order go, decimal commas count; an
+    empty label is row_<number>. Reasons: bad start, bad duration, end before start."""
+    clean = lambda c: F.trim(F.replace(F.coalesce(c, F.lit("")), F.lit("\ufeff"), F.lit("")))
+    rows = scans.select("row", clean("filename").alias("name"), clean("acq_time").alias("t"), F.replace(clean("duration"), F.lit(","), F.lit(".")).try_cast("double").alias("hours"))
+    seconds = F.col("t").try_cast("double")
+    share = rows.agg(F.avg(seconds.isNotNull().cast("int"))).first()[0] or 0.0
+    texts = F.unix_timestamp(F.coalesce(*[F.try_to_timestamp("t", F.lit(p)) for p in ("yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss")]))
+    start = F.floor(seconds).cast("long") if share >= numeric_share else texts
+    reason = F.when(F.col("start").isNull(), "bad start").when(F.col("hours").isNull() | F.isnan("hours"), "bad duration").when(F.col("hours") < 0, "end before start")
+    rows = rows.withColumn("start", start).withColumn("reason", reason)
+    label = F.when(F.col("name") == "", F.concat(F.lit("row_"), F.col("row").cast("string"))).otherwise(F.col("name"))
+    return rows.select("row", label.alias("label"), "start", F.when(F.col("reason").isNull(), F.col("start") + F.round(F.col("hours") * 3600).cast("long")).alias("stop"), "reason")
+
+
+def time_axis(rows: DataFrame, key: str, hours: float = 48.0) -> DataFrame:
+    """T2. key, label, unit, offset, length: bars of each key on an axis from its first start, in hours where it spans `hours` or fewer, else in days. rows: key, label, start, stop in seconds."""
+    ends = rows.groupBy(key).agg(F.min("start").alias("first"), F.max("stop").alias("last"))
+    unit = F.when(F.col("last") - F.col("first") <= hours * 3600, "hours").otherwise("days")
+    scale = F.when(F.col("unit") == "hours", 3600.0).otherwise(86400.0)
+    met = rows.join(ends, key).withColumn("unit", unit)
+    return met.select(key, "label", "unit", F.round((F.col("start") - F.col("first")) / scale, 6).alias("offset"), F.round((F.col("stop") - F.col("start")) / scale, 6).alias("length"))
+
+
 def strip_common_prefix(df: DataFrame, key: str, label: str) -> DataFrame:
     """T2. Labels of each key without their longest common directory: that of the smallest and the largest label."""
     ends = df.groupBy(key).agg(F.min(label).alias("lo"), F.max(label).alias("hi"))

@@ -56,3 +56,28 @@ def detrend_linear(samples: DataFrame) -> DataFrame:
     """N10. What is left of the least-squares line of each channel."""
     line = samples.groupBy("rec", "channel").agg(F.expr("regr_slope(v, idx)").alias("slope"), F.expr("regr_intercept(v, idx)").alias("level"))
     return samples.join(line, ["rec", "channel"]).select("rec", "channel", "idx", (F.col("v") - (F.col("slope") * F.col("idx") + F.col("level"))).alias("rest"))
+
+
+def flip_decisions(samples: DataFrame, events: DataFrame, stim: int, before: int, after: int, lag: int, window: int) -> DataFrame:
+    """N13. rec, channel, event, flip, reason, stim_orientation, evoked_orientation, stim_pre, stim_post, evoked_pre, evoked_post: whether a channel's answer to an event is turned over, as its orientation (W8)
+    isn't that of channel `stim` of its recording. Not where either has none; flip is null for events whose epoch isn't whole. Channel stim itself has no rows."""
+    from tidemark.operators.filters import orientation
+
+    seen = orientation(samples, events, lag, window)
+    own = seen.filter(F.col("channel") == stim).select("rec", "event", *[F.col(c).alias(f"stim_{c}") for c in ("orientation", "pre", "post")])
+    other = seen.filter(F.col("channel") != stim).select("rec", "channel", "event", *[F.col(c).alias(f"evoked_{c}") for c in ("orientation", "pre", "post")])
+    sizes = samples.groupBy("rec", "channel").agg(F.max("idx").alias("last"))
+    met = other.join(own, ["rec", "event"], "left").join(sizes, ["rec", "channel"])
+    whole = (F.col("event") >= before) & (F.col("event") + after - 1 <= F.col("last"))
+    unclear = F.col("stim_orientation").isNull() | F.col("evoked_orientation").isNull()
+    opposite = F.col("stim_orientation") != F.col("evoked_orientation")
+    flip = F.when(whole, F.coalesce(opposite, F.lit(False)))
+    reason = F.when(~whole, "out of bounds").when(unclear, "ambiguous").when(opposite, "opposite").otherwise("same")
+    return met.select("rec", "channel", "event", flip.alias("flip"), reason.alias("reason"), *[f"{side}_{c}" for c in ("orientation",) for side in ("stim", "evoked")], *[f"{side}_{c}" for side in ("stim", "evoked") for c in ("pre", "post")])
+
+
+def average_flipped(epochs: DataFrame, decisions: DataFrame) -> DataFrame:
+    """N13. rec, channel, offset, n, flipped, mean: the mean answer over a channel's epochs (v), those with a flip turned over; n counts values that aren't null."""
+    met = epochs.join(decisions.filter("flip is not null").select("rec", "channel", "event", "flip"), ["rec", "channel", "event"])
+    v = F.when(F.col("flip"), -F.col("v")).otherwise(F.col("v"))
+    return met.groupBy("rec", "channel", "offset").agg(F.count("v").alias("n"), F.count_if(F.col("flip") & F.col("v").isNotNull()).alias("flipped"), F.round(F.avg(v), 6).alias("mean"))

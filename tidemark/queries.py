@@ -81,6 +81,16 @@ register(
     "T1_coverage_rows", lambda s, d: m.coverage_rows(v.scans(s, d).selectExpr("filename", "if(ses % 5 = 0, cast(unix_timestamp(to_timestamp(acq_time)) as string), acq_time) as acq_time", "replace(duration, '.', ',') as duration")), [v.SCANS],
     "SELECT filename AS label, epoch(acq_time::timestamp)::bigint AS start, epoch(acq_time::timestamp)::bigint + round(hours * 3600)::bigint AS stop FROM scans",
 )
+_ODD = "cast(ses as bigint) as row", "if(ses % 11 = 0, ' ', concat('\ufeff', filename)) as filename", "if(ses % 13 = 0, 'never', if(ses % 2 = 0, replace(acq_time, 'T', ' '), acq_time)) as acq_time", "case when ses % 17 = 0 then 'n/a' when ses % 19 = 0 then '-1,5' else replace(duration, '.', ',') end as duration"
+_ODD_SQL = """SELECT ses AS "row", CASE WHEN ses % 11 = 0 THEN 'row_' || ses ELSE filename END AS label, CASE WHEN ses % 13 > 0 THEN s END AS start, CASE WHEN ses % 13 > 0 AND ses % 17 > 0 AND ses % 19 > 0 THEN s + round(hours * 3600)::bigint END AS stop,
+CASE WHEN ses % 13 = 0 THEN 'bad start' WHEN ses % 17 = 0 THEN 'bad duration' WHEN ses % 19 = 0 THEN 'end before start' END AS reason FROM (SELECT *, epoch(acq_time::timestamp)::bigint AS s FROM scans)"""
+register("T1_coverage_checked", lambda s, d: m.coverage_checked(v.scans(s, d).selectExpr(*_ODD)), [v.SCANS], _ODD_SQL)
+register("T1_coverage_unix", lambda s, d: m.coverage_checked(v.scans(s, d).selectExpr(*_ODD).withColumn("acq_time", F.expr("if(row % 13 = 0, 'never', cast(unix_timestamp(to_timestamp(replace(acq_time, ' ', 'T'))) as string))"))), [v.SCANS], _ODD_SQL)
+register(
+    "T2_time_axis", lambda s, d: m.time_axis(v.sessions(s, d).selectExpr("concat(subject, '/', floor(least(s, e) / 86400) % 7) as key", "name as label", "least(s, e) as start", "greatest(s, e) as stop"), "key", 72.0), [v.SESSIONS],
+    """b AS (SELECT subject || '/' || (least(s, e) // 86400) % 7 AS key, name AS label, least(s, e) AS start, greatest(s, e) AS stop FROM sessions), x AS (SELECT key, min(start) AS first, max(stop) - min(start) <= 259200 AS short FROM b GROUP BY key)
+    SELECT key, label, CASE WHEN short THEN 'hours' ELSE 'days' END AS unit, round((start - first) / CASE WHEN short THEN 3600.0 ELSE 86400.0 END::double, 6) AS "offset", round((stop - start) / CASE WHEN short THEN 3600.0 ELSE 86400.0 END::double, 6) AS length FROM b JOIN x USING (key)""",
+)
 register(
     "T2_strip_common_prefix", lambda s, d: m.strip_common_prefix(v.files(s, d), "sub", "path"), [v.FILES],
     r"""f AS (SELECT sub, path FROM files), e AS (SELECT sub, min(path) AS lo, max(path) AS hi FROM f GROUP BY sub),
@@ -98,8 +108,8 @@ register(
     "SELECT *, row_number() OVER (PARTITION BY sub ORDER BY coalesce(length, -1) DESC, name) AS place FROM (SELECT sub, name || file_id AS name, nullif(length, 0) AS length FROM files)",
 )
 register(
-    "U1_merge_tsv", lambda s, d: u.merge_tsv(v.scans(s, d).filter("ses % 3 <> 0").select("sub", "ses", "filename"), v.scans(s, d).filter("ses % 5 <> 0").select("sub", "filename", "day")), [v.SCANS],
-    "SELECT sub, ses, filename, NULL AS day FROM scans WHERE ses % 3 <> 0 UNION ALL SELECT sub, NULL, filename, day FROM scans WHERE ses % 5 <> 0",
+    "U1_merge_tsv", lambda s, d: u.merge_tsv(v.scans(s, d).select("sub", "ses", "filename"), v.scans(s, d).select("sub", "filename", "day")), [v.SCANS],
+    "SELECT sub, ses, filename, NULL AS day FROM scans UNION ALL SELECT sub, NULL, filename, day FROM scans",
 )
 register(
     "U2_list_compare", lambda s, d: u.list_compare(v.files(s, d).filter("file_id % 3 <> 0"), v.files(s, d).filter("file_id % 4 <> 0"), "path"), [v.FILES],
@@ -175,16 +185,21 @@ register(
     "F16_partition_label", lambda s, d: v.table(s, d, "part").select("p_partkey", *[c.alias(n) for c, n in zip(phi.partition_label(F.expr("concat(substring(p_name, 1, 2), p_partkey % 30, if(p_partkey % 4 = 0, 'x2', ''))")), ("grp", "number"), strict=True)]), [],
     r"SELECT p_partkey, regexp_extract(x, '^([A-Za-z]+)', 1) AS grp, nullif(regexp_extract(x, '^[A-Za-z]+(\d+)', 1), '')::int AS number FROM (SELECT p_partkey, substr(p_name, 1, 2) || (p_partkey % 30) || CASE WHEN p_partkey % 4 = 0 THEN 'x2' ELSE '' END AS x FROM part)",
 )
-_PEOPLE = lambda s, d: v.table(s, d, "customer").filter("c_custkey % 3 = 0").selectExpr("concat('Fn', c_custkey % 40) as firstname", "if(c_custkey % 9 = 0, null, concat('Ln', c_custkey % 70)) as lastname")
+_PEOPLE = lambda s, d: v.table(s, d, "customer").selectExpr("concat('Fn', c_custkey % 40) as firstname", "if(c_custkey % 9 = 0, null, concat('Ln', c_custkey % 70)) as lastname")
 register(
     "S14_names_dictionary", lambda s, d: phi.name_variants(_PEOPLE(s, d), ["", " ", "_", "-", ", "]), [],
-    """p AS (SELECT DISTINCT 'Fn' || (c_custkey % 40) AS f, CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE 'Ln' || (c_custkey % 70) END AS l FROM customer WHERE c_custkey % 3 = 0), s AS (SELECT unnest(['', ' ', '_', '-', ', ']) AS s),
+    """p AS (SELECT DISTINCT 'Fn' || (c_custkey % 40) AS f, CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE 'Ln' || (c_custkey % 70) END AS l FROM customer), s AS (SELECT unnest(['', ' ', '_', '-', ', ']) AS s),
     n AS (SELECT unnest([f, l, f || s || l, l || s || f, f[1:1] || s || l, f || s || l[1:1]]) AS name FROM p, s) SELECT DISTINCT name FROM n WHERE name IS NOT NULL""",
 )
 register(
     "F12_scrub_header", lambda s, d: v.table(s, d, "customer").select("c_custkey", *[c.alias(n) for c, n in zip(phi.scrub_header(F.col("c_name"), F.expr("if(c_custkey % 2 = 0, 'Startdate 01-JAN-2020', 'x')"), F.expr("c_custkey % 3 = 0")), ("patient", "recording"), strict=True)]), [],
     "SELECT c_custkey, rpad(CASE WHEN c_custkey % 3 = 0 THEN 'X X X X' ELSE '' END, 80, ' ') AS patient, rpad(CASE WHEN c_custkey % 3 = 0 OR c_custkey % 2 = 0 THEN 'Startdate X X X X' ELSE '' END, 80, ' ') AS recording FROM customer",
 )
+_FIELDS = "if(c_custkey % 4 = 0, c_name, concat('MCH-', c_custkey, ' F 02-MAY-1951  Haagse_', c_custkey, if(c_custkey % 3 = 0, ' more words', ''))) as patient", "if(c_custkey % 5 = 0, 'x', concat('Startdate 02-MAR-2002 PSG-', c_custkey, ' NN Telemetry03')) as recording"
+register(
+    "F12_scrub_subfields", lambda s, d: v.table(s, d, "customer").selectExpr("c_custkey", *_FIELDS).select("c_custkey", *[c.alias(n) for c, n in zip(phi.scrub_subfields(F.col("patient"), F.col("recording"), {"sex", "equipment", "additional"}), ("patient", "recording"), strict=True)]), [],
+    "SELECT c_custkey, rpad(CASE WHEN c_custkey % 4 = 0 THEN 'X X X X' ELSE 'X F X X' || CASE WHEN c_custkey % 3 = 0 THEN ' more words' ELSE '' END END, 80, ' ') AS patient, rpad(CASE WHEN c_custkey % 5 = 0 THEN 'Startdate X X X X' ELSE 'Startdate X X X Telemetry03' END, 80, ' ') AS recording FROM customer",
+)
 register(
     "F18_uuid_from_name", lambda s, d: v.table(s, d, "customer").select("c_custkey", phi.uuid_from_name(F.expr("case c_custkey % 3 when 0 then concat('rec_', regexp_replace(md5(cast(c_name as binary)), '^(.{8})(.{4})(.{4})(.{4})(.{12})$', '$1-$2-$3-$4-$5'), '.x') when 1 then concat(c_name, ' (', c_custkey % 5, ').edf') else c_name end")).alias("id")), [],
     r"SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN regexp_replace(md5(c_name), '^(.{8})(.{4})(.{4})(.{4})(.{12})$', '\1-\2-\3-\4-\5') WHEN 1 THEN c_name || '.edf' ELSE c_name END AS id FROM customer",
@@ -253,7 +268,7 @@ _SUMMARY = f"""{_LABELLED}, {_RELAY}, al AS (SELECT *, CASE decoder WHEN 'rev3'
 bst AS (SELECT * FROM al JOIN (SELECT rec, min(rank) AS rank FROM al GROUP BY rec) USING (rec, rank)), en AS (SELECT rec, decoder, current, split_part(pair, '-', 1) AS a, split_part(pair, '-', 2) AS b FROM bst UNION ALL SELECT rec, decoder, current, split_part(pair, '-', 2), split_part(pair, '-', 1) FROM bst),
 summary AS (SELECT rec, decoder, a AS electrode, string_agg(DISTINCT b, ',' ORDER BY b) AS partners, string_agg(DISTINCT current, ',' ORDER BY current) AS currents FROM en GROUP BY ALL)"""
 _SOME = "(rec % 3 = 0 or text not like 'Stim St%') and (rec % 3 <> 2 or text not like 'Start St%')"
-register("A12_ccep_summary", lambda s, d: ev.ccep_summary(v.events_tsv(s, d).filter(_SOME)), [v.EVENTS_TSV], _SUMMARY.replace("FROM events_tsv WHERE text", f"FROM events_tsv WHERE {_SOME} AND (text").replace("'Start Stimulation%')", "'Start Stimulation%'))", 1).replace("END AS change FROM events_tsv", f"END AS change FROM events_tsv WHERE {_SOME}") + " SELECT * FROM summary")
+register("A12_ccep_summary", lambda s, d: ev.ccep_summary(v.events_tsv(s, d).withColumn("text", F.expr(f"if({_SOME}, text, 'note')"))), [v.EVENTS_TSV], f"some_events AS (SELECT rec, seq, onset, CASE WHEN {_SOME} THEN text ELSE 'note' END AS text FROM events_tsv), " + _SUMMARY.replace("events_tsv", "some_events") + " SELECT * FROM summary")
 _ELECTRODES = ["A1", "A2", "A3", "A4", "A5", "A6", "A7", "A8", "B1", "LA1"]
 register(
     "A13_stim_matrix", lambda s, d: ev.stim_matrix(ev.ccep_summary(v.events_tsv(s, d)), _ELECTRODES), [v.EVENTS_TSV],
@@ -346,6 +361,13 @@ register(
 )
 register("A16_anonymisation_report", lambda s, d: ds.anonymisation_report(v.files(s, d).selectExpr("if(file_id % 19 = 0, null, file_id % 3 <> 0) as header_ok", "file_id % 5 <> 0 as notes_ok")), [v.FILES],
     "SELECT CASE WHEN file_id % 19 = 0 THEN 'ERROR' WHEN file_id % 3 <> 0 AND file_id % 5 <> 0 THEN 'PASS' ELSE 'FAIL' END AS status, count(*) AS n FROM files GROUP BY ALL")
+_CHECKED = lambda s, d: v.files(s, d).selectExpr("cast(file_id as string) as path", "if(file_id % 19 = 0, null, file_id % 3 <> 0) as header_ok", "file_id % 5 <> 0 as notes_ok", "if(file_id % 5 = 0, concat('text: note ', file_id % 7, '; text: x'), null) as findings")
+register(
+    "A16_anonymisation_issues", lambda s, d: ds.anonymisation_issues(_CHECKED(s, d)), [v.FILES],
+    """i AS (SELECT file_id::varchar AS path, CASE WHEN file_id % 19 = 0 THEN 'ERROR' ELSE 'FAIL' END AS status, list_filter([CASE WHEN file_id % 19 = 0 THEN 'header not checked' WHEN file_id % 3 = 0 THEN 'header not anonymised' END, CASE WHEN file_id % 5 = 0 THEN 'annotations not anonymised' END,
+    CASE WHEN file_id % 5 = 0 THEN 'text: note ' || (file_id % 7) END, CASE WHEN file_id % 5 = 0 THEN 'text: x' END], lambda x: x IS NOT NULL) AS x FROM files WHERE file_id % 19 = 0 OR file_id % 3 = 0 OR file_id % 5 = 0)
+    SELECT path, status, (generate_subscripts(x, 1) - 1)::int AS place, unnest(x) AS issue FROM i""",
+)
 register("A19_checksum", lambda s, d: ds.checksum(v.files(s, d).withColumn("md5", F.expr("if(file_id % 43 = 0, 'bad', md5)"))), [v.FILES],
     "SELECT file_id, coalesce(CASE WHEN file_id % 43 = 0 THEN 'bad' ELSE md5 END, md5(text)) AS md5, sha256(text) AS sha256, CASE WHEN file_id % 43 = 0 THEN 'diff' WHEN md5 IS NULL THEN 'computed' ELSE 'equal' END AS state FROM files")
 _EMPTY = "SELECT sub, ses, coalesce(n, 0) AS others FROM (SELECT DISTINCT o_custkey % 20 AS sub, o_orderkey % 10 AS ses FROM orders) LEFT JOIN (SELECT sub, ses, count(*) FILTER (ext IN ('.edf', '.tsv', '.edf.gz')) AS useful, count(*) AS n FROM files GROUP BY ALL) USING (sub, ses) WHERE coalesce(useful, 0) = 0"
@@ -353,12 +375,24 @@ _SESSION_LIST = lambda s, d: v.table(s, d, "orders").selectExpr("o_custkey % 20
 register("A21_empty_sessions", lambda s, d: ds.empty_sessions(_SESSION_LIST(s, d), v.files(s, d)), [v.FILES], _EMPTY)
 _ORPHANS = r"""SELECT file_id, name FROM files WHERE ext IN ('.json', '.tsv', '.md5') AND regexp_extract(name, '^(sub-\d+_ses-\d+_task-[^_]+_run-\d+)', 1) NOT IN (SELECT regexp_extract(name, '^(sub-\d+_ses-\d+_task-[^_]+_run-\d+)', 1) FROM files WHERE ext IN ('.edf', '.edf.gz'))"""
 register("A22_orphan_sidecars", lambda s, d: ds.orphan_sidecars(v.files(s, d)), [v.FILES], _ORPHANS)
-register(
-    "A23_validate_all", lambda s, d: ds.validate_all(v.files(s, d), _SESSION_LIST(s, d)), [v.FILES],
-    rf"""dr AS (SELECT sub, ses, run, CASE WHEN bool_or(md5 IS NULL) THEN 'x' || sub || '/' || ses || '/' || run ELSE string_agg(ext || md5, ',' ORDER BY ext, md5) END AS key FROM files GROUP BY sub, ses, run), iss AS (SELECT concat_ws('; ', {_ISSUES}) AS i FROM files GROUP BY sub, ses)
-    SELECT 'session_discrepancy' AS check, count(*) AS n FROM files WHERE regexp_extract(path, '/ses-(\d+)', 1) <> regexp_extract(name, 'ses-(\d+)', 1) UNION ALL SELECT 'empty_session', count(*) FROM ({_EMPTY}) UNION ALL SELECT 'orphan_sidecar', count(*) FROM ({_ORPHANS})
-    UNION ALL SELECT 'duplicate_run', count(*) - count(DISTINCT key) FROM dr UNION ALL SELECT 'invalid_session', count(*) FROM iss WHERE i <> ''""",
-)
+_COPIES = """k AS (SELECT sub, ses, day, CASE WHEN try_cast(trim(duration) AS double) IS NULL THEN trim(duration) ELSE ((round(try_cast(trim(duration) AS double) * 1e6)::bigint + 500) // 1000)::varchar END AS key FROM {scans}),
+sc AS (SELECT sub, ses, CASE WHEN bool_or(md5 IS NULL) THEN NULL ELSE string_agg(ext || ':' || length || ':' || md5, ',' ORDER BY ext, length, md5) END AS content FROM {files} GROUP BY ALL),
+cp AS (SELECT k.sub, day, key, count(*) AS n, count(DISTINCT content) = 1 AND count(content) = count(*) AS "full" FROM k LEFT JOIN sc USING (sub, ses) WHERE {on} GROUP BY ALL HAVING count(*) > 1)"""
+_FEW_KINDS = lambda s, d: v.scans(s, d).filter("ses <= 8").withColumn("duration", F.expr("cast(ses % 3 as string)"))
+_FINDINGS = rf"""{_COPIES.format(scans="scans", files="files", on="true")}, sl AS (SELECT DISTINCT o_custkey % 20 AS sub, o_orderkey % 10 AS ses FROM orders), ms AS (SELECT DISTINCT sub, ses FROM scans),
+dr AS (SELECT sub, ses, run, CASE WHEN bool_or(md5 IS NULL) THEN 'x' || sub || '/' || ses || '/' || run ELSE string_agg(ext || md5, ',' ORDER BY ext, md5) END AS key, count(*) AS n FROM files GROUP BY sub, ses, run),
+iss AS (SELECT sub, ses, concat_ws('; ', {_ISSUES}) AS i FROM files GROUP BY sub, ses),
+x AS (SELECT 'missing_folder' AS check, sub, 'ses-' || lpad(ses::varchar, 3, '0') AS item FROM ms ANTI JOIN sl USING (sub, ses) UNION ALL SELECT 'extra_folder', sub, 'ses-' || lpad(ses::varchar, 3, '0') FROM sl ANTI JOIN ms USING (sub, ses)
+UNION ALL SELECT 'session_discrepancy', sub, path FROM files WHERE regexp_extract(path, '/ses-(\d+)', 1) <> regexp_extract(name, 'ses-(\d+)', 1) UNION ALL SELECT 'empty_session', sub, 'ses-' || lpad(ses::varchar, 3, '0') FROM ({_EMPTY})
+UNION ALL SELECT 'orphan_sidecar', f.sub, o.name FROM ({_ORPHANS}) o JOIN files f USING (file_id) UNION ALL SELECT 'duplicate_run', sub, ses || '/' || run FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY n DESC, sub, ses, run) AS r FROM dr) WHERE r > 1
+UNION ALL SELECT 'invalid_session', sub, 'ses-' || lpad(ses::varchar, 3, '0') FROM iss WHERE i <> '' UNION ALL SELECT CASE WHEN "full" THEN 'full_copy' ELSE 'partial_copy' END, sub, day || ' ' || key FROM cp)"""
+register(
+    "A23_validate_all", lambda s, d: ds.validate_all(v.files(s, d), _SESSION_LIST(s, d), v.scans(s, d)), [v.SCANS, v.FILES], _FINDINGS + """
+    SELECT c.check, count(x.check) AS n, count(DISTINCT x.sub) AS subjects FROM (SELECT unnest(['missing_folder', 'extra_folder', 'session_discrepancy', 'empty_session', 'orphan_sidecar', 'duplicate_run', 'invalid_session', 'full_copy', 'partial_copy']) AS check) c LEFT JOIN x ON x.check = c.check GROUP BY c.check""",
+)
+register("A23_validation_issues", lambda s, d: ds.validation_issues(v.files(s, d), _SESSION_LIST(s, d), v.scans(s, d)), [v.SCANS, v.FILES], _FINDINGS + " SELECT * FROM x")
+register("A23_copies", lambda s, d: ds.copies_of_recordings(_FEW_KINDS(s, d), v.files(s, d).withColumns({"md5": F.expr("if(file_id % 31 = 0, null, cast(length % 2 as string))"), "length": F.lit(1), "ext": F.lit(".edf")})), [v.SCANS, v.FILES],
+    _COPIES.format(scans="(SELECT sub, ses, day, (ses % 3)::varchar AS duration FROM scans WHERE ses <= 8)", files="(SELECT sub, ses, '.edf' AS ext, 1 AS length, CASE WHEN file_id % 31 = 0 THEN NULL ELSE (length % 2)::varchar END AS md5 FROM files)", on="true") + " SELECT sub, day, key, n, \"full\" FROM cp")
 register("A24_archive_gate", lambda s, d: ds.archive_gate(v.files(s, d), [".edf.gz", ".md5"]), [v.FILES], r"SELECT regexp_extract(name, '^(sub-\d+_ses-\d+_task-[^_]+_run-\d+)', 1) AS base, count(*) AS n, bool_or(ext = '.edf.gz') AND bool_or(ext = '.md5') AS may_go FROM files GROUP BY 1")
 register("A26_session_info", lambda s, d: ds.session_info(v.files(s, d)), [v.FILES], "SELECT sub, ses, count(*) FILTER (ext = '.edf') AS edf, count(*) FILTER (ext = '.json') AS json, count(*) FILTER (ext = '.tsv') AS tsv, count(*) FILTER (ext NOT IN ('.edf', '.json', '.tsv')) AS other, count(*) AS total, round(sum(length) / 1048576, 6) AS mb FROM files GROUP BY ALL")
 register("K7_audit_log", lambda s, d: ds.audit_log(v.files(s, d), "cleanup"), [v.FILES], "SELECT sub, ses, 'cleanup' AS reason, sum(length)::bigint AS bytes, count(*) AS n, min(mtime) AS first, max(mtime) AS last, string_agg(DISTINCT ext, ';' ORDER BY ext) AS exts FROM files GROUP BY sub, ses")
@@ -460,6 +494,17 @@ register(
     SELECT x.rec, channel, event, CASE WHEN event = 0 OR v1 IS NULL THEN NULL WHEN v0 + v1 < 0 THEN -1 ELSE 1 END AS orientation, CASE WHEN event < 2 THEN 0 ELSE round((b - f) / (event - 1 - greatest(event - 10, 0)), 6) END AS pre,
     CASE WHEN event = 0 OR event = last THEN 0 ELSE round((l - v0) / (least(event + 9, last) - event), 6) END AS post FROM pe JOIN x ON x.rec = pe.rec AND x.idx = event""",
 )
+_TURNED = lambda s, d: v.samples(s, d).withColumn("v", F.expr("v - 50000"))
+_ORIENTED = _PULSES + """, o AS (SELECT x.rec, channel, event, last, CASE WHEN event = 0 OR v1 IS NULL THEN NULL WHEN v0 + v1 < 0 THEN -1 ELSE 1 END AS orientation, CASE WHEN event < 2 THEN 0 ELSE round((b - f) / (event - 1 - greatest(event - 10, 0)), 6) END AS pre, CASE WHEN event = 0 OR event = last THEN 0 ELSE round((l - v0) / (least(event + 9, last) - event), 6) END AS post
+FROM pe JOIN (SELECT rec, channel, idx, v - 50000 AS v0, lead(v - 50000, 4) OVER o AS v1, lag(v - 50000) OVER o AS b, first_value(v - 50000) OVER (o ROWS BETWEEN 10 PRECEDING AND CURRENT ROW) AS f, last_value(v - 50000) OVER (o ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING) AS l, max(idx) OVER (PARTITION BY rec, channel) AS last FROM samples WINDOW o AS (PARTITION BY rec, channel ORDER BY idx)) x ON x.rec = pe.rec AND x.idx = event),
+fd AS (SELECT e.rec, e.channel, e.event, CASE WHEN e.event >= 5 AND e.event + 9 <= e.last THEN coalesce(s.orientation <> e.orientation, false) END AS flip, CASE WHEN NOT (e.event >= 5 AND e.event + 9 <= e.last) THEN 'out of bounds' WHEN s.orientation IS NULL OR e.orientation IS NULL THEN 'ambiguous' WHEN s.orientation <> e.orientation THEN 'opposite' ELSE 'same' END AS reason,
+s.orientation AS stim_orientation, e.orientation AS evoked_orientation, s.pre AS stim_pre, s.post AS stim_post, e.pre AS evoked_pre, e.post AS evoked_post FROM o e LEFT JOIN o s ON s.rec = e.rec AND s.event = e.event AND s.channel = 1 WHERE e.channel <> 1)"""
+_DECIDED = lambda s, d: sg.flip_decisions(_TURNED(s, d), _EV(s, d), 1, 5, 10, 4, 10)
+register("N13_flip_decisions", lambda s, d: _DECIDED(s, d).withColumns({f"{a}_{b}": F.round(f"{a}_{b}", 6) for a in ("stim", "evoked") for b in ("pre", "post")}), [v.SAMPLES], _ORIENTED + " SELECT * FROM fd")
+register(
+    "N13_average_flipped", lambda s, d: sg.average_flipped(sg.epoch_events(_TURNED(s, d), _EV(s, d), 5, 10), _DECIDED(s, d)), [v.SAMPLES],
+    _ORIENTED + ', ' + _EPOCHS.removeprefix(_PULSES + ", ") + """ SELECT rec, channel, "offset", count(v) AS n, count(*) FILTER (flip) AS flipped, round(avg(CASE WHEN flip THEN 50000 - v ELSE v - 50000 END), 6) AS mean FROM epochs JOIN fd USING (rec, channel, event) WHERE flip IS NOT NULL GROUP BY ALL""",
+)
 register(
     # in units of pi: no residual of decimal samples then lies on a tie, where the two engines round apart
     "N10_detrend_linear", lambda s, d: sg.detrend_linear(v.samples(s, d)).select("rec", "channel", "idx", F.round(F.col("rest") / F.pi(), 4).alias("rest_pi")), [v.SAMPLES],
@@ -652,6 +697,12 @@ register(
     "K6_sidecar_json", lambda s, d: tsv.sidecar(tsv.channels(_SIGNALS(s, d)), ["SEEG", "ECG", "EOG"]), [],
     f"""{_CHANNELS} SELECT rec, '{{"SEEGChannelCount":' || count(*) FILTER (type = 'SEEG') || ',"ECGChannelCount":' || count(*) FILTER (type = 'ECG') || ',"EOGChannelCount":0}}' AS json FROM ch GROUP BY rec""",
 )
+_LASTS = lambda s, d: v.table(s, d, "part").groupBy(F.col("p_size").alias("rec")).agg(F.expr("concat('clip', count(*) % 3) as task"), (F.count("*") * 0.25).cast("double").alias("hours"))
+register(
+    "K6_sidecar_full", lambda s, d: tsv.sidecar_json(tsv.channels(_SIGNALS(s, d)), _LASTS(s, d), {"Manufacturer": "M", "PowerLineFrequency": "60"}).select("rec", *[F.get_json_object("json", f"$.{p}").alias(n) for p, n in (("TaskName", "task"), ("Manufacturer", "maker"), ("SamplingFrequency", "rate"), ("HardwareFilters.HighpassFilter['Cutoff (Hz)']", "high"), ("HardwareFilters.LowpassFilter['Cutoff (Hz)']", "low"), ("RecordingDuration", "seconds"), ("SEEGChannelCount", "seeg"), ("TriggerChannelCount", "trig"), ("EOGChannelCount", "eog"))]), [],
+    f"""{_CHANNELS}, f AS (SELECT rec, min((name, low_cutoff, high_cutoff)) FILTER (type = 'SEEG') AS first, count(*) FILTER (type = 'SEEG') AS seeg, count(*) FILTER (type = 'TRIG') AS trig, count(*) AS n FROM ch GROUP BY rec)
+    SELECT rec, 'clip' || (n % 3) AS task, 'M' AS maker, CASE WHEN first IS NULL THEN 'n/a' ELSE '512' END AS rate, coalesce(first[2], 'n/a') AS high, coalesce(first[3], 'n/a') AS low, (n * 900)::varchar || '.0' AS seconds, seeg::varchar AS seeg, trig::varchar AS trig, '0' AS eog FROM f""",
+)
 register(
     "K9_split_manifest", lambda s, d: tsv.split_manifest(v.scans(s, d).select("sub", "ses", "filename"), v.files(s, d).filter("ext = '.edf.gz'"), v.files(s, d).filter("ext = '.tsv' and file_id % 2 = 0")), [v.SCANS, v.FILES],
     "SELECT sub, ses, filename FROM scans WHERE (sub, ses) IN (SELECT (sub, ses) FROM files WHERE ext = '.edf.gz') AND (sub, ses) NOT IN (SELECT (sub, ses) FROM files WHERE ext = '.tsv' AND file_id % 2 = 0)",
@@ -693,7 +744,10 @@ def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 register("F9_redact_with_model", lambda s, d: tg.redact_with_model(v.texts(s, d), tg.train(_labelled(s, d))))
 register("F10_augment", lambda s, d: rd.augment(v.events_tsv(s, d).selectExpr("rec as doc", "seq as line", "text"), ["Ann", "Bo"], 11))
 register("F10_replace_and_noise", lambda s, d: rd.augment(v.events_tsv(s, d).selectExpr("rec as doc", "seq as line", "text"), ["Ann Lee", "Bo Ray"], 11, percent=20, replacing=20, noise=True))
-register("F11_split_by_case", lambda s, d: rd.split_by_case(v.events_tsv(s, d).select("rec", "seq"), "rec", 5).groupBy("rec").agg(F.count_distinct("split").alias("splits"), F.count("*").alias("n")), [v.EVENTS_TSV], "SELECT rec, 1 AS splits, count(*) AS n FROM events_tsv GROUP BY rec")
+register(
+    "F11_split_by_case", lambda s, d: rd.split_by_case(v.events_tsv(s, d).select("rec", "seq"), "rec", 5), [v.EVENTS_TSV],
+    "SELECT rec, seq, CASE WHEN h < 80 THEN 'train' WHEN h < 90 THEN 'valid' ELSE 'test' END AS split FROM (SELECT rec, seq, ('0x' || substr(md5('5:' || rec), 1, 8))::bigint % 100 AS h FROM events_tsv)",
+)
 register("A15_char_metrics", lambda s, d: rd.char_metrics(v.table(s, d, "events").selectExpr("transform(sequence(0, 9), k -> if((event_id + k) % 3 = 0, 1, 0)) as truth", "transform(sequence(0, 9), k -> if((event_id + k) % 6 < 2, 1, 0)) as guess")), [],
     """c AS (SELECT sum(((event_id + k) % 3 = 0 AND (event_id + k) % 6 < 2)::int)::bigint AS tp, sum(((event_id + k) % 3 <> 0 AND (event_id + k) % 6 < 2)::int)::bigint AS fp, sum(((event_id + k) % 3 = 0 AND (event_id + k) % 6 >= 2)::int)::bigint AS fn, sum(((event_id + k) % 3 <> 0 AND (event_id + k) % 6 >= 2)::int)::bigint AS tn FROM events, (SELECT unnest(range(0, 10)) AS k)),
     r AS (SELECT *, tp / (tp + fp + 1e-9) AS p, tp / (tp + fn + 1e-9) AS q FROM c) SELECT tp, fp, fn, tn, round(p, 6) AS precision, round(q, 6) AS recall, round(2 * p * q / (p + q + 1e-9), 6) AS f1, round(tn / (tn + fp + 1e-9), 6) AS retention FROM r""")

@@ -90,6 +90,26 @@ def sidecar(channel_rows: DataFrame, kinds: list[str]) -> DataFrame:
     return counts.select("rec", F.to_json(F.struct(*[F.col(k).alias(f"{k}ChannelCount") for k in kinds])).alias("json"))
 
 
+#: The standard's names of counts, by type of channel.
+COUNTS = {"EEG": "EEGChannelCount", "SEEG": "SEEGChannelCount", "EOG": "EOGChannelCount", "ECG": "ECGChannelCount", "EMG": "EMGChannelCount", "ECOG": "ECOGChannelCount", "MISC": "MiscChannelCount", "TRIG": "TriggerChannelCount"}
+
+
+def sidecar_json(channel_rows: DataFrame, recordings: DataFrame, equipment: dict[str, str], main: str = "SEEG") -> DataFrame:
+    """K6. rec, json of each recording: task, what `equipment` says, sampling rate and hardware filters of its first channel of the main kind by name (n/a without one), duration in seconds to
+    three places, counts of channels by kind. recordings: rec, task, hours; a recording without channels counts none."""
+    counts = [F.count_if(F.col("type") == kind).alias(name) for kind, name in COUNTS.items()]
+    first = F.min(F.when(F.col("type") == main, F.struct("name", "low_cutoff", "high_cutoff", "sampling_frequency"))).alias("first")
+    met = recordings.join(channel_rows.groupBy("rec").agg(*counts, first), "rec", "left")
+    known = lambda c: F.coalesce(F.col(f"first.{c}"), F.lit("n/a"))
+    cutoff = lambda c: F.struct(known(c).alias("Cutoff (Hz)"))
+    fields = [
+        F.col("task").alias("TaskName"), *[F.lit(v).alias(k) for k, v in equipment.items()], known("sampling_frequency").alias("SamplingFrequency"),
+        F.struct(cutoff("low_cutoff").alias("HighpassFilter"), cutoff("high_cutoff").alias("LowpassFilter")).alias("HardwareFilters"), F.lit("n/a").alias("SoftwareFilters"),
+        F.round(F.col("hours") * 3600, 3).alias("RecordingDuration"), F.lit("continuous").alias("RecordingType"), *[F.coalesce(c, F.lit(0)).alias(c) for c in COUNTS.values()],
+    ]
+    return met.select("rec", F.to_json(F.struct(*fields)).alias("json"))
+
+
 def split_manifest(scans: DataFrame, archives: DataFrame, existing: DataFrame) -> DataFrame:
     """K9. Rows of sessions that hold archives and have no manifest of their own yet."""
     return scans.join(archives.select("sub", "ses").distinct(), ["sub", "ses"], "left_semi").join(existing.select("sub", "ses").distinct(), ["sub", "ses"], "left_anti")
