@@ -5,7 +5,8 @@ frequent words (HEAD of them, in classes of HEAD_SIZE) are told apart by a softm
 by their counts in the corpus. The last class stands for all rarer and unknown words; what a word has of it is the caller's.
 
 Documents run in lanes, one after the other: a lane's state goes from window to window, and starts anew with a document. In
-training it starts anew after PIECE tokens, too; scores carry it through whole documents.
+training a long document is cut into pieces of PIECE tokens, so that it doesn't hold up all lanes; a piece starts from the state in which
+the weights at the start of the pass leave the document before it. Scores carry the state through whole documents.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ LN10 = np.log(10)
 TINY = np.float32(1e-30)
 #: Lanes that are trained in step: so many that a pass has some 60 updates, within bounds.
 LANES, UPDATES = (16, 512), 60
-PIECE = 512  # tokens after which training starts from a blank state
+PIECE = 512  # tokens of a piece in training
 
 
 @dataclass
@@ -132,6 +133,28 @@ def pieces(docs: list[np.ndarray], size: int) -> tuple[list[np.ndarray], list[in
     return [x for x, _ in cut], [k for _, k in cut]
 
 
+def states_between(w: dict[str, np.ndarray], vocabulary: Vocabulary, docs: list[np.ndarray], size: int, most: int = 512) -> np.ndarray:
+    """The state before each of the pieces() of docs: zero for a document's first."""
+    count = [max(1, -(-len(d) // size)) for d in docs]
+    first = np.concatenate([[0], np.cumsum(count)])
+    out = np.zeros((first[-1], w["U"].shape[0]), np.float32)
+    long_ = [i for i, n in enumerate(count) if n > 1]
+    if not long_:
+        return out
+    # up to where the last piece starts; no softmax is needed here
+    x, _, of, fresh, live = grid([docs[i][: (count[i] - 1) * size] for i in long_], vocabulary, most)
+    h, seen = np.zeros((x.shape[1], out.shape[1]), np.float32), np.zeros(len(long_), np.int64)
+    for t in range(len(x)):
+        m = live[t]
+        h = step(w, x[t, :m], np.where(fresh[t, :m, None], np.float32(0), h[:m]))[0]
+        seen[of[t, :m]] += 1
+        ends = np.flatnonzero(seen[of[t, :m]] % size == 0)
+        for j in ends.tolist():
+            d = of[t, j]
+            out[first[long_[d]] + seen[d] // size] = h[j]
+    return out
+
+
 def sigmoid(x: np.ndarray) -> np.ndarray:
     """In place."""
     np.negative(x, out=x)
@@ -200,25 +223,39 @@ def score(w: dict[str, np.ndarray], vocabulary: Vocabulary, docs: list[np.ndarra
     return out
 
 
-def train(w: dict[str, np.ndarray], vocabulary: Vocabulary, docs: list[np.ndarray], most: int | None = None, window: int = 16, rate: float = 4e-3) -> tuple[dict[str, np.ndarray], int]:
-    """One pass over docs by Adam, backpropagating through windows; returns the weights and the number of tokens seen."""
+@dataclass
+class Moments:
+    """What Adam knows of earlier steps."""
+
+    first: dict[str, np.ndarray]
+    second: dict[str, np.ndarray]
+    steps: int = 0
+
+    @classmethod
+    def none(cls, w: dict[str, np.ndarray]) -> Moments:
+        return cls({k: np.zeros_like(v) for k, v in w.items()}, {k: np.zeros_like(v) for k, v in w.items()})
+
+
+def train(w: dict[str, np.ndarray], vocabulary: Vocabulary, docs: list[np.ndarray], most: int | None = None, window: int = 16, rate: float = 4e-3, moments: Moments | None = None) -> tuple[dict[str, np.ndarray], int]:
+    """One pass over docs by Adam, backpropagating through windows; returns the weights and the number of tokens seen. moments: of the passes before, which go on in place."""
     w = {k: v.copy() for k, v in w.items()}
+    moments = moments or Moments.none(w)
     if not docs:
         return w, 0
     most = most or int(np.clip(sum(map(len, docs)) // (window * UPDATES), *LANES))
+    left = states_between(w, vocabulary, docs, PIECE)
     docs, before = pieces(docs, PIECE)
-    x, y, _, starts, live = grid(docs, vocabulary, most, before)
+    x, y, of, starts, live = grid(docs, vocabulary, most, before)
     hidden = w["U"].shape[0]
     h = np.zeros((x.shape[1], hidden), np.float32)
-    m1, m2 = ({k: np.zeros_like(v) for k, v in w.items()} for _ in range(2))
-    steps = 0
+    m1, m2 = moments.first, moments.second
     for t0 in range(0, len(x), window):
         t1 = min(t0 + window, len(x))
         kept = []
         for t in range(t0, t1):
             n = live[t]
             fresh = starts[t, :n, None]
-            before = np.where(fresh, np.float32(0), h[:n])
+            before = np.where(fresh, left[of[t, :n]], h[:n])
             h, zr, c, uc = step(w, x[t, :n], before)
             kept.append((before, zr, c, uc, fresh, h))
         s = np.concatenate([k[-1] for k in kept])
@@ -266,7 +303,7 @@ def train(w: dict[str, np.ndarray], vocabulary: Vocabulary, docs: list[np.ndarra
         order = np.argsort(fed_, kind="stable")
         edge = np.flatnonzero(np.diff(fed_[order], prepend=-1))
         g["E"][fed_[order[edge]]] = np.add.reduceat(np.concatenate(grads)[order], edge, axis=0)
-        steps += 1
+        moments.steps = steps = moments.steps + 1
         decay = min(1.0, steps / 20)
         for k in w:
             gk = np.clip(g[k] / count, -1, 1) if k == "U" else g[k] / count

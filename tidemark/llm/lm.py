@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import gru
-from tidemark.llm.work import bounded_batches, text_or_empty, written
+from tidemark.llm.work import apart, bounded_batches, text_or_empty, written
 
 KNOWN, SEEN = 200_000, 3
 HIDDEN, ROUNDS, TRAINERS, FAN_IN = 16, 4, 6, 64
@@ -104,9 +104,10 @@ def train(docs: DataFrame, words: gru.Vocabulary, seed: int = 7) -> bytes:
 
         def run(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
             w, trainer, seen, docs_, size = now, None, 0, [], 0
+            moments = gru.Moments.none(now)
 
             def out() -> pa.RecordBatch:
-                v, n = gru.train(w, words, docs_)
+                v, n = gru.train(w, words, docs_, moments=moments)
                 return weight_rows([(trainer, gru.pack(v), seen + n)] if seen + n else [])
 
             for b in batches:
@@ -114,11 +115,11 @@ def train(docs: DataFrame, words: gru.Vocabulary, seed: int = 7) -> bytes:
                     if t != trainer:
                         if trainer is not None:
                             yield out()
-                        w, trainer, seen, docs_, size = now, t, 0, [], 0
+                        w, trainer, seen, docs_, size, moments = now, t, 0, [], 0, gru.Moments.none(now)
                     docs_.append(np.frombuffer(x, "<i4").astype(np.int64))
                     size += len(docs_[-1])
                     if size > PASS_TOKENS:
-                        w, n = gru.train(w, words, docs_)
+                        w, n = gru.train(w, words, docs_, moments=moments)
                         seen, docs_, size = seen + n, [], 0
             if trainer is not None:
                 yield out()
@@ -198,17 +199,22 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     bounded_batches(docs.sparkSession)
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).cast("binary").alias("text"))
     learning = own.filter(fold(F.col("doc_id")) != 2)
+    # a row's name depends on nothing but the row, so that a task that is tried again gives the same
+    named, _ = apart(own.withColumn("own id", F.col("doc_id")))
+    named = named.select(F.coalesce("doc_id", F.xxhash64("text")).alias("row"), F.col("own id").alias("doc_id"), "text")
     counts = written(count_words(learning), "word-counts")
     words = vocabulary(counts)
     weights = train(learning, words)
-    rows = partial_rows(own.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"), words, weights)
+    rows = partial_rows(named, words, weights)
     rare = counts.select("word", F.col("n").alias("c"))
     if len(words.counts):
         last = int(words.counts[-1])
         rare = rare.filter(F.col("c") <= last)  # the others are in the vocabulary
     met = rows.join(rare, "word", "left")
     log_c = F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + 1.0)
-    sums = met.groupBy("row").agg(F.max("head").alias("h"), F.sum(F.when(F.col("c").isNotNull(), F.col("n")).otherwise(0)).alias("seen"), F.sum(log_c).alias("rare_log"))
+    sums = met.groupBy("row").agg(F.max("head").alias("h"), F.count("head").alias("copies"), F.sum(F.when(F.col("c").isNotNull(), F.col("n")).otherwise(0)).alias("seen"), F.sum(log_c).alias("rare_log"))
+    # equal rows have one name: each has the same share of the sums, and gets a row of its own
+    sums = sums.select("h", (F.col("seen") / F.col("copies")).cast("long").alias("seen"), (F.col("rare_log") / F.col("copies")).alias("rare_log"), F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))).alias("copy"))
     n = F.col("h.n_tokens")
     base = F.col("h.known_log") + F.col("rare_log") - n * F.lit(float(np.log10(words.total + words.distinct + 1)))
     model = F.col("h.model_log") + F.col("rare_log") - F.col("h.n_tail") * F.lit(float(np.log10(words.tail_total + words.tail_distinct + 1)))
