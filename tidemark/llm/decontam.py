@@ -36,7 +36,8 @@ from tidemark.llm.work import bounded_batches, text_or_empty, written
 SHINGLE, SIMILARITY = 5, 0.8
 RADIUS, BLOCKS = 17, 6
 EDGES = [64 * i // BLOCKS for i in range(BLOCKS + 1)]
-BLOCK_WORDS, LOOKED_UP = 2_000_000, 10_000
+#: Words of the benchmark at a time; items that the windows looked up at a time find in a block.
+BLOCK_WORDS, LOOKED_UP = 2_000_000, 1_000_000
 WORD = re.compile(r"\w+")
 SCHEMA = "doc_id long, item_id long, start_word long, n_words long, hamming int, similarity double"
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -96,19 +97,20 @@ class Items:
             self.blocks.append((U(lo), U((1 << (hi - lo)) - 1), np.array(near), np.searchsorted(value[order], np.arange((1 << (hi - lo)) + 1)), order))
 
     def candidates(self, fps: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """Window, item and distance of all pairs within RADIUS bits, LOOKED_UP windows at a time."""
-        for at in range(0, len(fps), LOOKED_UP):
-            part = fps[at : at + LOOKED_UP]
+        """Window, item and distance of all pairs within RADIUS bits; so many windows at a time that a block's look-ups find about LOOKED_UP items."""
+        step = max(1, LOOKED_UP // max(1, max(len(near) * len(self.ids) >> bits for (_, _, near, _, _), bits in zip(self.blocks, np.diff(EDGES).tolist(), strict=True))))
+        for at in range(0, len(fps), step):
+            part = fps[at : at + step]
             met = []
             for shift, mask, near, start, order in self.blocks:
                 value = (((part >> shift) & mask).astype(np.int64)[:, None] ^ near).reshape(-1)
                 size = start[value + 1] - start[value]
-                window = np.repeat(np.arange(len(part)), len(near))
-                met.append(np.repeat(window, size) * len(self.ids) + order[ranges(start[value], size)])
+                window = np.repeat(np.arange(len(part)), size.reshape(len(part), -1).sum(axis=1))
+                item = order[ranges(start[value], size)]
+                close = np.bitwise_count(part[window] ^ self.fps[item]) <= RADIUS  # what one block finds is told apart before the blocks are put together
+                met.append(window[close] * len(self.ids) + item[close])
             window, item = np.divmod(np.unique(np.concatenate(met)), len(self.ids))
-            apart = np.bitwise_count(part[window] ^ self.fps[item])
-            ok = apart <= RADIUS
-            yield window[ok] + at, item[ok], apart[ok]
+            yield window + at, item, np.bitwise_count(part[window] ^ self.fps[item])
 
 
 def ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
