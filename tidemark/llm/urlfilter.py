@@ -1,6 +1,6 @@
 """URL filter: allow and block rules by host and path, and logistic regression on hashed character n-grams for the rest.
 
-DataFrame functions and Spark's own ML transformers only. The model learns from a small labelled table of URLs (LABELLED
+DataFrame functions and Spark's own ML transformers only. The model learns from a small labelled table of URLs (labelled()
 below, or the caller's); its features are the character n-grams of the host and of the path, hashed to BUCKETS columns,
 host and path apart. A URL that a rule fits gets the longest rule's verdict, any other the model's.
 
@@ -25,39 +25,64 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: (verdict, host, path). At most a few hundred: they become one expression.
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 
-#: The labelled URLs: everyday names for sites of link farms, pills, gambling, adult content, advertising, credit and cracked software are
-#: bad; those of schools, papers, clubs, authorities and the like are good. None comes from the tables that the filter judges.
-BAD_NAMES = """
-link-farm backlink-farm content-farm seo-links spam-links link-exchange bulk-spam spam-mailer cheap-meds buy-pills diet-pills pills-online
-generic-meds viagra-shop pharmacy-deals casino-bonus online-casino lucky-casino live-casino poker-win poker-room big-win win-cash sport-bets
-bets-today betting-odds free-spins slots-jackpot roulette-win adult-cam adult-chat adult-video xxx-tube porn-clips sexy-cams escort-dates ads-click
-banner-ads popup-ads ad-server click-tracker track-pixel tracking-ads payday-loans fast-credit free-money replica-watches crypto-double
-warez-crack keygen-download
-""".split()
-GOOD_NAMES = """
-library news weather garden-notes city-museum open-atlas history cooking science schools river-trust chess astronomy choir old-maps bird-watch
-train-times local-paper public-health bike-paths university archive theatre orchestra mathematics translation literature geography philosophy
-agriculture parliament county-records mountain-hut botanical-garden home-recipes language-course teachers hospital kindergarten football-club
-running-group photography carpentry knitting-circle film-society open-data software-docs research-notes station-map harbour-guide village-hall
-poetry music-school national-park fire-brigade post-office tourist-info book-club fishing-lake engineering international institution
-""".split()
-#: Every name comes with each of these, so that they tell nothing.
+#: The labelled URLs are made from words of kinds of sites. A host's name is two words of one kind; a path is a folder of a kind and a page.
+BAD_WORDS = {
+    "gambling": ["casino bet poker slots roulette jackpot lotto blackjack", "royal mega vip lucky vegas gold instant tips"],
+    "medicines": ["pills meds viagra cialis pharma slimming steroids botox", "cheap noprescription discount generic fast order direct bulk"],
+    "adult": ["xxx porn sex cams escort nude fetish hookup", "live hot free tube teens chat girls nights"],
+    "advertising": ["ads adserver clicks banner popunder tracker affiliate leads", "serve media network pixel cdn max boost sync"],
+    "link farms": ["links backlinks seo spam spinner doorway traffic directory", "farm exchange pump auto rank blast bulk builder"],
+    "pirated": ["warez crack keygen torrent serials nulled cracked rips", "full download zone free hub key fix mirror"],
+    "money": ["payday loans credit forex crypto binary cashback profit", "quick easy instant double secret now guaranteed rich"],
+    "fakes": ["replica fake outlet knockoff rolex handbags counterfeit clone", "luxury cheap sale brand store best wholesale deals"],
+}
+GOOD_WORDS = {
+    "learning": ["university school library lectures physics algebra grammar atlas", "open faculty reading course notes department public evening"],
+    "news": ["gazette courier herald weather politics editorial chronicle radio", "daily local regional morning city valley northern weekly"],
+    "nature": ["garden birds forest river geology botany meadow wildlife", "society trust survey watch park heritage trail coast"],
+    "culture": ["museum theatre orchestra poetry gallery choir cinema archive", "national modern chamber folk summer house company hall"],
+    "public": ["council parliament hospital firestation courts census transit harbour", "county district office authority service board town ministry"],
+    "software": ["compiler database kernel editor library-docs protocol toolkit manual", "project wiki reference developers release guide source team"],
+    "home": ["recipes baking carpentry knitting bicycle pottery camping chess", "club corner workshop journal kitchen tales friends weekend"],
+    "science": ["astronomy chemistry genome climate ocean fossils neuroscience statistics", "institute laboratory group review data seminar observatory centre"],
+}
+#: Folders and pages that tell, for either kind, and those that don't.
+BAD_PATHS = "/casino/bonus /bet/signup /go/aff /click/out /track/redirect /buy/pills /order/noprescription /xxx/gallery /cams/live /promo/win /download/crack /keygen/full /loan/apply /win/prize /aff/landing /sponsored/deal".split()
+GOOD_PATHS = "/articles/history /docs/install /research/papers /news/local /library/catalogue /wiki/page /lectures/notes /events/concert /guide/chapter /minutes/meeting /recipes/bread /maps/trails /archive/letters /courses/syllabus /about/staff /reports/annual".split()
+PLAIN_PATHS = ["/en/{n}", "/de/{n}/", "/fr/{n}.html", "/es/{n}", "/{n}", "/p/{n}", ""]
 PREFIXES = ["", "www.", "blog.", "m."]
 DOMAINS = ["example.com", "example.org", "example.net"]
-PATHS = ["/en/{n}", "/de/{n}/", "/fr/{n}.html", "/es/{n}", "/en/{n}/"]
+#: Hosts that tell nothing: names of people and places' first letters, on both sides.
+PLAIN_HOSTS = ["anna", "site", "home", "pages", "host7", "mk", "lund", "portal", "web3", "ida", "node", "kw"]
+
+
+def names(kinds: dict[str, list[str]]) -> list[str]:
+    """Each first word of a kind with three of its second ones, in either order."""
+    out = []
+    for first, second in kinds.values():
+        a, b = first.split(), second.split()
+        for i, x in enumerate(a):
+            for j in (0, 3, 5):
+                y = b[(i + j) % len(b)]
+                out.append(f"{x}-{y}" if (i + j) % 2 else f"{y}{x}")
+    return out
 
 
 def labelled(spark: SparkSession, part: Callable[[int], bool] = lambda i: True) -> DataFrame:
-    """url, bad: the table that the filter learns from, 12 rows for each name; part picks names by their number, for held-out ones."""
+    """url, bad: the table that the filter learns from, some 1500 rows: telling hosts with plain paths and plain hosts with telling paths, in as many rows of either
+    kind, so that prefixes, domains and plain parts tell nothing. part picks hosts' first words and paths by their number, for held-out ones."""
     rows = []
-    for bad, names in ((1.0, BAD_NAMES), (0.0, GOOD_NAMES)):
-        for i, name in enumerate(names):
-            if not part(i):
-                continue
-            for j, prefix in enumerate(PREFIXES):
-                for k, domain in enumerate(DOMAINS):
-                    path = PATHS[(i + j + 2 * k) % len(PATHS)].format(n=(37 * i + 11 * j + 5 * k) % 1000)
-                    rows.append((f"https://{prefix}{name}.{domain}{path}", bad))
+    for bad, kinds, paths in ((1.0, BAD_WORDS, BAD_PATHS), (0.0, GOOD_WORDS, GOOD_PATHS)):
+        for i, name in enumerate(names(kinds)):
+            if part(i // 3):
+                for j in range(3):
+                    host = f"{PREFIXES[(i + j) % 4]}{name}.{DOMAINS[(i // 3 + j) % 3]}"
+                    rows.append((f"https://{host}{PLAIN_PATHS[(i + 2 * j) % len(PLAIN_PATHS)].format(n=(37 * i + 11 * j) % 1000)}", bad))
+        for i, path in enumerate(paths):
+            if part(i):
+                for j in range(12):
+                    host = f"{PREFIXES[(i + j) % 4]}{PLAIN_HOSTS[j]}.{DOMAINS[(i + j) % 3]}"
+                    rows.append((f"https://{host}{path}{['', '.html', '/', f'-{(53 * i + 7 * j) % 100}'][j % 4]}", bad))
     return spark.createDataFrame(rows, "url string, bad double")
 
 
