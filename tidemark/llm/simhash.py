@@ -404,8 +404,9 @@ def keyed(rows: DataFrame, shingle: int, similarity: float) -> DataFrame:
     return rows.select("doc_id", "component_id", "text").mapInArrow(run, "doc_id long, component_id long, key long")
 
 
-def prints(texts: DataFrame, shingle: int, similarity: float, print_words: int) -> DataFrame:
-    """doc_id, digest (128 bits of the text), fp (a SimHash of shingles of print_words words), size (different shingles), keys (prefix keys), in one pass over rows (doc_id, text)."""
+def prints(texts: DataFrame, shingle: int, similarity: float, print_words: int, last: np.ndarray | None = None) -> DataFrame:
+    """doc_id, digest (128 bits of the text), fp (a SimHash of shingles of print_words words), size (different shingles), keys (prefix keys), in one pass over rows (doc_id, text). last: shingles that come
+    last in the order of keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -413,7 +414,7 @@ def prints(texts: DataFrame, shingle: int, similarity: float, print_words: int)
             for text in b.column(1).to_pylist():
                 words = word_hashes(text)
                 own = np.unique(shingle_hashes(words, shingle))
-                made.append((xxhash.xxh3_128_digest(text), majority(shingle_hashes(words, print_words)), prefix_of(own, similarity).view(np.int64), len(own)))
+                made.append((xxhash.xxh3_128_digest(text), majority(shingle_hashes(words, print_words)), prefix_of(own, similarity, last).view(np.int64), len(own)))
             fp = np.array([m[1] for m in made], np.uint64).view(np.int64)
             ends = np.cumsum([0, *(len(m[2]) for m in made)])
             keys = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([m[2] for m in made]) if made else [], pa.int64()))
@@ -432,29 +433,18 @@ def copies(rows: DataFrame) -> DataFrame:
     return single.join(first, "digest").filter("doc_id > first").select("doc_id").distinct()
 
 
-def candidate_groups(texts: DataFrame, rows: DataFrame, radius: int, shingle: int, similarity: float) -> DataFrame:
-    """doc_id, component_id of rows (doc_id, fp, size, keys) in groups of more than one: those linked by a prefix key, fingerprints at most radius bits apart and sizes that allow the similarity.
-
-    Prefix keys that very many documents have (stock phrases) come last in the order of shingles: the documents that have one of them
-    choose their keys anew. How many keys can be common is bounded by COMMON_SHARE.
-    """
-    keyed_ = rows.select("doc_id", "fp", "size", F.explode("keys").alias("key"))
-    counts = written(keyed_.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "simhash-key-counts")
+def common_keys(rows: DataFrame) -> np.ndarray:
+    """Prefix keys that very many documents have (stock phrases), ascending: at most 1 / COMMON_SHARE. rows: keys."""
+    counts = written(rows.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > COMMON), "simhash-key-counts")
     total = rows.agg(F.sum(F.size("keys"))).first()[0] or 0
-    common = written(counts.filter(F.col("n") > max(COMMON, total * COMMON_SHARE)).select("key"), "simhash-common")
-    if not common.isEmpty():
-        last = np.sort(common.toArrow().column(0).to_numpy().view(np.uint64))  # at most 1 / COMMON_SHARE keys
-        again = written(keyed_.join(common, "key", "left_semi").select("doc_id").distinct(), "simhash-again")
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                keys = [prefix_of(shingles(x, shingle), similarity, last).view(np.int64) for x in b.column(3).to_pylist()]
-                take = pa.array(np.repeat(np.arange(len(keys)), [len(x) for x in keys]))
-                yield pa.RecordBatch.from_arrays([*(b.column(i).take(take) for i in range(3)), pa.array(np.concatenate(keys) if keys else [], pa.int64())], names=["doc_id", "fp", "size", "key"])
-
-        fresh = texts.join(again, "doc_id", "left_semi").join(rows.select("doc_id", "fp", "size").distinct(), "doc_id").select("doc_id", "fp", "size", "text").mapInArrow(run, "doc_id long, fp long, size int, key long")
-        keyed_ = written(keyed_.join(again, "doc_id", "left_anti").unionByName(fresh), "simhash-keys")
-    found = linked(keyed_.select(F.col("key").alias("bucket"), "fp", F.col("doc_id").alias("node"), "size"), radius, similarity)
+    common = counts.filter(F.col("n") > total * COMMON_SHARE).select("key").toArrow().column(0).to_numpy()
+    discard(counts)
+    return np.sort(common.view(np.uint64))
+
+
+def candidate_groups(rows: DataFrame, radius: int, similarity: float) -> DataFrame:
+    """doc_id, component_id of rows (doc_id, fp, size, keys) in groups of more than one: those linked by a prefix key, fingerprints at most radius bits apart and sizes that allow the similarity."""
+    found = linked(rows.select(F.explode("keys").alias("bucket"), "fp", F.col("doc_id").alias("node"), "size"), radius, similarity)
     return components(found).select(F.col("node").alias("doc_id"), F.col("component").alias("component_id"))
 
 
@@ -463,7 +453,7 @@ def drop_near_duplicates(docs: DataFrame, radius: int = 12, shingle: int = 5, si
 
     Equal texts go first, all but the smallest id. The others are dealt by prefix keys: two texts whose sets of five-word shingles are 0.8
     similar share one of the first fifth of their shingles in the order of hashes, so a document goes to so many buckets, whatever the
-    number of documents. In a bucket the Gray-order index links fingerprints (of three-word shingles, which an edit changes less) at most `radius` bits
+    number of documents. Keys that more than COMMON documents have (and a share of COMMON_SHARE of all keys) come last in that order, and all choose their keys anew. In a bucket the Gray-order index links fingerprints (of three-word shingles, which an edit changes less) at most `radius` bits
     apart, where the numbers of shingles allow the similarity; two texts of just 0.8 are 8 to 10 bits apart on average, most pairs are nearer (README has the measured recall).
     Links make groups, and exact comparison settles them. A group of at most task_rows rows is settled in one task, in the order of ids. Of a larger one the
     first task_rows / 2 ids are, and the others are compared with those of them that stay and share a prefix key, which every
@@ -476,8 +466,14 @@ def drop_near_duplicates(docs: DataFrame, radius: int = 12, shingle: int = 5, si
     rows = written(prints(texts, shingle, similarity, print_words), "simhash-prints")
     same = written(copies(rows.select("doc_id", "digest")), "simhash-copies")
     gone = same
-    different = rows.join(same, "doc_id", "left_anti")
-    open_ = written(candidate_groups(texts.join(same, "doc_id", "left_anti"), different, radius, shingle, similarity), "simhash-open")
+    different = written(rows.drop("digest").join(same, "doc_id", "left_anti"), "simhash-different")
+    discard(rows)
+    last = common_keys(different)
+    if len(last):  # one more pass over the texts costs less than to send those that have such a key, which in a large corpus are most
+        before, different = different, written(prints(texts, shingle, similarity, print_words, last).drop("digest").join(same, "doc_id", "left_anti"), "simhash-different")
+        discard(before)
+    open_ = written(candidate_groups(different, radius, similarity), "simhash-open")
+    discard(different)
     left = written(texts.join(open_, "doc_id").select("doc_id", "component_id", "text"), "simhash-groups")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
