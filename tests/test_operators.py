@@ -596,3 +596,15 @@ def test_subfields_that_stay(spark):
     assert all(len(x) == 80 for row in scrub({"sex"}) for x in row)
     assert [tuple(x.rstrip() for x in r) for r in scrub({"sex", "startdate"})] == [("X F X X", "Startdate 02-FEB-2020 X X X"), ("X M X X", "Startdate 02-FEB-2020 X X X"), ("X X X X", "Startdate X X X X"), ("X X X X", "Startdate X X X X")]
     assert [tuple(x.rstrip() for x in r) for r in scrub({"additional"})][1] == ("X X X X extra words", "Startdate X X X X more")
+
+
+def test_one_long_channel_goes_to_many_tasks(spark):
+    """N11 over one channel of three million samples: no task has them all, and the peaks are those of the saw they make."""
+    n = 3_000_000
+    samples = spark.range(n).select(F.lit(1).cast("long").alias("rec"), F.lit(1).cast("long").alias("channel"), F.col("id").alias("idx"), F.expr("cast(if(id % 1000 = 500, 9, id % 7) as double)").alias("v"))
+    peaks = filters.find_peaks(samples, sel=8.0, thresh=8.0, size=1 << 18)
+    assert peaks.count() == n // 1000 and peaks.filter("idx % 1000 <> 500").count() == 0
+    from tidemark.operators.scans import beside
+
+    dealt = beside(samples, ["rec", "channel"], "idx", {"a": (F.col("v"), -1)}, 1 << 18).groupBy(F.spark_partition_id()).count().collect()
+    assert len(dealt) > 1 and max(r["count"] for r in dealt) < n

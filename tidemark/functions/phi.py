@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import groupby
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +15,8 @@ REDACTIONS = [
     (r"\b\d{1,2}/\d{1,2}/\d{2,4}\b", "[REDACTED_DATE]"),
     (r"\b\d{7,}\b", "[REDACTED_ID]"),
 ]
+# What a text must hold for a pattern to match: told apart by one cheap look before the pattern is tried at every place.
+NEEDED = {p: "@" if "@" in p else r"\d" if r"\d{" in p else None for p, _ in REDACTIONS}
 # Patterns that are looked for, the group that is reported, and their labels.
 FINDINGS = [
     (r"\b[A-Z][a-z]+\s+[A-Z][a-z]+\b", 0, "possible name"),
@@ -33,15 +37,25 @@ SUSPICIOUS = [r"[A-Za-z]+\s+[A-Za-z]+", r"[A-Z0-9]{6,}", r"\d{1,2}[-/\.]\d{1,2}[
 def redact(text: Column, patterns: list[tuple[str, str]] = REDACTIONS) -> Column:
     """F1 (and D1 with a caller's pattern table). Every pattern in turn, then control characters go; null becomes empty."""
     out = F.coalesce(text, F.lit(""))
-    for pattern, becomes in patterns:
-        out = F.regexp_replace(out, pattern, becomes)
+    known = NEEDED if patterns is REDACTIONS else {}
+    for needed, run in groupby(patterns, lambda p: known.get(p[0])):
+        changed = out
+        for pattern, becomes in run:
+            changed = F.regexp_replace(changed, pattern, becomes)
+        # no pattern puts in what one of these needs, so the text itself tells; a branch is all that is evaluated
+        out = changed if needed is None else F.when(text.contains(needed) if needed == "@" else text.rlike(needed), changed).otherwise(out)
     return F.regexp_replace(out, r"[\p{Cc}\p{Cf}\p{Zl}\p{Zp}]|[\p{Zs}&&[^ ]]", "")
 
 
 def find(df: DataFrame, key: str, text: str) -> DataFrame:
     """F2. key, label, match, n: what each pattern finds in the printable parts of more than two characters."""
     parts = F.explode(F.expr(f"filter(split({text}, '[^\\\\x20-\\\\x7e]+'), x -> length(x) > 2)")).alias("part")
-    hits = F.array(*[F.struct(F.lit(label).alias("label"), F.regexp_extract_all("part", F.lit(p), F.lit(g)).alias("found")) for p, g, label in FINDINGS])
+    part, none = F.col("part"), F.array().cast("array<string>")
+    digit = part.rlike(r"\d")
+    needed = {"possible date": digit, "email address": part.contains("@"), "phone number": digit, "possible SSN": digit, "labeled identifier": part.contains(":")}
+    found = lambda p, g: F.regexp_extract_all("part", F.lit(p), F.lit(g))
+    each = [F.struct(F.lit(label).alias("label"), (F.when(needed[label], found(p, g)).otherwise(none) if label in needed else found(p, g)).alias("found")) for p, g, label in FINDINGS]
+    hits = F.array(*each)
     each = df.select(key, parts).select(key, F.explode(hits).alias("h")).select(key, "h.label", F.explode("h.found").alias("match"))
     return each.filter((F.length("match") > 3) & ~F.lower("match").isin(STOP_WORDS)).groupBy(key, "label", "match").agg(F.count("*").alias("n"))
 
