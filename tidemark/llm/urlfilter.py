@@ -46,9 +46,9 @@ GOOD_WORDS = {
     "home": ["recipes baking carpentry knitting bicycle pottery camping chess", "club corner workshop journal kitchen tales friends weekend"],
     "science": ["astronomy chemistry genome climate ocean fossils neuroscience statistics", "institute laboratory group review data seminar observatory centre"],
 }
-#: Folders and pages that tell, for either kind, and those that don't.
-BAD_PATHS = "/casino/bonus /bet/signup /go/aff /click/out /track/redirect /buy/pills /order/noprescription /xxx/gallery /cams/live /promo/win /download/crack /keygen/full /loan/apply /win/prize /aff/landing /sponsored/deal".split()
-GOOD_PATHS = "/articles/history /docs/install /research/papers /news/local /library/catalogue /wiki/page /lectures/notes /events/concert /guide/chapter /minutes/meeting /recipes/bread /maps/trails /archive/letters /courses/syllabus /about/staff /reports/annual".split()
+#: Folders and pages that tell, for either kind (those that don't follow): a path is a folder with three of the pages.
+BAD_PATHS = {"junk": ["casino bet go click track buy order xxx cams promo download keygen loan win aff sponsored", "bonus signup out redirect pills gallery live prize crack apply landing deal cheap claim offer jackpot"]}
+GOOD_PATHS = {"plain": ["articles docs research news library wiki lectures events guide minutes recipes maps archive courses about reports", "history install papers local catalogue page notes concert chapter meeting bread trails letters syllabus staff annual"]}
 PLAIN_PATHS = ["/en/{n}", "/de/{n}/", "/fr/{n}.html", "/es/{n}", "/{n}", "/p/{n}", ""]
 PREFIXES = ["", "www.", "blog.", "m."]
 DOMAINS = ["example.com", "example.org", "example.net"]
@@ -56,6 +56,20 @@ DOMAINS = ["example.com", "example.org", "example.net"]
 PLAIN_HOSTS = ["anna", "site", "home", "pages", "host7", "mk", "lund", "portal", "web3", "ida", "node", "kw"]
 
 
+#: The most frequent pairs of letters of English: names of two to four of them say nothing, and such sites are good.
+PAIRS = "th he in er an re nd on en at ou ed ha to or it is hi es ng st ar te se le of".split()
+
+
+def nameless(n: int = 400) -> list[str]:
+    """Names that say nothing: pairs of letters by a rule."""
+    return ["".join(PAIRS[(i * step + 7 * k * k + i // 26) % len(PAIRS)] for k, step in enumerate((1, 3, 5, 11)[: 2 + i % 3])) for i in range(n)]
+
+
+def folders(kinds: dict[str, list[str]]) -> list[str]:
+    """Each folder with three pages."""
+    return [f"/{x}/{b[(i + j) % len(b)]}" for first, second in kinds.values() for a, b in [(first.split(), second.split())] for i, x in enumerate(a) for j in (0, 3, 7)]
+
+
 def names(kinds: dict[str, list[str]]) -> list[str]:
     """Each first word of a kind with three of its second ones, in either order."""
     out = []
@@ -69,8 +83,8 @@ def names(kinds: dict[str, list[str]]) -> list[str]:
 
 
 def labelled(spark: SparkSession, part: Callable[[int], bool] = lambda i: True) -> DataFrame:
-    """url, bad: the table that the filter learns from, some 1500 rows: telling hosts with plain paths and plain hosts with telling paths, in as many rows of either
-    kind, so that prefixes, domains and plain parts tell nothing. part picks hosts' first words and paths by their number, for held-out ones."""
+    """url, bad: the table that the filter learns from, some 2100 rows: telling hosts with plain paths and plain hosts with telling paths, in as many rows of either
+    kind, so that prefixes, domains and plain parts tell nothing; and good sites whose names say nothing. part picks hosts' first words and folders by their number, for held-out ones."""
     rows = []
     for bad, kinds, paths in ((1.0, BAD_WORDS, BAD_PATHS), (0.0, GOOD_WORDS, GOOD_PATHS)):
         for i, name in enumerate(names(kinds)):
@@ -78,11 +92,14 @@ def labelled(spark: SparkSession, part: Callable[[int], bool] = lambda i: True)
                 for j in range(3):
                     host = f"{PREFIXES[(i + j) % 4]}{name}.{DOMAINS[(i // 3 + j) % 3]}"
                     rows.append((f"https://{host}{PLAIN_PATHS[(i + 2 * j) % len(PLAIN_PATHS)].format(n=(37 * i + 11 * j) % 1000)}", bad))
-        for i, path in enumerate(paths):
-            if part(i):
-                for j in range(12):
-                    host = f"{PREFIXES[(i + j) % 4]}{PLAIN_HOSTS[j]}.{DOMAINS[(i + j) % 3]}"
+        for i, path in enumerate(folders(paths)):
+            if part(i // 3):
+                for j in range(6):
+                    host = f"{PREFIXES[(i + j) % 4]}{PLAIN_HOSTS[(i + 2 * j) % len(PLAIN_HOSTS)]}.{DOMAINS[(i + j) % 3]}"
                     rows.append((f"https://{host}{path}{['', '.html', '/', f'-{(53 * i + 7 * j) % 100}'][j % 4]}", bad))
+    for i, name in enumerate(nameless()):
+        if part(i):
+            rows.append((f"https://{PREFIXES[i % 4]}{name}.{DOMAINS[i % 3]}{PLAIN_PATHS[i % len(PLAIN_PATHS)].format(n=(91 * i) % 1000)}", 0.0))
     return spark.createDataFrame(rows, "url string, bad double")
 
 
