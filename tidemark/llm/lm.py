@@ -129,7 +129,8 @@ def train(docs: DataFrame, words: gru.Vocabulary, seed: int = 7) -> bytes:
         while parts > FAN_IN:
             parts = -(-parts // FAN_IN)
             done = done.withColumn("trainer", (F.col("trainer") / FAN_IN).cast("int")).repartitionById(parts, "trainer").sortWithinPartitions("trainer", "n", "weights").mapInArrow(merged, WEIGHTS)
-        for last in merged(done.orderBy("trainer").toArrow().to_batches()):
+        # at most FAN_IN rows, put in order here: a sort in Spark would run the trainers once more to sample them
+        for last in merged(done.toArrow().sort_by("trainer").to_batches()):
             weights = last.column(1)[0].as_py() if len(last) else weights
     return weights
 
