@@ -546,6 +546,18 @@ def test_time_axis_units(spark):
     assert out == [("long", "a", "days", 0.0, 1.0), ("long", "b", "days", 0.0, 2.000012), ("short", "a", "hours", 0.0, 1.0), ("short", "b", "hours", 2.0, 46.0)]
 
 
+def test_set_compare_query_tells_sessions_of_four_digits(spark, tmp_path):
+    import datetime
+
+    from tidemark import queries
+
+    # sessions whose numbers share the first three digits are alike in all else
+    rows = [(k * 354_0, 0, datetime.datetime(1995, 1, 1) + datetime.timedelta(days=60 * k), 1.0, "F") for k in range(1, 1051)]
+    spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz, o_totalprice double, o_orderstatus string").write.parquet(f"{tmp_path}/orders.parquet")
+    out = queries.QUERIES["J9_set_compare"](spark, str(tmp_path)).first()
+    assert (out.only_left, out.only_right) == (sum(n % 7 != 0 and n % 5 == 0 for n in range(1, 1051)), sum(n % 7 == 0 and n % 5 != 0 for n in range(1, 1051)))
+
+
 def test_anonymisation_issues(spark):
     from tidemark.operators import dataset
 
