@@ -558,6 +558,15 @@ def test_set_compare_query_tells_sessions_of_four_digits(spark, tmp_path):
     assert (out.only_left, out.only_right) == (sum(n % 7 != 0 and n % 5 == 0 for n in range(1, 1051)), sum(n % 7 == 0 and n % 5 != 0 for n in range(1, 1051)))
 
 
+def test_sidecar_writes_long_durations_as_plain_numbers(spark):
+    from tidemark.sources import tsv
+
+    channels = tsv.channels(spark.createDataFrame([(1, "LA1", "uV", "HP:0.1Hz", 256)], "rec long, label string, unit string, prefilter string, rate int"))
+    recordings = spark.createDataFrame([(1, "rest", 6000.0), (2, "rest", 3000.0625), (3, "rest", 0.5)], "rec long, task string, hours double")
+    out = {r.rec: re.search('"RecordingDuration":([^,]*),"RecordingType":"continuous"', r.json)[1] for r in tsv.sidecar_json(channels, recordings, {}).collect()}
+    assert out == {1: "21600000.0", 2: "10800225.0", 3: "1800.0"}
+
+
 def test_anonymisation_issues(spark):
     from tidemark.operators import dataset
 
