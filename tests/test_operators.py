@@ -546,6 +546,14 @@ def test_time_axis_units(spark):
     assert out == [("long", "a", "days", 0.0, 1.0), ("long", "b", "days", 0.0, 2.000012), ("short", "a", "hours", 0.0, 1.0), ("short", "b", "hours", 2.0, 46.0)]
 
 
+def test_time_axis_rounds_as_sql(spark):
+    import duckdb
+
+    rows = spark.createDataFrame([("k", "a", 0, 864000), ("k", "b", 22599, 22599 + 5643)], "key string, label string, start long, stop long")
+    out = {r.label: (r.offset, r.length) for r in manifest.time_axis(rows, "key").collect()}
+    assert out["b"] == duckdb.sql("SELECT round(22599 / 86400.0::double, 6), round(5643 / 86400.0::double, 6)").fetchall()[0]
+
+
 def test_set_compare_query_tells_sessions_of_four_digits(spark, tmp_path):
     import datetime
 
