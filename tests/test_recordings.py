@@ -10,6 +10,8 @@ import struct
 import zipfile
 
 import pytest
+import pyarrow as pa
+import numpy as np
 from pyspark.sql import functions as F
 
 from tidemark.sources import archives, edf, edf_bytes, edf_files
@@ -187,3 +189,24 @@ def test_archives(spark, tmp_path):
         "a.zip": ("zip", 100_010, None), "comment.zip": ("zip", 3, None), "front.zip": ("zip", 11, None), "none.zip": ("zip", 0, None), "wide.zip": ("zip", (5 << 32) + (1 << 33) + 9, None), "cut.zip": ("zip", 0, "no end record"), "empty.zip": ("zip", 0, "no end record"),
         "many.zip": ("zip", 3000, None), "a.edf.gz": ("gzip", 12345, None), "bad.gz": ("gzip", 0, "no gzip file"), "a.rar": ("archive", 0, "no reader for this kind"), "plain.edf": ("file", 77, None), "wrapped.gz": ("gzip", 17, "over 4 GiB: the size is a remainder"),
     }
+
+
+def test_cells_of_a_batch_are_those_of_single_rows():
+    signals = [{"phys_min": "-500", "phys_max": "500", "dig_min": "-2000", "dig_max": "2000", "spr": "3"}, {"phys_min": "0", "phys_max": "10", "dig_min": "5", "dig_max": "500", "spr": "2"}]
+    rows = [(0, [1.0, None, 3.25]), (2, None), (1, [2.0]), (0, []), (0, [float("inf"), float("-inf"), 9e9, 1.0]), (1, [None, 4.0, 5.0]), (0, None), (0, [float("nan"), -0.1])]
+    values = pa.array([None, *[v for _, v in rows]], pa.list_(pa.float64())).slice(1)
+    for wide in (2, 3):
+        cells = list(edf_bytes.encoded_cells(signals, pa.array([c for c, _ in rows], pa.int32()), values, wide))
+        blanks = [edf_bytes.encoded_values(s, [], wide) for s in signals]
+        for (c, v), cell in zip(rows, cells, strict=True):
+            if c < 2 and v != rows[4][1]:
+                assert cell + blanks[c][len(cell) :] == edf_bytes.encoded_values(signals[c], v or [], wide)
+        assert [int.from_bytes(cells[4][i : i + wide], "little", signed=True) for i in range(0, 3 * wide, wide)] == [2000, -2000, 2000] and cells[1] == b""
+
+
+def test_blocks_of_samples_become_bounded_batches():
+    blocks = [edf_files.Block(f"f{k}", k, 10 * k, np.full((3, 50), float(k))) for k in range(3000)]
+    out = list(edf_files.batches(iter([*blocks[:2], edf_files.failure("bad", "why", "samples"), *blocks[2:]]), "samples"))
+    assert all(b.num_rows <= edf_files.ROWS and len(b.column(3).flatten()) <= edf_files.WEIGHT for b in out) and len(out) < 10
+    rows = {(r["path"], r["record"]): r for b in out for r in b.to_pylist()}
+    assert len(rows) == 9001 and rows["bad", None]["reason"] == "why" and rows["f7", 72] == {"path": "f7", "channel": 7, "record": 72, "values": [7.0] * 50, "reason": None}
