@@ -637,3 +637,22 @@ def test_one_long_channel_goes_to_many_tasks(spark):
 
     dealt = beside(samples, ["rec", "channel"], "idx", {"a": (F.col("v"), -1)}, 1 << 18).groupBy(F.spark_partition_id()).count().collect()
     assert len(dealt) > 1 and max(r["count"] for r in dealt) < n
+
+
+def test_epochs_and_turns_shuffle_samples_and_events_only(spark):
+    from tidemark.operators import signals
+
+    values = [float((k * k * 7) % 23) for k in range(60)]
+    samples = spark.createDataFrame([(1, c, k, (v - 11) * (2 - c) + c / 8 if k % 11 else None) for c in (1, 2, 3) for k, v in enumerate(values)] + [(1, 4, k, 5.1) for k in range(60)], "rec long, channel long, idx long, v double")
+    at = spark.createDataFrame([(1, k) for k in range(60)], "rec long, event long")
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    flipped = signals.flips(samples, at, 1, 2, 4, 4, 4)
+    z = signals.zscore_windows(signals.epoch_windows(samples, at, 3, 4, 16), 3)
+    # the rows of epochs meet nothing: one join of samples and events for each of the two sides, and that of an event with its stimulated channel
+    assert plan(z).count("Join") == 1 and plan(flipped).count("Join") == 3 and plan(filters.orientation(samples, at, 4, 4)).count("Join") == 1
+    epochs = signals.epoch_events(samples, at, 3, 4)
+    as_rows = lambda df: sorted(tuple(round(x, 5) if isinstance(x, float) else x for x in r) for r in df.na.fill(-99.0).collect())
+    assert as_rows(z) == as_rows(signals.baseline_zscore(epochs)) and all(r.z is None for r in z.filter("channel = 4").collect())
+    one = signals.average_flips(flipped, 2)
+    assert as_rows(one) == as_rows(signals.average_flipped(signals.epoch_events(samples, at, 2, 4), flipped.drop("values"))) and one.agg(F.sum("flipped")).first()[0] > 0
+    assert {r.z for r in signals.zscore_windows(signals.epoch_windows(samples, at, 0, 4), 0).collect()} == {None}
