@@ -210,3 +210,12 @@ def test_blocks_of_samples_become_bounded_batches():
     assert all(b.num_rows <= edf_files.ROWS and len(b.column(3).flatten()) <= edf_files.WEIGHT for b in out) and len(out) < 10
     rows = {(r["path"], r["record"]): r for b in out for r in b.to_pylist()}
     assert len(rows) == 9001 and rows["bad", None]["reason"] == "why" and rows["f7", 72] == {"path": "f7", "channel": 7, "record": 72, "values": [7.0] * 50, "reason": None}
+
+
+def test_leaves_of_large_note_files_come_in_bounded_batches():
+    note = "(" + "".join(f'(."Text", "t{i}")' for i in range(30_000)) + ")"
+    files = pa.RecordBatch.from_arrays([pa.array(["a", "b", None, "c"]), pa.array([note.encode(), None, b"", b'(."x", 1)'], pa.binary())], names=["rec", "content"])
+    out = list(edf.leaf_batches(iter([files, files]), "rec"))
+    rows = [tuple(r.values()) for b in out for r in b.to_pylist()]
+    assert all(0 < b.num_rows <= edf.LEAVES for b in out) and len(out) == 4 and len(rows) == 2 * 30_001
+    assert rows[:30_001] == [(k, p, v) for k, c in zip(["a", "c"], [note, '(."x", 1)'], strict=True) for p, v in edf.note_leaves(c)] and rows[30_001:] == rows[:30_001]
