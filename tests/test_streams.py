@@ -2,6 +2,8 @@
 
 import os
 
+from pyspark.sql import Row
+
 from tidemark.streaming import live
 
 
@@ -82,3 +84,44 @@ def test_state_goes_on_from_a_checkpoint(spark, tmp_path):
         stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(folder).selectExpr("rec", "cast(ts as timestamp) as ts", "seq", "text")
         live.relay_stream(stream).writeStream.format("parquet").option("path", out).option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
     assert sorted((r.seq, r.current) for r in spark.read.parquet(out).collect()) == [(2, "5"), (3, "7"), (4, "9"), (4, "9")]
+
+
+def test_rows_that_wait_cost_no_call_each():
+    class Kept:
+        calls, value = 0, None
+
+        def get(self):
+            self.calls += 1
+            return self.value
+
+        def update(self, value):
+            self.value, self.calls = value, self.calls + 1
+
+        def clear(self):
+            self.value = None
+
+    class Rows(Kept):
+        def get(self):
+            self.calls += 1
+            return iter(self.value or [])
+
+        def appendList(self, rows):
+            self.value, self.calls = [*(self.value or []), *rows], self.calls + 1
+
+    class Handle:
+        kept, rows, timers = Kept(), Rows(), set()
+        getValueState = lambda self, *a: self.kept
+        getListState = lambda self, *a: self.rows
+        registerTimer = lambda self, t: self.timers.add(t)
+        deleteTimer = lambda self, t: self.timers.discard(t)
+
+    class Mark:
+        getCurrentWatermarkInMs = lambda self: 4_000
+
+    handle, relay = Handle(), live.Relay(86400)
+    relay.init(handle)
+    rows = [Row(us=k * 1000, place=k, text="Closed relay to A1 and B1" if k == 0 else str(k)) for k in range(5000)]
+    list(relay.handleInputRows((1,), iter(reversed(rows)), Mark()))
+    out = list(relay.handleExpiredTimer((1,), Mark(), None))
+    assert [r.seq for r in out] == list(range(1, 4000)) and {r.pair for r in out} == {"A1-B1"}
+    assert len(handle.rows.value) == 1000 and max(handle.timers) == 4001 and handle.rows.calls + handle.kept.calls < 20
