@@ -656,3 +656,14 @@ def test_epochs_and_turns_shuffle_samples_and_events_only(spark):
     one = signals.average_flips(flipped, 2)
     assert as_rows(one) == as_rows(signals.average_flipped(signals.epoch_events(samples, at, 2, 4), flipped.drop("values"))) and one.agg(F.sum("flipped")).first()[0] > 0
     assert {r.z for r in signals.zscore_windows(signals.epoch_windows(samples, at, 0, 4), 0).collect()} == {None}
+
+
+def test_pieces_of_a_text_are_cut_in_one_pass(spark):
+    from tidemark import queries
+
+    texts = ["", "a" * 64, "b" * 65, "é\n😀" * 70, "line\r\nx y" * 30, None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "k long, text string").selectExpr("k", queries._CUT("text"))
+    got = sorted((r.k, r.chunk, r.piece) for r in rows.collect())
+    assert got == [(k, i, t if t is None else t[i * 64 : i * 64 + 64]) for k, t in enumerate(texts) for i in range(max(1, -(-len(t or "") // 64)))]
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "substring" not in plan and "[1]" in plan  # the text is left behind where its pieces begin
