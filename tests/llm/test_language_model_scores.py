@@ -106,3 +106,32 @@ def test_passes_go_on_with_their_moments():
     steps = moments.steps
     gru.train(half, words, texts[3:], most=2, moments=moments)
     assert 0 < steps < moments.steps and any(np.abs(v).max() > 0 for v in moments.first.values())
+
+
+def test_softmaxes_by_tokens_not_by_times():
+    """A long document among short ones leaves few lanes for thousands of times: they are taken together."""
+    live = np.concatenate([np.full(100, 400), np.full(9900, 5)])
+    spans = gru.blocks(live)
+    assert spans[0][0] == 0 and spans[-1][1] == len(live) and all(a[1] == b[0] for a, b in zip(spans, spans[1:], strict=False))
+    assert len(spans) <= 2 + live.sum() // (1 << 14) * 2 and max(live[a:b].sum() for a, b in spans) <= 1 << 14
+
+
+def test_cell_is_the_plain_step():
+    words, r = small_vocabulary()
+    w = gru.start_weights(words, 6)
+    cell = gru.Cell(w)
+    x, h = r.integers(0, gru.INPUTS, 9), r.standard_normal((9, 6)).astype(np.float32)
+    got = [np.empty((k, 9), np.float32) for k in (12, 6, 6)]
+    out = cell.step(cell.e[:, x], np.ascontiguousarray(h.T), tuple(got))
+    for a, b in zip((out, *got), gru.step(w, x, h), strict=True):
+        assert np.allclose(a.T, b, atol=1e-5)
+
+
+def test_ids_of_words_by_their_beginnings():
+    r = np.random.default_rng(3)
+    for n in (0, 1, 2, 500):
+        some = np.unique(np.concatenate([r.integers(0, 1 << 64, n, np.uint64), np.arange(min(n, 40), dtype=np.uint64)])) if n else np.zeros(0, np.uint64)
+        words = gru.Vocabulary(some, r.permutation(len(some)), np.full(len(some), 3), 5000, 1000)
+        at = {int(h): int(k) for h, k in zip(words.hashes, words.rank, strict=True)}
+        asked = np.concatenate([some, r.integers(0, 1 << 64, 300, np.uint64), np.arange(60, dtype=np.uint64), np.array([(1 << 64) - 1], np.uint64)])
+        assert words.ids(asked).tolist() == [at.get(int(h), len(some)) for h in asked]

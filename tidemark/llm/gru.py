@@ -22,7 +22,7 @@ CLASSES = HEAD // HEAD_SIZE + MIDDLE + 1
 START = HEAD + MIDDLE + 1
 INPUTS = START + 1
 LN10 = np.log(10)
-TINY = np.float32(1e-30)
+ONE = np.float32(1)
 #: Lanes that are trained in step: so many that a pass has some 60 updates, within bounds.
 LANES, UPDATES = (16, 512), 60
 PIECE = 512  # tokens of a piece in training
@@ -57,12 +57,23 @@ class Vocabulary:
         middle = self.classes[HEAD:n]
         self.share[HEAD:n] = np.log(self.counts[HEAD:] / sums[middle])
 
+        # where the hashes of each beginning start: few share one, so a word is found in a look or two
+        self.shift = np.uint64(64 - max(1, n.bit_length()))
+        self.starts = np.searchsorted(self.hashes >> self.shift, np.arange((1 << 64 - int(self.shift)) + 1, dtype=np.uint64)).astype(np.int32)
+
     def ids(self, hashes: np.ndarray) -> np.ndarray:
         """Ranks of words; the number of words for any that isn't here."""
-        if not len(self.hashes):
-            return np.zeros(len(hashes), np.int64)
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == hashes, self.rank[at], len(self.counts))
+        out = np.full(len(hashes), len(self.counts))
+        begin = hashes >> self.shift
+        at, end = self.starts[begin], self.starts[begin + np.uint64(1)]
+        left = np.flatnonzero(at < end)
+        at, end, own = at[left], end[left], hashes[left]
+        while len(left):
+            hit = self.hashes[at] == own
+            out[left[hit]] = self.rank[at[hit]]
+            on = ~hit & (at + 1 < end)
+            left, at, end, own = left[on], at[on] + 1, end[on], own[on]
+        return out
 
 
 SHAPES = lambda h: {"E": (INPUTS, 3 * h), "U": (h, 3 * h), "Wc": (h, CLASSES), "bc": (CLASSES,), "Wv": (HEAD // HEAD_SIZE, h, HEAD_SIZE), "bv": (HEAD // HEAD_SIZE, HEAD_SIZE)}
@@ -113,7 +124,7 @@ def grid(docs: list[np.ndarray], vocabulary: Vocabulary, most: int, before: list
     docs end with their end token; before has the id before a piece of a longer document, -1 at its start."""
     rows = lanes(docs, most)
     size = np.array([sum(len(docs[d]) for d in r) for r in rows])
-    x, y, of, fresh = (np.zeros((size[0], len(rows)), t) for t in (np.int64, np.int64, np.int64, bool))
+    x, y, of, fresh = (np.zeros((size[0], len(rows)), t) for t in (np.int32, np.int32, np.int32, bool))
     for j, r in enumerate(rows):
         ids = np.concatenate([docs[d] for d in r])
         n = np.array([len(docs[d]) for d in r])
@@ -143,15 +154,21 @@ def states_between(w: dict[str, np.ndarray], vocabulary: Vocabulary, docs: list[
         return out
     # up to where the last piece starts; no softmax is needed here
     x, _, of, fresh, live = grid([docs[i][: (count[i] - 1) * size] for i in long_], vocabulary, most)
-    h, seen = np.zeros((x.shape[1], out.shape[1]), np.float32), np.zeros(len(long_), np.int64)
-    for t in range(len(x)):
-        m = live[t]
-        h = step(w, x[t, :m], np.where(fresh[t, :m, None], np.float32(0), h[:m]))[0]
-        seen[of[t, :m]] += 1
-        ends = np.flatnonzero(seen[of[t, :m]] % size == 0)
-        for j in ends.tolist():
-            d = of[t, j]
-            out[first[long_[d]] + seen[d] // size] = h[j]
+    cell = Cell(w)
+    h = np.zeros((out.shape[1], x.shape[1]), np.float32)
+    place = np.arange(1, len(x) + 1)[:, None]
+    place = place - np.maximum.accumulate(np.where(fresh, place - 1, 0), axis=0)  # tokens of the document so far
+    cut = place % size == 0
+    cuts = cut.any(axis=1)
+    for t0, t1 in blocks(live):
+        inputs, at = cell.inputs(x, live, t0, t1)
+        keep = kept_states(fresh, t0, t1)
+        for t in range(t0, t1):
+            m = live[t]
+            h = cell.step(inputs[:, at[t - t0] : at[t - t0] + m], started(h, m, keep[t - t0]))
+            if cuts[t]:
+                ends = np.flatnonzero(cut[t, :m])
+                out[first[np.take(long_, of[t, ends])] + place[t, ends] // size] = h[:, ends].T
     return out
 
 
@@ -173,6 +190,7 @@ def tanh(x: np.ndarray) -> np.ndarray:
 
 
 def step(w: dict[str, np.ndarray], x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Cell's step in its plain form, lane x state: what the tests hold it against."""
     n = h.shape[1]
     a, u = w["E"][x], h @ w["U"]
     zr = sigmoid(a[:, : 2 * n] + u[:, : 2 * n])
@@ -182,47 +200,118 @@ def step(w: dict[str, np.ndarray], x: np.ndarray, h: np.ndarray) -> tuple[np.nda
 
 
 def softmax(x: np.ndarray) -> np.ndarray:
-    """In place, of each column: numpy works along rows much faster than across short ones."""
+    """In place, of each column."""
     x -= x.max(axis=0)
     np.exp(x, out=x)
     x *= 1 / x.sum(axis=0)
     return x
 
 
-def score(w: dict[str, np.ndarray], vocabulary: Vocabulary, docs: list[np.ndarray], most: int = 512, window: int = 32) -> np.ndarray:
-    """Natural log probability of each document; of a word of the last class only the class counts."""
+class Cell:
+    """The step of the unit, state x lane: numpy works along rows much faster than across short ones. The gates' weights have the sign that 1 / (1 + exp(-x)) needs."""
+
+    def __init__(self, w: dict[str, np.ndarray]):
+        self.hidden = n = w["U"].shape[0]
+        by = np.repeat(np.array([-1, 1], np.float32), [2 * n, n])
+        self.e, self.u = np.ascontiguousarray((w["E"] * by).T), np.ascontiguousarray((w["U"] * by).T)
+
+    def inputs(self, x: np.ndarray, live: np.ndarray, t0: int, t1: int) -> tuple[np.ndarray, np.ndarray]:
+        """What the tokens of some times add, one column for each, and the first column of each time."""
+        return self.e[:, flat(x, live, t0, t1)], np.cumsum(live[t0:t1]) - live[t0:t1]
+
+    def step(self, a: np.ndarray, h: np.ndarray, keep: tuple[np.ndarray, ...] = ()) -> np.ndarray:
+        """The next state. keep: where the gates, the candidate and what the state gives it are put for training."""
+        n = self.hidden
+        u = self.u.dot(h)
+        zr, uc = u[: 2 * n], u[2 * n :]
+        zr += a[: 2 * n]
+        np.exp(zr, out=zr)
+        zr += ONE
+        np.reciprocal(zr, out=zr)
+        c = zr[n:] * uc
+        c += a[2 * n :]
+        np.tanh(c, out=c)
+        if keep:
+            keep[0][:], keep[1][:], keep[2][:] = zr, c, uc
+        out = h - c
+        out *= zr[:n]
+        out += c
+        return out
+
+
+def flat(x: np.ndarray, live: np.ndarray, t0: int, t1: int) -> np.ndarray:
+    """The cells of live lanes from time t0 to t1, time by time."""
+    return x[t0:t1][np.arange(x.shape[1]) < live[t0:t1, None]]
+
+
+def blocks(live: np.ndarray, least: int = 1, tokens: int = 1 << 14) -> list[tuple[int, int]]:
+    """Spans of times of about `tokens` tokens, and of `least` times."""
+    upto, out, t = np.cumsum(live), [], 0
+    while t < len(live):
+        t1 = int(np.searchsorted(upto, (upto[t - 1] if t else 0) + tokens, side="right"))
+        out.append((t, min(len(live), max(t + least, t1))))
+        t = out[-1][1]
+    return out
+
+
+def kept_states(fresh: np.ndarray, t0: int, t1: int) -> list[np.ndarray | None]:
+    """For each time what the states are multiplied by, None where no document starts."""
+    return [np.where(f, np.float32(0), np.float32(1)) if some else None for f, some in zip(fresh[t0:t1], fresh[t0:t1].any(axis=1).tolist(), strict=True)]
+
+
+def started(h: np.ndarray, m: int, keep: np.ndarray | None) -> np.ndarray:
+    """States of the first m lanes, zero where a document starts."""
+    if keep is not None:
+        return h[:, :m] * keep[:m]
+    return h if m == h.shape[1] else np.ascontiguousarray(h[:, :m])
+
+
+def log_share(logits: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Natural logs of the softmax of each column at its target. Changes logits."""
+    logits -= logits.max(axis=0)
+    of_target = logits[target, np.arange(len(target))]
+    np.exp(logits, out=logits)
+    return of_target - np.log(logits.sum(axis=0))
+
+
+def score(w: dict[str, np.ndarray], vocabulary: Vocabulary, docs: list[np.ndarray], most: int = 512, window: int = 1) -> np.ndarray:
+    """Natural log probability of each document; of a word of the last class only the class counts. window: times of a softmax at least."""
     out = np.zeros(len(docs))
     if not docs:
         return out
     x, y, of, fresh, live = grid(docs, vocabulary, most)
-    h = np.zeros((x.shape[1], w["U"].shape[0]), np.float32)
-    for t0 in range(0, len(x), window):
-        states, flat_y, flat_of = [], [], []
-        for t in range(t0, min(t0 + window, len(x))):
-            m = live[t]
-            h = h[:m]
-            h = np.where(fresh[t, :m, None], np.float32(0), h)
-            h = step(w, x[t, :m], h)[0]
-            states.append(h)
-            flat_y.append(y[t, :m])
-            flat_of.append(of[t, :m])
-        s, ids, d = np.concatenate(states), np.concatenate(flat_y), np.concatenate(flat_of)
+    cell, wc = Cell(w), np.ascontiguousarray(w["Wc"].T)
+    h = np.zeros((cell.hidden, x.shape[1]), np.float32)
+    for t0, t1 in blocks(live, window):
+        inputs, first = cell.inputs(x, live, t0, t1)
+        keep, s = kept_states(fresh, t0, t1), np.empty((cell.hidden, inputs.shape[1]), np.float32)
+        for t, at, m in zip(range(t1 - t0), first.tolist(), live[t0:t1].tolist(), strict=True):
+            h = cell.step(inputs[:, at : at + m], started(h, m, keep[t]))
+            s[:, at : at + m] = h
+        ids = flat(y, live, t0, t1)
         c = vocabulary.classes[ids]
-        logits = w["Wc"].T @ s.T
+        logits = wc @ s
         logits += w["bc"][:, None]
-        p = np.log(softmax(logits)[c, np.arange(len(c))] + TINY) + vocabulary.share[ids]
-        order = np.argsort(c, kind="stable")
-        edge = np.searchsorted(c[order], np.arange(HEAD // HEAD_SIZE + 1))
+        p = log_share(logits, c) + vocabulary.share[ids]
+        order, edge = by_head_class(c)
+        s, places = s[:, order], vocabulary.place[ids[order]]
         for k in range(HEAD // HEAD_SIZE):
-            at = order[edge[k] : edge[k + 1]]
-            if len(at):
-                own = w["Wv"][k].T @ s[at].T
+            a, b = edge[k], edge[k + 1]
+            if a < b:
+                own = w["Wv"][k].T @ s[:, a:b]
                 own += w["bv"][k][:, None]
-                p[at] += np.log(softmax(own)[vocabulary.place[ids[at]], np.arange(len(at))] + TINY)
-        out += np.bincount(d, weights=p, minlength=len(docs))
+                p[order[a:b]] += log_share(own, places[a:b])
+        out += np.bincount(flat(of, live, t0, t1), weights=p, minlength=len(docs))
     return out
 
 
+def by_head_class(c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens in the order of their classes, and where each of the head classes starts."""
+    c = c.astype(np.uint8)  # few bits: numpy sorts them by counting
+    order = np.argsort(c, kind="stable")
+    return order, np.searchsorted(c[order], np.arange(HEAD // HEAD_SIZE + 1, dtype=np.uint8))
+
+
 @dataclass
 class Moments:
     """What Adam knows of earlier steps."""
@@ -246,63 +335,66 @@ def train(w: dict[str, np.ndarray], vocabulary: Vocabulary, docs: list[np.ndarra
     left = states_between(w, vocabulary, docs, PIECE)
     docs, before = pieces(docs, PIECE)
     x, y, of, starts, live = grid(docs, vocabulary, most, before)
-    hidden = w["U"].shape[0]
-    h = np.zeros((x.shape[1], hidden), np.float32)
+    n = w["U"].shape[0]
+    h = np.zeros((n, x.shape[1]), np.float32)
     m1, m2 = moments.first, moments.second
     for t0 in range(0, len(x), window):
         t1 = min(t0 + window, len(x))
-        kept = []
-        for t in range(t0, t1):
-            n = live[t]
-            fresh = starts[t, :n, None]
-            before = np.where(fresh, left[of[t, :n]], h[:n])
-            h, zr, c, uc = step(w, x[t, :n], before)
-            kept.append((before, zr, c, uc, fresh, h))
-        s = np.concatenate([k[-1] for k in kept])
-        ids = np.concatenate([y[t, : live[t]] for t in range(t0, t1)])
-        count = len(ids)
+        cell = Cell(w)
+        inputs, first = cell.inputs(x, live, t0, t1)
+        count = inputs.shape[1]
+        zr, c, uc, old, s = (np.empty((k * n, count), np.float32) for k in (2, 1, 1, 1, 1))
+        spans = [(at, at + m) for at, m in zip(first.tolist(), live[t0:t1].tolist(), strict=True)]
+        fresh = [np.flatnonzero(starts[t, : live[t]]) for t in range(t0, t1)]
+        for t, (i, j) in enumerate(spans):
+            h = started(h, j - i, None)
+            if len(fresh[t]):
+                h[:, fresh[t]] = left[of[t0 + t, fresh[t]]].T
+            old[:, i:j] = h
+            h = cell.step(inputs[:, i:j], h, (zr[:, i:j], c[:, i:j], uc[:, i:j]))
+            s[:, i:j] = h
+        ids = flat(y, live, t0, t1)
         cls = vocabulary.classes[ids]
         g = {k: np.zeros_like(v) for k, v in w.items()}
-        d = w["Wc"].T @ s.T
+        d = w["Wc"].T @ s
         d += w["bc"][:, None]
         d = softmax(d)
         d[cls, np.arange(count)] -= 1
-        g["Wc"], g["bc"] = (d @ s).T, d.sum(axis=1)
-        ds = d.T @ w["Wc"].T
-        order = np.argsort(cls, kind="stable")
-        edge = np.searchsorted(cls[order], np.arange(HEAD // HEAD_SIZE + 1))
+        g["Wc"], g["bc"] = s @ d.T, d.sum(axis=1)
+        ds = w["Wc"] @ d
+        order, edge = by_head_class(cls)
+        sorted_s, places, sorted_ds = s[:, order[: edge[-1]]], vocabulary.place[ids[order]], np.empty((n, edge[-1]), np.float32)
         for k in range(HEAD // HEAD_SIZE):
-            at = order[edge[k] : edge[k + 1]]
-            if len(at):
-                own = s[at]
-                d = w["Wv"][k].T @ own.T
+            a, b = edge[k], edge[k + 1]
+            if a < b:
+                own = sorted_s[:, a:b]
+                d = w["Wv"][k].T @ own
                 d += w["bv"][k][:, None]
                 d = softmax(d)
-                d[vocabulary.place[ids[at]], np.arange(len(at))] -= 1
-                g["Wv"][k], g["bv"][k] = (d @ own).T, d.sum(axis=1)
-                ds[at] += d.T @ w["Wv"][k].T
-        back = np.zeros((0, hidden), np.float32)
-        end = count
-        fed, grads = [], []
-        for t in range(t1 - 1, t0 - 1, -1):
-            before, zr, c, uc, fresh, _ = kept[t - t0]
-            n = len(before)
-            dh = ds[end - n : end].copy()
-            dh[: len(back)] += back
-            end -= n
-            z, r = zr[:, :hidden], zr[:, hidden:]
-            dc = dh * (1 - z) * (1 - c * c)
-            du = np.concatenate([dh * (before - c) * z * (1 - z), dc * uc * r * (1 - r), dc * r], axis=1)
-            da = du.copy()
-            da[:, 2 * hidden :] = dc
-            g["U"] += before.T @ du
-            back = np.where(fresh, np.float32(0), dh * z + du @ w["U"].T)
-            fed.append(x[t, :n])
-            grads.append(da)
-        fed_ = np.concatenate(fed)
-        order = np.argsort(fed_, kind="stable")
-        edge = np.flatnonzero(np.diff(fed_[order], prepend=-1))
-        g["E"][fed_[order[edge]]] = np.add.reduceat(np.concatenate(grads)[order], edge, axis=0)
+                d[places[a:b], np.arange(b - a)] -= 1
+                g["Wv"][k], g["bv"][k] = own @ d.T, d.sum(axis=1)
+                sorted_ds[:, a:b] = w["Wv"][k] @ d
+        ds[:, order[: edge[-1]]] += sorted_ds
+        # by what the gradient of a state is multiplied for the candidate and the gates
+        z, r = zr[:n], zr[n:]
+        by_c = (1 - z) * (1 - c * c)
+        by_all = np.stack([(old - c) * z * (1 - z), by_c * uc * r * (1 - r), by_c * r])
+        flat_all = by_all.reshape(3 * n, count)
+        back = None
+        for t in range(len(spans) - 1, -1, -1):
+            i, j = spans[t]
+            dh = ds[:, i:j]
+            if back is not None:
+                dh[:, : back.shape[1]] += back
+            by_all[:, :, i:j] *= dh  # it becomes the gradient of what the state gives
+            back = w["U"] @ flat_all[:, i:j]
+            back += dh * z[:, i:j]
+            if len(fresh[t]):
+                back[:, fresh[t]] = 0
+        g["U"] = old @ flat_all.T
+        by_all[2] = ds * by_c  # of what the tokens give
+        fed = flat(x, live, t0, t1)
+        g["E"] = np.stack([np.bincount(fed, row, INPUTS) for row in flat_all], axis=1).astype(np.float32)
         moments.steps = steps = moments.steps + 1
         decay = min(1.0, steps / 20)
         for k in w:

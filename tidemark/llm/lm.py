@@ -32,7 +32,7 @@ from tidemark.llm.work import apart, bounded_batches, text_or_empty, written
 KNOWN, SEEN = 200_000, 3
 HIDDEN, ROUNDS, TRAINERS, FAN_IN = 16, 4, 6, 64
 TRAINER_TOKENS, PASS_TOKENS = 4_000_000, 500_000
-GATHER, SCORE_GATHER = 8 << 20, 3 << 20
+GATHER = 8 << 20
 END = xxhash.xxh3_64_intdigest(b"\n")  # no word has a line end
 
 
@@ -43,7 +43,7 @@ def fold(doc_id: Column) -> Column:
 def token_hashes(text: bytes) -> np.ndarray:
     words = text.lower().split()
     out = np.empty(len(words) + 1, np.uint64)
-    out[:-1] = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    out[:-1] = np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, words)), ">u8")
     out[-1] = END
     return out
 
@@ -64,6 +64,10 @@ def gathered(batches: Iterator[pa.RecordBatch], most: int = GATHER) -> Iterator[
         yield held, hashed
 
 
+def ids_of(words: gru.Vocabulary, hashed: list[np.ndarray]) -> list[np.ndarray]:
+    return np.split(words.ids(np.concatenate(hashed)), np.cumsum([len(h) for h in hashed])[:-1])
+
+
 def count_words(docs: DataFrame) -> DataFrame:
     """word (hash), n: over all rows (doc_id, text)."""
 
@@ -93,7 +97,7 @@ def train(docs: DataFrame, words: gru.Vocabulary, seed: int = 7) -> bytes:
 
     def ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for held, hashed in gathered(batches):
-            ids_ = pa.array([words.ids(h).astype("<i4").tobytes() for h in hashed], pa.binary())
+            ids_ = pa.array([x.astype("<i4").tobytes() for x in ids_of(words, hashed)], pa.binary())
             yield pa.RecordBatch.from_arrays([pa.concat_arrays([b.column(0) for b in held]), ids_], names=["doc_id", "ids"])
 
     learnt = docs.mapInArrow(ids, "doc_id long, ids binary")
@@ -161,10 +165,10 @@ def partial_rows(docs: DataFrame, words: gru.Vocabulary, weights: bytes) -> Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = gru.unpack(weights, HIDDEN)
         logs = np.append(np.log10(words.counts + 1.0), 0)
-        for held, hashed in gathered(batches, SCORE_GATHER):
+        for held, hashed in gathered(batches):
             row = np.concatenate([b.column(0).to_numpy() for b in held])
             doc = pa.concat_arrays([b.column(1) for b in held])
-            ids = [words.ids(h) for h in hashed]
+            ids = ids_of(words, hashed)
             model = gru.score(w, words, ids) / gru.LN10
             size = np.array([len(h) for h in hashed])
             owner = np.repeat(np.arange(len(row)), size)
