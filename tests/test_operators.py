@@ -516,6 +516,52 @@ def test_token_head_finds_names_it_has_not_seen(spark):
     assert a[1].redacted is None and a[2].redacted == " " and abs(a[0].redacted.count("[NAME]") - b[0].redacted.count("[NAME]")) < 20
 
 
+def test_tokens_tile_a_text():
+    from tidemark.functions import tagging
+
+    rnd = random.Random(4)
+    some = ["a", "Z", "é", "ǅ", "一", "7", "²", "_", "-", ".", " ", " ", "\t", "\n", "\u00a0", "\u2028", "\x1c", "\u200b", "\U0001f600"]
+    for text in ["", " ", "a", *("".join(rnd.choices(some, k=rnd.randrange(1, 60))) for _ in range(500)), "x" + " " * 200_000]:
+        words, starts, ends = tagging.tokens(text)
+        assert list(zip(words, starts.tolist(), ends.tolist(), strict=True)) == [(m.group(), *m.span()) for m in tagging.TOKEN.finditer(text)]
+
+
+def test_features_of_many_parts(monkeypatch):
+    """Features by their plain definition, each part for itself, also where the words of a task are forgotten on the way; scores are their sums in order."""
+    import re
+    import zlib
+
+    from tidemark.functions import tagging
+
+    def plain(words):
+        out = []
+        for t in range(len(words)):
+            row = []
+            for place in (-1, 0, 1):
+                w = words[t + place] if 0 <= t + place < len(words) else ""
+                kinds = re.sub(r"(.)\1+", r"\1", "".join("X" if c.isupper() else "x" if c.isalpha() else "d" if c.isdigit() else c for c in w))
+                low = w.lower()
+                row += [zlib.crc32(f"{place} {n}".encode()) % tagging.WIDTH for n in (f"w {low}", f"s {kinds}", f"e {low[-3:]}", f"b {low[:2]}", f"n {min(len(w), 8)} {w[:1].isupper()}")]
+            out.append(row)
+        return out
+
+    rnd = random.Random(8)
+    some = ["Anna", "anna", "ANNA", "McDonald", "1980", "a1", "A1b2", "É", "Éa", "ǅx", "ªb", "一二", "x一", "１２", "²", "Ⅷ", "_", "-", "ß", "Ann一"]
+    parts = [[rnd.choice(some) + rnd.choice(["", "", str(rnd.randrange(99))]) for _ in range(rnd.randrange(1, 30))] for _ in range(60)]
+    monkeypatch.setattr(tagging, "KNOWN", 150)
+    monkeypatch.setattr(tagging, "SCORED", 100)
+    head = tagging.TokenHead(np.random.default_rng(2).standard_normal((tagging.WIDTH, 3)))
+    for k in range(0, 60, 6):
+        assert head.features_of(parts[k : k + 6]).tolist() == [row for p in parts[k : k + 6] for row in plain(p)]
+    windows = [tagging.tokens(" ".join(p)) for p in parts]
+    for (words, starts, ends), marks in zip(windows, head.scores(windows), strict=True):
+        tags = tagging.legal_tags(tagging.log_softmax(head.weights[plain(words)].sum(axis=1)))
+        want = np.zeros(ends[-1])
+        for s, e, tag in zip(starts, ends, tags, strict=True):
+            want[s:e] = tag != tagging.O
+        assert np.array_equal(marks, want)
+
+
 def test_table_functions_check_their_arguments(spark):
     from tidemark.functions import tables
 
